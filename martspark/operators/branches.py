@@ -58,20 +58,31 @@ def bookings_in_window(bookings: DataFrame, window: MonthWindow, tz: str = DEFAU
 # J6-J8 economics
 # --------------------------------------------------------------------------
 
-def cost_split(bookings: DataFrame, booking_cm: DataFrame, fx: DataFrame,
-               window: MonthWindow, ent: Enterprise, tz: str = DEFAULT_TZ) -> DataFrame:
+def with_economics(bookings: DataFrame, booking_cm: DataFrame, window: MonthWindow,
+                   ent: Enterprise, tz: str = DEFAULT_TZ) -> DataFrame:
+    """Window + enterprise bookings LEFT JOIN their economics row on ``order_no``.
+
+    Shared by J6 and J7 (both start from this join), so the economics table
+    is shuffled once. The result is hash-partitioned on ``order_no``, which
+    already clusters J6's (date, order) aggregate.
+    """
+    b = ent.restrict(bookings_in_window(bookings, window, tz)).select(
+        "order_no", "restaurant_id", "created_timestamp", "Food_mode_name", "rpl_detail_list")
+    cm = booking_cm.select(F.col("order_no").alias("_cm_order"), F.col("booking_date").alias("_cm_date"),
+                           *ECONOMICS_AMOUNTS)
+    return (b.join(cm, F.col("order_no") == F.col("_cm_order"), "left")
+             .withColumn("booking_date", local_date(F.col("created_timestamp"), tz)))
+
+
+def cost_split(bc: DataFrame, fx: DataFrame) -> DataFrame:
     """Unnest the promo cost list and split it three ways, converted once.
 
-    Inner UNNEST (D8): a booking with an empty or NULL list yields no row.
-    The FX year comes from the economics row's booking date, as in the
-    reference; sums are NULL when nothing matches (E8).
+    ``bc`` is :func:`with_economics`. Inner UNNEST (D8): a booking with an
+    empty or NULL list yields no row. The FX year comes from the economics
+    row's booking date, as in the reference; sums are NULL when nothing
+    matches (E8).
     """
-    b = ent.restrict(bookings_in_window(bookings, window, tz)) \
-        .select("order_no", "created_timestamp", "rpl_detail_list")
-    cm = booking_cm.select(F.col("order_no").alias("_cm_order"), F.col("booking_date").alias("_cm_date"))
-    rows = (b.join(cm, F.col("order_no") == F.col("_cm_order"), "left")
-              .select("order_no", local_date(F.col("created_timestamp"), tz).alias("booking_date"),
-                      "_cm_date", F.inline("rpl_detail_list")))
+    rows = bc.select("order_no", "booking_date", "_cm_date", F.inline("rpl_detail_list"))
     rows = with_rate(rows, "_cm_date", fx)
     spend = F.col("Food_spend_amount") * F.col("rate")
     return rows.groupBy("booking_date", "order_no").agg(
@@ -81,25 +92,20 @@ def cost_split(bookings: DataFrame, booking_cm: DataFrame, fx: DataFrame,
     )
 
 
-def order_economics(bookings: DataFrame, booking_cm: DataFrame, costs: DataFrame,
-                    window: MonthWindow, ent: Enterprise, tz: str = DEFAULT_TZ) -> DataFrame:
+def order_economics(bc: DataFrame, costs: DataFrame) -> DataFrame:
     """Delivery bookings with economics and cost split, DISTINCT.
 
-    ``Food_mode_name NOT IN (pickup)`` drops NULL modes as SQL does. The
-    cost split joins on (order, local date): the date is materialised as a
-    column so the join is a plain two-column equi-join.
+    ``Food_mode_name NOT IN (pickup)`` drops NULL modes as SQL does (the
+    filter is on the bookings side of a left join, so it commutes with it).
+    The cost split joins on (order, local date): the date is a materialised
+    column, so the join is a plain two-column equi-join.
     """
-    b = ent.restrict(bookings_in_window(bookings, window, tz))
-    b = b.where(~F.col("Food_mode_name").isin(K.PICKUP_MODE)).select(
-        local_date(F.col("created_timestamp"), tz).alias("booking_date"),
-        "restaurant_id", F.col("order_no").alias("_b_order"))
-    a = booking_cm.select("order_no", *ECONOMICS_AMOUNTS)
+    b = bc.where(~F.col("Food_mode_name").isin(K.PICKUP_MODE))
     c = costs.select(F.col("order_no").alias("_c_order"), F.col("booking_date").alias("_c_date"),
                      F.col("rpl_overall").alias("akab_rpl_overall"), "rpl_cofunding", "abra_cost")
-    j = (b.join(a, F.col("_b_order") == F.col("order_no"), "left")
-          .join(c, (F.col("_b_order") == F.col("_c_order")) & (F.col("booking_date") == F.col("_c_date")), "left"))
+    j = b.join(c, (F.col("order_no") == F.col("_c_order")) & (F.col("booking_date") == F.col("_c_date")), "left")
     return j.select(
-        "booking_date", "restaurant_id", "order_no",
+        "booking_date", "restaurant_id", F.col("_cm_order").alias("order_no"),
         "cm_amount", "cost_of_revenue_amount", "gtv_amount", "gross_take_preoffset_amount",
         "merchant_commission_amount", "mfp_markdown_amount", "net_rpl_amount", "gross_rpl_amount",
         "akab_rpl_overall", "rpl_cofunding", "abra_cost", "gmv_amount",

@@ -12,7 +12,7 @@ from martspark.functions import constants as K
 from martspark.functions.calendar import DEFAULT_TZ
 from martspark.operators.history import BridgeRules, outlet_bridge
 from martspark.operators.quality import assert_unique
-from martspark.plans.joins import DEFAULT_BROADCAST_ROWS, lookup_side
+from martspark.plans.joins import DEFAULT_BROADCAST_ROWS
 
 DIM_COLUMNS = [
     "sales_code", "sales_name", "saudagar_id", "restaurant_id", "restaurant_uuid",
@@ -90,14 +90,26 @@ class Enterprise:
     def of(cls, dim: DataFrame, classification: str = K.ENTERPRISE,
            check_unique: bool = True, max_broadcast_rows: int = DEFAULT_BROADCAST_ROWS) -> "Enterprise":
         ent = dim.where(F.col("classification_type_name") == classification)
+        # One job answers all three questions: row count (broadcast bound),
+        # distinct ids and distinct uuids (fan-out guards).
+        stats = ent.agg(F.count(F.lit(1)).alias("n"),
+                        F.count_distinct("restaurant_id").alias("n_id"),
+                        F.count_distinct("restaurant_uuid", "restaurant_id").alias("n_pair"),
+                        F.count_distinct("restaurant_uuid").alias("n_uuid")).first()
         if check_unique:
-            assert_unique(ent, ["restaurant_id"], "enterprise restaurant dimension")
-        ids = lookup_side(ent.select("restaurant_id").distinct(), max_broadcast_rows)
+            if stats["n_id"] != stats["n"]:
+                assert_unique(ent, ["restaurant_id"], "enterprise restaurant dimension")
+            if stats["n_uuid"] != stats["n_pair"]:
+                assert_unique(ent.select("restaurant_uuid", "restaurant_id").distinct(),
+                              ["restaurant_uuid"], "enterprise restaurant uuid map")
+        small = stats["n"] <= max_broadcast_rows
+        ids = ent.select("restaurant_id").distinct()
         uuids = ent.select("restaurant_uuid", "restaurant_id").distinct()
-        if check_unique:
-            assert_unique(uuids, ["restaurant_uuid"], "enterprise restaurant uuid map")
-        uuids = lookup_side(uuids, max_broadcast_rows)
-        return cls(dim=ent, ids=ids, uuids=uuids)
+        if small:
+            ids, uuids = F.broadcast(ids), F.broadcast(uuids)
+        # full rows are ~10x wider than the key tables: a tighter bound
+        wide_small = stats["n"] <= max_broadcast_rows // 10
+        return cls(dim=F.broadcast(ent) if wide_small else ent, ids=ids, uuids=uuids)
 
     def restrict(self, df: DataFrame, id_col: str = "restaurant_id") -> DataFrame:
         """Keep rows of enterprise restaurants (the D9 inner join)."""

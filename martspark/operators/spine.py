@@ -110,7 +110,10 @@ def spine_full_join_coalesced(spine: Branch, dim: DataFrame, branches: Sequence[
     """D5 repaired ``full`` mode: FULL JOIN USING (day, restaurant), so a
     day that has ads or ratings but no spine row is kept; then the
     classified dimension (inner) and the window on the merged day."""
-    j = reduce(lambda l, r: l.join(r, [DAY, RID], "full"), [b.df for b in branches], spine.df)
+    # Branches are already windowed; a spine row outside the window could
+    # only merge with branch rows outside it, so windowing it first is exact.
+    s = spine.df.where(window.contains(F.col(DAY)))
+    j = reduce(lambda l, r: l.join(r, [DAY, RID], "full"), [b.df for b in branches], s)
     d = dim.where(F.col("classification_type_name") == classification)
     d = d.select(*[F.col(c).alias(f"dim__{c}") for c in d.columns])
     j = j.where(window.contains(F.col(DAY)))

@@ -10,6 +10,7 @@ from __future__ import annotations
 import datetime as dt
 from collections.abc import Sequence
 
+from pyspark import StorageLevel
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -86,10 +87,19 @@ KPI_COLUMNS = (KPI_KEYS + [m for m, _, _ in KPI_MEASURES]
 
 
 def kpi_branches(src: Sources, window: MonthWindow, ent: Enterprise,
-                 tz: str = DEFAULT_TZ) -> tuple[Branch, list[Branch]]:
-    """The spine and the nine daily branches, each keyed by (day, restaurant)."""
-    costs = B.cost_split(src.bookings, src.booking_cm, src.fx, window, ent, tz)
-    econ = B.daily_economics(B.order_economics(src.bookings, src.booking_cm, costs, window, ent, tz), src.fx)
+                 tz: str = DEFAULT_TZ, cache_facts: bool = False) -> tuple[Branch, list[Branch]]:
+    """The spine and the nine daily branches, each keyed by (day, restaurant).
+
+    By default every branch reads the bookings with its own pruned columns
+    and pushed window range. ``cache_facts`` keeps the month's enterprise
+    bookings slice instead (spillable persist), for sources that are costly
+    to re-derive; measured slower on parquet inputs, so it is off.
+    """
+    bk = src.bookings
+    if cache_facts:
+        bk = ent.restrict(B.bookings_in_window(bk, window, tz)).persist(StorageLevel.MEMORY_AND_DISK)
+    bc = B.with_economics(bk, src.booking_cm, window, ent, tz)
+    econ = B.daily_economics(B.order_economics(bc, B.cost_split(bc, src.fx)), src.fx)
     ads = B.paid_ads_daily(src.ads, window, ent)
     ads_cols = [n for n, _ in B.ADS_PAID_SUMS[2:]] + [n for _, n in K.ADS_INVENTORY_COLUMNS]
     impr = B.impressions_distinct(src.impressions, window, ent)
@@ -105,9 +115,9 @@ def kpi_branches(src: Sources, window: MonthWindow, ent: Enterprise,
         keyed("g", impr, "summary_data_date", "restaurant_id",
               resum=["Food_shuffle_impression_count", "Food_search_impression_count",
                      "Food_suggestion_impression_count", "Food_total_impression_count"]),
-        keyed("h", B.aov_bands_pivot(src.bookings, window, ent, tz), "summary_data_date", "Food_id"),
-        keyed("i", B.promo_class_pivot(src.bookings, window, ent, tz), "summary_data_date", "Food_id"),
-        keyed("j", B.fulfilment_ops(src.bookings, window, ent, tz), "jakarta_booking_created_date", "restaurant_id"),
+        keyed("h", B.aov_bands_pivot(bk, window, ent, tz), "summary_data_date", "Food_id"),
+        keyed("i", B.promo_class_pivot(bk, window, ent, tz), "summary_data_date", "Food_id"),
+        keyed("j", B.fulfilment_ops(bk, window, ent, tz), "jakarta_booking_created_date", "restaurant_id"),
         keyed("k", B.weighted_rating(src.rating, window, ent, tz=tz), "event_date", "restaurant_id"),
     ]
     return spine, branches
@@ -120,8 +130,7 @@ def kpi_daily(src: Sources, run_date: dt.date, mode: str = "left", tz: str = DEF
     dim = restaurant_dim(src.profile, src.universe)
     ent = Enterprise.of(dim, check_unique=check_unique)
     spine, branches = kpi_branches(src, window, ent, tz)
-    dim_side = lookup_side(ent.dim)
-    return SPINE_MODES[mode](spine, dim_side, branches, window)
+    return SPINE_MODES[mode](spine, ent.dim, branches, window)
 
 
 def _zero_sum(col: str) -> Column:

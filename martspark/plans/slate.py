@@ -109,7 +109,7 @@ def left_join_using(spark, sf_dir):
 
 def composite_expression_join(spark, sf_dir):
     s = _src(spark, sf_dir)
-    costs = B.cost_split(s.bookings, s.booking_cm, s.fx, WINDOW, _ent(s)).select(
+    costs = B.cost_split(B.with_economics(s.bookings, s.booking_cm, WINDOW, _ent(s)), s.fx).select(
         F.col("order_no").alias("_c_order"), F.col("booking_date").alias("_c_date"),
         "rpl_overall", "rpl_cofunding")
     b = B.bookings_in_window(s.bookings, WINDOW).select(
@@ -138,13 +138,13 @@ def join_fanout_check(spark, sf_dir):
 
 def unnest_cost_split(spark, sf_dir):
     s = _src(spark, sf_dir)
-    return as_output(B.cost_split(s.bookings, s.booking_cm, s.fx, WINDOW, _ent(s)).select(
+    return as_output(B.cost_split(B.with_economics(s.bookings, s.booking_cm, WINDOW, _ent(s)), s.fx).select(
         "booking_date", "order_no", "rpl_overall", "abra_cost", "rpl_cofunding"))
 
 
 def _order_econ(s: Sources, ent: Enterprise) -> DataFrame:
-    costs = B.cost_split(s.bookings, s.booking_cm, s.fx, WINDOW, ent)
-    return B.order_economics(s.bookings, s.booking_cm, costs, WINDOW, ent)
+    bc = B.with_economics(s.bookings, s.booking_cm, WINDOW, ent)
+    return B.order_economics(bc, B.cost_split(bc, s.fx))
 
 
 def order_economics(spark, sf_dir):
