@@ -15,6 +15,7 @@ from pyspark.sql import functions as F
 
 from martspark.functions import constants as K
 from martspark.functions.calendar import DEFAULT_TZ, local_date
+from martspark.plans.joins import lookup_side
 
 
 def valid_on(as_of: dt.date, tz: str = DEFAULT_TZ,
@@ -98,7 +99,9 @@ def outlet_bridge(dim_outlet: DataFrame, dim_account: DataFrame, as_of: dt.date,
     """
     outlet = outlets_as_of(dim_outlet, as_of, tz)
     po = product_outlets_as_of(dim_account, as_of, rules, tz)
-    ent = entities_as_of(dim_account, as_of, rules, tz)
+    # Entities are few and many outlets share one parent: broadcast them
+    # (after a bounded count) so a popular parent is not a skewed join key.
+    ent = lookup_side(entities_as_of(dim_account, as_of, rules, tz))
     return (outlet.join(po, "sf_outlet_id", "inner")
                   .join(ent, po.parent_id == ent.sf_account_id, "left")
                   .select("outlet_id", F.col("entity_id").alias("sf_entity_id"),

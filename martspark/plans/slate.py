@@ -98,6 +98,12 @@ def outlet_bridge(spark, sf_dir):
     return H.outlet_bridge(s.dim_outlet, s.dim_account, WINDOW.end)
 
 
+def outlet_bridge_literal(spark, sf_dir):
+    """The reference's ``UPPER(x) = "Entity"`` never matches: no parent names."""
+    s = _src(spark, sf_dir)
+    return H.outlet_bridge(s.dim_outlet, s.dim_account, WINDOW.end, H.BridgeRules(entity_type="Entity"))
+
+
 def left_join_using(spark, sf_dir):
     s = _src(spark, sf_dir)
     dim = restaurant_dim(s.profile, s.universe).select("restaurant_uuid", "restaurant_id")
@@ -306,6 +312,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "restaurant_dim_enriched": restaurant_dim_enriched_q,
     "history_as_of": history_as_of,
     "outlet_bridge": outlet_bridge,
+    "outlet_bridge_literal": outlet_bridge_literal,
     "left_join_using": left_join_using,
     "composite_expression_join": composite_expression_join,
     "fx_convert_by_year": fx_convert_by_year,
