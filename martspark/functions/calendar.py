@@ -15,6 +15,7 @@ from __future__ import annotations
 
 import datetime as dt
 from dataclasses import dataclass
+from functools import lru_cache
 from zoneinfo import ZoneInfo
 
 from pyspark.sql import Column
@@ -53,9 +54,46 @@ def month_to_date(run_date: dt.date) -> MonthWindow:
     return MonthWindow(start=end.replace(day=1), end=end)
 
 
+FAST_FROM = dt.datetime(1970, 1, 1)
+FAST_UNTIL = dt.datetime(2100, 1, 1)
+
+
+@lru_cache(maxsize=64)
+def constant_offset(tz: str) -> dt.timedelta | None:
+    """The zone's UTC offset when it is the same on every day from 1970 to
+    2100 (no DST, no rule change), else None. Checked daily on the driver."""
+    zone = ZoneInfo(tz)
+    utc = dt.timezone.utc
+    first = None
+    day = FAST_FROM
+    while day < FAST_UNTIL:
+        off = day.replace(tzinfo=utc).astimezone(zone).utcoffset()
+        if first is None:
+            first = off
+        elif off != first:
+            return None
+        day += dt.timedelta(days=1)
+    return first
+
+
 def local_datetime(ts: Column, tz: str = DEFAULT_TZ) -> Column:
-    """Wall clock in ``tz`` of a UTC instant (TIMESTAMP_NTZ result)."""
-    return F.convert_timezone(F.lit("UTC"), F.lit(tz), ts)
+    """Wall clock in ``tz`` of a UTC instant (TIMESTAMP_NTZ result).
+
+    For a zone with one offset since 1970 (e.g. Asia/Jakarta, +07:00), the
+    wall clock of an instant from 1970 on is ``ts + offset``: plain
+    arithmetic inside codegen instead of a per-row zone-rules lookup.
+    Other instants and other zones use ``convert_timezone``; both give the
+    same result.
+    """
+    exact = F.convert_timezone(F.lit("UTC"), F.lit(tz), ts)
+    off = constant_offset(tz)
+    if off is None:
+        return exact
+    secs = int(off.total_seconds())
+    shifted = ts + F.make_dt_interval(secs=F.lit(secs))
+    lo = ntz_literal(FAST_FROM)
+    hi = ntz_literal(FAST_UNTIL - dt.timedelta(days=1))
+    return F.when((ts >= lo) & (ts < hi), shifted).otherwise(exact)
 
 
 def local_date(ts: Column, tz: str = DEFAULT_TZ) -> Column:

@@ -8,7 +8,7 @@ aggregated to (day, restaurant) *before* any join with other branches.
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from martspark.functions import classify
@@ -112,6 +112,43 @@ def order_economics(bc: DataFrame, costs: DataFrame) -> DataFrame:
     ).distinct()
 
 
+def order_economics_fused(bc: DataFrame, fx: DataFrame) -> DataFrame:
+    """J6 + J7 in one pass over :func:`with_economics` (same rows as
+    ``order_economics(bc, cost_split(bc, fx))``).
+
+    The three cost shares are summed inside each booking's list with
+    higher-order functions (``filter`` + ``aggregate``), NULL when no element
+    matches, as ``SUM(CASE ... END)`` over the unnested rows would be; a
+    window over (order, local date) then adds them across the booking's
+    rows, which is exactly what the (order, date) join of J6 back to the
+    bookings attaches. No explode, no second aggregate, no join back; the
+    window reuses the join's ``order_no`` partitioning (no shuffle).
+    """
+    rows = with_rate(bc, "_cm_date", fx)
+    acc_type = "decimal(38,8)"
+
+    def share(pred) -> Column:
+        hits = F.filter("rpl_detail_list", pred)
+        total = F.aggregate(hits, F.lit(0).cast(acc_type),
+                            lambda acc, x: (acc + x["Food_spend_amount"] * F.col("rate")).cast(acc_type))
+        return F.when(F.size(hits) > 0, total)
+
+    per_booking = Window.partitionBy("order_no", "booking_date")
+    shares = {
+        "akab_rpl_overall": share(lambda x: x["budget_entity_name"] == K.RPL_BUDGET_ENTITY),
+        "abra_cost": share(lambda x: x["program_name"].isin(K.RPL_PROGRAM)),
+        "rpl_cofunding": share(lambda x: x["program_group_name"].isin(K.RPL_PROGRAM_GROUP)),
+    }
+    j = rows.select("*", *[F.sum(v).over(per_booking).alias(k) for k, v in shares.items()])
+    j = j.where(~F.col("Food_mode_name").isin(K.PICKUP_MODE))
+    return j.select(
+        "booking_date", "restaurant_id", F.col("_cm_order").alias("order_no"),
+        "cm_amount", "cost_of_revenue_amount", "gtv_amount", "gross_take_preoffset_amount",
+        "merchant_commission_amount", "mfp_markdown_amount", "net_rpl_amount", "gross_rpl_amount",
+        "akab_rpl_overall", "rpl_cofunding", "abra_cost", "gmv_amount",
+    ).distinct()
+
+
 def daily_economics(order_econ: DataFrame, fx: DataFrame) -> DataFrame:
     """13 measures per (day, restaurant).
 

@@ -5,6 +5,7 @@ from __future__ import annotations
 import datetime as dt
 from dataclasses import dataclass
 
+from pyspark import StorageLevel
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -90,21 +91,28 @@ class Enterprise:
     def of(cls, dim: DataFrame, classification: str = K.ENTERPRISE,
            check_unique: bool = True, max_broadcast_rows: int = DEFAULT_BROADCAST_ROWS) -> "Enterprise":
         ent = dim.where(F.col("classification_type_name") == classification)
+        # Small and read by every branch: keep it (spillable; recomputed
+        # from its lineage if an executor is lost) instead of re-deriving
+        # it per branch. The stats job below materialises it.
+        ent = ent.persist(StorageLevel.MEMORY_AND_DISK)
         # One job answers all three questions: row count (broadcast bound),
         # distinct ids and distinct uuids (fan-out guards).
         stats = ent.agg(F.count(F.lit(1)).alias("n"),
                         F.count_distinct("restaurant_id").alias("n_id"),
                         F.count_distinct("restaurant_uuid", "restaurant_id").alias("n_pair"),
                         F.count_distinct("restaurant_uuid").alias("n_uuid")).first()
+        unique_ids = stats["n_id"] == stats["n"]
         if check_unique:
-            if stats["n_id"] != stats["n"]:
+            if not unique_ids:
                 assert_unique(ent, ["restaurant_id"], "enterprise restaurant dimension")
             if stats["n_uuid"] != stats["n_pair"]:
                 assert_unique(ent.select("restaurant_uuid", "restaurant_id").distinct(),
                               ["restaurant_uuid"], "enterprise restaurant uuid map")
         small = stats["n"] <= max_broadcast_rows
-        ids = ent.select("restaurant_id").distinct()
-        uuids = ent.select("restaurant_uuid", "restaurant_id").distinct()
+        ids = ent.select("restaurant_id")
+        uuids = ent.select("restaurant_uuid", "restaurant_id")
+        if not unique_ids:
+            ids, uuids = ids.distinct(), uuids.distinct()
         if small:
             ids, uuids = F.broadcast(ids), F.broadcast(uuids)
         # full rows are ~10x wider than the key tables: a tighter bound

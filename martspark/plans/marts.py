@@ -99,7 +99,7 @@ def kpi_branches(src: Sources, window: MonthWindow, ent: Enterprise,
     if cache_facts:
         bk = ent.restrict(B.bookings_in_window(bk, window, tz)).persist(StorageLevel.MEMORY_AND_DISK)
     bc = B.with_economics(bk, src.booking_cm, window, ent, tz)
-    econ = B.daily_economics(B.order_economics(bc, B.cost_split(bc, src.fx)), src.fx)
+    econ = B.daily_economics(B.order_economics_fused(bc, src.fx), src.fx)
     ads = B.paid_ads_daily(src.ads, window, ent)
     ads_cols = [n for n, _ in B.ADS_PAID_SUMS[2:]] + [n for _, n in K.ADS_INVENTORY_COLUMNS]
     impr = B.impressions_distinct(src.impressions, window, ent)

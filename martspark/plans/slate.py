@@ -150,12 +150,14 @@ def unnest_cost_split(spark, sf_dir):
 
 def _order_econ(s: Sources, ent: Enterprise) -> DataFrame:
     bc = B.with_economics(s.bookings, s.booking_cm, WINDOW, ent)
-    return B.order_economics(bc, B.cost_split(bc, s.fx))
+    return B.order_economics_fused(bc, s.fx)
 
 
 def order_economics(spark, sf_dir):
+    """J7 as written: J6 aggregated, then joined back on (order, date)."""
     s = _src(spark, sf_dir)
-    return as_output(_order_econ(s, _ent(s)))
+    bc = B.with_economics(s.bookings, s.booking_cm, WINDOW, _ent(s))
+    return as_output(B.order_economics(bc, B.cost_split(bc, s.fx)))
 
 
 def daily_economics(spark, sf_dir):

@@ -6,8 +6,9 @@ Restaurant = supplier; one booking = one (order, supplier) pair of
 from each customer's order sequence. Everything is lazy: the marts' window
 filters reach the ``orders`` / ``events`` scans through these plans.
 
-Money is exact decimal (DECIMAL(18,2) prices, DECIMAL(18,4) derived
-amounts); durations and counts are whole numbers, so every sum is exact.
+Money is exact: integer cents and percent points per line, DECIMAL(18,2)
+and DECIMAL(18,4) per booking; durations and counts are whole numbers, so
+every sum is exact.
 """
 
 from __future__ import annotations
@@ -45,21 +46,46 @@ def _amount(c: Column) -> Column:
     return c.cast(S.AMOUNT)
 
 
+# Line money is exact integer arithmetic: prices in cents, discount and tax
+# in percent points, so price * rate is a whole number of 1e-4 units. Sums
+# stay BIGINT (fast, codegen) and become decimals once per group.
+def _units_to_amount(units: Column) -> Column:
+    """BIGINT count of 1e-4 units -> DECIMAL(18,4)."""
+    return _amount(units.cast("decimal(22,0)") * F.lit("0.0001").cast("decimal(4,4)"))
+
+
+def _cents_to_gmv(cents: Column) -> Column:
+    return (cents.cast("decimal(20,0)") * F.lit("0.01").cast("decimal(2,2)")).cast(S.GMV)
+
+
 def _lines(orders: DataFrame, lineitem: DataFrame) -> DataFrame:
-    """Order lines with the order's attributes and decimal money columns."""
+    """Order lines with the order's attributes and integer money columns.
+
+    ``pc`` price in cents, ``dp``/``tp`` discount/tax in percent points
+    (the driver values have two decimals, so the rounding is exact).
+    """
     li = lineitem.select(
         "l_orderkey", "l_suppkey", "l_quantity", "l_returnflag", "l_linestatus",
         "l_shipdate", "l_discount", "l_tax",
-        F.col("l_extendedprice").cast("decimal(18,2)").alias("price"),
-        F.col("l_discount").cast("decimal(4,2)").alias("disc"),
-        F.col("l_tax").cast("decimal(4,2)").alias("tax"),
+        F.round(F.col("l_extendedprice") * 100).cast("bigint").alias("pc"),
+        F.round(F.col("l_discount") * 100).cast("bigint").alias("dp"),
+        F.round(F.col("l_tax") * 100).cast("bigint").alias("tp"),
     )
     od = orders.select("o_orderkey", "o_custkey", "o_orderstatus", "o_totalprice",
                        "o_orderdate", "o_orderpriority")
     return od.join(li, od.o_orderkey == li.l_orderkey, "inner")
 
 
-# (name, line condition or None, factor applied to price * disc or price * tax)
+def _pd() -> Column:
+    """price * discount, in 1e-4 units."""
+    return F.col("pc") * F.col("dp")
+
+
+def _pt() -> Column:
+    """price * tax, in 1e-4 units."""
+    return F.col("pc") * F.col("tp")
+
+# (name, line condition or None, base, NULL for o_orderkey % n == 0)
 _RPL_SPEC = [
     ("estimated_rpl_total_amount", None, "disc", None),
     ("rpl_voucher_amount", ("l_returnflag", "R"), "disc", None),
@@ -76,15 +102,10 @@ _RPL_SPEC = [
 
 
 def _rpl_amount(name: str, cond, base: str, null_mod) -> Column:
-    if base == "disc":
-        v = F.col("price") * F.col("disc")
-    elif base == "tax":
-        v = F.col("price") * F.col("tax")
-    else:
-        v = F.col("price") * F.lit(0.01).cast("decimal(3,2)")
+    v = {"disc": _pd, "tax": _pt, "one_pct": lambda: F.col("pc")}[base]()
     if cond is not None:
         v = F.when(F.col(cond[0]) == cond[1], v).otherwise(F.lit(0))
-    total = _amount(F.sum(v))
+    total = _units_to_amount(F.sum(v))
     if null_mod is not None:
         total = F.when(F.col("o_orderkey") % null_mod == 0, F.lit(None).cast(S.AMOUNT)).otherwise(total)
     return total.alias(name)
@@ -95,26 +116,26 @@ def bookings(orders: DataFrame, lineitem: DataFrame) -> DataFrame:
 
     Order attributes are grouping keys (functionally dependent on the
     order key), so predicates on them are pushed below the aggregate and
-    the join into the ``orders`` scan. The join output is hash-partitioned
+    the join into the ``orders`` side. The join output is hash-partitioned
     on the order key, which already clusters the grouping keys: one shuffle.
     """
-    pd = F.col("price") * F.col("disc")
-    pt = F.col("price") * F.col("tax")
     keys = ["o_orderkey", "l_suppkey", "o_custkey", "o_orderstatus", "o_totalprice",
             "o_orderdate", "o_orderpriority"]
     agg = _lines(orders, lineitem).groupBy(*keys).agg(
         F.max("l_shipdate").alias("picked_up_timestamp"),
         F.max("l_quantity").alias("_max_qty"),
-        F.sum("price").cast(S.GMV).alias("normalized_gmv_amount"),
+        _cents_to_gmv(F.sum("pc")).alias("normalized_gmv_amount"),
         F.sum(F.when(F.col("l_discount") > 0.05, 1).otherwise(0)).cast("bigint").alias("sku_promotion_count"),
-        _amount(F.sum(F.when(F.col("l_tax") > 0.04, pt).otherwise(F.lit(0)))).alias("total_campaign_discount_cart_amount"),
-        _amount(F.sum(F.when(F.col("l_returnflag") == "R", pd).otherwise(F.lit(0)))).alias("voucher_discount_amount"),
+        _units_to_amount(F.sum(F.when(F.col("l_tax") > 0.04, _pt()).otherwise(F.lit(0))))
+        .alias("total_campaign_discount_cart_amount"),
+        _units_to_amount(F.sum(F.when(F.col("l_returnflag") == "R", _pd()).otherwise(F.lit(0))))
+        .alias("voucher_discount_amount"),
         *[_rpl_amount(*spec) for spec in _RPL_SPEC],
         F.collect_list(F.struct(
             F.when(F.col("l_linestatus") == "F", "AKAB").otherwise("MERCHANT").alias("budget_entity_name"),
             F.when(F.col("l_returnflag") == "A", "Project Abracadabra").otherwise("Regular Program").alias("program_name"),
             F.when(F.col("l_returnflag") == "N", "Cofunding").otherwise("Platform").alias("program_group_name"),
-            _amount(pd).alias("Food_spend_amount"),
+            _units_to_amount(_pd()).alias("Food_spend_amount"),
         )).alias("rpl_detail_list"),
     )
     status = (F.when(F.col("o_orderstatus") == "F", "3")
@@ -148,18 +169,18 @@ def bookings(orders: DataFrame, lineitem: DataFrame) -> DataFrame:
 
 def booking_cm(orders: DataFrame, lineitem: DataFrame) -> DataFrame:
     """A4: booking economics per booking; some bookings have no row."""
-    p, d, t = F.col("price"), F.col("disc"), F.col("tax")
+    pc = F.col("pc")
     lines = _lines(orders, lineitem).where(F.col("o_orderkey") % 10 != 3)
     agg = lines.groupBy("o_orderkey", "l_suppkey", "o_orderdate").agg(
-        _amount(F.sum(p * (F.lit(1) - d))).alias("cm_amount"),
-        _amount(F.sum(p * F.lit(0.7).cast("decimal(2,1)"))).alias("cost_of_revenue_amount"),
-        _amount(F.sum(p)).alias("gtv_amount"),
-        _amount(F.sum(p * t)).alias("gross_take_preoffset_amount"),
-        _amount(F.sum(p * F.lit(0.2).cast("decimal(2,1)"))).alias("merchant_commission_amount"),
-        _amount(F.sum(p * d)).alias("mfp_markdown_amount"),
-        _amount(F.sum(F.when(F.col("l_linestatus") == "F", p * d).otherwise(F.lit(0)))).alias("net_rpl_amount"),
-        _amount(F.sum(p * (d + t))).alias("gross_rpl_amount"),
-        _amount(F.sum(p)).alias("gmv_amount"),
+        _units_to_amount(F.sum(pc * (100 - F.col("dp")))).alias("cm_amount"),
+        _units_to_amount(F.sum(pc * 70)).alias("cost_of_revenue_amount"),
+        _units_to_amount(F.sum(pc * 100)).alias("gtv_amount"),
+        _units_to_amount(F.sum(_pt())).alias("gross_take_preoffset_amount"),
+        _units_to_amount(F.sum(pc * 20)).alias("merchant_commission_amount"),
+        _units_to_amount(F.sum(_pd())).alias("mfp_markdown_amount"),
+        _units_to_amount(F.sum(F.when(F.col("l_linestatus") == "F", _pd()).otherwise(F.lit(0)))).alias("net_rpl_amount"),
+        _units_to_amount(F.sum(pc * (F.col("dp") + F.col("tp")))).alias("gross_rpl_amount"),
+        _units_to_amount(F.sum(pc * 100)).alias("gmv_amount"),
     )
     return agg.select(
         F.concat_ws("-", "o_orderkey", "l_suppkey").alias("order_no"),
@@ -172,20 +193,22 @@ def booking_cm(orders: DataFrame, lineitem: DataFrame) -> DataFrame:
 
 def promo_tx(orders: DataFrame, lineitem: DataFrame) -> DataFrame:
     """Promo transactions per booking (lines with a discount of 2% or more)."""
-    p, d, t = F.col("price"), F.col("disc"), F.col("tax")
     lines = _lines(orders, lineitem).where(F.col("l_discount") >= 0.02)
+    sku = F.sum(_pd())
+    cart = F.sum(F.when(F.col("l_tax") > 0.04, _pt()).otherwise(F.lit(0)))
+    voucher = F.sum(F.when(F.col("l_returnflag") == "R", _pd()).otherwise(F.lit(0)))
     agg = lines.groupBy("o_orderkey", "l_suppkey", "o_orderdate", "o_custkey", "o_orderpriority").agg(
-        _amount(F.sum(p * d)).alias("item_promotion_burnt_amount"),
-        _amount(F.sum(F.when(F.col("l_tax") > 0.04, p * t).otherwise(F.lit(0)))).alias("campaign_discount_burnt_amount"),
-        _amount(F.sum(F.when(F.col("l_returnflag") == "R", p * d).otherwise(F.lit(0)))).alias("voucher_burnt_amount"),
-        F.sum(p).cast(S.GMV).alias("gmv_amount"),
+        _units_to_amount(sku).alias("item_promotion_burnt_amount"),
+        _units_to_amount(cart).alias("campaign_discount_burnt_amount"),
+        _units_to_amount(voucher).alias("voucher_burnt_amount"),
+        _units_to_amount(sku + cart + voucher).alias("total_order_burnt_amount"),
+        _cents_to_gmv(F.sum("pc")).alias("gmv_amount"),
     )
     return agg.select(
         F.concat_ws("-", "o_orderkey", "l_suppkey").alias("order_no"),
         local_date(F.col("o_orderdate")).alias("jakarta_booking_date"),
         "item_promotion_burnt_amount", "campaign_discount_burnt_amount", "voucher_burnt_amount",
-        _amount(F.col("item_promotion_burnt_amount") + F.col("campaign_discount_burnt_amount")
-                + F.col("voucher_burnt_amount")).alias("total_order_burnt_amount"),
+        "total_order_burnt_amount",
         F.col("o_custkey").alias("customer_id"),
         F.lit("FOOD").alias("restaurant_type"),
         "gmv_amount",

@@ -98,3 +98,35 @@ def test_pivot_keeps_groups_with_unlisted_values(spark):
     wide = {r.Food_id: r for r in B.pivot_wide(long, "aov_range_alias", ["a_0_25k", "b_25_50k"]).collect()}
     assert wide[1].a_0_25k is None and wide[1].b_25_50k is None
     assert wide[2].a_0_25k == 1
+
+
+def test_fused_cost_split_equals_unnest_aggregate_join(spark):
+    from martspark.functions.money import fx_table
+    A = Decimal
+    lst = lambda *xs: [(e, p, g, A(v)) for e, p, g, v in xs]
+    bk = _bookings(spark, [
+        _booking("o1", 1, "1998-01-10 00:00:00", Food_mode_name="FOOD-DELIVERY",
+                 rpl_detail_list=lst(("AKAB", "Project Abracadabra", "Cofunding", "1.5"), ("X", "p", "g", "2"))),
+        _booking("o2", 1, "1998-01-10 00:00:00", Food_mode_name="FOOD-DELIVERY", rpl_detail_list=[]),
+        _booking("o3", 1, "1998-01-11 00:00:00", Food_mode_name="FOOD-DELIVERY", rpl_detail_list=None),
+        _booking("o4", 2, "1998-01-11 00:00:00", Food_mode_name="FOOD-PICKUP",
+                 rpl_detail_list=lst(("AKAB", "p", "g", "3"))),
+        _booking("o5", 2, "1998-01-12 00:00:00", Food_mode_name=None, rpl_detail_list=lst(("AKAB", "p", "g", "3"))),
+        _booking("o6", 2, "1998-01-12 00:00:00", Food_mode_name="FOOD-DELIVERY",
+                 rpl_detail_list=lst(("AKAB", "p", "Cofunding", "4"), ("AKAB", "p", "g", "5"))),
+        _booking("o7", 2, "1998-01-13 00:00:00", Food_mode_name="FOOD-DELIVERY",
+                 rpl_detail_list=lst(("AKAB", "p", "g", "6"))),
+    ])
+    cm_rows = [("o1", dt.date(1998, 1, 10)), ("o2", dt.date(1998, 1, 10)), ("o4", dt.date(1998, 1, 11)),
+               ("o6", dt.date(1998, 1, 12)), ("o6", dt.date(1998, 1, 12)),   # duplicate economics row
+               ("o7", dt.date(1996, 1, 1))]                                 # other year's rate
+    cm = spark.createDataFrame(
+        [(o, d) + tuple(A("10.0000") for _ in S.ECONOMICS_AMOUNTS) for o, d in cm_rows], S.BOOKING_CM)
+    fx = fx_table(spark, {1996: 10000, 1998: 14500})
+    bc = B.with_economics(bk, cm, W, _ent(spark))
+    explicit = B.order_economics(bc, B.cost_split(bc, fx))
+    fused = B.order_economics_fused(bc, fx)
+    cols = explicit.columns
+    assert sorted(map(tuple, explicit.select(cols).collect()), key=str) == \
+        sorted(map(tuple, fused.select(cols).collect()), key=str)
+    assert fused.count() == 5

@@ -62,3 +62,16 @@ def test_window_filter_reaches_the_scan(spark, tmp_path):
         .executedPlan().toString()
     assert "GreaterThanOrEqual(ts,1997-12-31T17:00)" in plan
     assert "LessThan(ts,1998-01-31T17:00)" in plan
+
+
+def test_fast_local_time_equals_zone_rules(spark):
+    from martspark.functions.calendar import constant_offset, local_datetime
+    assert constant_offset("Asia/Jakarta") == dt.timedelta(hours=7)
+    assert constant_offset("Europe/Berlin") is None
+    vals = ["1950-06-01 12:00:00", "1969-12-31 23:59:59", "1970-01-01 00:00:00", "1998-01-31 16:59:59",
+            "1998-01-31 17:00:00", "2024-02-29 23:30:00", "2099-12-31 20:00:00", None]
+    df = _ts(spark, vals)
+    for tz in ("Asia/Jakarta", "Europe/Berlin", "UTC"):
+        got = df.select(local_datetime(F.col("ts"), tz).alias("a"),
+                        F.convert_timezone(F.lit("UTC"), F.lit(tz), F.col("ts")).alias("b")).collect()
+        assert all(r.a == r.b for r in got), tz
