@@ -26,7 +26,8 @@ from martspark.operators.quality import duplicate_keys
 from martspark.operators.spine import DAY, RID, SPINE_MODES
 from martspark.plans import marts as M
 from martspark.plans.session import checkpoint_dir, tune
-from martspark.sources.tpch import RUN_DATE, Sources, _lines, tpch_sources
+from martspark.sources.catalog import Sources
+from martspark.sources.tpch import RUN_DATE, _lines, tpch_sources
 
 PREV_RUN_DATE = dt.date(1998, 1, 1)
 WINDOW = month_to_date(RUN_DATE)

@@ -7,7 +7,8 @@ this object.
 
 from __future__ import annotations
 
-from dataclasses import dataclass
+from collections.abc import Callable
+from dataclasses import dataclass, fields
 
 from pyspark.sql import DataFrame
 
@@ -28,3 +29,27 @@ class Sources:
     dim_outlet: DataFrame    # A11 outlet history
     dim_account: DataFrame   # A12 account history
     fx: DataFrame            # A15 FX by year
+
+
+class LazySources:
+    """Same attributes as :class:`Sources`, each built on first use.
+
+    Building a DataFrame is cheap but not free (the plan is analysed on the
+    spot); a query that reads three inputs should not pay for fourteen.
+    """
+
+    NAMES = tuple(f.name for f in fields(Sources))
+
+    def __init__(self, builders: dict[str, Callable[[], DataFrame]]):
+        missing = set(self.NAMES) - set(builders)
+        if missing:
+            raise ValueError(f"no builder for {sorted(missing)}")
+        self._builders = builders
+        self._built: dict[str, DataFrame] = {}
+
+    def __getattr__(self, name: str) -> DataFrame:
+        if name.startswith("_") or name not in self._builders:
+            raise AttributeError(name)
+        if name not in self._built:
+            self._built[name] = self._builders[name]()
+        return self._built[name]

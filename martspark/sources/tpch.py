@@ -21,7 +21,7 @@ from pyspark.sql import functions as F
 from martspark.functions.calendar import local_date
 from martspark.functions.money import fx_table
 from martspark.sources import schemas as S
-from martspark.sources.catalog import Sources
+from martspark.sources.catalog import LazySources
 
 # Driver mapping: the run date whose window is 1998-01-01 .. 1998-01-31.
 RUN_DATE = dt.date(1998, 2, 1)
@@ -34,12 +34,27 @@ FX_RATES = {
     2002: 16500,
 }
 
-TABLES = ["region", "nation", "customer", "supplier", "part", "orders",
-          "lineitem", "events"]
+# Declared schemas of the driver tables read here: a declared schema spares
+# the footer reads of schema inference on every query.
+DRIVER_SCHEMAS = {
+    "region": "r_regionkey int, r_name string",
+    "nation": "n_nationkey int, n_name string, n_regionkey int",
+    "supplier": "s_suppkey bigint, s_name string, s_nationkey int, s_acctbal double",
+    "orders": ("o_orderkey bigint, o_custkey bigint, o_orderstatus string, o_totalprice double, "
+               "o_orderdate timestamp_ntz, o_orderpriority string"),
+    "lineitem": ("l_orderkey bigint, l_partkey bigint, l_suppkey bigint, l_linenumber int, "
+                 "l_quantity double, l_extendedprice double, l_discount double, l_tax double, "
+                 "l_returnflag string, l_linestatus string, l_shipdate timestamp_ntz"),
+    "events": "event_id bigint, ts timestamp_ntz, user_id bigint, event_type string, value double, props string",
+}
+TABLES = list(DRIVER_SCHEMAS)
 
 
 def read(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
-    return spark.read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")
+    path = f"{sf_dir.rstrip('/')}/{name}.parquet"
+    if name in DRIVER_SCHEMAS:
+        return spark.read.schema(DRIVER_SCHEMAS[name]).parquet(path)
+    return spark.read.parquet(path)
 
 
 def _amount(c: Column) -> Column:
@@ -441,22 +456,34 @@ def dim_account(orders: DataFrame) -> DataFrame:
     return product_outlet.unionByName(billing_group).unionByName(entity)
 
 
-def tpch_sources(spark: SparkSession, sf_dir: str) -> Sources:
-    t = {name: read(spark, sf_dir, name) for name in TABLES}
-    bk = bookings(t["orders"], t["lineitem"])
-    return Sources(
-        bookings=bk,
-        booking_cm=booking_cm(t["orders"], t["lineitem"]),
-        promo_tx=promo_tx(t["orders"], t["lineitem"]),
-        spine=spine_daily(bk),
-        ads=ads_daily(t["events"]),
-        funnel=funnel_daily(t["events"]),
-        rating=rating_daily(t["events"]),
-        impressions=impression_daily(t["events"]),
-        profile=profile(t["supplier"], t["nation"], t["region"]),
-        universe=universe(t["supplier"]),
-        geo=geo(t["nation"], t["region"]),
-        dim_outlet=dim_outlet(t["orders"]),
-        dim_account=dim_account(t["orders"]),
-        fx=fx_table(spark, FX_RATES),
-    )
+def tpch_sources(spark: SparkSession, sf_dir: str) -> LazySources:
+    """The mart inputs over the driver tables of ``sf_dir`` (built on use)."""
+    tables: dict[str, DataFrame] = {}
+
+    def t(name: str) -> DataFrame:
+        if name not in tables:
+            tables[name] = read(spark, sf_dir, name)
+        return tables[name]
+
+    src: LazySources
+
+    def lazy(name: str):
+        return lambda: getattr(src, name)
+
+    src = LazySources({
+        "bookings": lambda: bookings(t("orders"), t("lineitem")),
+        "booking_cm": lambda: booking_cm(t("orders"), t("lineitem")),
+        "promo_tx": lambda: promo_tx(t("orders"), t("lineitem")),
+        "spine": lambda: spine_daily(lazy("bookings")()),
+        "ads": lambda: ads_daily(t("events")),
+        "funnel": lambda: funnel_daily(t("events")),
+        "rating": lambda: rating_daily(t("events")),
+        "impressions": lambda: impression_daily(t("events")),
+        "profile": lambda: profile(t("supplier"), t("nation"), t("region")),
+        "universe": lambda: universe(t("supplier")),
+        "geo": lambda: geo(t("nation"), t("region")),
+        "dim_outlet": lambda: dim_outlet(t("orders")),
+        "dim_account": lambda: dim_account(t("orders")),
+        "fx": lambda: fx_table(spark, FX_RATES),
+    })
+    return src
