@@ -124,12 +124,12 @@ def kpi_branches(src: Sources, window: MonthWindow, ent: Enterprise,
 
 
 def kpi_daily(src: Sources, run_date: dt.date, mode: str = "left", tz: str = DEFAULT_TZ,
-              check_unique: bool = True) -> DataFrame:
+              check_unique: bool = True, cache_facts: bool = False) -> DataFrame:
     """Daily wide rows: spine joined with all branches and the dimension."""
     window = month_to_date(run_date)
     dim = restaurant_dim(src.profile, src.universe)
     ent = Enterprise.of(dim, check_unique=check_unique)
-    spine, branches = kpi_branches(src, window, ent, tz)
+    spine, branches = kpi_branches(src, window, ent, tz, cache_facts)
     return SPINE_MODES[mode](spine, ent.dim, branches, window)
 
 
@@ -155,9 +155,9 @@ def kpi_rollup(daily: DataFrame) -> DataFrame:
 
 
 def kpi_monthly(src: Sources, run_date: dt.date, mode: str = "left", tz: str = DEFAULT_TZ,
-                check_unique: bool = True) -> DataFrame:
+                check_unique: bool = True, cache_facts: bool = False) -> DataFrame:
     """The monthly enterprise KPI mart (83 columns, positional order)."""
-    return kpi_rollup(kpi_daily(src, run_date, mode, tz, check_unique))
+    return kpi_rollup(kpi_daily(src, run_date, mode, tz, check_unique, cache_facts))
 
 
 # --------------------------------------------------------------------------

@@ -130,3 +130,26 @@ def test_fused_cost_split_equals_unnest_aggregate_join(spark):
     assert sorted(map(tuple, explicit.select(cols).collect()), key=str) == \
         sorted(map(tuple, fused.select(cols).collect()), key=str)
     assert fused.count() == 5
+
+
+def test_distinct_counts_shuffle_on_the_distinct_value(spark):
+    """A hot restaurant spreads: the first shuffle of COUNT(DISTINCT order)
+    is keyed by (day, restaurant, class, order_no), not by the restaurant."""
+    bk = _bookings(spark, [_booking(f"o{i}", 1, "1998-01-10 00:00:00") for i in range(5)])
+    plan = B.aov_bands_long(bk, W, _ent(spark))._jdf.queryExecution().executedPlan().toString()
+    import re
+    parts = re.findall(r"Exchange hashpartitioning\(([^)]*)\)", plan)
+    assert any("order_no" in p and "Food_id" in p for p in parts), parts
+
+
+def test_hot_restaurant_holds_a_third_of_rows(spark):
+    rows = [_booking(f"h{i}", 1, f"1998-01-{1 + i % 28:02d} 00:00:00", gmv=str(1000 * (i % 300)))
+            for i in range(300)]
+    rows += [_booking(f"c{i}", 2 + i % 50, f"1998-01-{1 + i % 28:02d} 00:00:00") for i in range(600)]
+    bk = _bookings(spark, rows)
+    ent = _ent(spark, ids=tuple(range(1, 52)))
+    wide = B.aov_bands_pivot(bk, W, ent)
+    bands = ["a_0_25k", "b_25_50k", "c_50_75k", "d_75_100k", "e_100_150k", "f_150_200k", "g_200_250k",
+             "h_over_250k"]
+    total = sum((r[b] or 0) for r in wide.where("Food_id = 1").collect() for b in bands)
+    assert total == 300
