@@ -384,12 +384,28 @@ def geo(nation: DataFrame, region: DataFrame) -> DataFrame:
 
 
 def _versions(orders: DataFrame) -> DataFrame:
-    """Each order opens a version of its customer's records; the next
-    order of the same customer closes it (the last one stays open)."""
-    chain = Window.partitionBy("o_custkey").orderBy("o_orderdate", "o_orderkey")
+    """Each order opens a version of its customer's records; the customer's
+    next order (by date, then order key) closes it; the last stays open.
+
+    Orders of one day share one effective instant, so within a day every
+    version but the last closes at its own start (zero length), and the
+    day's last version closes at the customer's next order day. That needs
+    only a per-(customer, day) aggregate and a chain over distinct order
+    days, never one customer's whole order history in one task.
+    """
     eff = F.col("o_orderdate") + F.make_dt_interval(hours=F.lit(18))
-    return orders.select("o_orderkey", "o_custkey", "o_orderdate", eff.alias("effective_timestamp")) \
-        .withColumn("expired_timestamp", F.lead("effective_timestamp").over(chain))
+    rows = orders.select("o_orderkey", "o_custkey", "o_orderdate", eff.alias("effective_timestamp"))
+    days = rows.groupBy("o_custkey", "o_orderdate").agg(
+        F.max("o_orderkey").alias("_last_key"),
+        F.first("effective_timestamp").alias("_day_eff"))
+    chain = Window.partitionBy("o_custkey").orderBy("o_orderdate")
+    days = days.select("o_custkey", "o_orderdate", "_last_key",
+                       F.lead("_day_eff").over(chain).alias("_next_day_eff"))
+    return (rows.join(days, ["o_custkey", "o_orderdate"], "inner")
+                .withColumn("expired_timestamp",
+                            F.when(F.col("o_orderkey") == F.col("_last_key"), F.col("_next_day_eff"))
+                             .otherwise(F.col("effective_timestamp")))
+                .drop("_last_key", "_next_day_eff"))
 
 
 def _flag(key: Column, mod: int, true_at: int, null_at: int) -> Column:
