@@ -86,6 +86,7 @@ class Enterprise:
     dim: DataFrame
     ids: DataFrame
     uuids: DataFrame
+    cached: DataFrame
 
     @classmethod
     def of(cls, dim: DataFrame, classification: str = K.ENTERPRISE,
@@ -117,7 +118,11 @@ class Enterprise:
             ids, uuids = F.broadcast(ids), F.broadcast(uuids)
         # full rows are ~10x wider than the key tables: a tighter bound
         wide_small = stats["n"] <= max_broadcast_rows // 10
-        return cls(dim=F.broadcast(ent) if wide_small else ent, ids=ids, uuids=uuids)
+        return cls(dim=F.broadcast(ent) if wide_small else ent, ids=ids, uuids=uuids, cached=ent)
+
+    def release(self) -> None:
+        """Drop the kept slice once the queries that use it have run."""
+        self.cached.unpersist()
 
     def restrict(self, df: DataFrame, id_col: str = "restaurant_id") -> DataFrame:
         """Keep rows of enterprise restaurants (the D9 inner join)."""

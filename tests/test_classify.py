@@ -35,3 +35,25 @@ def test_city_tiers_are_nested(spark):
     assert got == [("T3 Cities", "Focus 22 T3", "Top 5 T3 cities"),
                    ("T3 Cities", "Other Catgories", "Others"),
                    ("Other Cities", "Other Catgories", "Others")]
+
+
+def test_bands_match_a_plain_python_rule(spark):
+    from hypothesis import given, settings
+    from hypothesis import strategies as st
+    from martspark.functions import constants as K
+
+    def rule(v):
+        v = 0 if v is None else v
+        for edge, label in zip(K.AOV_EDGES, K.AOV_LONG_LABELS):
+            if v < edge:
+                return label
+        return K.AOV_LONG_LABELS[-1]
+
+    @settings(max_examples=5, deadline=None)
+    @given(st.lists(st.one_of(st.none(), st.integers(-10, 400000).map(lambda x: x / 1.0)), min_size=1, max_size=40))
+    def check(values):
+        df = spark.createDataFrame([(v,) for v in values], "v double")
+        got = [r[0] for r in df.select(classify.aov_band(F.col("v"))).collect()]
+        assert got == [rule(v) for v in values]
+
+    check()

@@ -58,3 +58,30 @@ def test_assert_unique_names_offending_keys(spark):
         assert_unique(df, ["k"], "dim")
     assert [tuple(r) for r in duplicate_keys(df, ["k"]).collect()] == [(1, 2)]
     assert assert_unique(df.where("k = 2"), ["k"]) is not None
+
+
+def test_lookups_beyond_the_bound_use_shuffle_joins(spark):
+    from pyspark.sql import functions as F
+    from martspark.operators.dims import Enterprise
+    from martspark.plans.joins import lookup_side, row_count_at_most
+    dim = spark.createDataFrame([(i, f"uuid-{i}", "ENTERPRISE" if i % 3 else "SME") for i in range(30)],
+                                "restaurant_id long, restaurant_uuid string, classification_type_name string")
+    facts = spark.range(300).select((F.col("id") % 40).alias("restaurant_id"),
+                                    F.concat(F.lit("uuid-"), F.col("id") % 40).alias("restaurant_uuid"))
+    assert row_count_at_most(dim, 30) and not row_count_at_most(dim, 29)
+    prev = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        big = Enterprise.of(dim, max_broadcast_rows=0)
+        small = Enterprise.of(dim)
+        for how in ("restrict", "by_uuid"):
+            a = sorted(map(tuple, getattr(big, how)(facts).collect()))
+            b = sorted(map(tuple, getattr(small, how)(facts).collect()))
+            assert a == b and len(a) == 153
+        plan = big.restrict(facts)._jdf.queryExecution().executedPlan().toString()
+        assert "BroadcastHashJoin" not in plan
+        plan = lookup_side(dim, max_rows=5).join(facts, "restaurant_id")._jdf.queryExecution() \
+            .executedPlan().toString()
+        assert "BroadcastHashJoin" not in plan
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", prev)
