@@ -50,11 +50,13 @@ def refresh_month(df: DataFrame, target: str, month: dt.date, partition_col: str
     spark = df.sparkSession
     staged = df.persist(StorageLevel.MEMORY_AND_DISK)
     try:
-        month_lit = F.lit(month)
-        stray = staged.where(F.col(partition_col).isNull() | (F.col(partition_col) != month_lit)).limit(1).count()
-        if stray:
+        part = F.col(partition_col)
+        # One job for both checks (and it materialises the kept mart).
+        check = staged.agg(F.count(F.lit(1)).alias("n"),
+                           F.count_if(part.isNull() | (part != F.lit(month))).alias("stray")).first()
+        if check["stray"]:
             raise ValueError(f"refresh of {month}: rows of other months in the input")
-        if staged.limit(1).count() == 0:
+        if check["n"] == 0:
             if not allow_empty:
                 raise EmptyMonthError(f"refresh of {month}: no rows; pass allow_empty=True to clear the month")
             _drop_partition(spark, target, partition_col, month)
