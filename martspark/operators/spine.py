@@ -107,12 +107,38 @@ def spine_full_join_literal(spine: Branch, dim: DataFrame, branches: Sequence[Br
 
 def spine_full_join_coalesced(spine: Branch, dim: DataFrame, branches: Sequence[Branch],
                               window: MonthWindow, classification: str = K.ENTERPRISE) -> DataFrame:
-    """D5 repaired ``full`` mode: FULL JOIN USING (day, restaurant), so a
-    day that has ads or ratings but no spine row is kept; then the
-    classified dimension (inner) and the window on the merged day."""
+    """D5 repaired ``full`` mode: the rows of FULL JOIN USING (day,
+    restaurant) over all branches, so a day that has ads or ratings but no
+    spine row is kept; then the classified dimension (inner) and the window
+    on the merged day.
+
+    Every input has at most one row per key (branches by construction, the
+    spine summed per key here), so the FULL JOIN chain equals a union of
+    the branches followed by one GROUP BY on the key that picks each
+    column's single value: one shuffle with map-side combine, where nine
+    chained full joins would re-shuffle the growing left side each time
+    (a full join's merged key has no known partitioning).
+    """
     # Branches are already windowed; a spine row outside the window could
     # only merge with branch rows outside it, so windowing it first is exact.
     s = spine.df.where(window.contains(F.col(DAY)))
+    s = s.groupBy(DAY, RID).agg(*[F.sum(c).alias(c) for c in spine.measures])
+    frames = [s] + [b.df for b in branches]
+    u = reduce(lambda l, r: l.unionByName(r, allowMissingColumns=True), frames)
+    measures = [c for f in frames for c in f.columns if c not in (DAY, RID)]
+    j = u.groupBy(DAY, RID).agg(*[F.max(c).alias(c) for c in measures])
+    d = dim.where(F.col("classification_type_name") == classification)
+    d = d.select(*[F.col(c).alias(f"dim__{c}") for c in d.columns])
+    j = j.where(window.contains(F.col(DAY)))
+    return j.join(d, F.col(RID) == F.col("dim__restaurant_id"), "inner")
+
+
+def spine_full_join_chain(spine: Branch, dim: DataFrame, branches: Sequence[Branch],
+                          window: MonthWindow, classification: str = K.ENTERPRISE) -> DataFrame:
+    """The same ``full`` mode as a chain of FULL JOIN USING (kept for the
+    equivalence test)."""
+    s = spine.df.where(window.contains(F.col(DAY)))
+    s = s.groupBy(DAY, RID).agg(*[F.sum(c).alias(c) for c in spine.measures])
     j = reduce(lambda l, r: l.join(r, [DAY, RID], "full"), [b.df for b in branches], s)
     d = dim.where(F.col("classification_type_name") == classification)
     d = d.select(*[F.col(c).alias(f"dim__{c}") for c in d.columns])

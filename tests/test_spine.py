@@ -44,3 +44,21 @@ def test_full_mode_keeps_branch_only_days(spark):
     assert spine_left_join(spine, dim, [b], W).count() == 1
     got = _rows(spine_full_join_coalesced(spine, dim, [b], W), ["_d", "m_a", "m_b"])
     assert got == sorted([(dt.date(1998, 1, 1), 5, None), (dt.date(1998, 1, 2), None, 7)], key=str)
+
+
+def test_full_mode_union_equals_full_join_chain(spark):
+    from martspark.operators.spine import spine_full_join_chain
+    rnd = random.Random(7)
+    dim = spark.createDataFrame([(i, "ENTERPRISE" if i % 2 else "SME") for i in range(1, 6)],
+                                "restaurant_id long, classification_type_name string")
+
+    def unique_frame(name):
+        keys = {(rnd.choice(DAYS[:4]), rnd.choice([1, 2, 3, 4, 5])) for _ in range(12)}
+        rows = [(d, i, rnd.choice([None, rnd.randint(0, 9)])) for d, i in keys]
+        return spark.createDataFrame(rows, f"d date, i long, {name} long")
+
+    spine = keyed("a", unique_frame("m_a"), "d", "i")
+    branches = [keyed(p, unique_frame(f"m_{p}"), "d", "i") for p in ("b", "c", "e")]
+    cols = ["_d", "_id", "m_a", "m_b", "m_c", "m_e"]
+    assert _rows(spine_full_join_coalesced(spine, dim, branches, W), cols) == \
+        _rows(spine_full_join_chain(spine, dim, branches, W), cols)
