@@ -13,7 +13,6 @@ exchange is reused when partitioning matches).
 
 from __future__ import annotations
 
-import datetime as dt
 from collections.abc import Sequence
 from dataclasses import dataclass
 from functools import reduce
@@ -151,7 +150,3 @@ SPINE_MODES = {
     "literal": spine_full_join_literal,
     "full": spine_full_join_coalesced,
 }
-
-
-def month_start(d: dt.date) -> dt.date:
-    return d.replace(day=1)

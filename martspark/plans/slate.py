@@ -23,11 +23,11 @@ from martspark.operators import branches as B
 from martspark.operators import history as H
 from martspark.operators.dims import Enterprise, enriched_dim_as_of, restaurant_dim
 from martspark.operators.quality import duplicate_keys
-from martspark.operators.spine import DAY, RID, SPINE_MODES
+from martspark.operators.spine import DAY, RID
 from martspark.plans import marts as M
 from martspark.plans.session import checkpoint_dir, tune
 from martspark.sources.catalog import Sources
-from martspark.sources.tpch import RUN_DATE, _lines, tpch_sources
+from martspark.sources.tpch import RUN_DATE, _lines, read, tpch_sources
 
 PREV_RUN_DATE = dt.date(1998, 1, 1)
 WINDOW = month_to_date(RUN_DATE)
@@ -135,11 +135,11 @@ def fx_convert_by_year(spark, sf_dir):
 
 
 def join_fanout_check(spark, sf_dir):
-    s = _src(spark, sf_dir)
-    from martspark.sources.tpch import read
+    """Booking keys with more than one order line; joining lines to
+    bookings on this key would multiply booking measures by ``n_rows``."""
+    tune(spark)
     lines = _lines(read(spark, sf_dir, "orders"), read(spark, sf_dir, "lineitem")) \
         .select(F.concat_ws("-", "o_orderkey", "l_suppkey").alias("order_no"))
-    del s
     return duplicate_keys(lines, ["order_no"])
 
 
