@@ -19,6 +19,12 @@ PLAN_CONF = {
     "spark.sql.adaptive.coalescePartitions.enabled": "true",
     "spark.sql.adaptive.skewJoin.enabled": "true",
     "spark.sql.optimizer.runtime.bloomFilter.enabled": "true",
+    # Semi-join reduction sized for a month of bookings: the month's order
+    # keys prune the full economics history in its scan before the shuffle
+    # of the left join (the largest exchange of the KPI mart at scale).
+    "spark.sql.optimizer.runtime.bloomFilter.creationSideThreshold": "1GB",
+    "spark.sql.optimizer.runtime.bloomFilter.maxNumItems": "200000000",
+    "spark.sql.optimizer.runtime.bloomFilter.maxNumBits": "1073741824",
     "spark.sql.parquet.filterPushdown": "true",
 }
 

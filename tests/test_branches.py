@@ -153,3 +153,31 @@ def test_hot_restaurant_holds_a_third_of_rows(spark):
              "h_over_250k"]
     total = sum((r[b] or 0) for r in wide.where("Food_id = 1").collect() for b in bands)
     assert total == 300
+
+
+def test_economics_history_is_pruned_by_a_runtime_bloom_filter(spark, tmp_path):
+    """On physical tables the month's bookings build a bloom filter that
+    prunes the economics history before the left join's shuffle."""
+    from martspark.plans.session import tune
+    tune(spark)
+    n = 3000
+    bk = _bookings(spark, [_booking(f"o{i}", 1 + i % 2, "1998-01-10 00:00:00" if i < 300 else "1997-06-01 00:00:00",
+                                    Food_mode_name="FOOD-DELIVERY") for i in range(n)])
+    cm = spark.createDataFrame([(f"o{i}", dt.date(1998, 1, 10)) + tuple(Decimal("1") for _ in S.ECONOMICS_AMOUNTS)
+                                for i in range(n)], S.BOOKING_CM)
+    bk.write.parquet(str(tmp_path / "bk"))
+    cm.write.parquet(str(tmp_path / "cm"))
+    keys = ["spark.sql.optimizer.runtime.bloomFilter.applicationSideScanSizeThreshold",
+            "spark.sql.autoBroadcastJoinThreshold"]
+    prev = [spark.conf.get(k) for k in keys]
+    spark.conf.set(keys[0], "1KB")
+    spark.conf.set(keys[1], "-1")
+    try:
+        bc = B.with_economics(spark.read.parquet(str(tmp_path / "bk")), spark.read.parquet(str(tmp_path / "cm")),
+                              W, _ent(spark))
+        plan = bc._jdf.queryExecution().optimizedPlan().toString()
+        assert "might_contain" in plan
+        assert bc.where("_cm_order IS NOT NULL").count() == 300
+    finally:
+        for k, v in zip(keys, prev):
+            spark.conf.set(k, v)
