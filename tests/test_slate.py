@@ -71,3 +71,20 @@ def test_plans_stay_jvm_side_and_pushed(spark, name):
 def test_promo_mart_has_no_expand(spark):
     plan = E.queries()["promo_daily"](spark, SF_SMALL)._jdf.queryExecution().executedPlan().toString()
     assert "Expand" not in plan
+
+
+@pytest.mark.parametrize("name", ["local_date_window", "local_datetime_window_cutoff", "history_as_of",
+                                  "weighted_rating", "promo_daily"])
+def test_results_do_not_depend_on_session_zone_or_ansi(spark, duck, name):
+    keys = {"spark.sql.session.timeZone": "America/Los_Angeles", "spark.sql.ansi.enabled": "false"}
+    prev = {k: spark.conf.get(k) for k in keys}
+    for k, v in keys.items():
+        spark.conf.set(k, v)
+    try:
+        df = E.queries()[name](spark, SF_SMALL)
+        rows = [tuple(r) for r in df.collect()]
+    finally:
+        for k, v in prev.items():
+            spark.conf.set(k, v)
+    res = duck.execute(E.oracle_sql()[name])
+    assert _canon(rows, df.columns) == _canon(res.fetchall(), [d[0] for d in res.description])
