@@ -325,6 +325,58 @@ def promo_class_long(bookings: DataFrame, window: MonthWindow, ent: Enterprise,
     return _class_counts(bookings, window, ent, label, K.PROMO_SHORT_LABELS, "promo_cat", tz)
 
 
+def completed_orders_daily(bookings: DataFrame, window: MonthWindow, ent: Enterprise,
+                           tz: str = DEFAULT_TZ) -> DataFrame:
+    """J12 + J15 (pivoted) + J16 (pivoted) in one pass over the month's
+    completed enterprise bookings, per (local booking day, restaurant).
+
+    The three branches read the same rows and group by the same key. Rows
+    are first grouped by (day, restaurant, order): per-order sums, and for
+    every value band and promo class a flag "some row of this order is in
+    it" (likewise "late"). A COUNT(DISTINCT order) per class is then a count
+    of flags, exact even if an order's rows fall into several classes. Two
+    shuffles in all, the first keyed by the order, so a hot restaurant
+    spreads; a cell with no order stays NULL, as PIVOT leaves it.
+    """
+    b = ent.restrict(bookings_in_window(bookings, window, tz).where(_completed()))
+    done = _completed()
+    prep = F.expr("timestampdiff(MINUTE, restaurant_accepted_timestamp, picked_up_timestamp)")
+    late = done & ((F.col("booking_to_closed_duration_in_second") / 60)
+                   > (F.col("eta_in_minute") + K.LATE_MARGIN_MINUTES))
+    band = classify.aov_band(F.col("actual_gmv_amount"))
+    promo = classify.flags_to_class(F.col("sku_promotion_count"),
+                                    F.col("total_campaign_discount_cart_amount"),
+                                    F.col("voucher_discount_amount"))
+    classes = ([(short, band == long) for long, short in zip(K.AOV_LONG_LABELS, K.AOV_SHORT_LABELS)]
+               + [(short, promo == long) for long, short in K.PROMO_SHORT_LABELS.items()])
+    keys = [F.col("jakarta_booking_created_date").alias("_day"), F.col("restaurant_id").alias("_rid")]
+    per_order = b.groupBy(*keys, "order_no").agg(
+        F.sum(F.when(done, prep)).alias("_prep"),
+        F.sum(F.when(done, F.col("booking_to_closed_duration_in_second"))).alias("_completion"),
+        F.sum(F.when(done, F.col("eta_in_minute"))).alias("_eta"),
+        F.max(late).alias("_late"),
+        *[F.max(cond).alias(f"_in_{name}") for name, cond in classes],
+    )
+    has_order = F.col("order_no").isNotNull()
+
+    def orders_with(flag: str) -> Column:
+        return F.count_if(F.col(flag) & has_order)
+
+    out = per_order.groupBy("_day", "_rid").agg(
+        F.sum("_prep").alias("total_food_preparation_time_in_minute"),
+        F.sum("_completion").alias("total_completion_time_in_second"),
+        F.sum("_eta").alias("total_eta_in_minute"),
+        orders_with("_late").alias("total_late_delivery_order_number"),
+        *[orders_with(f"_in_{name}").alias(f"_n_{name}") for name, _ in classes],
+    )
+    return out.select(
+        F.col("_day").alias("summary_data_date"), F.col("_rid").alias("Food_id"),
+        "total_food_preparation_time_in_minute", "total_completion_time_in_second",
+        "total_eta_in_minute", "total_late_delivery_order_number",
+        *[F.when(F.col(f"_n_{name}") > 0, F.col(f"_n_{name}")).alias(name) for name, _ in classes],
+    )
+
+
 def pivot_wide(long: DataFrame, col: str, values: list[str]) -> DataFrame:
     """``PIVOT(SUM(co) FOR col IN (values))``.
 

@@ -115,9 +115,9 @@ def kpi_branches(src: Sources, window: MonthWindow, ent: Enterprise,
         keyed("g", impr, "summary_data_date", "restaurant_id",
               resum=["Food_shuffle_impression_count", "Food_search_impression_count",
                      "Food_suggestion_impression_count", "Food_total_impression_count"]),
-        keyed("h", B.aov_bands_pivot(bk, window, ent, tz), "summary_data_date", "Food_id"),
-        keyed("i", B.promo_class_pivot(bk, window, ent, tz), "summary_data_date", "Food_id"),
-        keyed("j", B.fulfilment_ops(bk, window, ent, tz), "jakarta_booking_created_date", "restaurant_id"),
+        # J12 + J15 + J16 share their rows and key: one pass (same values as
+        # fulfilment_ops, aov_bands_pivot and promo_class_pivot joined).
+        keyed("hij", B.completed_orders_daily(bk, window, ent, tz), "summary_data_date", "Food_id"),
         keyed("k", B.weighted_rating(src.rating, window, ent, tz=tz), "event_date", "restaurant_id"),
     ]
     return spine, branches

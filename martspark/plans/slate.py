@@ -26,6 +26,8 @@ from martspark.operators.quality import duplicate_keys
 from martspark.operators.spine import DAY, RID
 from martspark.plans import marts as M
 from martspark.plans.session import checkpoint_dir, tune
+from martspark.functions import calendar, money
+from martspark.sources import schemas, staging, tpch
 from martspark.sources.catalog import Sources
 from martspark.sources.tpch import RUN_DATE, _lines, read, tpch_sources
 
@@ -48,8 +50,13 @@ def as_output(df: DataFrame) -> DataFrame:
 
 
 def _src(spark: SparkSession, sf_dir: str) -> Sources:
+    """Mart inputs over the driver tables of ``sf_dir``, staged as tables
+    in the checkpoint folder on first use (see ``sources/staging.py``)."""
     tune(spark)
-    return tpch_sources(spark, sf_dir)
+    src = tpch_sources(spark, sf_dir)
+    if not staging.enabled():
+        return src
+    return staging.staged(spark, src, staging.stage_key(sf_dir, tpch, schemas, calendar, money))
 
 
 def _ent(src: Sources) -> Enterprise:

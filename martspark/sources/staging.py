@@ -1,0 +1,87 @@
+"""Stage derived mart inputs as tables in the shared checkpoint folder.
+
+The adapters derive the reference-shaped inputs from the driver tables
+(joins and aggregations of ``lineitem`` x ``orders`` and ``events``). Every
+branch of a mart would repeat that derivation. Staging writes each input
+once, sorted by its date column so parquet row-group statistics skip
+everything outside a window, and reads it back: the marts then run on
+tables as they would in production (pruned columns, pushed filters).
+
+Tables go under ``spark.checkpoint.dir`` (the shared folder of the
+cluster; a local one only when unset, as in tests). A written table also
+cuts the lineage: a lost executor recomputes from the table, not from the
+driver tables. ``MARTSPARK_NO_STAGING=1`` turns staging off.
+"""
+
+from __future__ import annotations
+
+import hashlib
+import inspect
+import os
+
+from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
+
+from martspark.plans.session import checkpoint_dir
+from martspark.sources.catalog import LazySources
+
+# Date column of each staged input (sort key for row-group pruning).
+SORT_KEYS = {
+    "bookings": "created_timestamp",
+    "booking_cm": "booking_date",
+    "promo_tx": "jakarta_booking_date",
+    "spine": "summary_data_date",
+    "ads": "jakarta_data_date",
+    "funnel": "summary_data_date",
+    "rating": "created_timestamp",
+    "impressions": "summary_data_date",
+    "dim_outlet": "effective_timestamp",
+    "dim_account": "effective_timestamp",
+}
+
+
+def enabled() -> bool:
+    return os.environ.get("MARTSPARK_NO_STAGING", "") not in ("1", "true", "yes")
+
+
+def _exists(spark: SparkSession, path: str) -> bool:
+    jvm = spark.sparkContext._jvm
+    p = jvm.org.apache.hadoop.fs.Path(path)
+    return p.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).exists(p)
+
+
+def stage_key(sf_dir: str, *modules) -> str:
+    """Folder key: the driver tables' path, sizes and times, and the adapter code."""
+    h = hashlib.sha1(os.path.realpath(sf_dir).encode())
+    if os.path.isdir(sf_dir):
+        for name in sorted(os.listdir(sf_dir)):
+            st = os.stat(os.path.join(sf_dir, name))
+            h.update(f"{name}:{st.st_size}:{int(st.st_mtime)}".encode())
+    for m in modules:
+        h.update(inspect.getsource(m).encode())
+    return h.hexdigest()[:16]
+
+
+def stage_table(spark: SparkSession, df: DataFrame, path: str, sort_key: str | None) -> DataFrame:
+    """Write ``df`` to ``path`` once (a ``_SUCCESS`` marker means done) and read it back."""
+    if not _exists(spark, f"{path}/_SUCCESS"):
+        out = df.sortWithinPartitions(sort_key) if sort_key else df
+        out.write.mode("overwrite").parquet(path)
+    return spark.read.schema(df.schema).parquet(path)
+
+
+def staged(spark: SparkSession, src: LazySources, key: str) -> LazySources:
+    """The same inputs, each read from its staged table (written on first use)."""
+    base = f"{checkpoint_dir(spark)}/martspark-inputs/{key}"
+
+    def builder(name: str):
+        return lambda: stage_table(spark, getattr(src, name), f"{base}/{name}", SORT_KEYS.get(name))
+
+    return LazySources({name: builder(name) for name in LazySources.NAMES if name != "fx"}
+                       | {"fx": lambda: src.fx})
+
+
+def touch_all(src: LazySources) -> None:
+    """Stage every input now (e.g. before timing queries)."""
+    for name in LazySources.NAMES:
+        getattr(src, name).select(F.lit(1)).limit(1).collect()

@@ -181,3 +181,25 @@ def test_economics_history_is_pruned_by_a_runtime_bloom_filter(spark, tmp_path):
     finally:
         for k, v in zip(keys, prev):
             spark.conf.set(k, v)
+
+
+def test_completed_orders_daily_equals_three_branches(spark):
+    rows = []
+    for i in range(60):
+        rows.append(_booking(f"o{i % 45}", 1 + i % 3, f"1998-01-{1 + i % 5:02d} 00:00:00",
+                             status="3" if i % 7 else "1", gmv=str(1000 * (i * 37 % 300)),
+                             sku_promotion_count=i % 2, voucher_discount_amount=Decimal(i % 3),
+                             total_campaign_discount_cart_amount=Decimal((i // 3) % 2),
+                             booking_to_closed_duration_in_second=60.0 * (i % 50)))
+    bk = _bookings(spark, rows)
+    ent = _ent(spark, ids=(1, 2))
+    one = B.completed_orders_daily(bk, W, ent)
+    sep = (B.aov_bands_pivot(bk, W, ent)
+           .join(B.promo_class_pivot(bk, W, ent), ["summary_data_date", "Food_id"], "full")
+           .join(B.fulfilment_ops(bk, W, ent).withColumnRenamed("jakarta_booking_created_date", "summary_data_date")
+                 .withColumnRenamed("restaurant_id", "Food_id"), ["summary_data_date", "Food_id"], "full"))
+    cols = sorted(one.columns)
+    assert sorted(cols) == sorted(sep.columns)
+    a = sorted(map(tuple, one.select(cols).collect()), key=str)
+    b = sorted(map(tuple, sep.select(cols).collect()), key=str)
+    assert a == b and len(a) > 5
