@@ -192,9 +192,14 @@ def order_distinct_sum(order_econ: DataFrame, fx: DataFrame) -> DataFrame:
 # J9 paid ads
 # --------------------------------------------------------------------------
 
-def paid_ads_daily(ads: DataFrame, window: MonthWindow, ent: Enterprise) -> DataFrame:
+def paid_ads_daily(ads: DataFrame, window: MonthWindow, ent: Enterprise,
+                   keys: tuple[str, ...] = ("jakarta_data_date", "restaurant_uuid", "restaurant_id")) -> DataFrame:
     """Paid campaign performance per (day, restaurant uuid, restaurant).
 
+    ``keys`` may drop the uuid: every measure is a sum of non-NULL terms,
+    so summing straight to (day, restaurant) equals re-summing the uuid
+    rows (what the spine join needs, without a second aggregate).
+
     Filters: date in window, member type not 'shadow' (NULL dropped, C7),
     campaign still live at window start (C14), channel class kept (C13),
     paid members only (C10). E7 sums with ELSE 0; E6 sums per inventory.
@@ -208,7 +213,7 @@ def paid_ads_daily(ads: DataFrame, window: MonthWindow, ent: Enterprise) -> Data
         & chan.isin(K.CHANNELS_KEPT)
         & paid)
     a = ent.by_uuid(a)
-    return a.groupBy("jakarta_data_date", "restaurant_uuid", "restaurant_id").agg(
+    return a.groupBy(*keys).agg(
         F.sum("booked_revenue_amount").alias("booked_revenue_amount"),
         F.sum("billed_revenue_amount").alias("realized_revenue_amount"),
         *[F.sum(F.when(paid, F.col(src)).otherwise(F.lit(0))).alias(name) for name, src in ADS_PAID_SUMS],

@@ -100,8 +100,9 @@ def kpi_branches(src: Sources, window: MonthWindow, ent: Enterprise,
         bk = ent.restrict(B.bookings_in_window(bk, window, tz)).persist(StorageLevel.MEMORY_AND_DISK)
     bc = B.with_economics(bk, src.booking_cm, window, ent, tz)
     econ = B.daily_economics(B.order_economics_fused(bc, src.fx), src.fx)
-    ads = B.paid_ads_daily(src.ads, window, ent)
     ads_cols = [n for n, _ in B.ADS_PAID_SUMS[2:]] + [n for _, n in K.ADS_INVENTORY_COLUMNS]
+    ads = B.paid_ads_daily(src.ads, window, ent, keys=("jakarta_data_date", "restaurant_id")) \
+        .select("jakarta_data_date", "restaurant_id", *ads_cols)
     impr = B.impressions_distinct(src.impressions, window, ent)
     funnel = B.funnel_daily(src.funnel, window, ent)
     spine = keyed("a", src.spine, "summary_data_date", "Food_id")
@@ -110,7 +111,7 @@ def kpi_branches(src: Sources, window: MonthWindow, ent: Enterprise,
         keyed("d", B.daily_order_totals(src.spine, window, ent), "summary_data_date", "Food_id",
               rename={"completed_Food_mfp_markdown_amount": "d_mfp_markdown_amount",
                       "all_Food_order_number": "d_all_order_number"}),
-        keyed("e", ads, "jakarta_data_date", "restaurant_id", resum=ads_cols),
+        keyed("e", ads, "jakarta_data_date", "restaurant_id"),
         keyed("f", funnel, "summary_data_date", "restaurant_id", resum=["profile_visit", "add_to_cart"]),
         keyed("g", impr, "summary_data_date", "restaurant_id",
               resum=["Food_shuffle_impression_count", "Food_search_impression_count",
