@@ -105,12 +105,15 @@ def kpi_branches(src: Sources, window: MonthWindow, ent: Enterprise,
         .select("jakarta_data_date", "restaurant_id", *ads_cols)
     impr = B.impressions_distinct(src.impressions, window, ent)
     funnel = B.funnel_daily(src.funnel, window, ent)
-    spine = keyed("a", src.spine, "summary_data_date", "Food_id")
+    # The spine enters like every branch: one row per (day, restaurant).
+    # The reference's ``all_order`` branch (J10) is this same spine summed
+    # per key and restricted like it, so its measure is the spine's own
+    # column; no second read of the spine, no extra join.
+    spine_measures = [c for c in src.spine.columns if c not in ("summary_data_date", "Food_id")]
+    spine = keyed("a", src.spine, "summary_data_date", "Food_id", resum=spine_measures)
+    spine = Branch("a", spine.df.withColumn("d_mfp_markdown_amount", F.col("completed_Food_mfp_markdown_amount")))
     branches = [
         keyed("b", econ, "booking_date", "restaurant_id"),
-        keyed("d", B.daily_order_totals(src.spine, window, ent), "summary_data_date", "Food_id",
-              rename={"completed_Food_mfp_markdown_amount": "d_mfp_markdown_amount",
-                      "all_Food_order_number": "d_all_order_number"}),
         keyed("e", ads, "jakarta_data_date", "restaurant_id"),
         keyed("f", funnel, "summary_data_date", "restaurant_id", resum=["profile_visit", "add_to_cart"]),
         keyed("g", impr, "summary_data_date", "restaurant_id",
