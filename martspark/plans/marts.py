@@ -88,9 +88,11 @@ KPI_COLUMNS = (KPI_KEYS + [m for m, _, _ in KPI_MEASURES]
 
 def kpi_branches(src: Sources, window: MonthWindow, ent: Enterprise,
                  tz: str = DEFAULT_TZ, cache_facts: bool = False) -> tuple[Branch, list[Branch]]:
-    """The spine and the nine daily branches, each keyed by (day, restaurant).
+    """The spine and the daily branches, each keyed by (day, restaurant).
 
-    By default every branch reads the bookings with its own pruned columns
+    The reference's nine branches map to six inputs here: order totals (J10)
+    are the spine's own columns, and fulfilment, value bands and promo
+    classes (J12, J15, J16) are one pass. By default every branch reads the bookings with its own pruned columns
     and pushed window range. ``cache_facts`` keeps the month's enterprise
     bookings slice instead (spillable persist), for sources that are costly
     to re-derive; measured slower on parquet inputs, so it is off.
