@@ -90,3 +90,14 @@ def test_results_do_not_depend_on_session_zone_or_ansi(spark, duck, name):
             spark.conf.set(k, v)
     res = duck.execute(E.oracle_sql()[name])
     assert _canon(rows, df.columns) == _canon(res.fetchall(), [d[0] for d in res.description])
+
+
+def test_pre_grouped_promo_mart_equals_the_one_aggregate_form(spark):
+    from martspark.plans import marts as M
+    from martspark.plans.slate import DRIVER_TIERS, _src
+    from martspark.sources.tpch import RUN_DATE
+    s = _src(spark, SF_SMALL)
+    a = M.promo_daily(s, RUN_DATE, tiers=DRIVER_TIERS)
+    b = M.promo_daily_direct(s, RUN_DATE, tiers=DRIVER_TIERS)
+    assert a.columns == b.columns
+    assert a.exceptAll(b).count() == 0 and b.exceptAll(a).count() == 0 and a.count() > 0
