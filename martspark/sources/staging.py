@@ -71,8 +71,16 @@ def stage_table(spark: SparkSession, df: DataFrame, path: str, sort_key: str | N
 
 
 def staged(spark: SparkSession, src: LazySources, key: str) -> LazySources:
-    """The same inputs, each read from its staged table (written on first use)."""
+    """The same inputs, each read from its staged table (written on first use).
+
+    Without access to the Hadoop file system (a Connect session) the
+    inputs are returned unstaged.
+    """
     base = f"{checkpoint_dir(spark)}/martspark-inputs/{key}"
+    try:
+        _exists(spark, base)
+    except Exception:
+        return src
 
     def builder(name: str):
         return lambda: stage_table(spark, getattr(src, name), f"{base}/{name}", SORT_KEYS.get(name))
