@@ -102,7 +102,7 @@ booking_cm AS (
          CAST(sum(price * (disc + tax)) AS {AMOUNT}) AS gross_rpl_amount,
          CAST(sum(price) AS {AMOUNT}) AS gmv_amount
   FROM lines
-  WHERE o_orderkey % 10 <> 3
+  WHERE o_orderstatus <> 'P'
   GROUP BY o_orderkey, l_suppkey, o_orderdate
 ),
 promo_tx AS (
@@ -212,7 +212,7 @@ profile AS (
 universe AS (
   SELECT s_suppkey AS Food_id, concat('SC-', s_nationkey) AS sales_code,
          concat('Sales team ', s_nationkey % 5) AS sales_name
-  FROM supplier WHERE s_suppkey % 10 <> 9
+  FROM supplier WHERE s_acctbal >= 0
 ),
 geo AS (
   SELECT CAST(n.n_nationkey * 10 + c.cell AS BIGINT) AS location_s2id_14,
@@ -253,13 +253,13 @@ dim_account AS (
          concat('BG parent ', o_orderkey), 'Billing Group', 'FOOD', NULL,
          effective_timestamp, expired_timestamp,
          CASE o_orderkey % 7 WHEN 5 THEN TRUE WHEN 6 THEN NULL ELSE FALSE END
-  FROM versions WHERE o_custkey < 30
+  FROM versions
   UNION ALL
   SELECT concat('ENT-', o_custkey), NULL, concat('Entity ', o_custkey, ' rev ', o_orderkey), NULL,
          NULL, 'Entity', 'GO-FOOD', NULL,
          effective_timestamp, expired_timestamp,
          CASE o_orderkey % 7 WHEN 5 THEN TRUE WHEN 6 THEN NULL ELSE FALSE END
-  FROM versions WHERE o_custkey < 50
+  FROM versions
 ),
 fx AS ({fx})"""
 
