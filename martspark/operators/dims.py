@@ -13,7 +13,7 @@ from martspark.functions import constants as K
 from martspark.functions.calendar import DEFAULT_TZ
 from martspark.operators.history import BridgeRules, outlet_bridge
 from martspark.operators.quality import assert_unique
-from martspark.plans.joins import DEFAULT_BROADCAST_ROWS
+from martspark.plans.joins import DEFAULT_BROADCAST_ROWS, WIDE_BROADCAST_ROWS
 
 DIM_COLUMNS = [
     "sales_code", "sales_name", "saudagar_id", "restaurant_id", "restaurant_uuid",
@@ -117,7 +117,7 @@ class Enterprise:
         if small:
             ids, uuids = F.broadcast(ids), F.broadcast(uuids)
         # full rows are ~10x wider than the key tables: a tighter bound
-        wide_small = stats["n"] <= max_broadcast_rows // 10
+        wide_small = stats["n"] <= max_broadcast_rows * WIDE_BROADCAST_ROWS // DEFAULT_BROADCAST_ROWS
         return cls(dim=F.broadcast(ent) if wide_small else ent, ids=ids, uuids=uuids, cached=ent)
 
     def release(self) -> None:

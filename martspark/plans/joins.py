@@ -11,6 +11,8 @@ from pyspark.sql import functions as F
 # restaurant key tables are a few tens of bytes per row, so this bound keeps
 # a broadcast under ~100 MB per executor.
 DEFAULT_BROADCAST_ROWS = 2_000_000
+# Rows of a wide dimension (a dozen string attributes) are ~10x larger.
+WIDE_BROADCAST_ROWS = DEFAULT_BROADCAST_ROWS // 10
 
 
 def row_count_at_most(df: DataFrame, max_rows: int) -> bool:

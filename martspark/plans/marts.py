@@ -22,7 +22,7 @@ from martspark.operators.dims import Enterprise, enriched_dim_as_of, restaurant_
 from martspark.operators.history import BridgeRules
 from martspark.operators.quality import assert_unique
 from martspark.operators.spine import DAY, RID, SPINE_MODES, Branch, keyed
-from martspark.plans.joins import lookup_side, null_safe_join
+from martspark.plans.joins import WIDE_BROADCAST_ROWS, lookup_side, null_safe_join
 from martspark.sources.catalog import Sources
 from martspark.sources.schemas import RPL_AMOUNT_COLUMNS
 
@@ -199,7 +199,7 @@ def promo_rows(src: Sources, run_date: dt.date, rules: BridgeRules = BridgeRules
         assert_unique(resto, ["restaurant_id"], "enriched restaurant dimension")
     resto = lookup_side(resto.select(
         F.col("restaurant_id").alias("_r_id"),
-        *[c for c in PROMO_KEYS if c not in ("booking_date", "restaurant_id")]))
+        *[c for c in PROMO_KEYS if c not in ("booking_date", "restaurant_id")]), WIDE_BROADCAST_ROWS)
     a = B.bookings_in_window(src.bookings, window, tz).where(F.col("food_pas_flag").eqNullSafe(True))
     c = src.promo_tx.where(window.contains(F.col("jakarta_booking_date"))).select(
         F.col("order_no").alias("_c_order"),
