@@ -7,9 +7,9 @@ from collections.abc import Sequence
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-# Largest lookup side broadcast without a measured check: the narrow
-# restaurant key tables are a few tens of bytes per row, so this bound keeps
-# a broadcast under ~100 MB per executor.
+# Row bound under which a lookup side is broadcast (checked by a bounded
+# count first): the narrow restaurant key tables are a few tens of bytes per
+# row, so this keeps a broadcast under ~100 MB per executor.
 DEFAULT_BROADCAST_ROWS = 2_000_000
 # Rows of a wide dimension (a dozen string attributes) are ~10x larger.
 WIDE_BROADCAST_ROWS = DEFAULT_BROADCAST_ROWS // 10
