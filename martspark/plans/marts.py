@@ -19,10 +19,11 @@ from martspark.functions import constants as K
 from martspark.functions.calendar import DEFAULT_TZ, MonthWindow, local_date, month_of, month_to_date
 from martspark.operators import branches as B
 from martspark.operators.dims import Enterprise, enriched_dim_as_of, restaurant_dim
+from martspark.operators.distinct import distinct_rollup
 from martspark.operators.history import BridgeRules
 from martspark.operators.quality import assert_unique
 from martspark.operators.spine import DAY, RID, SPINE_MODES, Branch, keyed
-from martspark.plans.joins import WIDE_BROADCAST_ROWS, lookup_side, null_safe_join
+from martspark.plans.joins import WIDE_BROADCAST_ROWS, lookup_side
 from martspark.sources.catalog import Sources
 from martspark.sources.schemas import RPL_AMOUNT_COLUMNS
 
@@ -227,23 +228,14 @@ def promo_daily(src: Sources, run_date: dt.date, tiers: classify.CityTiers = cla
     rows = promo_rows(src, run_date, rules, tz, check_unique)
     done = F.col("status_id") == K.COMPLETED_STATUS
     md = done & (F.coalesce(F.col("markdown_mfp_burnt"), F.lit(0)) > 0)
-    per_order = rows.groupBy(*PROMO_KEYS, "order_no").agg(
-        F.max(done).alias("_done"),
-        F.max(md).alias("_md"),
-        *[F.sum(F.when(done, F.col(s))).alias(n) for n, s in PROMO_SUMS],
-        *[F.sum(F.coalesce(F.when(done, F.col(c)), F.lit(0))).alias(c) for c in RPL_AMOUNT_COLUMNS],
-        F.sum(F.when(md, F.col("normalized_gmv_amount"))).alias("gmv_from_mfp_markdown"),
-    )
-    counts = per_order.groupBy(*PROMO_KEYS).agg(
-        F.count_if(F.col("_done") & F.col("order_no").isNotNull()).alias("trx"),
-        F.count("order_no").alias("total_order"),
-        *[F.sum(n).alias(n) for n, _ in PROMO_SUMS],
-        *[F.sum(c).alias(c) for c in RPL_AMOUNT_COLUMNS],
-        F.count_if(F.col("_md") & F.col("order_no").isNotNull()).alias("co_from_mfp_markdown"),
-        F.sum("gmv_from_mfp_markdown").alias("gmv_from_mfp_markdown"),
+    out = distinct_rollup(
+        rows, PROMO_KEYS, "order_no",
+        unit_counts={"trx": done, "total_order": None, "co_from_mfp_markdown": md},
+        sums={**{n: F.when(done, F.col(c)) for n, c in PROMO_SUMS},
+              **{c: F.coalesce(F.when(done, F.col(c)), F.lit(0)) for c in RPL_AMOUNT_COLUMNS},
+              "gmv_from_mfp_markdown": F.when(md, F.col("normalized_gmv_amount"))},
+        other_distinct={"mau": F.when(done, F.col("customer_id"))},
     )
-    mau = rows.groupBy(*PROMO_KEYS).agg(F.count_distinct(F.when(done, F.col("customer_id"))).alias("mau"))
-    out = null_safe_join(counts, mau, PROMO_KEYS, "inner")
     return out.select(*PROMO_KEYS, *tiers.columns(F.col("service_area_name")), *PROMO_MEASURES)
 
 

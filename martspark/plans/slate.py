@@ -22,6 +22,7 @@ from martspark.functions.money import with_rate
 from martspark.operators import branches as B
 from martspark.operators import history as H
 from martspark.operators.dims import Enterprise, enriched_dim_as_of, restaurant_dim
+from martspark.operators.distinct import distinct_rollup
 from martspark.operators.quality import duplicate_keys
 from martspark.operators.spine import DAY, RID
 from martspark.plans import marts as M
@@ -242,22 +243,17 @@ def multi_distinct_rollup(spark, sf_dir):
         F.col("order_no").alias("_c_order"), "campaign_discount_burnt_amount", "item_promotion_burnt_amount")
     rows = b.join(c, F.col("order_no") == F.col("_c_order"), "left") \
         .withColumn("booking_date", local_date(F.col("created_timestamp")))
-    keys = ["booking_date", "restaurant_id"]
     done = F.col("status_id") == "3"
     md = done & (F.coalesce(F.col("campaign_discount_burnt_amount"), F.lit(0)) > 0)
-    per_order = rows.groupBy(*keys, "order_no").agg(
-        F.max(done).alias("_done"), F.max(md).alias("_md"),
-        F.sum(F.when(done, F.col("actual_gmv_amount"))).alias("food_gmv"),
-        F.sum(F.when(done, F.col("item_promotion_burnt_amount"))).alias("sku_promo_burnt"))
-    counts = per_order.groupBy(*keys).agg(
-        F.count_if(F.col("_done") & F.col("order_no").isNotNull()).alias("trx"),
-        F.count("order_no").alias("total_order"),
-        F.count_if(F.col("_md") & F.col("order_no").isNotNull()).alias("co_from_mfp_markdown"),
-        F.sum("food_gmv").alias("food_gmv"), F.sum("sku_promo_burnt").alias("sku_promo_burnt"))
-    mau = rows.groupBy(*keys).agg(F.count_distinct(F.when(done, F.col("customer_id"))).alias("mau"))
-    out = counts.join(mau, keys, "inner")
-    return as_output(out.select(*keys, "mau", "trx", "total_order", "co_from_mfp_markdown",
-                                "food_gmv", "sku_promo_burnt"))
+    out = distinct_rollup(
+        rows, ["booking_date", "restaurant_id"], "order_no",
+        unit_counts={"trx": done, "total_order": None, "co_from_mfp_markdown": md},
+        sums={"food_gmv": F.when(done, F.col("actual_gmv_amount")),
+              "sku_promo_burnt": F.when(done, F.col("item_promotion_burnt_amount"))},
+        other_distinct={"mau": F.when(done, F.col("customer_id"))},
+    )
+    return as_output(out.select("booking_date", "restaurant_id", "mau", "trx", "total_order",
+                                "co_from_mfp_markdown", "food_gmv", "sku_promo_burnt"))
 
 
 SPINE_PROBE = [

@@ -85,3 +85,30 @@ def test_lookups_beyond_the_bound_use_shuffle_joins(spark):
         assert "BroadcastHashJoin" not in plan
     finally:
         spark.conf.set("spark.sql.autoBroadcastJoinThreshold", prev)
+
+
+def test_distinct_rollup_equals_count_distinct(spark):
+    import random
+
+    from pyspark.sql import functions as F
+
+    from martspark.operators.distinct import distinct_rollup
+    rnd = random.Random(3)
+    rows = [(rnd.choice(["a", "b", None]), rnd.choice(["o1", "o2", "o3", None]), rnd.choice(["c1", "c2", None]),
+             rnd.choice(["3", "1", None]), rnd.choice([None, 1.0, 2.5, 4.0])) for _ in range(200)]
+    df = spark.createDataFrame(rows, "k string, order_no string, customer string, status string, amt double")
+    done = F.col("status") == "3"
+    big = F.col("amt") > 2
+    got = distinct_rollup(df, ["k"], "order_no",
+                          unit_counts={"trx": done, "total": None, "big": done & big},
+                          sums={"s": F.when(done, F.col("amt"))},
+                          other_distinct={"mau": F.when(done, F.col("customer"))})
+    want = df.groupBy("k").agg(
+        F.count_distinct(F.when(done, F.col("order_no"))).alias("trx"),
+        F.count_distinct("order_no").alias("total"),
+        F.count_distinct(F.when(done & big, F.col("order_no"))).alias("big"),
+        F.sum(F.when(done, F.col("amt"))).alias("s"),
+        F.count_distinct(F.when(done, F.col("customer"))).alias("mau"))
+    key = lambda r: str(r)
+    assert sorted(map(tuple, got.collect()), key=key) == sorted(map(tuple, want.select(got.columns).collect()), key=key)
+    assert "Expand" not in got._jdf.queryExecution().executedPlan().toString()
