@@ -88,7 +88,8 @@ KPI_COLUMNS = (KPI_KEYS + [m for m, _, _ in KPI_MEASURES]
 
 
 def kpi_branches(src: Sources, window: MonthWindow, ent: Enterprise,
-                 tz: str = DEFAULT_TZ, cache_facts: bool = False) -> tuple[Branch, list[Branch]]:
+                 tz: str = DEFAULT_TZ, cache_facts: bool = False,
+                 literal_rating_cutoff: bool = False) -> tuple[Branch, list[Branch]]:
     """The spine and the daily branches, each keyed by (day, restaurant).
 
     The reference's nine branches map to six inputs here: order totals (J10)
@@ -125,18 +126,25 @@ def kpi_branches(src: Sources, window: MonthWindow, ent: Enterprise,
         # J12 + J15 + J16 share their rows and key: one pass (same values as
         # fulfilment_ops, aov_bands_pivot and promo_class_pivot joined).
         keyed("hij", B.completed_orders_daily(bk, window, ent, tz), "summary_data_date", "Food_id"),
-        keyed("k", B.weighted_rating(src.rating, window, ent, tz=tz), "event_date", "restaurant_id"),
+        keyed("k", B.weighted_rating(src.rating, window, ent, literal_rating_cutoff, tz),
+              "event_date", "restaurant_id"),
     ]
     return spine, branches
 
 
 def kpi_daily(src: Sources, run_date: dt.date, mode: str = "left", tz: str = DEFAULT_TZ,
-              check_unique: bool = True, cache_facts: bool = False) -> DataFrame:
-    """Daily wide rows: spine joined with all branches and the dimension."""
+              check_unique: bool = True, cache_facts: bool = False,
+              literal_rating_cutoff: bool = False) -> DataFrame:
+    """Daily wide rows: spine joined with all branches and the dimension.
+
+    ``mode``: "left" (default, D10), "literal" (the FULL JOIN text, same
+    rows) or "full" (repaired full mode). ``literal_rating_cutoff`` keeps the
+    reference's ``DATETIME BETWEEN date AND date`` rating window (C3).
+    """
     window = month_to_date(run_date)
     dim = restaurant_dim(src.profile, src.universe)
     ent = Enterprise.of(dim, check_unique=check_unique)
-    spine, branches = kpi_branches(src, window, ent, tz, cache_facts)
+    spine, branches = kpi_branches(src, window, ent, tz, cache_facts, literal_rating_cutoff)
     return SPINE_MODES[mode](spine, ent.dim, branches, window)
 
 
@@ -162,9 +170,10 @@ def kpi_rollup(daily: DataFrame) -> DataFrame:
 
 
 def kpi_monthly(src: Sources, run_date: dt.date, mode: str = "left", tz: str = DEFAULT_TZ,
-                check_unique: bool = True, cache_facts: bool = False) -> DataFrame:
+                check_unique: bool = True, cache_facts: bool = False,
+                literal_rating_cutoff: bool = False) -> DataFrame:
     """The monthly enterprise KPI mart (83 columns, positional order)."""
-    return kpi_rollup(kpi_daily(src, run_date, mode, tz, check_unique, cache_facts))
+    return kpi_rollup(kpi_daily(src, run_date, mode, tz, check_unique, cache_facts, literal_rating_cutoff))
 
 
 # --------------------------------------------------------------------------

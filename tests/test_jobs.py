@@ -48,3 +48,13 @@ def test_append_job_duplicates_on_rerun(spark, tmp_path):
         jobs.run_kpi_job(spark, src, RUN_DATE, target, append=True)
     n = M.kpi_monthly(src, RUN_DATE).count()
     assert read_mart(spark, target, M.KPI_COLUMNS).count() == 2 * n
+
+
+def test_literal_rating_cutoff_only_drops_ratings(spark):
+    src = tpch_sources(spark, SF_SMALL)
+    rep = {r.Food_id: r for r in M.kpi_monthly(src, RUN_DATE).collect()}
+    lit = {r.Food_id: r for r in M.kpi_monthly(src, RUN_DATE, literal_rating_cutoff=True).collect()}
+    assert rep.keys() == lit.keys()
+    for k in rep:
+        assert lit[k].total_rating_number <= rep[k].total_rating_number
+        assert lit[k].gmv == rep[k].gmv and lit[k].cm == rep[k].cm
