@@ -24,8 +24,8 @@ def duck():
 def _canon(rows, cols):
     order = sorted(range(len(cols)), key=lambda i: cols[i])
 
-    def norm(v):
-        return round(v, 6) if isinstance(v, float) and math.isfinite(v) else v
+    def norm(v):  # exact: money leaves as DOUBLE of an exact decimal in both engines
+        return str(v) if isinstance(v, float) and not math.isfinite(v) else v
     return sorted((tuple(norm(r[i]) for i in order) for r in rows), key=lambda t: tuple(map(str, t)))
 
 
