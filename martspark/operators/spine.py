@@ -69,10 +69,13 @@ def spine_left_join(spine: Branch, dim: DataFrame, branches: Sequence[Branch],
     s = spine.df.where(window.contains(F.col(DAY)))
     d = dim.where(F.col("classification_type_name") == classification)
     d = d.select(*[F.col(c).alias(f"dim__{c}") for c in d.columns])
-    j = s.join(d, F.col(RID) == F.col("dim__restaurant_id"), "inner")
+    # Branch joins first, all on (day, restaurant), so the spine keeps one
+    # partitioning through the chain; the wide dimension comes last (a
+    # broadcast when small, else one shuffle on the restaurant id).
+    j = s
     for b in branches:
         j = j.join(b.df, [DAY, RID], "left")
-    return j
+    return j.join(d, F.col(RID) == F.col("dim__restaurant_id"), "inner")
 
 
 def spine_full_join_literal(spine: Branch, dim: DataFrame, branches: Sequence[Branch],

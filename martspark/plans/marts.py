@@ -114,7 +114,10 @@ def kpi_branches(src: Sources, window: MonthWindow, ent: Enterprise,
     # per key and restricted like it, so its measure is the spine's own
     # column; no second read of the spine, no extra join.
     spine_measures = [c for c in src.spine.columns if c not in ("summary_data_date", "Food_id")]
-    spine = keyed("a", src.spine, "summary_data_date", "Food_id", resum=spine_measures)
+    # Enterprise rows only, through the narrow checked key table, before the
+    # spine meets any branch.
+    spine = keyed("a", ent.restrict(src.spine, "Food_id"), "summary_data_date", "Food_id",
+                  resum=spine_measures)
     spine = Branch("a", spine.df.withColumn("d_mfp_markdown_amount", F.col("completed_Food_mfp_markdown_amount")))
     branches = [
         keyed("b", econ, "booking_date", "restaurant_id"),
