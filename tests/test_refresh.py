@@ -59,3 +59,18 @@ def test_append_doubles_on_rerun(spark, tmp_path):
 
 def test_checkpoint_dir_is_read_from_the_session(spark):
     assert checkpoint_dir(spark) == checkpoint_dir(spark)
+
+
+def test_staging_writes_once_and_reads_back(spark, tmp_path):
+    import os
+
+    from martspark.sources.staging import stage_key, stage_table
+    df = spark.range(50).select((F.col("id") % 7).alias("d"), F.col("id"))
+    path = str(tmp_path / "t")
+    first = stage_table(spark, df, path, "d")
+    stamp = os.path.getmtime(os.path.join(path, "_SUCCESS"))
+    second = stage_table(spark, df, path, "d")
+    assert os.path.getmtime(os.path.join(path, "_SUCCESS")) == stamp
+    assert sorted(map(tuple, first.collect())) == sorted(map(tuple, second.collect())) == \
+        sorted(map(tuple, df.collect()))
+    assert stage_key(str(tmp_path)) != stage_key(str(tmp_path / "other"))
