@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from martspark.llm import topk, url_filter, warc
+from martspark.llm import decontaminate, html_text, license_scan, ngram_join, packing, sharding, topk, toxicity, url_filter, warc
 from martspark.llm.common import table
 
 URL_RULES = [
@@ -20,17 +20,75 @@ URL_RULES = [
 BLOCKED_HOSTS = r"(^|[.-])(adult|ads|bets|casino|pills|spam)([.-]|$)"
 
 
+#: A file of the public tokenizers that the workers have installed.
+TOKENIZER = "word_bpe_49k.json"
+
+
+def tokenizer_path() -> str:
+    import public_tokenizers
+
+    return str(public_tokenizers.path(TOKENIZER))
+
+
+def op1_license_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Places of license phrases, and labels of phrases and of notices found despite edits."""
+    found = license_scan.scan(table(spark, sf_dir, "documents"))
+    joined = lambda labels: F.array_join(F.sort_array(F.array_distinct(labels)), ",")
+    return found.select(
+        "doc_id", "n_words", F.size("phrases").cast("long").alias("n_base"),
+        F.array_min("phrases.start_word").alias("first_word"), F.array_max("phrases.start_word").alias("last_word"),
+        joined(F.col("phrases.label")).alias("base_labels"),
+        joined(F.concat("phrases.label", "notices.label")).alias("labels"),
+        F.coalesce(F.array_max(F.concat("phrases.similarity", "notices.similarity")), F.lit(0.0)).alias("score"),
+        F.size("notices").cast("long").alias("n_notices"),
+    )
+
+
+#: Most bytes of text in a shard.
+SHARD_BYTES = 1 << 20
+
+
+def op2_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every document's shard by extendible hashing."""
+    return sharding.assign(table(spark, sf_dir, "documents"), SHARD_BYTES)
+
+
+def op3_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """All documents packed into sequences of 2048 tokens along the Hilbert curve."""
+    return packing.pieces(table(spark, sf_dir, "documents"), tokenizer_path())
+
+
+def op4_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every document's expected severity by the ordinal model fitted on labelled documents."""
+    return toxicity.grade_documents(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
+
+
 def op5_url_filter(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Every page's url judged by the rules, then by its host's trust and distrust."""
     return url_filter.judge(table(spark, sf_dir, "pages"), URL_RULES, blocked=BLOCKED_HOSTS)
 
 
+def op6_ngram_join(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every document's near-duplicate component by five-word shingles and a similarity of 0.75."""
+    return ngram_join.link(table(spark, sf_dir, "documents"))
+
+
 def op7_exact_top_k(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The 10 best answers to every vector whose id is divisible by 100."""
     return topk.top_k(table(spark, sf_dir, "embeddings"), F.col("vec_id") % 100 == 0, k=10, scale=1024).select(
         "query_id", F.col("rank").cast("int").alias("rank"), "vec_id", "score")
 
 
+def op8_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every document's words inside 10-word windows of the benchmark."""
+    return decontaminate.digest(decontaminate.find(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"), window=10))
+
+
+def op9_html_extraction(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The visible text of every page."""
+    return html_text.extract(table(spark, sf_dir, "pages"))
+
+
 def op10_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Every page written to WARC archives and read back."""
     return warc.archive_pages(table(spark, sf_dir, "pages"), least_bytes=100).select(
@@ -38,8 +96,15 @@ def op10_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
+    "op1_license_scan": op1_license_scan,
+    "op2_sharding": op2_sharding,
+    "op3_packing": op3_packing,
+    "op4_toxicity": op4_toxicity,
     "op5_url_filter": op5_url_filter,
+    "op6_ngram_join": op6_ngram_join,
     "op7_exact_top_k": op7_exact_top_k,
+    "op8_decontamination": op8_decontamination,
+    "op9_html_extraction": op9_html_extraction,
     "op10_warc": op10_warc,
 }
 
