@@ -50,6 +50,12 @@ def small(df: DataFrame, limit: int = BROADCAST_ROWS) -> DataFrame:
     return F.broadcast(df) if df.count() <= limit else df
 
 
+def without(docs: DataFrame, gone: DataFrame) -> DataFrame:
+    """The documents that `gone` (doc_id, text_hash = xxhash64 of the text) doesn't name; all columns stay."""
+    named = gone.select(F.col("doc_id").alias("__gone_id"), F.col("text_hash").alias("__gone_hash"))
+    return docs.join(named, docs["doc_id"].eqNullSafe(F.col("__gone_id")) & (F.xxhash64(docs["text"]) == F.col("__gone_hash")), "left_anti")
+
+
 def ascii_lower(text: Column) -> Column:
     """A-Z lower-cased, every other character as it is."""
     return F.translate(text, "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz")

@@ -123,7 +123,7 @@ def whole_windows(docs: DataFrame, items: DataFrame, candidates: DataFrame, wind
 
 
 def find(docs: DataFrame, items: DataFrame, window: int = 10, slop: int = 5) -> DataFrame:
-    """One row per document: doc_id, n_words, n_hit, n_items, item_ids (sorted as strings), n_near. Input: doc_id, text; item_id, text.
+    """One row per document: doc_id, n_words, n_hit, item_ids (sorted as strings), n_near, text_hash. Input: doc_id, text; item_id, text.
 
     n_near counts the items of which some window's two rarest terms stand within `slop` words of their distance.
     """
@@ -143,7 +143,7 @@ def find(docs: DataFrame, items: DataFrame, window: int = 10, slop: int = 5) ->
     rows = docs.select("doc_id", F.xxhash64("text").alias("text_hash"), word_count(F.col("text")).alias("n_words"))
     return rows.join(found, F.col("doc_id").eqNullSafe(F.col("d")) & (F.col("text_hash") == F.col("h")), "left").select(
         "doc_id", "n_words", F.coalesce("n_hit", F.lit(0)).cast("long").alias("n_hit"),
-        F.coalesce("item_ids", F.array().cast("array<string>")).alias("item_ids"), F.coalesce("n_near", F.lit(0)).cast("long").alias("n_near"))
+        F.coalesce("item_ids", F.array().cast("array<string>")).alias("item_ids"), F.coalesce("n_near", F.lit(0)).cast("long").alias("n_near"), "text_hash")
 
 
 def digest(found: DataFrame) -> DataFrame:
@@ -151,3 +151,8 @@ def digest(found: DataFrame) -> DataFrame:
     return found.select(
         "doc_id", "n_words", "n_hit", F.size("item_ids").cast("long").alias("n_items"),
         F.sha2(F.array_join("item_ids", ","), 256).alias("items_sha256"), (F.col("n_hit") > 0).alias("contaminated"), "n_near")
+
+
+def clean(docs: DataFrame, items: DataFrame, window: int = 10) -> DataFrame:
+    """The documents that hold no window of the benchmark."""
+    return without(docs, find(docs, items, window).where("n_hit > 0").select("doc_id", "text_hash").distinct())

@@ -40,7 +40,7 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from martspark.llm.common import as_bytes, per_batch, slices, space_words, stored
+from martspark.llm.common import as_bytes, per_batch, slices, space_words, stored, without
 from martspark.llm.components import connected_components
 
 SHINGLE = 5
@@ -177,7 +177,7 @@ def _hashes(features: np.ndarray, ends: np.ndarray) -> np.ndarray:
 
 def describe(docs: DataFrame) -> DataFrame:
     """One row per document (doc_id, n, h1, h2, sketch), and rows (feature, df) of features common in a task."""
-    schema = pa.schema([("doc_id", pa.int64()), ("n", pa.int64()), ("h1", pa.int64()), ("h2", pa.int64()), ("sketch", pa.binary()), ("feature", pa.int64()), ("df", pa.int64())])
+    schema = pa.schema([("doc_id", pa.int64()), ("n", pa.int64()), ("h1", pa.int64()), ("h2", pa.int64()), ("sketch", pa.binary()), ("feature", pa.int64()), ("df", pa.int64()), ("text_hash", pa.int64())])
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         seen = _WordHashes()
@@ -196,7 +196,7 @@ def describe(docs: DataFrame) -> DataFrame:
             sketches = [odd_sketch(features[a:b]) if b - a >= 3 else None for a, b in zip(cuts, cuts[1:])]
             h = _hashes(features, ends)
             none = pa.nulls(len(n), pa.int64())
-            yield pa.RecordBatch.from_arrays([batch.column(0).cast(pa.int64()), pa.array(n, pa.int64()), pa.array(h[:, 0]), pa.array(h[:, 1]), pa.array(sketches, pa.binary()), none, none], schema=schema)
+            yield pa.RecordBatch.from_arrays([batch.column(0).cast(pa.int64()), pa.array(n, pa.int64()), pa.array(h[:, 0]), pa.array(h[:, 1]), pa.array(sketches, pa.binary()), none, none, batch.column(2)], schema=schema)
             held.append((features, np.ones(len(features), np.int64)))
             if sum(len(v) for v, _ in held) > 1_500_000:
                 merge()
@@ -205,9 +205,9 @@ def describe(docs: DataFrame) -> DataFrame:
             value, total = held[0]
             often = total >= COMMON_IN_TASK
             none = pa.nulls(int(often.sum()), pa.int64())
-            yield pa.RecordBatch.from_arrays([none, none, none, none, pa.nulls(len(none), pa.binary()), pa.array(value[often].view(np.int64)), pa.array(total[often])], schema=schema)
+            yield pa.RecordBatch.from_arrays([none, none, none, none, pa.nulls(len(none), pa.binary()), pa.array(value[often].view(np.int64)), pa.array(total[often]), none], schema=schema)
 
-    return docs.select("doc_id", "text").mapInArrow(run, "doc_id long, n long, h1 long, h2 long, sketch binary, feature long, df long")
+    return docs.select("doc_id", "text", F.xxhash64("text")).mapInArrow(run, "doc_id long, n long, h1 long, h2 long, sketch binary, feature long, df long, text_hash long")
 
 
 def write_signatures(docs: DataFrame, common: list[int]) -> DataFrame:
@@ -377,7 +377,7 @@ def verified(docs: DataFrame, classes: DataFrame, pairs: DataFrame) -> DataFrame
 
 
 def link(docs: DataFrame) -> DataFrame:
-    """doc_id, n_shingles, component_id for every row. Input: doc_id, text."""
+    """doc_id, n_shingles, component_id, text_hash for every row. Input: doc_id, text."""
     docs = docs.select("doc_id", "text")
     rows = stored(describe(docs), "sets-described")
     common = [r.feature for r in rows.where("feature is not null").groupBy("feature").agg(F.sum("df").alias("df"))
@@ -417,4 +417,16 @@ def link(docs: DataFrame) -> DataFrame:
         .join(merged, "node", "left").select("h1", "h2", F.coalesce("component", "node").alias("component"))
     return base.join(final, ["h1", "h2"], "left").select(
         "doc_id", F.col("n").alias("n_shingles"),
-        F.when(F.col("doc_id").isNotNull(), F.coalesce(F.when(F.col("n") > 0, F.col("component")), "doc_id")).alias("component_id"))
+        F.when(F.col("doc_id").isNotNull(), F.coalesce(F.when(F.col("n") > 0, F.col("component")), "doc_id")).alias("component_id"), "text_hash")
+
+
+def one_of_each(docs: DataFrame) -> DataFrame:
+    """The documents without all but one of each component, and without repeated rows of one id and text.
+
+    Rows with a null id, and documents without words, stay.
+    """
+    gone = link(docs).where("doc_id <> component_id").select("doc_id", "text_hash").distinct()
+    again = [F.col("doc_id"), F.xxhash64("text"), F.when(F.col("doc_id").isNull(), F.monotonically_increasing_id())]
+    names = [f"__same_{i}" for i in range(len(again))]
+    rows = without(docs, gone).select("*", *[c.alias(n) for c, n in zip(again, names)])
+    return rows.dropDuplicates(names).drop(*names)

@@ -111,6 +111,13 @@ def token_bytes(text: str, words: _WordIds) -> bytes:
     return b"".join(map(words.__getitem__, text.split()))
 
 
+def tokenizer_path(name: str = "word_bpe_49k.json") -> str:
+    """A file of the public tokenizers that driver and executors have installed."""
+    import public_tokenizers
+
+    return str(public_tokenizers.path(name))
+
+
 def pack(docs: DataFrame, tokenizer_path: str, length: int = 2048, end_id: int = 1) -> DataFrame:
     """Pieces of documents laid into sequences: each has its token ids, and its place in document and sequence."""
     end = np.array([end_id], "<u4").tobytes()

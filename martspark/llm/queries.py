@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
+import corpus_pipeline
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -20,16 +21,6 @@ URL_RULES = [
 BLOCKED_HOSTS = r"(^|[.-])(adult|ads|bets|casino|pills|spam)([.-]|$)"
 
 
-#: A file of the public tokenizers that the workers have installed.
-TOKENIZER = "word_bpe_49k.json"
-
-
-def tokenizer_path() -> str:
-    import public_tokenizers
-
-    return str(public_tokenizers.path(TOKENIZER))
-
-
 def op1_license_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Places of license phrases, and labels of phrases and of notices found despite edits."""
     found = license_scan.scan(table(spark, sf_dir, "documents"))
@@ -55,7 +46,7 @@ def op2_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def op3_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     """All documents packed into sequences of 2048 tokens along the Hilbert curve."""
-    return packing.pieces(table(spark, sf_dir, "documents"), tokenizer_path())
+    return packing.pieces(table(spark, sf_dir, "documents"), packing.tokenizer_path())
 
 
 def op4_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -70,7 +61,7 @@ def op5_url_filter(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def op6_ngram_join(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Every document's near-duplicate component by five-word shingles and a similarity of 0.75."""
-    return ngram_join.link(table(spark, sf_dir, "documents"))
+    return ngram_join.link(table(spark, sf_dir, "documents")).select("doc_id", "n_shingles", "component_id")
 
 
 def op7_exact_top_k(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -81,7 +72,7 @@ def op7_exact_top_k(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def op8_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Every document's words inside 10-word windows of the benchmark."""
-    return decontaminate.digest(decontaminate.find(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"), window=10))
+    return decontaminate.digest(decontaminate.find(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"), window=10)).drop("n_near")
 
 
 def op9_html_extraction(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -106,9 +97,46 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op8_decontamination": op8_decontamination,
     "op9_html_extraction": op9_html_extraction,
     "op10_warc": op10_warc,
+    "pipeline": corpus_pipeline.run,
 }
 
+_LOWER = "translate({}, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz')"
+_ALNUM = "regexp_extract_all(" + _LOWER.format("coalesce(text, '')") + ", '[^\\x00-\\x2F\\x3A-\\x60\\x7B-\\x7F]+')"
+_SPACED = "regexp_extract_all(" + _LOWER.format("coalesce(text, '')") + ", '[^\\x20\\x09-\\x0D]+')"
+
+#: op1 (edits), op3 (cuts are free), op4 (a fitted model), op5 (iterated scores), op9 (a tree) and the pipeline have no SQL; tests/llm holds them against brute force.
 ORACLE_SQL: dict[str, str] = {
+    # Buckets of every depth from the leading bits of the id's hash; a document lies in the shallowest that fits.
+    "op2_sharding": f"""
+        with d as (select doc_id, coalesce(strlen(text), 0)::bigint bytes,
+                lpad(bin(('0x' || substr(md5(coalesce(doc_id::varchar, '')), 1, 4))::ubigint), 16, '0') cell from documents),
+        p as (select doc_id, bytes, depth, substr(cell, 1, depth) shard from d, range(0, 17) t(depth)),
+        b as (select depth, shard, sum(bytes)::bigint shard_bytes, count(*) shard_docs from p group by all
+              having sum(bytes) <= {SHARD_BYTES} or count(*) = 1)
+        select doc_id, bytes, shard, depth::int depth, shard_bytes, shard_docs from p join b using (depth, shard)
+        qualify row_number() over (partition by doc_id order by depth) = 1""",
+    # All pairs that share a shingle, then the closure of the links.
+    "op6_ngram_join": f"""
+        with recursive w as (select doc_id, {_SPACED} w from documents),
+        s as (select distinct doc_id, case when len(w) < 5 then array_to_string(w, ' ') else array_to_string(w[i:i+4], ' ') end g
+              from w, unnest(range(1, greatest(len(w) - 4, 1) + 1)) t(i) where len(w) > 0),
+        n as (select doc_id, count(*) n from s group by 1),
+        k as (select a.doc_id a, b.doc_id b, count(*) k from s a join s b on a.g = b.g and a.doc_id <> b.doc_id group by 1, 2),
+        l as (select a, b from k join n x on x.doc_id = a join n y on y.doc_id = b where 100 * k >= 75 * (x.n + y.n - k)),
+        r as (select doc_id, doc_id to_id from documents union select r.doc_id, l.b from r join l on l.a = r.to_id)
+        select doc_id, coalesce(n, 0)::bigint n_shingles, min(to_id) component_id from r left join n using (doc_id) group by 1, 2""",
+    "op8_decontamination": f"""
+        with d as (select row_number() over () r, doc_id, {_ALNUM} w from documents),
+        i as (select item_id, {_ALNUM} w from benchmark where item_id is not null),
+        win as (select distinct item_id, least(10, len(w)) n, array_to_string(w[j:j+least(10, len(w))-1], ' ') g
+                from i, unnest(range(1, len(w) - least(10, len(w)) + 2)) t(j) where len(w) > 0),
+        occ as (select r, j, n, array_to_string(w[j:j+n-1], ' ') g from d, (select distinct n from win), unnest(range(1, len(w) - n + 2)) t(j)),
+        hit as (select r, j, n, item_id from occ join win using (n, g)),
+        pos as (select r, count(distinct p) n_hit from (select r, unnest(range(j, j + n)) p from hit) group by 1),
+        ids as (select r, string_agg(id, ',' order by id) ids, count(*) n_items from (select distinct r, item_id::varchar id from hit) group by 1)
+        select doc_id, len(w)::bigint n_words, coalesce(n_hit, 0)::bigint n_hit, coalesce(n_items, 0)::bigint n_items,
+            sha256(coalesce(ids, '')) items_sha256, coalesce(n_hit, 0) > 0 contaminated
+        from d left join pos using (r) left join ids using (r)""",
     "op7_exact_top_k": """
         with v as (select vec_id, list_transform(embedding, lambda x: floor(1024 * x::double)::bigint) t from embeddings
                    where embedding is not null and vec_id is not null

@@ -35,12 +35,19 @@ VOCABULARY = 2_000
 @dataclass
 class Model:
     words: dict[bytes, int] = field(default_factory=dict)
-    weights: np.ndarray = field(default_factory=lambda: np.zeros(0))
+    lean: np.ndarray = field(default_factory=lambda: np.zeros(0, bool))
+    weights: np.ndarray = field(default_factory=lambda: np.zeros(1))
     thresholds: np.ndarray = field(default_factory=lambda: np.full(3, 30.0))
 
-    def at_least(self, counts: np.ndarray) -> np.ndarray:
+    def at_least(self, counts: np.ndarray, sizes: np.ndarray) -> np.ndarray:
         """P(grade >= k), k = 1.., for rows of word counts."""
-        return _sigmoid((np.log1p(counts) @ self.weights)[:, None] - self.thresholds)
+        return _sigmoid((features(counts, sizes, self.lean) @ self.weights)[:, None] - self.thresholds)
+
+
+def features(counts: np.ndarray, sizes: np.ndarray, lean: np.ndarray) -> np.ndarray:
+    """Per word the log of 1 + its count in 100 words; last, whether any word that leans to toxic texts stands there."""
+    density = np.log1p(100 * counts / np.maximum(1, sizes)[:, None])
+    return np.concatenate([density, (counts[:, lean] > 0).any(axis=1, keepdims=True)], axis=1)
 
 
 def _sigmoid(x: np.ndarray) -> np.ndarray:
@@ -131,26 +138,27 @@ def fit(docs: DataFrame, labels: DataFrame, sample: int = SAMPLE_DOCUMENTS, n_gr
     words = {w.encode(): i for i, (w, _) in enumerate(known)}
     lean = np.array([leans for _, leans in known])
 
-    def features(batch: pa.RecordBatch) -> pa.RecordBatch:
+    def sparse(batch: pa.RecordBatch) -> pa.RecordBatch:
         counts, sizes = _counts(as_bytes(batch.column(2)), words)
-        cols = [np.flatnonzero(r) for r in counts]
+        x = features(counts, sizes, lean)
+        cols = [np.flatnonzero(r) for r in x]
         return pa.RecordBatch.from_arrays([
             batch.column(0), batch.column(1), pa.array([c.astype("<i4").tobytes() for c in cols], pa.binary()),
-            pa.array([r[c].astype("<f4").tobytes() for r, c in zip(counts, cols)], pa.binary()), pa.array(sizes, pa.int64()),
-        ], names=["doc_id", "toxic", "cols", "counts", "size"])
+            pa.array([r[c].astype("<f8").tobytes() for r, c in zip(x, cols)], pa.binary()),
+            pa.array(counts[:, lean].sum(axis=1) / np.maximum(1, sizes), pa.float64()),
+        ], names=["doc_id", "toxic", "cols", "vals", "density"])
 
-    rows = held.mapInArrow(per_batch(features, 128), "doc_id long, toxic int, cols binary, counts binary, size long").collect()
-    rows.sort(key=lambda r: (r.doc_id, r.toxic, r.size))
+    rows = held.mapInArrow(per_batch(sparse, 128), "doc_id long, toxic int, cols binary, vals binary, density double").collect()
+    rows.sort(key=lambda r: (r.doc_id, r.toxic, r.density, r.cols))
     cols = [np.frombuffer(r.cols, "<i4") for r in rows]
-    counts = [np.frombuffer(r.counts, "<f4").astype(float) for r in rows]
-    toxic = np.array([r.toxic for r in rows])
-    dense = np.array([c[lean[k]].sum() for k, c in zip(cols, counts)]) / np.maximum(1, [r.size for r in rows])
+    toxic, dense = np.array([r.toxic for r in rows]), np.array([r.density for r in rows])
     some = dense[(toxic == 1) & (dense > 0)]
     cuts = np.quantile(some, np.arange(1, n_grades - 1) / (n_grades - 1)) if len(some) else np.full(n_grades - 2, np.inf)
     grade = np.where(toxic == 1, 1 + np.searchsorted(cuts, dense, side="right"), 0)
     row = np.repeat(np.arange(len(rows)), [len(c) for c in cols])
-    weights, thresholds = fit_ordinal(row, np.concatenate(cols), np.log1p(np.concatenate(counts)), grade, len(words), n_grades)
-    return Model(words, weights, thresholds)
+    values = np.concatenate([np.frombuffer(r.vals, "<f8") for r in rows])
+    weights, thresholds = fit_ordinal(row, np.concatenate(cols), values, grade, len(words) + 1, n_grades)
+    return Model(words, lean, weights, thresholds)
 
 
 def grade(docs: DataFrame, model: Model) -> DataFrame:
@@ -159,7 +167,7 @@ def grade(docs: DataFrame, model: Model) -> DataFrame:
 
     def of_batch(batch: pa.RecordBatch) -> pa.RecordBatch:
         counts, sizes = _counts(as_bytes(batch.column(1)), model.words)
-        p = model.at_least(counts)
+        p = model.at_least(counts, sizes)
         each = -np.diff(np.concatenate([np.ones((len(p), 1)), p, np.zeros((len(p), 1))], axis=1), axis=1)
         return pa.RecordBatch.from_arrays([batch.column(0).cast(pa.int64()), pa.array(sizes, pa.int64()), pa.array(p[:, 0], pa.float64()), pa.array(p.sum(axis=1), pa.float64()), pa.array(each.argmax(axis=1), pa.int32())], schema=schema)
 
@@ -169,3 +177,14 @@ def grade(docs: DataFrame, model: Model) -> DataFrame:
 def grade_documents(docs: DataFrame, labels: DataFrame, threshold: float = 0.5) -> DataFrame:
     """Fit on the labelled documents, grade all; `toxic` where P(grade >= 1) reaches the threshold."""
     return grade(docs, fit(docs, labels)).withColumn("toxic", F.col("toxic_probability") >= threshold)
+
+
+def keep_clean(docs: DataFrame, labels: DataFrame, threshold: float = 0.5) -> DataFrame:
+    """The documents, all columns, of which P(grade >= 1) stays under the threshold; one pass, no shuffle."""
+    model, at = fit(docs, labels), docs.columns.index("text")
+
+    def of_batch(batch: pa.RecordBatch) -> pa.RecordBatch:
+        p = model.at_least(*_counts(as_bytes(batch.column(at)), model.words))
+        return batch.filter(pa.array(p[:, 0] < threshold))
+
+    return docs.mapInArrow(per_batch(of_batch, 128), docs.schema)

@@ -193,7 +193,8 @@ def normalise(manifest: DataFrame, again: DataFrame, source: str, target: str) -
                 yield _rows([(made, n)], schema)
 
     plans = again.groupBy("file").agg(F.collect_list(F.struct("seq", "refers_to")).alias("r"))  # of one archive: bounded by its size
-    files = manifest.select("file").distinct().join(plans, "file", "left")
+    names = manifest.select("file").distinct()
+    files = names.join(plans, "file", "left").repartition(max(1, names.count()), "file")
     return files.select("file", F.col("r.seq").alias("seqs"), F.col("r.refers_to").alias("refers")).mapInArrow(run, "file string, records long")
 
 
