@@ -10,9 +10,11 @@ from __future__ import annotations
 
 from collections.abc import Mapping
 
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from martspark.operators.quality import assert_unique
+
 RATE_TYPE = "decimal(18,4)"
 
 
@@ -31,14 +33,14 @@ def fx_table(spark: SparkSession, rates: Mapping[int, float] | list[tuple[int, f
 def with_rate(df: DataFrame, date_col: str, fx: DataFrame, rate_col: str = "rate") -> DataFrame:
     """``LEFT JOIN fx ON EXTRACT(year FROM date) = fx.year``.
 
-    The FX relation has one row per year (checked in :func:`fx_table`), so
-    the broadcast is bounded and the join cannot fan out.
+    ``fx`` has one row per year (:func:`fx_table`, or :func:`checked_fx` for a
+    table), so the broadcast is bounded and the join cannot fan out.
     """
     fx_b = F.broadcast(fx.select(F.col("year").alias("_fx_year"), F.col("rate").alias(rate_col)))
     return (df.join(fx_b, F.year(F.col(date_col)) == F.col("_fx_year"), "left")
               .drop("_fx_year"))
 
 
-def converted(amount: Column, rate: Column) -> Column:
-    """``amount * rate`` in exact decimal arithmetic."""
-    return amount * rate
+def checked_fx(fx: DataFrame) -> DataFrame:
+    """``fx`` unchanged, or :class:`FanOutError` if a year has two rates."""
+    return assert_unique(fx, ["year"], "FX relation")

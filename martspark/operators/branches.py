@@ -17,6 +17,7 @@ from martspark.functions.calendar import (
     DEFAULT_TZ, MonthWindow, in_local_window, local_date, local_datetime_between_dates)
 from martspark.functions.money import with_rate
 from martspark.operators.dims import Enterprise
+from martspark.operators.distinct import first_of
 from martspark.sources.schemas import ECONOMICS_AMOUNTS
 
 ECON_MEASURES = [
@@ -128,7 +129,8 @@ def order_economics_fused(bc: DataFrame, fx: DataFrame) -> DataFrame:
     acc_type = "decimal(38,8)"
 
     def share(pred) -> Column:
-        hits = F.filter("rpl_detail_list", pred)
+        # SUM skips NULL amounts, so they are no hits.
+        hits = F.filter("rpl_detail_list", lambda x: pred(x) & x["Food_spend_amount"].isNotNull())
         total = F.aggregate(hits, F.lit(0).cast(acc_type),
                             lambda acc, x: (acc + x["Food_spend_amount"] * F.col("rate")).cast(acc_type))
         return F.when(F.size(hits) > 0, total)
@@ -139,7 +141,9 @@ def order_economics_fused(bc: DataFrame, fx: DataFrame) -> DataFrame:
         "abra_cost": share(lambda x: x["program_name"].isin(K.RPL_PROGRAM)),
         "rpl_cofunding": share(lambda x: x["program_group_name"].isin(K.RPL_PROGRAM_GROUP)),
     }
-    j = rows.select("*", *[F.sum(v).over(per_booking).alias(k) for k, v in shares.items()])
+    # A NULL order number matches no cost row (the join back is on the order).
+    known = F.col("order_no").isNotNull()
+    j = rows.select("*", *[F.when(known, F.sum(v).over(per_booking)).alias(k) for k, v in shares.items()])
     j = j.where(~F.col("Food_mode_name").isin(K.PICKUP_MODE))
     return j.select(
         "booking_date", "restaurant_id", F.col("_cm_order").alias("order_no"),
@@ -158,16 +162,22 @@ def daily_economics(order_econ: DataFrame, fx: DataFrame) -> DataFrame:
     two orders with equal converted GMV count once (see
     :func:`order_distinct_sum` for the per-order form).
     """
-    j = with_rate(order_econ, "booking_date", fx)
     rate = F.col("rate")
     md = F.col("mfp_markdown_amount") > 0
-    return j.groupBy("booking_date", "restaurant_id").agg(
+    j = with_rate(order_econ, "booking_date", fx).withColumns({
+        "_md_order": F.when(md, F.col("order_no")), "_md_amount": F.when(md, F.col("gmv_amount") * rate)})
+    # The first row of each order and of each amount stands for it: plain
+    # sums then, in one pass over the rows, without Spark's Expand. The
+    # windows are keyed by the counted value too, so a hot restaurant spreads.
+    keys = ["booking_date", "restaurant_id"]
+    j = first_of(first_of(j, keys, "_md_order", "_first_order"), keys, "_md_amount", "_first_amount")
+    return j.groupBy(*keys).agg(
         *[F.sum(F.coalesce(F.col(src) * rate, F.lit(0))).alias(name) for name, src in ECON_MEASURES],
-        F.count_distinct(F.when(md, F.col("order_no"))).alias("co_mfp_non_sku"),
+        F.count_if("_first_order").alias("co_mfp_non_sku"),
         F.sum("akab_rpl_overall").alias("akab_rpl_overall"),
         F.sum("rpl_cofunding").alias("rpl_cofunding"),
         F.sum("abra_cost").alias("abra_cost"),
-        F.sum_distinct(F.when(md, F.col("gmv_amount") * rate)).alias("gmv_mfp_non_sku"),
+        F.sum(F.when(F.col("_first_amount"), F.col("_md_amount"))).alias("gmv_mfp_non_sku"),
     )
 
 
@@ -181,11 +191,12 @@ def order_distinct_sum(order_econ: DataFrame, fx: DataFrame) -> DataFrame:
     md = F.col("mfp_markdown_amount") > 0
     amount = F.when(md, F.col("gmv_amount") * F.col("rate"))
     keys = ["booking_date", "restaurant_id"]
-    per_order = (j.where(md & F.col("order_no").isNotNull())
-                  .groupBy(*keys, "order_no").agg(F.max(amount).alias("amt")))
-    sd = j.groupBy(*keys).agg(F.sum_distinct(amount).alias("sum_distinct_amount"))
-    po = per_order.groupBy(*keys).agg(F.sum("amt").alias("order_distinct_amount"))
-    return sd.join(po, keys, "left")
+    j = j.withColumn("_amount", amount)
+    j = first_of(first_of(j, keys, "_amount", "_first_amount"), keys, "order_no", "_first_order",
+                 by=F.desc_nulls_last("_amount"))
+    return j.groupBy(*keys).agg(
+        F.sum(F.when(F.col("_first_amount"), F.col("_amount"))).alias("sum_distinct_amount"),
+        F.sum(F.when(F.col("_first_order"), F.col("_amount"))).alias("order_distinct_amount"))
 
 
 # --------------------------------------------------------------------------

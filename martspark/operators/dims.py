@@ -5,7 +5,6 @@ from __future__ import annotations
 import datetime as dt
 from dataclasses import dataclass
 
-from pyspark import StorageLevel
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -13,7 +12,7 @@ from martspark.functions import constants as K
 from martspark.functions.calendar import DEFAULT_TZ
 from martspark.operators.history import BridgeRules, outlet_bridge
 from martspark.operators.quality import assert_unique
-from martspark.plans.joins import DEFAULT_BROADCAST_ROWS, WIDE_BROADCAST_ROWS
+from martspark.plans.joins import DEFAULT_BROADCAST_ROWS, WIDE_BROADCAST_ROWS, lookup_side
 
 DIM_COLUMNS = [
     "sales_code", "sales_name", "saudagar_id", "restaurant_id", "restaurant_uuid",
@@ -56,8 +55,7 @@ def restaurant_dim_enriched(profile: DataFrame, universe: DataFrame, bridge: Dat
                    "subdistrict_name", "regency_name", "sales_region_name")
     joined = (profile.join(u, F.col("_u_id") == profile.restaurant_id, "left")
                      .join(b, F.col("_b_outlet") == profile.merchant_platform_outlet_id, "left")
-                     .join(F.broadcast(g) if _small(geo) else g,
-                           F.col("_g_cell") == profile.location_s2id_14, "left"))
+                     .join(lookup_side(g), F.col("_g_cell") == profile.location_s2id_14, "left"))
     return joined.select(
         F.col("merchant_platform_outlet_id").alias("saudagar_id"),
         "restaurant_id", "restaurant_uuid", "service_area_name",
@@ -69,10 +67,6 @@ def restaurant_dim_enriched(profile: DataFrame, universe: DataFrame, bridge: Dat
     ).distinct()
 
 
-def _small(df: DataFrame, max_rows: int = DEFAULT_BROADCAST_ROWS) -> bool:
-    return df.limit(max_rows + 1).count() <= max_rows
-
-
 @dataclass
 class Enterprise:
     """The enterprise slice of a restaurant dimension, prepared once.
@@ -80,22 +74,18 @@ class Enterprise:
     ``dim``   full rows (unique on ``restaurant_id``, checked when asked),
     ``ids``   ``restaurant_id`` only, for inner restrictions of id-keyed facts,
     ``uuids`` ``restaurant_uuid -> restaurant_id``, for uuid-keyed facts.
-    The two key tables are broadcast only after a bounded row count.
+    The two key tables are broadcast only after a row count; every branch
+    then reuses the one broadcast.
     """
 
     dim: DataFrame
     ids: DataFrame
     uuids: DataFrame
-    cached: DataFrame
 
     @classmethod
     def of(cls, dim: DataFrame, classification: str = K.ENTERPRISE,
            check_unique: bool = True, max_broadcast_rows: int = DEFAULT_BROADCAST_ROWS) -> "Enterprise":
         ent = dim.where(F.col("classification_type_name") == classification)
-        # Small and read by every branch: keep it (spillable; recomputed
-        # from its lineage if an executor is lost) instead of re-deriving
-        # it per branch. The stats job below materialises it.
-        ent = ent.persist(StorageLevel.MEMORY_AND_DISK)
         # One job answers all three questions: row count (broadcast bound),
         # distinct ids and distinct uuids (fan-out guards).
         stats = ent.agg(F.count(F.lit(1)).alias("n"),
@@ -118,11 +108,7 @@ class Enterprise:
             ids, uuids = F.broadcast(ids), F.broadcast(uuids)
         # full rows are ~10x wider than the key tables: a tighter bound
         wide_small = stats["n"] <= max_broadcast_rows * WIDE_BROADCAST_ROWS // DEFAULT_BROADCAST_ROWS
-        return cls(dim=F.broadcast(ent) if wide_small else ent, ids=ids, uuids=uuids, cached=ent)
-
-    def release(self) -> None:
-        """Drop the kept slice once the queries that use it have run."""
-        self.cached.unpersist()
+        return cls(dim=F.broadcast(ent) if wide_small else ent, ids=ids, uuids=uuids)
 
     def restrict(self, df: DataFrame, id_col: str = "restaurant_id") -> DataFrame:
         """Keep rows of enterprise restaurants (the D9 inner join)."""

@@ -14,16 +14,20 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from martspark.functions import constants as K
-from martspark.functions.calendar import DEFAULT_TZ, local_date
+from martspark.functions.calendar import DEFAULT_TZ, MonthWindow, ntz_literal, utc_bounds
 from martspark.plans.joins import lookup_side
 
 
 def valid_on(as_of: dt.date, tz: str = DEFAULT_TZ,
              eff: str = "effective_timestamp", exp: str = "expired_timestamp") -> Column:
-    """C15 (repaired): NULL expiry means open; dates compared in ``tz``."""
-    d = F.lit(as_of)
-    return (local_date(F.col(eff), tz) <= d) & (
-        F.col(exp).isNull() | (local_date(F.col(exp), tz) > d))
+    """C15 (repaired): NULL expiry means open; dates compared in ``tz``.
+
+    Both comparisons are against the instant of the next local midnight, so
+    they reach the scan: effective before it, expired not before it.
+    """
+    _, midnight = utc_bounds(MonthWindow(as_of, as_of), tz)
+    until = ntz_literal(midnight)
+    return (F.col(eff) < until) & (F.col(exp).isNull() | (F.col(exp) >= until))
 
 
 def not_deleted_strict(col: str = "deleted_flag") -> Column:
@@ -65,13 +69,13 @@ def product_outlets_as_of(dim_account: DataFrame, as_of: dt.date, rules: BridgeR
             .where(F.lower(F.col("record_type_name_detail")).like(rules.product_outlet_pattern)
                    & valid_on(as_of, tz) & not_flagged("deleted_flag")
                    & F.col("billing_group_entity_id").isNotNull())
-            .select("sf_outlet_id", "record_type_name_detail", "parent_id")
+            .select("sf_outlet_id", "record_type_name_detail", "parent_id", "billing_group_entity_id")
             .distinct())
 
 
 def billing_groups_as_of(dim_account: DataFrame, as_of: dt.date, rules: BridgeRules,
                          tz: str = DEFAULT_TZ) -> DataFrame:
-    """Billing-group accounts (read by the reference, never used)."""
+    """Billing-group accounts as of the date."""
     return (dim_account
             .where((F.upper(F.col("record_type_name_detail")) == rules.billing_group_type)
                    & (F.col("service_product_list_name") == rules.billing_group_product)
@@ -88,6 +92,27 @@ def entities_as_of(dim_account: DataFrame, as_of: dt.date, rules: BridgeRules,
             .select("sf_account_id", F.col("sf_account_name").alias("parent_entity_detail_name")))
 
 
+def outlet_roles(dim_outlet: DataFrame, dim_account: DataFrame, as_of: dt.date,
+                 rules: BridgeRules = BridgeRules(), tz: str = DEFAULT_TZ) -> DataFrame:
+    """D11 with all three roles: outlet -> product outlet -> billing group and entity.
+
+    Each outlet's rows carry the parent of its billing group (C8) and its
+    entity's name; several versions of a group fan out and DISTINCT folds
+    equal rows. Without the billing group this is :func:`outlet_bridge`.
+    """
+    outlet = outlets_as_of(dim_outlet, as_of, tz)
+    po = product_outlets_as_of(dim_account, as_of, rules, tz)
+    groups = billing_groups_as_of(dim_account, as_of, rules, tz).select(
+        F.col("sf_account_id").alias("_bg"), F.col("parent_entity_detail_name").alias("billing_group_parent")).distinct()
+    ent = entities_as_of(dim_account, as_of, rules, tz)
+    return (outlet.join(po, "sf_outlet_id", "inner")
+                  .join(lookup_side(groups), F.col("billing_group_entity_id") == F.col("_bg"), "left")
+                  .join(lookup_side(ent), po.parent_id == ent.sf_account_id, "left")
+                  .select("outlet_id", F.col("entity_id").alias("sf_entity_id"), "billing_group_parent",
+                          "parent_entity_detail_name")
+                  .distinct())
+
+
 def outlet_bridge(dim_outlet: DataFrame, dim_account: DataFrame, as_of: dt.date,
                   rules: BridgeRules = BridgeRules(), tz: str = DEFAULT_TZ) -> DataFrame:
     """Outlet -> product outlet -> entity, as of ``as_of``.

@@ -7,31 +7,23 @@ from collections.abc import Sequence
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-# Row bound under which a lookup side is broadcast (checked by a bounded
-# count first): the narrow restaurant key tables are a few tens of bytes per
+# Row bound under which a lookup side is broadcast (counted
+# first): the narrow restaurant key tables are a few tens of bytes per
 # row, so this keeps a broadcast under ~100 MB per executor.
 DEFAULT_BROADCAST_ROWS = 2_000_000
 # Rows of a wide dimension (a dozen string attributes) are ~10x larger.
 WIDE_BROADCAST_ROWS = DEFAULT_BROADCAST_ROWS // 10
 
 
-def row_count_at_most(df: DataFrame, max_rows: int) -> bool:
-    """True when ``df`` has at most ``max_rows`` rows.
-
-    ``limit(n + 1).count()`` stops reading once the bound is passed, so
-    the check is cheap whatever the size of ``df``.
-    """
-    return df.limit(max_rows + 1).count() <= max_rows
-
-
 def lookup_side(df: DataFrame, max_rows: int = DEFAULT_BROADCAST_ROWS) -> DataFrame:
     """Broadcast ``df`` only when its row count is proven within the bound.
 
+    The count is a plain distributed one (partial counts per partition).
     Beyond the bound the plain DataFrame is returned and Spark uses a
     shuffle join (AQE may still switch to broadcast from measured sizes,
     and splits skewed partitions of the large side).
     """
-    return F.broadcast(df) if row_count_at_most(df, max_rows) else df
+    return F.broadcast(df) if df.count() <= max_rows else df
 
 
 def null_safe_join(left: DataFrame, right: DataFrame, keys: Sequence[str],

@@ -17,13 +17,14 @@ from pyspark.sql import functions as F
 from martspark.functions import classify
 from martspark.functions import constants as K
 from martspark.functions.calendar import DEFAULT_TZ, MonthWindow, local_date, month_of, month_to_date
+from martspark.functions.money import checked_fx
 from martspark.operators import branches as B
 from martspark.operators.dims import Enterprise, enriched_dim_as_of, restaurant_dim
 from martspark.operators.distinct import distinct_rollup
 from martspark.operators.history import BridgeRules
 from martspark.operators.quality import assert_unique
 from martspark.operators.spine import DAY, RID, SPINE_MODES, Branch, keyed
-from martspark.plans.joins import WIDE_BROADCAST_ROWS, lookup_side
+from martspark.plans.joins import WIDE_BROADCAST_ROWS
 from martspark.sources.catalog import Sources
 from martspark.sources.schemas import RPL_AMOUNT_COLUMNS
 
@@ -89,12 +90,13 @@ KPI_COLUMNS = (KPI_KEYS + [m for m, _, _ in KPI_MEASURES]
 
 def kpi_branches(src: Sources, window: MonthWindow, ent: Enterprise,
                  tz: str = DEFAULT_TZ, cache_facts: bool = False,
-                 literal_rating_cutoff: bool = False) -> tuple[Branch, list[Branch]]:
+                 literal_rating_cutoff: bool = False, literal: bool = False) -> tuple[Branch, list[Branch]]:
     """The spine and the daily branches, each keyed by (day, restaurant).
 
     The reference's nine branches map to six inputs here: order totals (J10)
     are the spine's own columns, and fulfilment, value bands and promo
-    classes (J12, J15, J16) are one pass. By default every branch reads the bookings with its own pruned columns
+    classes (J12, J15, J16) are one pass. ``literal`` keeps all nine apart
+    and the spine as it is. By default every branch reads the bookings with its own pruned columns
     and pushed window range. ``cache_facts`` keeps the month's enterprise
     bookings slice instead (spillable persist), for sources that are costly
     to re-derive; measured slower on parquet inputs, so it is off.
@@ -102,8 +104,13 @@ def kpi_branches(src: Sources, window: MonthWindow, ent: Enterprise,
     bk = src.bookings
     if cache_facts:
         bk = ent.restrict(B.bookings_in_window(bk, window, tz)).persist(StorageLevel.MEMORY_AND_DISK)
+    fx = checked_fx(src.fx)
     bc = B.with_economics(bk, src.booking_cm, window, ent, tz)
-    econ = B.daily_economics(B.order_economics_fused(bc, src.fx), src.fx)
+    if src.econ_bookings is None:
+        orders = B.order_economics_fused(bc, fx)
+    else:  # A5: costs from the first booking table, economics from the second
+        orders = B.order_economics(B.with_economics(src.econ_bookings, src.booking_cm, window, ent, tz), B.cost_split(bc, fx))
+    econ = B.daily_economics(orders, fx)
     ads_cols = [n for n, _ in B.ADS_PAID_SUMS[2:]] + [n for _, n in K.ADS_INVENTORY_COLUMNS]
     ads = B.paid_ads_daily(src.ads, window, ent, keys=("jakarta_data_date", "restaurant_id")) \
         .select("jakarta_data_date", "restaurant_id", *ads_cols)
@@ -114,11 +121,25 @@ def kpi_branches(src: Sources, window: MonthWindow, ent: Enterprise,
     # per key and restricted like it, so its measure is the spine's own
     # column; no second read of the spine, no extra join.
     spine_measures = [c for c in src.spine.columns if c not in ("summary_data_date", "Food_id")]
+    one_pass = [
+        # J12 + J15 + J16 share their rows and key: one pass (same values as
+        # fulfilment_ops, aov_bands_pivot and promo_class_pivot joined).
+        keyed("hij", B.completed_orders_daily(bk, window, ent, tz), "summary_data_date", "Food_id"),
+    ]
+    if literal:
+        one_pass = [
+            keyed("h", B.fulfilment_ops(bk, window, ent, tz), "jakarta_booking_created_date", "restaurant_id"),
+            keyed("i", B.aov_bands_pivot(bk, window, ent, tz), "summary_data_date", "Food_id"),
+            keyed("j", B.promo_class_pivot(bk, window, ent, tz), "summary_data_date", "Food_id"),
+            keyed("d", B.daily_order_totals(src.spine, window, ent).drop("all_Food_order_number"), "summary_data_date", "Food_id",
+                  rename={"completed_Food_mfp_markdown_amount": "d_mfp_markdown_amount"}),
+        ]
     # Enterprise rows only, through the narrow checked key table, before the
     # spine meets any branch.
-    spine = keyed("a", ent.restrict(src.spine, "Food_id"), "summary_data_date", "Food_id",
+    spine = keyed("a", src.spine if literal else ent.restrict(src.spine, "Food_id"), "summary_data_date", "Food_id",
                   resum=spine_measures)
-    spine = Branch("a", spine.df.withColumn("d_mfp_markdown_amount", F.col("completed_Food_mfp_markdown_amount")))
+    if not literal:
+        spine = Branch("a", spine.df.withColumn("d_mfp_markdown_amount", F.col("completed_Food_mfp_markdown_amount")))
     branches = [
         keyed("b", econ, "booking_date", "restaurant_id"),
         keyed("e", ads, "jakarta_data_date", "restaurant_id"),
@@ -126,9 +147,7 @@ def kpi_branches(src: Sources, window: MonthWindow, ent: Enterprise,
         keyed("g", impr, "summary_data_date", "restaurant_id",
               resum=["Food_shuffle_impression_count", "Food_search_impression_count",
                      "Food_suggestion_impression_count", "Food_total_impression_count"]),
-        # J12 + J15 + J16 share their rows and key: one pass (same values as
-        # fulfilment_ops, aov_bands_pivot and promo_class_pivot joined).
-        keyed("hij", B.completed_orders_daily(bk, window, ent, tz), "summary_data_date", "Food_id"),
+        *one_pass,
         keyed("k", B.weighted_rating(src.rating, window, ent, literal_rating_cutoff, tz),
               "event_date", "restaurant_id"),
     ]
@@ -147,8 +166,9 @@ def kpi_daily(src: Sources, run_date: dt.date, mode: str = "left", tz: str = DEF
     window = month_to_date(run_date)
     dim = restaurant_dim(src.profile, src.universe)
     ent = Enterprise.of(dim, check_unique=check_unique)
-    spine, branches = kpi_branches(src, window, ent, tz, cache_facts, literal_rating_cutoff)
-    return SPINE_MODES[mode](spine, ent.dim, branches, window)
+    literal = mode == "literal"
+    spine, branches = kpi_branches(src, window, ent, tz, cache_facts, literal_rating_cutoff, literal)
+    return SPINE_MODES[mode](spine, dim if literal else ent.dim, branches, window)
 
 
 def _zero_sum(col: str) -> Column:
@@ -208,11 +228,14 @@ def promo_rows(src: Sources, run_date: dt.date, rules: BridgeRules = BridgeRules
     resto = enriched_dim_as_of(src.profile, src.universe, src.geo, src.dim_outlet,
                                src.dim_account, window.end, rules, tz)
     resto = resto.where(F.col("classification_type_name") == K.ENTERPRISE)
-    if check_unique:
+    # One job tells the size and whether ids repeat.
+    n, ids = resto.agg(F.count("*"), F.count_distinct("restaurant_id")).first()
+    if check_unique and ids != n:
         assert_unique(resto, ["restaurant_id"], "enriched restaurant dimension")
-    resto = lookup_side(resto.select(
-        F.col("restaurant_id").alias("_r_id"),
-        *[c for c in PROMO_KEYS if c not in ("booking_date", "restaurant_id")]), WIDE_BROADCAST_ROWS)
+    resto = resto.select(F.col("restaurant_id").alias("_r_id"),
+                         *[c for c in PROMO_KEYS if c not in ("booking_date", "restaurant_id")])
+    if n <= WIDE_BROADCAST_ROWS:
+        resto = F.broadcast(resto)
     a = B.bookings_in_window(src.bookings, window, tz).where(F.col("food_pas_flag").eqNullSafe(True))
     c = src.promo_tx.where(window.contains(F.col("jakarta_booking_date"))).select(
         F.col("order_no").alias("_c_order"),

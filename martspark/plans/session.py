@@ -36,27 +36,16 @@ def tune(spark: SparkSession) -> SparkSession:
     return spark
 
 
-def checkpoint_dir(spark: SparkSession) -> str:
-    """Shared folder for lineage cuts and scratch tables.
+def scratch_dir(spark: SparkSession) -> str:
+    """The shared folder for scratch tables, read from ``spark.checkpoint.dir``.
 
-    Read from ``spark.checkpoint.dir`` (set by the cluster). Only when it
-    is unset, as in local tests, a fresh local folder is created.
+    Where the cluster names none (tests), the context gets a local folder.
     """
-    configured = spark.conf.get("spark.checkpoint.dir", None)
-    if not configured:
-        try:
-            configured = spark.sparkContext.getCheckpointDir()
-        except Exception:  # no SparkContext on a Connect session
-            configured = None
-    if configured:
-        return configured.rstrip("/")
-    local = tempfile.mkdtemp(prefix="martspark-ckpt-")
-    spark.conf.set("spark.checkpoint.dir", local)
-    try:
-        spark.sparkContext.setCheckpointDir(local)
-    except Exception:
-        pass
-    return local
+    folder = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getCheckpointDir()
+    if not folder:
+        folder = "file://" + tempfile.mkdtemp(prefix="martspark-scratch-")
+        spark.sparkContext.setCheckpointDir(folder)
+    return folder.rstrip("/")
 
 
 def local_session(cores: str = "*", shuffle_partitions: int = 8,

@@ -26,9 +26,7 @@ from martspark.operators.distinct import distinct_rollup
 from martspark.operators.quality import duplicate_keys
 from martspark.operators.spine import DAY, RID
 from martspark.plans import marts as M
-from martspark.plans.session import checkpoint_dir, tune
-from martspark.functions import calendar, money
-from martspark.sources import schemas, staging, tpch
+from martspark.plans.session import scratch_dir, tune
 from martspark.sources.catalog import Sources
 from martspark.sources.tpch import RUN_DATE, _lines, read, tpch_sources
 
@@ -51,13 +49,8 @@ def as_output(df: DataFrame) -> DataFrame:
 
 
 def _src(spark: SparkSession, sf_dir: str) -> Sources:
-    """Mart inputs over the driver tables of ``sf_dir``, staged as tables
-    in the checkpoint folder on first use (see ``sources/staging.py``)."""
-    tune(spark)
-    src = tpch_sources(spark, sf_dir)
-    if not staging.enabled():
-        return src
-    return staging.staged(spark, src, staging.stage_key(sf_dir, tpch, schemas, calendar, money))
+    """Mart inputs over the driver tables of ``sf_dir``, derived in the query itself."""
+    return tpch_sources(tune(spark), sf_dir)
 
 
 def _ent(src: Sources) -> Enterprise:
@@ -113,6 +106,12 @@ def outlet_bridge_literal(spark, sf_dir):
     return H.outlet_bridge(s.dim_outlet, s.dim_account, WINDOW.end, H.BridgeRules(entity_type="Entity"))
 
 
+def outlet_roles(spark, sf_dir):
+    """The bridge with all three account roles."""
+    s = _src(spark, sf_dir)
+    return H.outlet_roles(s.dim_outlet, s.dim_account, WINDOW.end)
+
+
 def left_join_using(spark, sf_dir):
     s = _src(spark, sf_dir)
     dim = restaurant_dim(s.profile, s.universe).select("restaurant_uuid", "restaurant_id")
@@ -286,7 +285,7 @@ def promo_daily(spark, sf_dir):
 
 
 def _scratch(spark: SparkSession, name: str) -> str:
-    return f"{checkpoint_dir(spark)}/{name}-{uuid.uuid4().hex}"
+    return f"{scratch_dir(spark)}/{name}-{uuid.uuid4().hex}"
 
 
 def refresh_month_replace(spark, sf_dir):
@@ -319,6 +318,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "history_as_of": history_as_of,
     "outlet_bridge": outlet_bridge,
     "outlet_bridge_literal": outlet_bridge_literal,
+    "outlet_roles": outlet_roles,
     "left_join_using": left_join_using,
     "composite_expression_join": composite_expression_join,
     "fx_convert_by_year": fx_convert_by_year,

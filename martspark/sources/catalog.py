@@ -29,6 +29,7 @@ class Sources:
     dim_outlet: DataFrame    # A11 outlet history
     dim_account: DataFrame   # A12 account history
     fx: DataFrame            # A15 FX by year
+    econ_bookings: DataFrame | None = None  # A5 second booking table; None: the first one
 
 
 class LazySources:
@@ -41,6 +42,7 @@ class LazySources:
     NAMES = tuple(f.name for f in fields(Sources))
 
     def __init__(self, builders: dict[str, Callable[[], DataFrame]]):
+        builders = {"econ_bookings": lambda: None, **builders}
         missing = set(self.NAMES) - set(builders)
         if missing:
             raise ValueError(f"no builder for {sorted(missing)}")

@@ -150,7 +150,8 @@ def bookings(orders: DataFrame, lineitem: DataFrame) -> DataFrame:
             F.when(F.col("l_linestatus") == "F", "AKAB").otherwise("MERCHANT").alias("budget_entity_name"),
             F.when(F.col("l_returnflag") == "A", "Project Abracadabra").otherwise("Regular Program").alias("program_name"),
             F.when(F.col("l_returnflag") == "N", "Cofunding").otherwise("Platform").alias("program_group_name"),
-            _units_to_amount(_pd()).alias("Food_spend_amount"),
+            # lines without a discount carry no amount
+            F.when(F.col("dp") != 0, _units_to_amount(_pd())).alias("Food_spend_amount"),
         )).alias("rpl_detail_list"),
     )
     status = (F.when(F.col("o_orderstatus") == "F", "3")

@@ -5,8 +5,11 @@ the month to date every day and replace that month in the target. Here
 that is a partition replace on a table partitioned by ``booking_month``:
 
 * :func:`refresh_month` (J19) writes with ``partitionOverwriteMode=dynamic``
-  set on the writer, so only the month's partition is replaced, atomically
-  per partition, and a rerun gives the same rows. Other months are not
+  set on the writer, so only the month's partition is replaced and a rerun
+  gives the same rows. On plain files the swap is not atomic: the old files
+  go before the new ones are moved in, so a reader in between, or a failed
+  job, finds the month empty until a rerun; a table format with commits
+  (the ``fmt`` argument) closes that gap. Other months are not
   touched. A month with no rows would leave the old partition in place
   under dynamic overwrite, so it is handled explicitly: it fails by default
   or, with ``allow_empty=True``, removes the partition (what DELETE +

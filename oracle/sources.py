@@ -85,7 +85,7 @@ bookings AS (
            budget_entity_name := CASE WHEN l_linestatus = 'F' THEN 'AKAB' ELSE 'MERCHANT' END,
            program_name := CASE WHEN l_returnflag = 'A' THEN 'Project Abracadabra' ELSE 'Regular Program' END,
            program_group_name := CASE WHEN l_returnflag = 'N' THEN 'Cofunding' ELSE 'Platform' END,
-           Food_spend_amount := CAST(price * disc AS {AMOUNT}))) AS rpl_detail_list
+           Food_spend_amount := CASE WHEN disc <> 0 THEN CAST(price * disc AS {AMOUNT}) END)) AS rpl_detail_list
   FROM lines
   GROUP BY o_orderkey, l_suppkey, o_custkey, o_orderstatus, o_totalprice, o_orderdate, o_orderpriority
 ),

@@ -103,10 +103,16 @@ def test_pivot_keeps_groups_with_unlisted_values(spark):
 def test_fused_cost_split_equals_unnest_aggregate_join(spark):
     from martspark.functions.money import fx_table
     A = Decimal
-    lst = lambda *xs: [(e, p, g, A(v)) for e, p, g, v in xs]
+    lst = lambda *xs: [(e, p, g, v and A(v)) for e, p, g, v in xs]
     bk = _bookings(spark, [
         _booking("o1", 1, "1998-01-10 00:00:00", Food_mode_name="FOOD-DELIVERY",
                  rpl_detail_list=lst(("AKAB", "Project Abracadabra", "Cofunding", "1.5"), ("X", "p", "g", "2"))),
+        # a NULL amount is skipped by the sum; a list of NULL amounts sums to NULL
+        _booking("o8", 1, "1998-01-10 00:00:00", Food_mode_name="FOOD-DELIVERY",
+                 rpl_detail_list=lst(("AKAB", "p", "Cofunding", "10"), ("AKAB", "p", "g", None))),
+        _booking("o9", 1, "1998-01-10 00:00:00", Food_mode_name="FOOD-DELIVERY",
+                 rpl_detail_list=lst(("AKAB", "p", "g", None), ("AKAB", "Project Abracadabra", "Cofunding", None))),
+        _booking(None, 1, "1998-01-10 00:00:00", Food_mode_name="FOOD-DELIVERY", rpl_detail_list=lst(("AKAB", "p", "g", "7"))),
         _booking("o2", 1, "1998-01-10 00:00:00", Food_mode_name="FOOD-DELIVERY", rpl_detail_list=[]),
         _booking("o3", 1, "1998-01-11 00:00:00", Food_mode_name="FOOD-DELIVERY", rpl_detail_list=None),
         _booking("o4", 2, "1998-01-11 00:00:00", Food_mode_name="FOOD-PICKUP",
@@ -118,6 +124,7 @@ def test_fused_cost_split_equals_unnest_aggregate_join(spark):
                  rpl_detail_list=lst(("AKAB", "p", "g", "6"))),
     ])
     cm_rows = [("o1", dt.date(1998, 1, 10)), ("o2", dt.date(1998, 1, 10)), ("o4", dt.date(1998, 1, 11)),
+               ("o8", dt.date(1998, 1, 10)), ("o9", dt.date(1998, 1, 10)),
                ("o6", dt.date(1998, 1, 12)), ("o6", dt.date(1998, 1, 12)),   # duplicate economics row
                ("o7", dt.date(1996, 1, 1))]                                 # other year's rate
     cm = spark.createDataFrame(
@@ -129,7 +136,23 @@ def test_fused_cost_split_equals_unnest_aggregate_join(spark):
     cols = explicit.columns
     assert sorted(map(tuple, explicit.select(cols).collect()), key=str) == \
         sorted(map(tuple, fused.select(cols).collect()), key=str)
-    assert fused.count() == 5
+    got = {r.order_no: (r.akab_rpl_overall, r.rpl_cofunding) for r in fused.collect()}
+    assert fused.count() == 8 and got["o8"] == (145000, 145000) and got["o9"] == (None, None)
+
+
+def test_economics_from_a_second_booking_table(spark):
+    """A5: costs come from the first table, modes and economics from the second."""
+    from martspark.functions.money import fx_table
+    A = Decimal
+    cost = [("AKAB", "p", "Cofunding", A("2"))]
+    first = _bookings(spark, [_booking("o1", 1, "1998-01-10 00:00:00", Food_mode_name="FOOD-PICKUP", rpl_detail_list=cost),
+                              _booking("o2", 1, "1998-01-10 00:00:00", Food_mode_name="FOOD-DELIVERY", rpl_detail_list=cost)])
+    second = _bookings(spark, [_booking("o1", 1, "1998-01-10 00:00:00", Food_mode_name="FOOD-DELIVERY", rpl_detail_list=None),
+                               _booking("o3", 2, "1998-01-11 00:00:00", Food_mode_name="FOOD-DELIVERY", rpl_detail_list=None)])
+    cm = spark.createDataFrame([(o, dt.date(1998, 1, 10)) + tuple(A("10.0000") for _ in S.ECONOMICS_AMOUNTS) for o in ("o1", "o2", "o3")], S.BOOKING_CM)
+    fx, ent = fx_table(spark, {1998: 3}), _ent(spark)
+    got = B.order_economics(B.with_economics(second, cm, W, ent), B.cost_split(B.with_economics(first, cm, W, ent), fx))
+    assert sorted((r.order_no, r.restaurant_id, r.akab_rpl_overall) for r in got.collect()) == [("o1", 1, 6), ("o3", 2, None)]
 
 
 def test_distinct_counts_shuffle_on_the_distinct_value(spark):

@@ -3,7 +3,7 @@ import datetime as dt
 import pytest
 from pyspark.sql import functions as F
 
-from martspark.plans.session import checkpoint_dir
+from martspark.plans.session import scratch_dir
 from martspark.streaming.refresh import EmptyMonthError, append_month, read_mart, refresh_month
 
 COLS = ["k", "v", "booking_month"]
@@ -57,20 +57,7 @@ def test_append_doubles_on_rerun(spark, tmp_path):
     assert len(_all(spark, target)) == 4
 
 
-def test_checkpoint_dir_is_read_from_the_session(spark):
-    assert checkpoint_dir(spark) == checkpoint_dir(spark)
-
-
-def test_staging_writes_once_and_reads_back(spark, tmp_path):
-    import os
-
-    from martspark.sources.staging import stage_key, stage_table
-    df = spark.range(50).select((F.col("id") % 7).alias("d"), F.col("id"))
-    path = str(tmp_path / "t")
-    first = stage_table(spark, df, path, "d")
-    stamp = os.path.getmtime(os.path.join(path, "_SUCCESS"))
-    second = stage_table(spark, df, path, "d")
-    assert os.path.getmtime(os.path.join(path, "_SUCCESS")) == stamp
-    assert sorted(map(tuple, first.collect())) == sorted(map(tuple, second.collect())) == \
-        sorted(map(tuple, df.collect()))
-    assert stage_key(str(tmp_path)) != stage_key(str(tmp_path / "other"))
+def test_scratch_folder_is_the_shared_one(spark):
+    folder = scratch_dir(spark)
+    assert folder == scratch_dir(spark) and folder in (
+        (spark.conf.get("spark.checkpoint.dir", None) or "").rstrip("/"), (spark.sparkContext.getCheckpointDir() or "").rstrip("/"))
