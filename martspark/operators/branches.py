@@ -20,6 +20,7 @@ from martspark.operators.dims import Enterprise
 from martspark.operators.distinct import first_of
 from martspark.sources.schemas import ECONOMICS_AMOUNTS
 
+# FIXED VALUES: output names and their source columns, in the marts' positional order.
 ECON_MEASURES = [
     ("cm", "cm_amount"),
     ("cor", "cost_of_revenue_amount"),

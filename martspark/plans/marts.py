@@ -32,6 +32,7 @@ from martspark.sources.schemas import RPL_AMOUNT_COLUMNS
 # KPI mart
 # --------------------------------------------------------------------------
 
+# FIXED VALUES: the mart's column contract, names in positional order.
 KPI_KEYS = [
     "booking_month", "saudagar_id", "Food_id", "primary_cuisine_name", "restaurant_name",
     "service_area_name", "brand_id", "brand_name", "sf_entity_id", "sf_parent_entity_name",
@@ -203,6 +204,7 @@ def kpi_monthly(src: Sources, run_date: dt.date, mode: str = "left", tz: str = D
 # Promo-project mart
 # --------------------------------------------------------------------------
 
+# FIXED VALUES: the mart's column contract, names in positional order.
 PROMO_KEYS = [
     "booking_date", "general_group_name", "sf_entity_id", "sf_parent_entity_name", "restaurant_id",
     "restaurant_name", "brand_id", "brand_name", "subdistrict_name", "regency_name",
