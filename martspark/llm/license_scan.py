@@ -4,7 +4,7 @@ A notice with at most e edits is cut into e + 1 pieces; one piece must occur
 unchanged (pigeonhole). Exact occurrences of the pieces give windows, in which
 the `regex` library's bounded-error matching finds the notice, counts its
 edits and reports its span. Texts are compared as lower-case words joined by
-one space, so spans count words from 0.
+one space, so spans count words from 0 (the end is the first word after).
 
 Defined results: null or empty texts have no words, no matches and score 0.
 Repeated rows are scanned each on their own; null ids are kept; an empty
