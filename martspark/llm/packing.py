@@ -15,20 +15,22 @@ packed each on their own; null ids sort first. An empty table gives no pieces.
 from __future__ import annotations
 
 import os
-import re
 import zlib
 from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from martspark.llm.common import as_bytes, per_batch, slices, space_words
 
-BUCKETS, DIMENSIONS, BITS = 1024, 4, 12
-#: Words whose ids (or buckets) a Python worker remembers.
+BUCKETS, DIMENSIONS, BITS = 512, 4, 12
+#: Text in one range of the curve, which one task sorts and packs; documents sampled to find the ranges.
+RANGE_BYTES, SAMPLED = 32 << 20, 200_000
+#: Words whose ids a Python worker remembers at least (twice as many at most).
 CACHED_WORDS = 200_000
 SCHEMA = "doc_id long, start long, length long, ids binary, doc_tokens long, sequence_id long, offset long, curve_key long"
 
@@ -62,53 +64,111 @@ def hilbert_key(points: np.ndarray, bits: int = BITS) -> np.ndarray:
     return key
 
 
-class _Buckets(dict):
-    def __missing__(self, word: bytes) -> int:
-        if len(self) >= CACHED_WORDS:
-            self.clear()
-        bucket = self[word] = zlib.crc32(word) % BUCKETS
-        return bucket
+def _words(texts: pa.Array) -> tuple[list[str], np.ndarray, np.ndarray]:
+    """(distinct words, word number of each place, words of each text) of texts split at ASCII white space; null is empty."""
+    split = pc.ascii_split_whitespace(texts.cast(pa.large_string()).fill_null(""))
+    places = split.flatten().dictionary_encode()
+    return places.dictionary.to_pylist(), places.indices.to_numpy(), pc.list_value_length(split).to_numpy()
 
 
-def curve_keys(texts: list[bytes], seen: dict) -> np.ndarray:
+def curve_keys(texts: pa.Array) -> np.ndarray:
     """Hilbert keys of texts: log word counts in hashed buckets, unit length, randomly projected."""
-    words = [space_words(t) for t in texts]
-    place = np.concatenate([np.zeros(0, np.int64), *(i * BUCKETS + np.array(list(map(seen.__getitem__, w)), np.int64) for i, w in enumerate(words) if w)])
-    vectors = np.log1p(np.bincount(place, minlength=len(texts) * BUCKETS).reshape(len(texts), BUCKETS))
+    words = [space_words(t) for t in as_bytes(texts)]
+    place = [i * BUCKETS + np.fromiter(map(zlib.crc32, w), np.int64, len(w)) % BUCKETS for i, w in enumerate(words)]
+    where = np.concatenate([np.zeros(0, np.int64), *place])
+    vectors = np.log1p(np.bincount(where, minlength=len(texts) * BUCKETS).reshape(len(texts), BUCKETS))
     vectors /= np.maximum(1e-9, np.sqrt((vectors * vectors).sum(axis=1)))[:, None]
     plane = np.random.default_rng(7).standard_normal((BUCKETS, DIMENSIONS))
     spot = (np.tanh(vectors @ plane) + 1) / 2
     return hilbert_key(np.minimum((spot * (1 << BITS)).astype(np.int64), (1 << BITS) - 1))
 
 
-class _WordIds(dict):
-    """Ids of a word as little-endian unsigned 32-bit bytes."""
+#: Marks that the tokenizer parts from letters before them (no apostrophe, which may start `'s`).
+MARKS = "!\"#$%&()*+,-./:;=?@[\\]^_`{|}~"
 
-    def __init__(self, tokenizer):
-        super().__init__()
-        self.tokenizer = tokenizer
 
-    def __missing__(self, word: str) -> bytes:
-        if len(self) >= CACHED_WORDS:
-            self.clear()
-        ids = self.whole(word)
-        if len(word) <= 64:
-            self[word] = ids
-        return ids
+class WordIds:
+    """Token ids of texts, as little-endian unsigned 32-bit bytes, through a bounded memory of words.
 
-    def whole(self, text: str) -> bytes:
-        return np.array(self.tokenizer.encode(text, add_special_tokens=False).ids, "<u4").tobytes()
+    The tokenizer drops white space and never joins across it, so a text's ids are its words' ids. New words
+    are encoded together: words of letters two hundred at a time, told apart by their last tokens' `</w>`.
+    Marks after letters are tokens of their own.
+    """
 
+    def __init__(self, path: str):
+        os.environ["TOKENIZERS_PARALLELISM"] = "false"
+        from tokenizers import Tokenizer
 
-#: str.split() also parts words at these, which the tokenizer keeps inside words.
-_NO_SPACE = re.compile("[\x1c-\x1f]")
+        self.tokenizer = Tokenizer.from_file(path)
+        vocabulary = self.tokenizer.get_vocab()
+        self.last = np.zeros(max(vocabulary.values()) + 1, bool)
+        self.last[[i for w, i in vocabulary.items() if w.endswith("</w>")]] = True
+        self.new: dict[str, bytes] = {"": b""}
+        self.old: dict[str, bytes] = {}
+        self.marks = {"": b""}
 
+    def whole(self, text: str) -> bytes:
+        return np.array(self.tokenizer.encode(text, add_special_tokens=False).ids, "<u4").tobytes()
 
-def token_bytes(text: str, words: _WordIds) -> bytes:
-    """Ids of a text. The tokenizer drops white space and never joins across it, so words are looked up one by one."""
-    if _NO_SPACE.search(text):
-        return words.whole(text)
-    return b"".join(map(words.__getitem__, text.split()))
+    def _letters(self, words: list[str]) -> None:
+        """Ids of words of letters, encoded in lines of two hundred."""
+        lines = [words[i:i + 200] for i in range(0, len(words), 200)]
+        for line, encoded in zip(lines, self.tokenizer.encode_batch_fast([" ".join(x) for x in lines], add_special_tokens=False)):
+            ids = np.array(encoded.ids, "<u4")
+            ends = np.flatnonzero(self.last[ids]) + 1
+            if len(ends) != len(line) or ends[-1] != len(ids):  # a letter that the tokenizer parts
+                self.new.update((w, self.whole(w)) for w in line)
+                continue
+            raw, at = ids.tobytes(), 0
+            for word, end in zip(line, (4 * ends).tolist()):
+                self.new[word] = raw[at:end]
+                at = end
+
+    def learn(self, words: list[str]) -> None:
+        """Make all of `words` known; forgets words long unseen once too many are known."""
+        if len(self.new) > CACHED_WORDS:
+            self.old, self.new, self.marks = self.new, {"": b""}, {"": b""}
+        new, old, marks = self.new, self.old, self.marks
+        fresh = [w for w in words if w not in new]
+        if old:
+            new.update([(w, old[w]) for w in fresh if w in old])
+            fresh = [w for w in fresh if w not in old]
+        plain = [w for w in fresh if w.isalpha() and len(w) <= 64]
+        marked = [(w, w.rstrip(MARKS)) for w in fresh if not w.isalpha() or len(w) > 64]
+        cores = {core for _, core in marked if core.isalpha() and len(core) <= 64}
+        new.update([(core, old[core]) for core in cores if core in old])
+        cores.difference_update(plain)
+        self._letters(plain + [core for core in cores if core not in new])
+        for word, core in marked:
+            if core not in new:
+                new[word] = self.whole(word)
+                continue
+            mark = word[len(core):]
+            if mark not in marks:
+                marks[mark] = self.whole(mark)
+            new[word] = new[core] + marks[mark]
+
+    def of_texts(self, texts: pa.Array) -> list[bytes]:
+        """Ids of each text; ids are found word by word for the distinct words, then laid out in place."""
+        words, place, count = _words(texts)
+        self.learn(words)
+        parts = [self.new[w] for w in words]
+        size = np.array([len(x) for x in parts], np.int64) // 4
+        start, size = (np.cumsum(size) - size)[place], size[place]
+        ends = np.cumsum(size)
+        ids = np.frombuffer(b"".join(parts), "<u4")[np.repeat(start - ends + size, size) + np.arange(ends[-1] if len(ends) else 0)]
+        cuts = np.append(0, ends)[np.append(0, np.cumsum(count))]
+        return [ids[a:b].tobytes() for a, b in zip(cuts, cuts[1:])]
+
+
+_KNOWN: dict[str, WordIds] = {}
+
+
+def word_ids(path: str) -> WordIds:
+    """The Python worker's `WordIds` of a tokenizer, kept from task to task."""
+    if path not in _KNOWN:
+        _KNOWN[path] = WordIds(path)
+    return _KNOWN[path]
 
 
 def tokenizer_path(name: str = "word_bpe_49k.json") -> str:
@@ -118,25 +178,44 @@ def tokenizer_path(name: str = "word_bpe_49k.json") -> str:
     return str(public_tokenizers.path(name))
 
 
-def pack(docs: DataFrame, tokenizer_path: str, length: int = 2048, end_id: int = 1) -> DataFrame:
+def _keyed(bounds: np.ndarray):
+    """A `mapInArrow` function that adds each document's curve key and range."""
+    schema = pa.schema([("doc_id", pa.int64()), ("text", pa.string()), ("curve_key", pa.int64()), ("range", pa.int32())])
+
+    def of_batch(batch: pa.RecordBatch) -> pa.RecordBatch:
+        keys = curve_keys(batch.column(1))
+        ids = batch.column(0).cast(pa.int64())
+        own = np.array(list(zip(keys, ids.fill_null(np.iinfo(np.int64).min).to_numpy())), bounds.dtype)
+        return pa.RecordBatch.from_arrays([ids, batch.column(1).cast(pa.string()), pa.array(keys, pa.int64()), pa.array(np.searchsorted(bounds, own, side="right"), pa.int32())], schema=schema)
+    return per_batch(of_batch, 256)
+
+
+def curve_bounds(docs: DataFrame, range_bytes: int) -> np.ndarray:
+    """Bounds (key, id) that cut the curve into ranges of about `range_bytes` of text, from at most SAMPLED documents.
+
+    Like the sample of Spark's own range partitioning they only balance the ranges; every document is placed.
+    """
+    kind = np.dtype([("key", np.int64), ("id", np.int64)])
+    rows, size = docs.agg(F.count("*"), F.sum(F.octet_length("text"))).first()
+    ranges = max(1, -(-(size or 0) // range_bytes))
+    step = max(1, rows // min(SAMPLED, 100 * ranges))
+    if ranges == 1:
+        return np.zeros(0, kind)
+    sample = docs.select("doc_id", "text").where(F.pmod(F.xxhash64("doc_id"), F.lit(step)) == 0)
+    found = sample.mapInArrow(_keyed(np.zeros(0, kind)), "doc_id long, text string, curve_key long, range int").select("curve_key", "doc_id").toArrow()
+    spots = np.array(list(zip(found.column(0).to_numpy(), found.column(1).fill_null(np.iinfo(np.int64).min).to_numpy())), kind)
+    spots.sort(order=["key", "id"])
+    return spots[(np.arange(1, ranges) * len(spots)) // ranges] if len(spots) else spots
+
+
+def pack(docs: DataFrame, tokenizer_path: str, length: int = 2048, end_id: int = 1, range_bytes: int = RANGE_BYTES) -> DataFrame:
     """Pieces of documents laid into sequences: each has its token ids, and its place in document and sequence."""
     end = np.array([end_id], "<u4").tobytes()
-    keyed_schema = pa.schema([("doc_id", pa.int64()), ("text", pa.string()), ("curve_key", pa.int64())])
+    bounds = curve_bounds(docs, range_bytes)
     schema = pa.schema([(n, pa.binary() if t == "binary" else pa.int64()) for n, t in (x.split() for x in SCHEMA.split(", "))])
 
-    def keyed(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        seen = _Buckets()
-
-        def of_batch(batch: pa.RecordBatch) -> pa.RecordBatch:
-            keys = curve_keys(as_bytes(batch.column(1)), seen)
-            return pa.RecordBatch.from_arrays([batch.column(0).cast(pa.int64()), batch.column(1).cast(pa.string()), pa.array(keys, pa.int64())], schema=keyed_schema)
-        yield from per_batch(of_batch, 256)(batches)
-
     def packed(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        os.environ["TOKENIZERS_PARALLELISM"] = "false"
-        from tokenizers import Tokenizer
-
-        words = _WordIds(Tokenizer.from_file(tokenizer_path))
+        words = word_ids(tokenizer_path)
         sequence, filled = TaskContext.get().partitionId() << 40, 0
         last: list[tuple] = []  # pieces of the sequence that is being filled
         ready: list[tuple] = []
@@ -144,9 +223,9 @@ def pack(docs: DataFrame, tokenizer_path: str, length: int = 2048, end_id: int =
         def batch_of(rows: list[tuple]) -> pa.RecordBatch:
             return pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(zip(*rows), schema.types)], schema=schema)
 
-        for batch in slices(batches, 256):
-            for doc_id, text, key in zip(*(batch.column(i).to_pylist() for i in range(3))):
-                ids = token_bytes(text or "", words) + end
+        for batch in slices(batches, 512):
+            for doc_id, ids, key in zip(batch.column(0).to_pylist(), words.of_texts(batch.column(1)), batch.column(2).to_pylist()):
+                ids += end
                 start, total = 0, len(ids) // 4
                 while start < total:
                     n = min(total - start, length - filled)
@@ -175,8 +254,8 @@ def pack(docs: DataFrame, tokenizer_path: str, length: int = 2048, end_id: int =
         if ready:
             yield batch_of(ready)
 
-    near = docs.select("doc_id", "text").mapInArrow(keyed, "doc_id long, text string, curve_key long")
-    return near.repartitionByRange("curve_key", "doc_id").sortWithinPartitions("curve_key", "doc_id").mapInArrow(packed, SCHEMA)
+    placed = docs.select("doc_id", "text").mapInArrow(_keyed(bounds), "doc_id long, text string, curve_key long, range int")
+    return placed.repartitionById(len(bounds) + 1, "range").sortWithinPartitions("curve_key", "doc_id").mapInArrow(packed, SCHEMA)
 
 
 def pieces(docs: DataFrame, tokenizer_path: str, length: int = 2048, end_id: int = 1) -> DataFrame:
