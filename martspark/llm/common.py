@@ -50,10 +50,19 @@ def small(df: DataFrame, limit: int = BROADCAST_ROWS) -> DataFrame:
     return F.broadcast(df) if df.count() <= limit else df
 
 
-def without(docs: DataFrame, gone: DataFrame) -> DataFrame:
-    """The documents that `gone` (doc_id, text_hash = xxhash64 of the text) doesn't name; all columns stay."""
-    named = gone.select(F.col("doc_id").alias("__gone_id"), F.col("text_hash").alias("__gone_hash"))
-    return docs.join(named, docs["doc_id"].eqNullSafe(F.col("__gone_id")) & (F.xxhash64(docs["text"]) == F.col("__gone_hash")), "left_anti")
+def _named(docs: DataFrame, names: DataFrame, how: str) -> DataFrame:
+    names = small(stored(names.select(F.col("doc_id").alias("__id"), F.col("text_hash").alias("__hash")), "names"))
+    return docs.join(names, docs["doc_id"].eqNullSafe(F.col("__id")) & (F.xxhash64(docs["text"]) == F.col("__hash")), how)
+
+
+def without(docs: DataFrame, names: DataFrame) -> DataFrame:
+    """The documents that `names` (doc_id, text_hash = xxhash64 of the text) doesn't name; all columns stay."""
+    return _named(docs, names, "left_anti")
+
+
+def picked(docs: DataFrame, names: DataFrame) -> DataFrame:
+    """The documents that `names` names."""
+    return _named(docs, names, "left_semi")
 
 
 def ascii_lower(text: Column) -> Column:

@@ -14,12 +14,13 @@ Which signatures are written, without losing a pair:
   an order that both sides of a pair share.
 * Features that very many documents have are left out of the partitions
   (differences only get fewer). A set with too few other partitions also
-  writes single features by the same rule, commonest last.
+  writes single features: a quarter of its own may be missing in the other,
+  so a quarter, plus one, of them does, the commonest last.
 * Bands double in size. A set up to 4/3 of the next smaller band's end
   also writes that band's signatures.
 
 Sets that share a signature are verified exactly: each with the group's
-first set; then, once components are known, across the components of a
+first set and with its neighbour; then, once components are known, across the components of a
 group. An odd sketch (parities of hashed features) whose bits differ
 in more places than the sets may, rules a pair out. Pairs inside a component
 need no test, so copies are never expanded into all pairs, and no pair is lost.
@@ -40,12 +41,14 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from martspark.llm.common import as_bytes, per_batch, slices, space_words, stored, without
+from martspark.llm.common import as_bytes, per_batch, picked, slices, space_words, stored, without
 from martspark.llm.components import connected_components
 
 SHINGLE = 5
 #: Rows that a group comparison holds at a time; larger groups are cut into pairs of blocks.
 BLOCK = 2048
+#: Groups of up to so many rows are compared together, array by array.
+SMALL = 24
 #: Features that are told apart as common: at least this often in a task, then the commonest overall.
 COMMON_IN_TASK, COMMON_FEATURES = 8, 100_000
 CACHED_WORDS = 300_000
@@ -94,17 +97,34 @@ def sketch_bits(n: int) -> int:
 
 
 def odd_sketch(features: np.ndarray) -> bytes:
+    """Parities of the features hashed to `sketch_bits` places: sets that differ in d features differ in at most d bits."""
     m = sketch_bits(len(features))
     place = (_mix(features + U(77)) & U(m - 1)).astype(np.int64)
     return np.packbits((np.bincount(place, minlength=m) & 1).astype(np.uint8)).tobytes()
 
 
-def folded(sketch: bytes, bits: int) -> np.ndarray:
-    """A sketch brought to fewer bits: halves laid over each other."""
-    x = np.frombuffer(sketch, np.uint8)
-    while len(x) * 8 > bits:
-        x = x[: len(x) // 2] ^ x[len(x) // 2:]
-    return x.view(U)
+def coarse(sketch: bytes) -> bytes:
+    """A sketch at a quarter of its bits, for the first test of many pairs."""
+    return folded(np.frombuffer(sketch, np.uint8), max(64, 2 * len(sketch))).tobytes()
+
+
+def folded(sketches: np.ndarray, bits: int) -> np.ndarray:
+    """Sketches (bytes in the last axis) brought to fewer bits: halves laid over each other."""
+    while sketches.shape[-1] * 8 > bits:
+        half = sketches.shape[-1] // 2
+        sketches = sketches[..., :half] ^ sketches[..., half:]
+    return np.ascontiguousarray(sketches).view(U)
+
+
+def within(sa: list[bytes], sb: list[bytes], total: np.ndarray) -> np.ndarray:
+    """Whether each pair of sketches differs in at most total / 7 bits; total: the sets' sizes added."""
+    la, lb = np.array([len(x) for x in sa], np.int64), np.array([len(x) for x in sb], np.int64)
+    ok = np.zeros(len(sa), bool)
+    for x, y in set(zip(la.tolist(), lb.tolist())):
+        pick = np.flatnonzero((la == x) & (lb == y))
+        a, b = (folded(np.frombuffer(b"".join([s[i] for i in pick]), np.uint8).reshape(len(pick), -1), 8 * min(x, y)) for s in (sa, sb))
+        ok[pick] = 7 * np.bitwise_count(a ^ b).sum(axis=1, dtype=np.int64) <= total[pick]
+    return ok
 
 
 def _ranked(doc: np.ndarray, n: int) -> np.ndarray:
@@ -112,8 +132,10 @@ def _ranked(doc: np.ndarray, n: int) -> np.ndarray:
     return np.arange(len(doc)) - np.searchsorted(doc, np.arange(n))[doc]
 
 
-def band_signatures(h: np.ndarray, doc: np.ndarray, band: np.ndarray, need: np.ndarray, common: tuple[np.ndarray, np.ndarray]) -> tuple[np.ndarray, np.ndarray]:
-    """(signature, document) of sets in the given bands; `need` = most differences + 1. Features sorted by document and value.
+def band_signatures(h: np.ndarray, doc: np.ndarray, band: np.ndarray, need: np.ndarray, lone: np.ndarray, common: tuple[np.ndarray, np.ndarray]) -> tuple[np.ndarray, np.ndarray]:
+    """(signature, document) of sets in the given bands. Features sorted by document and value.
+
+    need: most differences + 1; lone: most features that the other set may lack, + 1.
 
     common: common features sorted by value, and how common each is (its rank).
     """
@@ -145,7 +167,7 @@ def band_signatures(h: np.ndarray, doc: np.ndarray, band: np.ndarray, need: np.n
     h1, doc1 = h[own], doc[own]
     order = np.lexsort((h1, often[own], doc1))
     h1, doc1 = h1[order], doc1[order]
-    keep1 = _ranked(doc1, n) < need[doc1]
+    keep1 = _ranked(doc1, n) < lone[doc1]
     single = _mix(h1 + (band[doc1] + 1000).astype(U))
     return np.concatenate([sign[keep], single[keep1]]), np.concatenate([of[keep], doc1[keep1]])
 
@@ -160,7 +182,7 @@ def signatures(features: np.ndarray, ends: np.ndarray, common: tuple[np.ndarray,
     for picked, level, need in ((n >= 3, band, n // 3 + 1), ((n >= 3) & (3 * n <= 4 * below), band - 1, (n + below) // 7 + 1)):
         number = np.cumsum(picked) - 1
         mine = picked[doc]
-        s, d = band_signatures(features[mine], number[doc[mine]], level[picked], need[picked], common)
+        s, d = band_signatures(features[mine], number[doc[mine]], level[picked], need[picked], n[picked] // 4 + 1, common)
         out.append((s, np.flatnonzero(picked)[d]))
     return np.concatenate([s for s, _ in out]), np.concatenate([d for _, d in out])
 
@@ -177,7 +199,7 @@ def _hashes(features: np.ndarray, ends: np.ndarray) -> np.ndarray:
 
 def describe(docs: DataFrame) -> DataFrame:
     """One row per document (doc_id, n, h1, h2, sketch), and rows (feature, df) of features common in a task."""
-    schema = pa.schema([("doc_id", pa.int64()), ("n", pa.int64()), ("h1", pa.int64()), ("h2", pa.int64()), ("sketch", pa.binary()), ("feature", pa.int64()), ("df", pa.int64()), ("text_hash", pa.int64())])
+    schema = pa.schema([("doc_id", pa.int64()), ("n", pa.int64()), ("h1", pa.int64()), ("h2", pa.int64()), ("sketch", pa.binary()), ("coarse", pa.binary()), ("feature", pa.int64()), ("df", pa.int64()), ("text_hash", pa.int64())])
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         seen = _WordHashes()
@@ -196,7 +218,7 @@ def describe(docs: DataFrame) -> DataFrame:
             sketches = [odd_sketch(features[a:b]) if b - a >= 3 else None for a, b in zip(cuts, cuts[1:])]
             h = _hashes(features, ends)
             none = pa.nulls(len(n), pa.int64())
-            yield pa.RecordBatch.from_arrays([batch.column(0).cast(pa.int64()), pa.array(n, pa.int64()), pa.array(h[:, 0]), pa.array(h[:, 1]), pa.array(sketches, pa.binary()), none, none, batch.column(2)], schema=schema)
+            yield pa.RecordBatch.from_arrays([batch.column(0).cast(pa.int64()), pa.array(n, pa.int64()), pa.array(h[:, 0]), pa.array(h[:, 1]), pa.array(sketches, pa.binary()), pa.array([x and coarse(x) for x in sketches], pa.binary()), none, none, batch.column(2)], schema=schema)
             held.append((features, np.ones(len(features), np.int64)))
             if sum(len(v) for v, _ in held) > 1_500_000:
                 merge()
@@ -205,9 +227,10 @@ def describe(docs: DataFrame) -> DataFrame:
             value, total = held[0]
             often = total >= COMMON_IN_TASK
             none = pa.nulls(int(often.sum()), pa.int64())
-            yield pa.RecordBatch.from_arrays([none, none, none, none, pa.nulls(len(none), pa.binary()), pa.array(value[often].view(np.int64)), pa.array(total[often]), none], schema=schema)
+            blank = pa.nulls(len(none), pa.binary())
+            yield pa.RecordBatch.from_arrays([none, none, none, none, blank, blank, pa.array(value[often].view(np.int64)), pa.array(total[often]), none], schema=schema)
 
-    return docs.select("doc_id", "text", F.xxhash64("text")).mapInArrow(run, "doc_id long, n long, h1 long, h2 long, sketch binary, feature long, df long, text_hash long")
+    return docs.select("doc_id", "text", F.xxhash64("text")).mapInArrow(run, "doc_id long, n long, h1 long, h2 long, sketch binary, coarse binary, feature long, df long, text_hash long")
 
 
 def write_signatures(docs: DataFrame, common: list[int]) -> DataFrame:
@@ -228,8 +251,11 @@ def write_signatures(docs: DataFrame, common: list[int]) -> DataFrame:
 
 
 def shared_signatures(rows: DataFrame) -> DataFrame:
-    """(signature, h1, first) of signatures that two or more sets share; first: the smallest h1. One sorted pass."""
-    schema = pa.schema([("signature", pa.int64()), ("h1", pa.int64()), ("first", pa.int64())])
+    """(signature, h1, first, before) of signatures that two or more sets share, in one sorted pass.
+
+    first: the group's smallest h1; before: the one before this (its own for the first).
+    """
+    schema = pa.schema([(c, pa.int64()) for c in ("signature", "h1", "first", "before")])
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         last = np.zeros((0, 2), np.int64)  # the last distinct row so far, not yet given out unless `shared`
@@ -255,11 +281,11 @@ def shared_signatures(rows: DataFrame) -> DataFrame:
             give = many[group]
             if known:
                 give[0] = False  # given out before
-            out = rows[give]
-            yield pa.RecordBatch.from_arrays([pa.array(out[:, 0]), pa.array(out[:, 1]), pa.array(firsts[group][give])], schema=schema)
+            out, before = rows[give], np.where(head, rows[:, 1], np.roll(rows[:, 1], 1))
+            yield pa.RecordBatch.from_arrays([pa.array(out[:, 0]), pa.array(out[:, 1]), pa.array(firsts[group][give]), pa.array(before[give])], schema=schema)
             first, shared, last = int(firsts[-1]), bool(many[-1]), rows[-1:]
 
-    return rows.repartition("signature").sortWithinPartitions("signature", "h1").mapInArrow(run, "signature long, h1 long, first long")
+    return rows.repartition("signature").sortWithinPartitions("signature", "h1").mapInArrow(run, "signature long, h1 long, first long, before long")
 
 
 def _may_link(na: np.ndarray, nb: np.ndarray) -> np.ndarray:
@@ -272,12 +298,7 @@ def promising(pairs: DataFrame) -> DataFrame:
 
     def of_batch(batch: pa.RecordBatch) -> pa.RecordBatch:
         a, b, na, nb = (batch.column(i).to_numpy() for i in range(4))
-        keep = _may_link(na, nb)
-        sa, sb = batch.column(4), batch.column(5)
-        for i in np.flatnonzero(keep):
-            x, y = sa[i].as_py(), sb[i].as_py()
-            bits = 8 * min(len(x), len(y))
-            keep[i] = 7 * int(np.bitwise_count(folded(x, bits) ^ folded(y, bits)).sum()) <= na[i] + nb[i]
+        keep = _may_link(na, nb) & within(batch.column(4).to_pylist(), batch.column(5).to_pylist(), na + nb)
         return pa.RecordBatch.from_arrays([pa.array(a[keep]), pa.array(b[keep])], schema=schema)
 
     return pairs.select("a", "b", "na", "nb", "sa", "sb").mapInArrow(per_batch(of_batch, 2048), "a long, b long")
@@ -290,54 +311,67 @@ def across(members: DataFrame) -> DataFrame:
     """
     schema = pa.schema([("a", pa.int64()), ("b", pa.int64())])
 
-    def compare(rows: list[pa.RecordBatch]) -> np.ndarray:
-        part = pa.Table.from_batches(rows)
-        block, node, n, component = (part.column(c).to_numpy() for c in ("block", "node", "n", "component"))
-        sketches = part.column("sketch").to_pylist()
-        bits = 8 * min(map(len, sketches))
-        sketch = np.stack([folded(s, bits) for s in sketches])
-        two = len(np.unique(block)) > 1
-        value, count = np.unique(component, return_counts=True)
+    def small_groups(group: np.ndarray, size: np.ndarray, may) -> list[np.ndarray]:
+        """Index pairs within groups of up to SMALL rows, for all groups at once: rows at each distance."""
         found = [np.zeros((0, 2), np.int64)]
-        outside = np.flatnonzero(component != value[count.argmax()])
-        step = max(1, (1 << 21) // max(1, sketch.size))
-        for at in range(0, len(outside), step):
-            x = outside[at:at + step]
-            near = _may_link(n[x][:, None], n) & (component[x][:, None] != component)
-            if two:
-                near &= block[x][:, None] != block
-            u, v = np.nonzero(near)
-            for cut in range(0, len(u), 1 << 16):
-                i, j = x[u[cut:cut + (1 << 16)]], v[cut:cut + (1 << 16)]
-                close = 7 * np.bitwise_count(sketch[i] ^ sketch[j]).sum(axis=1, dtype=np.int64) <= n[i] + n[j]
-                found.append(np.stack([np.minimum(node[i], node[j])[close], np.maximum(node[i], node[j])[close]], axis=1))
-        return np.concatenate(found)
+        low = size[group] <= SMALL
+        for d in range(1, min(SMALL, int(size.max())) if low.any() else 1):
+            x = np.flatnonzero(low[:-d] & (group[:-d] == group[d:]))
+            x = x[may(x, x + d)]
+            found.append(np.stack([x, x + d], axis=1))
+        return found
+
+    def large_group(at: np.ndarray, component: np.ndarray, may) -> list[np.ndarray]:
+        """Index pairs between what is outside the group's largest component and all of the group."""
+        value, count = np.unique(component[at], return_counts=True)
+        found = []
+        for x in at[component[at] != value[count.argmax()]]:
+            near = at[may(np.full(len(at), x), at)]
+            found.append(np.stack([np.full(len(near), x), near], axis=1))
+        return found
+
+    def compare(keys, block, node, n, component, sketch) -> np.ndarray:
+        """(a, b) of promising pairs in whole groups, rows sorted by group."""
+        head = np.ones(len(keys), bool)
+        head[1:] = (keys[1:] != keys[:-1]).any(axis=1)
+        group = np.cumsum(head) - 1
+        size, first = np.bincount(group), np.flatnonzero(head)
+        one = keys[:, 1] == keys[:, 2]  # a group of one block: all its pairs count
+
+        def may(x, y):
+            return (component[x] != component[y]) & (one[x] | (block[x] != block[y])) & _may_link(n[x], n[y])
+
+        found = small_groups(group, size, may)
+        for g in np.flatnonzero(size > SMALL):
+            found += large_group(np.arange(first[g], first[g] + size[g]), component, may)
+        x, y = np.concatenate(found).T
+        pairs, where = np.unique(np.stack([np.minimum(node[x], node[y]), np.maximum(node[x], node[y])], axis=1), axis=0, return_index=True)
+        ok = np.zeros(len(pairs), bool)
+        for cut in range(0, len(pairs), 1 << 15):
+            i, j = x[where[cut:cut + (1 << 15)]], y[where[cut:cut + (1 << 15)]]
+            ok[cut:cut + (1 << 15)] = within([sketch[k] for k in i], [sketch[k] for k in j], n[i] + n[j])
+        return pairs[ok]
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        key, held, found = None, [], []
+        held = None  # rows of the group that the next batch may go on with
 
-        def give() -> pa.RecordBatch:
-            pairs = np.unique(np.concatenate([np.zeros((0, 2), np.int64), *found]), axis=0)
-            found.clear()
+        def give(pairs: np.ndarray) -> pa.RecordBatch:
             return pa.RecordBatch.from_arrays([pa.array(pairs[:, 0]), pa.array(pairs[:, 1])], schema=schema)
 
         for batch in batches:
-            keys = np.stack([batch.column(i).to_numpy() for i in range(3)], axis=1)
-            cuts = [0, *(np.flatnonzero((keys[1:] != keys[:-1]).any(axis=1)) + 1), len(keys)]
-            for a, b in zip(cuts, cuts[1:]):
-                if a == b:
-                    continue
-                if key != tuple(keys[a]):
-                    if held:
-                        found.append(compare(held))
-                    key, held = tuple(keys[a]), []
-                    if sum(map(len, found)) > 500_000:
-                        yield give()
-                held.append(batch.slice(a, b - a))
-        if held:
-            found.append(compare(held))
-        if found:
-            yield give()
+            cols = [batch.column(c).to_numpy() for c in range(6)]
+            rows = [np.stack(cols[:3], axis=1), *cols[3:], batch.column(7).to_numpy(), batch.column(6).to_pylist()]
+            if held is not None:
+                rows = [a + b if isinstance(a, list) else np.concatenate([a, b]) for a, b in zip(held, rows)]
+            if not len(rows[0]):
+                continue
+            change = np.flatnonzero((rows[0][1:] != rows[0][:-1]).any(axis=1))
+            last = change[-1] + 1 if len(change) else 0
+            held = [x[last:] for x in rows]
+            if last:
+                yield give(compare(*(x[:last] for x in rows)))
+        if held is not None:
+            yield give(compare(*held))
 
     return members.select("signature", "i", "j", "block", "node", "n", "sketch", "component").repartition("signature", "i", "j") \
         .sortWithinPartitions("signature", "i", "j").mapInArrow(run, "a long, b long")
@@ -384,30 +418,35 @@ def link(docs: DataFrame) -> DataFrame:
               .orderBy(F.desc("df"), "feature").limit(COMMON_FEATURES).collect()][::-1]
     base = rows.where("feature is null")
     classes = stored(
-        base.where("doc_id is not null and n > 0").groupBy("h1", "h2").agg(F.min(F.struct("doc_id", "n", "sketch")).alias("c"))
-        .select("h1", "h2", F.col("c.doc_id").alias("node"), F.col("c.n").alias("n"), F.col("c.sketch").alias("sketch")), "classes")
+        base.where("doc_id is not null and n > 0").groupBy("h1", "h2").agg(F.min(F.struct("doc_id", "n", "sketch", "coarse")).alias("c"))
+        .select("h1", "h2", F.col("c.doc_id").alias("node"), F.col("c.n").alias("n"), F.col("c.sketch").alias("sketch"), F.col("c.coarse").alias("coarse")), "classes")
     shared = stored(shared_signatures(write_signatures(docs, common)), "shared-signatures")
-    known = classes.where("n >= 3").select("h1", "node", "n", "sketch")
-
-    # Each set with its group's first set.
-    ends = shared.where("h1 <> first").select("first", "h1").distinct()
-    one = known.select(F.col("h1").alias("first"), F.col("node").alias("a"), F.col("n").alias("na"), F.col("sketch").alias("sa"))
-    other = known.select("h1", F.col("node").alias("b"), F.col("n").alias("nb"), F.col("sketch").alias("sb"))
-    stars = stored(promising(ends.join(one, "first").join(other, "h1").where("4 * least(na, nb) >= 3 * greatest(na, nb)")), "star-pairs")
+    known = classes.where("n >= 3").select("h1", "node", "n")
+
+    def tested(pairs: DataFrame, sketch: str) -> DataFrame:
+        own = lambda side: classes.select(F.col("node").alias(side), F.col("n").alias(f"n{side}"), F.col(sketch).alias(f"s{side}"))
+        return promising(pairs.join(own("a"), "a").join(own("b"), "b"))
+
+    # Each set with its group's first set, and with the one before it.
+    ends = shared.select(F.explode(F.array_distinct(F.array("first", "before"))).alias("first"), "h1").where("h1 <> first").distinct()
+    one = known.select(F.col("h1").alias("first"), F.col("node").alias("a"), F.col("n").alias("na"))
+    other = known.select("h1", F.col("node").alias("b"), F.col("n").alias("nb"))
+    near = ends.join(one, "first").join(other, "h1").where("4 * least(na, nb) >= 3 * greatest(na, nb)").select("a", "b")
+    stars = stored(tested(tested(near, "coarse"), "sketch"), "star-pairs")
     links = stored(verified(docs, classes, stars), "star-links")
     labels = stored(connected_components(links), "components")
 
     # Across the components of a group.
     members = shared.select("signature", "h1").join(known, "h1").join(labels.withColumnRenamed("component", "label"), "node", "left") \
-        .select("signature", "node", "n", "sketch", F.coalesce("label", "node").alias("component"))
+        .select("signature", "node", "n", F.coalesce("label", "node").alias("component"))
     mixed = (
         members.groupBy("signature").agg(F.min("component").alias("lo"), F.max("component").alias("hi"), F.count("*").alias("size"))
         .where("lo < hi").select("signature", F.ceil(F.col("size") / BLOCK).cast("int").alias("blocks"))
     )
     dealt = members.join(mixed, "signature").withColumn("block", F.pmod(F.xxhash64("node"), F.col("blocks")).cast("int"))
-    grouped = dealt.withColumn("k", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1))) \
+    grouped = dealt.join(classes.select("node", F.col("coarse").alias("sketch")), "node").withColumn("k", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1))) \
         .withColumn("i", F.least("block", "k")).withColumn("j", F.greatest("block", "k"))
-    rest = stored(across(grouped).distinct(), "cross-pairs")
+    rest = stored(tested(across(grouped).distinct(), "sketch"), "cross-pairs")
     more = stored(verified(docs, classes, rest), "cross-links")
     component = F.coalesce("component", F.col("x"))
     named = lambda side: more.select(F.col(side).alias("x"), "a", "b").join(labels, F.col("x") == F.col("node"), "left").select("a", "b", component.alias(f"c{side}"))
@@ -425,8 +464,9 @@ def one_of_each(docs: DataFrame) -> DataFrame:
 
     Rows with a null id, and documents without words, stay.
     """
-    gone = link(docs).where("doc_id <> component_id").select("doc_id", "text_hash").distinct()
-    again = [F.col("doc_id"), F.xxhash64("text"), F.when(F.col("doc_id").isNull(), F.monotonically_increasing_id())]
-    names = [f"__same_{i}" for i in range(len(again))]
-    rows = without(docs, gone).select("*", *[c.alias(n) for c, n in zip(again, names)])
-    return rows.dropDuplicates(names).drop(*names)
+    linked = stored(link(docs), "linked").where("doc_id is not null").groupBy("doc_id", "text_hash").agg(
+        F.min("component_id").alias("component_id"), F.count("*").alias("n"))
+    gone = linked.where("doc_id <> component_id").select("doc_id", "text_hash")
+    repeated = linked.where("doc_id = component_id and n > 1").select("doc_id", "text_hash")
+    one = picked(docs, repeated).dropDuplicates(["doc_id", "text"])
+    return without(docs, gone.unionByName(repeated)).unionByName(one)
