@@ -20,7 +20,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from martspark.llm.common import ascii_lower, small, stored
+from martspark.llm.common import ascii_lower, small, stored, without
 
 #: What parts words before A-Z are lower-cased.
 PARTS = r"[\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+"
@@ -32,10 +32,7 @@ def places(text: Column) -> Column:
 
 
 def word_count(text: Column) -> Column:
-    w = places(text)
-    outer = lambda at: F.when(F.element_at(w, at) == "", 1).otherwise(0)
-    n = F.size(w) - outer(1) - F.when(F.size(w) > 1, outer(-1)).otherwise(0)
-    return F.coalesce(F.when(text.isNotNull(), n), F.lit(0)).cast("long")
+    return F.when(text.isNotNull(), F.size(F.array_remove(places(text), ""))).otherwise(0).cast("long")
 
 
 def item_words(items: DataFrame) -> DataFrame:
@@ -104,8 +101,9 @@ def whole_windows(docs: DataFrame, items: DataFrame, candidates: DataFrame, wind
     )
     wanted = asked.select(F.col("doc_id").alias("d"), F.col("text_hash").alias("h"), "asked")
     texts = (
-        docs.withColumn("text_hash", F.xxhash64("text")).distinct()
+        docs.withColumn("text_hash", F.xxhash64("text"))
         .join(wanted, F.col("doc_id").eqNullSafe(F.col("d")) & (F.col("text_hash") == F.col("h")))
+        .dropDuplicates(["doc_id", "text_hash"])  # of the few that are left
         .select("doc_id", "text_hash", places(ascii_lower(F.col("text"))).alias("own"), F.explode("asked").alias("c"))
     )
     start, skip, length = F.greatest(F.col("c.diagonal"), F.lit(0)), F.greatest(-F.col("c.diagonal"), F.lit(0)), F.size("c.words")
