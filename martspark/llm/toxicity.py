@@ -30,6 +30,8 @@ from martspark.llm.common import alnum_words, as_bytes, per_batch, stored
 SAMPLE_DOCUMENTS = 12_000
 #: Most words with a weight.
 VOCABULARY = 2_000
+#: Least log-likelihood ratio of a word with a weight: one in a thousand words that tell nothing has more.
+LEAST_RATIO = 10.83
 
 
 @dataclass
@@ -93,11 +95,12 @@ def _counts(texts: list[bytes], words: dict[bytes, int]) -> tuple[np.ndarray, np
     return counts, sizes
 
 
-def vocabulary(sample: DataFrame, size: int = VOCABULARY, least_share: float = 0.2) -> list[tuple[str, bool]]:
+def vocabulary(sample: DataFrame, size: int = VOCABULARY, least_ratio: float = LEAST_RATIO) -> list[tuple[str, bool]]:
     """(word, leans to toxic documents) of the words that tell most about the label. Input: toxic, text.
 
-    Measure: the log-likelihood ratio of word and label over distinct texts; kept are words with at
-    least `least_share` of the best word's, at most `size`.
+    Measure: the log-likelihood ratio of word and label over distinct texts; kept are words with at least
+    `least_ratio`, at most `size`. The bound is the same for all words, so a frequent toxic vocabulary
+    doesn't displace a rare one (that of another language); the fit weighs them.
     """
     def distinct(batch: pa.RecordBatch) -> pa.RecordBatch:
         sets = [{w for w in alnum_words(t) if len(w) <= 64} for t in as_bytes(batch.column(1))]
@@ -117,10 +120,9 @@ def vocabulary(sample: DataFrame, size: int = VOCABULARY, least_share: float = 0
         texts.mapInArrow(per_batch(distinct, 128), "toxic int, word string")
         .groupBy("word").agg(F.count_if(F.col("toxic") == 1).cast("double").alias("a"), F.count_if(F.col("toxic") == 0).cast("double").alias("b"))
         .where("a + b >= 3").select("word", (a / n1 > b / n0).alias("leans"), F.round(ratio, 6).alias("ratio"))
-        .orderBy(F.desc("ratio"), "word").limit(size)
+        .where(F.col("ratio") >= least_ratio).orderBy(F.desc("ratio"), "word").limit(size)
     )
-    rows = found.collect()
-    return [(r.word, r.leans) for r in rows if r.ratio >= least_share * rows[0].ratio and r.ratio >= 6]
+    return [(r.word, r.leans) for r in found.collect()]
 
 
 def fit(docs: DataFrame, labels: DataFrame, sample: int = SAMPLE_DOCUMENTS, n_grades: int = 4) -> Model:

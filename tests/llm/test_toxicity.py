@@ -28,6 +28,22 @@ def test_held_out_accuracy(spark, words):
     assert all(0 <= r.expected_severity <= 3 for r in got.values())
 
 
+def test_a_rare_toxic_lexicon_counts_beside_a_frequent_one(spark, words):
+    pick, rows = random.Random(4), []
+    lexicons = {"frequent": ["vileword", "badword", "uglyword"], "rare": ["böswort", "übelwort", "fieswort"]}
+    for i in range(2000):
+        text, kind = words(pick.randint(20, 200)).split(), "frequent" if i % 5 == 0 else "rare" if i % 50 == 1 else "clean"
+        for word in lexicons.get(kind, []):
+            text.insert(pick.randrange(len(text)), word)
+        rows.append((i, " ".join(text), kind))
+    docs = spark.createDataFrame([(i, t) for i, t, _ in rows], "doc_id long, text string")
+    labels = spark.createDataFrame([(i, int(k != "clean")) for i, _, k in rows if i < 1000], "doc_id long, toxic int")
+    rejected = {r.doc_id for r in T.grade_documents(docs, labels).collect() if r.toxic}
+    held = {kind: {i for i, _, k in rows if i >= 1000 and k == kind} for kind in ("frequent", "rare", "clean")}
+    assert len(held["rare"]) == 20 and held["rare"] <= rejected and held["frequent"] <= rejected
+    assert len(rejected & held["clean"]) <= 0.01 * len(held["clean"])
+
+
 def test_fit_orders_thresholds_and_shares_weights():
     pick = np.random.default_rng(3)
     x = pick.random((2000, 3))
