@@ -7,7 +7,8 @@ expected severity. Labels say only toxic or not; toxic training documents
 are graded by their density of words that lean to toxic documents.
 
 The model is fitted on at most `sample` labelled documents (chosen by a hash
-of their id); everything else reads all rows and whole texts.
+of their id), one text of each id (the first by hash), so that an id that repeats
+weighs no more than others; everything else reads all rows and whole texts.
 
 Defined results: null or empty texts have no features. Labels that are null
 are ignored; of repeated labels of one id the highest counts. Without toxic
@@ -125,6 +126,12 @@ def vocabulary(sample: DataFrame, size: int = VOCABULARY, least_ratio: float = L
     return [(r.word, r.leans) for r in found.collect()]
 
 
+def one_text_of_each(rows: DataFrame) -> DataFrame:
+    """doc_id, toxic, text: the text of the smallest hash of every id, combined before the shuffle."""
+    first = F.min(F.struct(F.xxhash64("text").alias("hash"), "text"))
+    return rows.groupBy("doc_id", "toxic").agg(first.alias("first")).select("doc_id", "toxic", "first.text")
+
+
 def fit(docs: DataFrame, labels: DataFrame, sample: int = SAMPLE_DOCUMENTS, n_grades: int = 4) -> Model:
     """Fit on at most `sample` labelled documents. Input: doc_id, text and doc_id, toxic."""
     chosen = (
@@ -133,7 +140,7 @@ def fit(docs: DataFrame, labels: DataFrame, sample: int = SAMPLE_DOCUMENTS, n_gr
         .orderBy(F.xxhash64("doc_id"), "doc_id").limit(sample)
     )
     texts = docs.select("doc_id", "text").where("doc_id is not null and text is not null")
-    held = stored(texts.join(F.broadcast(chosen), "doc_id").select("doc_id", "toxic", "text"), "toxicity-sample")  # at most `sample` ids
+    held = stored(one_text_of_each(texts.join(F.broadcast(chosen), "doc_id")), "toxicity-sample")  # at most `sample` rows
     known = vocabulary(held)
     if not known:
         return Model(thresholds=np.full(n_grades - 1, 30.0))

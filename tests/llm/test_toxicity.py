@@ -44,6 +44,18 @@ def test_a_rare_toxic_lexicon_counts_beside_a_frequent_one(spark, words):
     assert len(rejected & held["clean"]) <= 0.01 * len(held["clean"])
 
 
+def test_a_repeated_id_gives_the_fit_one_row(spark, words, monkeypatch):
+    seen, fit_ordinal = [], T.fit_ordinal
+    monkeypatch.setattr(T, "fit_ordinal", lambda row, col, value, grade, *a: seen.append(grade) or fit_ordinal(row, col, value, grade, *a))
+    rows = corpus(words, 200, 3)
+    labels = spark.createDataFrame([(i, y) for i, _, y in rows], "doc_id long, toxic int")
+    copies = [(5, rows[5][1])] * 300 + [(6, words(30)) for _ in range(300)]
+    docs = spark.createDataFrame([(i, t) for i, t, _ in rows] + copies, "doc_id long, text string")
+    model = T.fit(docs.repartition(4), labels)
+    assert len(seen[0]) == 200 and sum(seen[0] > 0) == 40
+    assert T.grade(docs, model).count() == 800
+
+
 def test_fit_orders_thresholds_and_shares_weights():
     pick = np.random.default_rng(3)
     x = pick.random((2000, 3))
