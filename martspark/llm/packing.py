@@ -83,7 +83,7 @@ def curve_keys(texts: pa.Array) -> np.ndarray:
     return hilbert_key(np.minimum((spot * (1 << BITS)).astype(np.int64), (1 << BITS) - 1))
 
 
-#: Marks that the tokenizer parts from letters before them (no apostrophe, which may start `'s`).
+#: Marks that the tokenizer parts from letters and digits before them (no apostrophe, which may start `'s`).
 MARKS = "!\"#$%&()*+,-./:;=?@[\\]^_`{|}~"
 
 
@@ -92,7 +92,8 @@ class WordIds:
 
     The tokenizer drops white space and never joins across it, so a text's ids are its words' ids. New words
     are encoded together: words of letters two hundred at a time, told apart by their last tokens' `</w>`.
-    Marks after letters are tokens of their own.
+    Marks after a letter or digit are tokens of their own; after anything else (a quote, an ellipsis, a
+    vowel sign) they may join it, so such words are encoded whole.
     """
 
     def __init__(self, path: str):
@@ -106,6 +107,14 @@ class WordIds:
         self.new: dict[str, bytes] = {"": b""}
         self.old: dict[str, bytes] = {}
         self.marks = {"": b""}
+        self.parted: dict[str, bool] = {}
+
+    def parts(self, last: str) -> bool:
+        """Whether marks after this character stand alone, by the tokenizer's own normal forms and classes."""
+        if last not in self.parted:
+            normal = self.tokenizer.normalizer.normalize_str(last + ".")
+            self.parted[last] = self.tokenizer.pre_tokenizer.pre_tokenize_str(normal)[-1][0] == "."
+        return self.parted[last]
 
     def whole(self, text: str) -> bytes:
         return np.array(self.tokenizer.encode(text, add_special_tokens=False).ids, "<u4").tobytes()
@@ -140,7 +149,7 @@ class WordIds:
         cores.difference_update(plain)
         self._letters(plain + [core for core in cores if core not in new])
         for word, core in marked:
-            if core not in new:
+            if core not in new or core and not self.parts(core[-1]):
                 new[word] = self.whole(word)
                 continue
             mark = word[len(core):]

@@ -77,3 +77,11 @@ def test_words_are_tokenized_as_whole_texts_are(text):
     for part in (text, f"The {text}, end. {text}. X{text}"):
         assert words.of_texts(pa.array([part, "a b"])) == [words.whole(part), words.whole("a b")]
         assert words.of_texts(pa.array([part, None])[:1]) == [words.whole(part)]  # now from memory
+
+
+@pytest.mark.parametrize("core", ["dogs'", "word”", "की", "…", "İ", "x\u200b", "ⓐ", "\u0958", "“a”", "é", "ſ", "½", "a1", "ΑΣ", "가", "it's", "<|endoftext|>"])
+def test_marks_after_a_word_known_before(core):
+    for mark in (".", ",", "!?", ".)", "...", ";", "|"):
+        words = P.WordIds(PATH)
+        words.of_texts(pa.array([core, mark]))
+        assert words.of_texts(pa.array([core + mark])) == [words.whole(core + mark)]
