@@ -25,7 +25,7 @@ group. An odd sketch (parities of hashed features) whose bits differ
 in more places than the sets may, rules a pair out. Pairs inside a component
 need no test, so copies are never expanded into all pairs, and no pair is lost.
 
-Equal sets are one node (found by a 128-bit hash); features are 64-bit hashes.
+Equal sets are one node, with a number of its own (found by a 128-bit hash); features are 64-bit hashes.
 Defined results: null texts and texts without words have an empty set and are linked with
 nothing; null ids get a null component; rows that repeat an id are compared
 each on their own. An empty table gives an empty result.
@@ -378,8 +378,8 @@ def across(members: DataFrame) -> DataFrame:
 
 
 def verified(docs: DataFrame, classes: DataFrame, pairs: DataFrame) -> DataFrame:
-    """Pairs (a, b) of which the sets link: 100 * intersection >= 75 * union. a, b: ids of classes' first documents."""
-    wanted = pairs.select(F.explode(F.array("a", "b")).alias("node")).distinct()
+    """Pairs (a, b) of which the sets link: 100 * intersection >= 75 * union. a, b: nodes of classes."""
+    own = classes.select("h1", "h2", "node", F.col("first_id").alias("doc_id")).join(pairs.select(F.explode(F.array("a", "b")).alias("node")).distinct(), "node", "left_semi")
     schema = pa.schema([("doc_id", pa.int64()), ("h1", pa.int64()), ("h2", pa.int64()), ("features", pa.binary())])
 
     def of_batch(batch: pa.RecordBatch) -> pa.RecordBatch:
@@ -388,11 +388,10 @@ def verified(docs: DataFrame, classes: DataFrame, pairs: DataFrame) -> DataFrame
         h = _hashes(features, ends)
         return pa.RecordBatch.from_arrays([batch.column(0).cast(pa.int64()), pa.array(h[:, 0]), pa.array(h[:, 1]), pa.array([features[a:b].tobytes() for a, b in zip(cuts, cuts[1:])], pa.binary())], schema=schema)
 
-    texts = docs.select("doc_id", "text").join(wanted, F.col("doc_id") == F.col("node"), "left_semi")
-    own = classes.select("h1", "h2", F.col("node").alias("doc_id"))
+    texts = docs.select("doc_id", "text").join(own.select("doc_id").distinct(), "doc_id", "left_semi")
     sets = stored(
         texts.mapInArrow(per_batch(of_batch, 256), "doc_id long, h1 long, h2 long, features binary")
-        .join(own, ["h1", "h2", "doc_id"], "left_semi").dropDuplicates(["doc_id"]).select(F.col("doc_id").alias("node"), "features"), "sets")
+        .join(own, ["h1", "h2", "doc_id"]).dropDuplicates(["node"]).select("node", "features"), "sets")
     out = pa.schema([("a", pa.int64()), ("b", pa.int64())])
 
     def check(batch: pa.RecordBatch) -> pa.RecordBatch:
@@ -419,7 +418,7 @@ def link(docs: DataFrame) -> DataFrame:
     base = rows.where("feature is null")
     classes = stored(
         base.where("doc_id is not null and n > 0").groupBy("h1", "h2").agg(F.min(F.struct("doc_id", "n", "sketch", "coarse")).alias("c"))
-        .select("h1", "h2", F.col("c.doc_id").alias("node"), F.col("c.n").alias("n"), F.col("c.sketch").alias("sketch"), F.col("c.coarse").alias("coarse")), "classes")
+        .select("h1", "h2", F.monotonically_increasing_id().alias("node"), F.col("c.doc_id").alias("first_id"), F.col("c.n").alias("n"), F.col("c.sketch").alias("sketch"), F.col("c.coarse").alias("coarse")), "classes")
     shared = stored(shared_signatures(write_signatures(docs, common)), "shared-signatures")
     known = classes.where("n >= 3").select("h1", "node", "n")
 
@@ -452,8 +451,10 @@ def link(docs: DataFrame) -> DataFrame:
     named = lambda side: more.select(F.col(side).alias("x"), "a", "b").join(labels, F.col("x") == F.col("node"), "left").select("a", "b", component.alias(f"c{side}"))
     joined = named("a").join(named("b"), ["a", "b"]).select(F.col("ca").alias("a"), F.col("cb").alias("b"))
     merged = stored(connected_components(joined), "merged-components")
-    final = classes.select("h1", "h2", "node").join(labels, "node", "left").select("h1", "h2", F.coalesce("component", "node").alias("node")) \
-        .join(merged, "node", "left").select("h1", "h2", F.coalesce("component", "node").alias("component"))
+    ended = stored(
+        classes.select("h1", "h2", "node", "first_id").join(labels, "node", "left").select("h1", "h2", "first_id", F.coalesce("component", "node").alias("node"))
+        .join(merged, "node", "left").select("h1", "h2", "first_id", F.coalesce("component", "node").alias("node")), "class-components")
+    final = ended.select("h1", "h2", "node").join(ended.groupBy("node").agg(F.min("first_id").alias("component")), "node").drop("node")
     return base.join(final, ["h1", "h2"], "left").select(
         "doc_id", F.col("n").alias("n_shingles"),
         F.when(F.col("doc_id").isNotNull(), F.coalesce(F.when(F.col("n") > 0, F.col("component")), "doc_id")).alias("component_id"), "text_hash")

@@ -98,6 +98,15 @@ def test_edges(edge_documents, empty_documents):
     assert sorted(r.doc_id or 0 for r in kept.collect()) == [0, 1, 2, 3, 4, 6, 7, 9]
 
 
+def test_one_id_with_two_texts_that_both_have_near_copies(spark, words):
+    one, two = words(60), words(60)
+    rows = [(1, one), (1, two), (2, one + " end"), (3, two + " end"), (4, words(60)), (5, one), (6, two)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string")
+    got = sorted((r.doc_id, r.n_shingles, r.component_id) for r in J.link(docs).collect())
+    assert got == [(1, 56, 1), (1, 56, 1), (2, 57, 1), (3, 57, 1), (4, 56, 4), (5, 56, 1), (6, 56, 1)]
+    assert sorted((r.doc_id, r.text) for r in J.one_of_each(docs).collect()) == sorted([rows[0], rows[1], rows[4]])
+
+
 def test_connected_components(spark):
     pick = random.Random(1)
     edges = [(i, i + 1) for i in range(1, 60)] + [(200, i) for i in range(201, 400)] + [(pick.randint(500, 700), pick.randint(500, 700)) for _ in range(90)]
