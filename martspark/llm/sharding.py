@@ -53,11 +53,15 @@ def split_buckets(cells: DataFrame, limit: int) -> DataFrame:
         F.coalesce("b.shard_docs", "docs").alias("shard_docs"), F.col("b").isNotNull().alias("final"))
 
 
-def assign(docs: DataFrame, limit: int) -> DataFrame:
-    """doc_id, bytes, shard (hash prefix), depth, shard_bytes, shard_docs for every document. Input: doc_id, text."""
+def assign(docs: DataFrame, limit: int, whole: bool = False) -> DataFrame:
+    """doc_id, bytes, shard (hash prefix), depth, shard_bytes, shard_docs for every document. Input: doc_id, text.
+
+    whole: each document's row comes along, as a struct `row`.
+    """
+    carried = ["row"] if whole else []
     key = F.coalesce(F.col("doc_id").cast("string"), F.lit(""))
     light = docs.select(
-        "doc_id", F.coalesce(F.octet_length("text"), F.lit(0)).cast("long").alias("bytes"),
+        *[F.struct(*docs.columns).alias(c) for c in carried], "doc_id", F.coalesce(F.octet_length("text"), F.lit(0)).cast("long").alias("bytes"),
         F.concat(hash_bits(key), hash_bits(F.concat_ws("\u0001", key, "text")), hash_bits(F.monotonically_increasing_id().cast("string"))).alias("bits"),
     )
     open_rows = stored(light.withColumn("parent", F.lit("")), "shard-rows")  # the row number is fixed from here on
@@ -68,10 +72,10 @@ def assign(docs: DataFrame, limit: int) -> DataFrame:
         directory = stored(split_buckets(cells, limit), "shard-directory")
         placed = rows.join(directory, "cell")
         last = end == 3 * HASH_BITS
-        done.append(placed.where(F.lit(last) | F.col("final")).select("doc_id", "bytes", "shard", F.length("shard").alias("depth"), "shard_bytes", "shard_docs"))
+        done.append(placed.where(F.lit(last) | F.col("final")).select("doc_id", "bytes", "shard", F.length("shard").alias("depth"), "shard_bytes", "shard_docs", *carried))
         if last or directory.where("not final").isEmpty():
             break
-        open_rows = stored(placed.where("not final").select("doc_id", F.col(rows.columns[1]), "bits", F.col("cell").alias("parent")), "shard-rows")
+        open_rows = stored(placed.where("not final").select(*carried, "doc_id", rows["bytes"], "bits", F.col("cell").alias("parent")), "shard-rows")
     out = done[0]
     for more in done[1:]:
         out = out.unionByName(more)
@@ -79,7 +83,7 @@ def assign(docs: DataFrame, limit: int) -> DataFrame:
 
 
 def write_shards(docs: DataFrame, limit: int, path: str) -> None:
-    """Write all documents as Parquet, one folder `shard=<bits>` for each shard. Input: one row per doc_id."""
-    where = assign(docs, limit).select(F.col("doc_id").alias("__id"), F.concat(F.lit("b"), "shard").alias("shard"))
+    """Write all documents as Parquet, one folder `shard=<bits>` for each shard. Input: doc_id, text; repeated rows are written each on their own."""
+    rows = assign(docs, limit, whole=True).select("row.*", F.concat(F.lit("b"), "shard").alias("shard"))
     # One shard fits one task; AQE joins small ones.
-    docs.join(where, docs["doc_id"].eqNullSafe(F.col("__id"))).drop("__id").repartition("shard").write.partitionBy("shard").parquet(path)
+    rows.repartition("shard").write.partitionBy("shard").parquet(path)

@@ -41,6 +41,17 @@ def test_a_hot_id_is_split_too(spark):
     assert len({r.shard for r in got if r.doc_id == 7}) >= 300 * 19 // 500
 
 
+def test_repeated_ids_are_written_once_each(spark, tmp_path):
+    rows = [(7, f"text {i:03}") for i in range(60)] + [(None, "no id")] * 3 + [(i, "other") for i in range(20, 30)]
+    S.write_shards(spark.createDataFrame(rows, "doc_id long, text string"), 100, str(tmp_path / "shards"))
+    back = spark.read.parquet(str(tmp_path / "shards")).collect()
+    assert sorted((r.doc_id or 0, r.text) for r in back) == sorted((i or 0, t) for i, t in rows)
+    held = defaultdict(int)
+    for r in back:
+        held[r.shard] += len(r.text)
+    assert max(held.values()) <= 100
+
+
 def test_edges_and_files(spark, edge_documents, empty_documents, tmp_path):
     got = S.assign(edge_documents, 100).collect()
     assert len(got) == 12 and all(r.shard_bytes <= 100 or r.shard_docs == 1 for r in got)
