@@ -12,6 +12,7 @@ judged each on their own, and repeated links only add weight. An empty table giv
 
 from __future__ import annotations
 
+import math
 from dataclasses import dataclass
 
 from pyspark.sql import Column, DataFrame
@@ -70,12 +71,14 @@ def link_edges(pages: DataFrame) -> DataFrame:
     )
 
 
-def propagate(edges: DataFrame, seeds: DataFrame, damping: float = 0.85, tolerance: float = 1e-4, rounds: int = 40) -> DataFrame:
+def propagate(edges: DataFrame, seeds: DataFrame, damping: float = 0.85, tolerance: float = 1e-4, rounds: int | None = None) -> DataFrame:
     """(host, trust, distrust) by power iteration until no score moves by more than `tolerance`.
 
     seeds: host, trust, distrust in [0, 1]; scores are scaled so that a lone
     seed keeps its own value. One row travels per host and side and edge;
-    sums are combined before the shuffle. Each round is a written table.
+    sums are combined before the shuffle. Each round is a written table. A round
+    moves at most `damping` times what the one before moved, the first at most the seeds' sum, so
+    `rounds` is by default what that sum needs; an error tells if they don't suffice.
     """
     out = edges.groupBy("src").agg(F.sum("weight").alias("total"))
     into = edges.groupBy("dst").agg(F.sum("weight").alias("total"))
@@ -90,6 +93,9 @@ def propagate(edges: DataFrame, seeds: DataFrame, damping: float = 0.85, toleran
         "host-seeds",
     )
     score = base.select("host", "side", F.col("seed").alias("score"))
+    if rounds is None:
+        mass = base.groupBy("side").agg(F.sum("seed").alias("mass")).agg(F.max("mass")).first()[0] or 0.0
+        rounds = 2 + max(0, math.ceil(math.log(max(mass, tolerance) / tolerance) / -math.log(damping)))
     for _ in range(rounds):
         sent = score.join(moves, ["side", "host"]).select(F.col("to").alias("host"), "side", (F.lit(damping) * F.col("score") * F.col("share")).alias("part"))
         new = (
@@ -102,6 +108,8 @@ def propagate(edges: DataFrame, seeds: DataFrame, damping: float = 0.85, toleran
         score = new.select("host", "side", "score")
         if moved <= tolerance:
             break
+    else:
+        raise RuntimeError(f"scores still move by {moved} after {rounds} rounds; the tolerance is {tolerance}")
     return score.groupBy("host").agg(
         F.sum(F.when(F.col("side") == "trust", F.col("score")).otherwise(0.0)).alias("trust"),
         F.sum(F.when(F.col("side") == "distrust", F.col("score")).otherwise(0.0)).alias("distrust"),

@@ -1,4 +1,5 @@
 import numpy as np
+import pytest
 
 from martspark.llm import url_filter as U
 from martspark.llm.queries import URL_RULES
@@ -48,6 +49,15 @@ def test_propagation_against_dense_matrix(spark):
             assert abs((got[f"h{i}"][side] if f"h{i}" in got else 0.0) - expected[i]) < 1e-4
 
 
+def test_a_long_chain_is_followed_to_the_tolerance(spark):
+    edges = spark.createDataFrame([(f"h{i}", f"h{i + 1}", 1) for i in range(41)], "src string, dst string, weight long").coalesce(1)
+    seeds = spark.createDataFrame([("h0", 1.0, 0.0)], "host string, trust double, distrust double").coalesce(1)
+    got = {r.host: r.trust for r in U.propagate(edges, seeds).collect()}
+    assert all(abs(got[f"h{i}"] - 0.85 ** i) < 1e-9 for i in range(42))
+    with pytest.raises(RuntimeError):
+        U.propagate(edges, seeds, rounds=3)
+
+
 def test_distrust_reaches_hosts_that_link_to_blocked_ones(spark):
     pages = [(1, "http://farm.com/x", '<a href="http://bad.spam.com/">x</a>'), (2, "http://good.com/x", "<a HREF='https://fine.com/y'>y</a>"), (3, "http://bad.spam.com/", None), (4, "http://fine.com/", "")]
     rows = spark.createDataFrame(pages, "page_id long, url string, html string")
