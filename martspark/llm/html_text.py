@@ -2,7 +2,8 @@
 
 The scanner reads tags, comments and raw-text elements; the tree builder
 closes what HTML closes by implication (p before blocks, li, dt/dd, table
-parts, option); invisible elements are left out; the renderer keeps block
+parts, option); invisible elements are left out, while the text of svg, math and
+the fallback of object are kept; the renderer keeps block
 spacing, list markers and indents, preformatted text, and lays table cells
 out in aligned columns. Neither builder nor renderer recurses, so
 deep nesting is no problem.
@@ -25,7 +26,9 @@ from martspark.llm.common import per_batch
 
 VOID = frozenset("area base br col embed hr img input link meta param source track wbr".split())
 RAW = frozenset("script style textarea title xmp iframe noembed noframes".split())
-HIDDEN = frozenset("head script style template noscript title iframe noembed noframes object svg math datalist canvas audio video".split())
+HIDDEN = frozenset("head script style template noscript title iframe noembed noframes datalist canvas audio video".split())
+#: Parts of svg and math that are not shown.
+UNSEEN = frozenset("title desc metadata defs symbol clippath mask marker pattern annotation annotation-xml".split())
 BLOCKS = frozenset(
     "address article aside blockquote body center dd details dialog dir div dl dt fieldset figcaption figure footer form h1 h2 h3 h4 h5 h6 header hgroup hr html li main menu nav ol p pre section summary table ul caption tr thead tbody tfoot".split())
 #: Blocks set off by an empty line.
@@ -40,6 +43,8 @@ IMPLIED = {
 _TAG = re.compile(r"<(?:!--(?P<comment>.*?)(?:-->|\Z)|[!?][^>]*(?:>|\Z)|/(?P<close>[a-zA-Z][^\s/>]*)[^>]*(?:>|\Z)|(?P<open>[a-zA-Z][^\s/>]*)(?P<attrs>(?:[^>\"']|\"[^\"]*\"|'[^']*')*+)(?:>|\Z))", re.S)
 _ATTR = re.compile(r"([^\s=/\"'>]+)(?:\s*=\s*(?:\"([^\"]*)\"|'([^']*)'|([^\s\"'>]+)))?")
 _INVISIBLE = re.compile(r"(?:display\s*:\s*none|visibility\s*:\s*(?:hidden|collapse))", re.I)
+#: The end of attributes whose slash belongs to an unquoted value.
+_SLASH_IN_VALUE = re.compile(r"=\s*[^\s\"'>]+/\Z")
 _SPACE = re.compile(r"[ \t\n\r\f]+")
 
 
@@ -108,8 +113,13 @@ def build(html: str) -> Node:
             if value in ENDS_P:
                 close({"p"}, {"table", "td", "th", "li", "div", "article", "section", "blockquote"})
             node = Node(value, attributes(attrs))
+            drawn = value in ("svg", "math") or open_now.get("svg") or open_now.get("math")
+            if drawn and value in UNSEEN:
+                node.attrs["hidden"] = ""
+            if drawn and value == "text":
+                stack[-1].children.append(" ")  # drawn apart from the text before
             stack[-1].children.append(node)
-            if value not in VOID:
+            if value not in VOID and not (drawn and attrs.endswith("/") and not _SLASH_IN_VALUE.search(attrs)):
                 stack.append(node)
                 open_now[value] = open_now.get(value, 0) + 1
         elif open_now.get(value):

@@ -18,6 +18,19 @@ CASES = [
 ]
 
 
+DRAWN = [
+    ("<p>a <svg><title>t</title><desc>no</desc><defs><text>no</text></defs><path d='x'/><text>one</text><text>two</text></svg> b", "a one two b"),
+    ("<svg><defs/><text>seen</text></svg>", "seen"), ("<svg><a href=x/><text>seen</text></a></svg>", "seen"),
+    ("<math><semantics><mrow><mi>x</mi><mo>=</mo><mn>2</mn></mrow><annotation>no</annotation></semantics></math> is", "x=2 is"),
+    ("<object data=a.swf><param name=b><p>fallback</p></object>", "fallback"), ("<desc>html</desc>", "html"),
+]
+
+
+@pytest.mark.parametrize(("html", "text"), DRAWN)
+def test_drawn_text(html, text):
+    assert H.visible_text(html) == text
+
+
 @pytest.mark.parametrize(("html", "text"), CASES)
 def test_layout(html, text):
     assert H.visible_text(html) == text
