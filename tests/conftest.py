@@ -3,7 +3,12 @@ import sys
 
 import pytest
 
-ROOT = os.path.dirname(os.path.dirname(os.path.abspath(__file__)))
+_TESTS = os.path.dirname(os.path.abspath(__file__))
+if _TESTS not in sys.path:
+    sys.path.insert(0, _TESTS)
+
+from paths import ROOT  # noqa: E402
+
 if ROOT not in sys.path:
     sys.path.insert(0, ROOT)
 # Python workers import the package too, wherever pytest is started.
@@ -17,6 +22,3 @@ def spark():
     yield s
     s.stop()
 
-
-SF_SMALL = "/root/testdata/sf0.001"
-SF_ORACLE = "/root/testdata/sf0.01"

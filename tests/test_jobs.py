@@ -2,7 +2,7 @@
 
 import datetime as dt
 
-from conftest import SF_SMALL
+from paths import SF_SMALL
 
 from martspark.plans import jobs
 from martspark.plans import marts as M

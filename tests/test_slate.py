@@ -10,7 +10,7 @@ import duckdb
 import pytest
 
 import __spark_entry__ as E
-from conftest import ROOT, SF_ORACLE, SF_SMALL
+from paths import ROOT, SF_ORACLE, SF_SMALL
 from martspark.plans import slate as S
 
 TABLES = ["region", "nation", "customer", "supplier", "part", "orders", "lineitem", "events"]
