@@ -8,7 +8,8 @@ import corpus_pipeline
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from martspark.llm import decontaminate, html_text, license_scan, ngram_join, packing, sharding, topk, toxicity, url_filter, warc
+from martspark.llm import (
+    alignment, decontaminate, filter_audit, html_text, license_scan, ngram_join, packing, personal_data, sharding, topk, toxicity, url_filter, warc)
 from martspark.llm.common import table
 
 URL_RULES = [
@@ -86,6 +87,21 @@ def op10_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
         "page_id", "payload_bytes", "payload_digest", "record_type", "refers_to")
 
 
+def op11_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every document's personal data."""
+    return personal_data.digest(personal_data.find(table(spark, sf_dir, "documents")))
+
+
+def op12_alignment(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every document's tokens by two tokenizers, aligned, and how common its linked pairs of ids are."""
+    return alignment.summary(table(spark, sf_dir, "documents"), packing.tokenizer_path("byte_bpe_50k.json"), packing.tokenizer_path("piece_bpe_32k.model"))
+
+
+def op13_filter_audit(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """What each of five filters removes, in every order, by language."""
+    return filter_audit.audit(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_license_scan": op1_license_scan,
     "op2_sharding": op2_sharding,
@@ -97,6 +113,9 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op8_decontamination": op8_decontamination,
     "op9_html_extraction": op9_html_extraction,
     "op10_warc": op10_warc,
+    "op11_pii": op11_pii,
+    "op12_alignment": op12_alignment,
+    "op13_filter_audit": op13_filter_audit,
     "pipeline": corpus_pipeline.run,
 }
 
@@ -104,7 +123,40 @@ _LOWER = "translate({}, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxy
 _ALNUM = "regexp_extract_all(" + _LOWER.format("coalesce(text, '')") + ", '[^\\x00-\\x2F\\x3A-\\x60\\x7B-\\x7F]+')"
 _SPACED = "regexp_extract_all(" + _LOWER.format("coalesce(text, '')") + ", '[^\\x20\\x09-\\x0D]+')"
 
-#: op1 (edits), op3 (cuts are free), op4 (a fitted model), op5 (iterated scores), op9 (a tree) and the pipeline have no SQL; tests/llm holds them against brute force.
+
+
+def _spans(kind: str, rank: int, rule: str, group: int, valid: str) -> str:
+    """Rows (r, rank, kind, s, e) of a rule's matches: places follow from the lengths of what lies between them."""
+    rule = rule.replace("'", "''")
+    return f"""select r, {rank} o, '{kind}' kind, e - length(v) s, e from (
+        select r, v[i] v, (list_sum(list_transform(gaps[1:i], lambda x: length(x))) + list_sum(list_transform(w[1:i], lambda x: length(x))))::bigint e
+        from (select r, string_split_regex(t, '{rule}') gaps, regexp_extract_all(t, '{rule}') w, regexp_extract_all(t, '{rule}', {group}) v
+              from d where regexp_matches(t, '{rule}')), unnest(range(1, len(w) + 1)) u(i)) where {valid}"""
+
+
+_D = "regexp_replace(v, '[^0-9]', '', 'g')"
+_LUHN = f"""case when length({_D}) between 13 and 19 then list_sum([case when i % 2 = 1 then substr({_D}, length({_D}) - i + 1, 1)::int
+    else 2 * substr({_D}, length({_D}) - i + 1, 1)::int - case when substr({_D}, length({_D}) - i + 1, 1)::int > 4 then 9 else 0 end end
+    for i in range(1, length({_D}) + 1)]) % 10 = 0 else false end"""
+_I = "replace(v, ' ', '')"
+_MOD97 = f"""length({_I}) between 15 and 34 and list_reduce(list_transform(string_split(array_to_string(list_transform(
+    string_split(substr({_I}, 5) || substr({_I}, 1, 4), ''), lambda c: case when c between '0' and '9' then c else (ascii(c) - 55)::varchar end), ''), ''),
+    lambda c: c::int), lambda a, c: (10 * a + c) % 97) = 1"""
+#: Kind: rule, the span's group in it, test of the span v.
+_PII = {
+    "email": (r"[A-Za-z0-9._%+-]+@[A-Za-z0-9-]+(?:\.[A-Za-z0-9-]+)+", 0, "true"),
+    "ip": (r"[0-9]+\.[0-9]+\.[0-9]+\.[0-9]+", 0, r"regexp_full_match('.' || v, '(\.0*([0-9]{1,2}|1[0-9]{2}|2[0-4][0-9]|25[0-5]))+')"),
+    "card": (r"[0-9](?:[\x20-]?[0-9])+", 0, _LUHN),
+    "phone": (r"\+[0-9][\x20().0-9-]+[0-9]", 0, f"length({_D}) between 9 and 15"),
+    "login": (r"://()([A-Za-z0-9._~%+-]+:[A-Za-z0-9._~%!$&*+-]+@[A-Za-z0-9-]+(?:\.[A-Za-z0-9-]+)*)", 2, "true"),
+    "iban": (r"(?i:iban)([ :=#]{0,3})([A-Z]{2}[0-9]{2}(?: ?[A-Z0-9]{4}){2,7}(?: ?[A-Z0-9]{1,3})?)", 2, _MOD97),
+    "account": (r"(?i:account|acct|konto|cuenta|compte)((?: (?:no|nr|number|id)\.?)?[ :=#]{0,3})([0-9](?:[ -]?[0-9])+)", 2, f"length({_D}) between 6 and 18"),
+    "ssn": (r"(?i:ssn|social security number)([ :=#]{0,3})([0-9]{3}-[0-9]{2}-[0-9]{4})", 2,
+            "left(v, 3) not in ('000', '666') and left(v, 3) < '900' and substr(v, 5, 2) <> '00' and right(v, 4) <> '0000'"),
+    "secret": (r"(?i:token|secret|password|passwd|api_key|apikey)(\"? ?[:=] ?[\"']?)([A-Za-z0-9_/+.-]{12,})", 2, "true"),
+}
+
+#: op1 (edits), op3 (cuts are free), op4 (a fitted model), op5 (iterated scores), op9 (a tree), op12 (tokenizers) and the pipeline have no SQL; tests/llm holds them against brute force.
 ORACLE_SQL: dict[str, str] = {
     # Buckets of every depth from the leading bits of the id's hash; a document lies in the shallowest that fits.
     "op2_sharding": f"""
@@ -152,4 +204,37 @@ ORACLE_SQL: dict[str, str] = {
         select page_id, payload_bytes, payload_digest,
             case when payload_bytes >= 100 and page_id > first_id then 'revisit' else 'response' end record_type,
             case when payload_bytes >= 100 and page_id > first_id then first_id end refers_to from d""",
+    # Leftmost matches of each kind's rule over the whole text; anchors play no part.
+    "op11_pii": f"""
+        with d as (select row_number() over () r, doc_id, coalesce(text, '') t from documents),
+        p as ({" union all ".join(_spans(k, o, *x) for o, (k, x) in enumerate(_PII.items()))}),
+        g as (select r, count(*) filter (kind = 'email') n_email, count(*) filter (kind = 'ip') n_ip, count(*) filter (kind = 'card') n_card,
+                count(*) filter (kind = 'phone') n_phone, string_agg(kind || ':' || s || ':' || e, ',' order by o, s) filter (o < 4) base,
+                string_agg(kind || ':' || s || ':' || e, ',' order by o, s) spans from p group by r)
+        select doc_id, coalesce(n_email, 0) n_email, coalesce(n_ip, 0) n_ip, coalesce(n_card, 0) n_card, coalesce(n_phone, 0) n_phone,
+            sha256(coalesce(base, '')) base_sha256, coalesce(spans, '') spans from d left join g using (r)""",
+    # Every document is followed through every order.
+    "op13_filter_audit": """
+        with d as (select row_number() over () r, doc_id, coalesce(lang, '') part, coalesce(text, '') t from documents),
+        w as (select *, regexp_extract_all(t, '[^\\x20\\x09-\\x0D]+') w, min(doc_id) over (partition by t) first_id from d),
+        l as (select doc_id, max((quality = 1)::int) good, max((toxic = 1)::int) toxic from labels group by 1),
+        f as (select r, part, coalesce(good, 0) good, coalesce(toxic, 0) toxic, concat(case when len(w) < 100 then 'A' end,
+                case when 100 * len(list_distinct(w)) < 80 * len(w) then 'B' end,
+                case when 100 * length(regexp_replace(t, '[^A-Z]', '', 'g')) > 10 * length(t) then 'C' end,
+                case when regexp_matches(t, '[#$%&*|]') then 'D' end, case when doc_id > first_id then 'E' end) fails
+              from w left join l using (doc_id)),
+        m as (select part, fails, count(*) n, sum(good) good, sum(toxic) toxic from f group by all),
+        x(c) as (values ('A'), ('B'), ('C'), ('D'), ('E')),
+        o as (select a.c || b.c || c.c || d.c || e.c o from x a, x b, x c, x d, x e
+              where length(regexp_replace('ABCDE', '[' || a.c || b.c || c.c || d.c || e.c || ']', '', 'g')) = 0),
+        s as (select o, i::int step, substr(o, i, 1) c, '[_' || substr(o, 1, i - 1) || ']' earlier from o, range(1, 6) t(i)),
+        y as (select part, o, step, c, sum(case when not regexp_matches(fails, earlier) and not contains(fails, c) then n else 0 end) kept,
+                sum(case when not regexp_matches(fails, earlier) and contains(fails, c) then n else 0 end) removed,
+                sum(case when regexp_matches(fails, earlier) and contains(fails, c) then n else 0 end) redundant,
+                sum(case when fails = c then n else 0 end) unique_fails,
+                sum(case when not regexp_matches(fails, earlier) and contains(fails, c) then good else 0 end) good_lost,
+                sum(case when not regexp_matches(fails, earlier) and contains(fails, c) then toxic else 0 end) toxic_lost
+              from m, s group by all)
+        select part, o filter_order, step, kept::bigint kept, removed::bigint removed, redundant::bigint redundant, unique_fails::bigint unique_fails,
+            good_lost::bigint good_lost, toxic_lost::bigint toxic_lost, (sum(removed) over (partition by part, c))::bigint shapley from y""",
 }
