@@ -26,6 +26,7 @@ from __future__ import annotations
 
 import hashlib
 import os
+import re
 from collections.abc import Iterator
 from dataclasses import dataclass
 
@@ -38,9 +39,15 @@ from pyspark.sql import functions as F
 from martspark.llm.common import as_bytes, slices, stored
 
 #: A block is closed at so many bytes of text or documents; tokens are made for so many bytes at a time.
-BLOCK_BYTES, BLOCK_ROWS, SLICE_BYTES = 4 << 20, 20_000, 1 << 18
+BLOCK_BYTES, BLOCK_ROWS, SLICE_BYTES = 4 << 20, 20_000, 1 << 20
 
 SPACE_MARK = "▁"
+#: A space between visible characters: both tokenizers put it at a token's start and never join across it.
+_FIRST, _LAST = r"[!-~\w]", rf"[^\s{SPACE_MARK}]"
+_BETWEEN = re.compile(f"(?<={_LAST}) (?={_FIRST})")
+_STARTS, _ENDS = re.compile(_FIRST), re.compile(_LAST)
+#: Words that are encoded in one line.
+LINE_WORDS = 200
 
 
 def byte_of_letter() -> dict[str, int]:
@@ -51,7 +58,13 @@ def byte_of_letter() -> dict[str, int]:
 
 
 class Tokens:
-    """Both tokenizers, and the bytes of their tokens."""
+    """Both tokenizers, and the bytes of their tokens.
+
+    A's pattern starts a word at the space before it, and no entry of B holds a space mark behind another
+    character, so neither has a token across a space between two visible characters. Texts are cut there
+    and every distinct word of a slice is encoded once, in lines of many words; sizes of tokens tell
+    where a word's tokens end. Were B's entries otherwise, texts would be encoded whole.
+    """
 
     def __init__(self, path_a: str, path_b: str):
         os.environ["TOKENIZERS_PARALLELISM"] = "false"
@@ -69,21 +82,74 @@ class Tokens:
         self.size_b = np.array([len(x) for x in self.bytes_b], np.int64)
         # Written tokens by (id, what follows): ids of B behind those of A.
         self.written = [f"{i}{mark}".encode() for n in (len(self.bytes_a), len(self.bytes_b)) for i in range(n) for mark in (",", "|", ";", "")]
+        self.by_words = not any(SPACE_MARK in self.b.id_to_piece(i).lstrip(SPACE_MARK) for i in range(self.b.get_piece_size()))
 
     def _piece(self, i: int) -> bytes:
         piece = self.b.id_to_piece(i)
         return bytes([int(piece[3:5], 16)]) if self.b.is_byte(i) else piece.replace(SPACE_MARK, " ").encode()
 
-    def encode(self, texts: list[bytes]) -> tuple[list[list[int]], list[list[int]]]:
-        """Ids by A and by B of each text (with a space before it); none where either doesn't give the bytes back."""
+    def lines(self, lines: list[str]) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
+        """Of lines with a space before each: ids by A, by B, ids of each line by A, by B, and whether both give its bytes back."""
+        all_a = [x.ids for x in self.a.encode_batch_fast([" " + x for x in lines], add_special_tokens=False)]
+        all_b = self.b.encode(lines, num_threads=1)
+        same = np.zeros(len(lines), bool)
+        for i, (line, a, b) in enumerate(zip(lines, all_a, all_b)):
+            same[i] = b"".join(map(self.bytes_a.__getitem__, a)) == b" " + line.encode() == b"".join(map(self.bytes_b.__getitem__, b))
+        n_a, n_b = (np.array([len(x) for x in ids], np.int64) for ids in (all_a, all_b))
+        return *(np.fromiter((i for x in ids for i in x), np.int64, n.sum()) for ids, n in ((all_a, n_a), (all_b, n_b))), n_a, n_b, same
+
+    def of_words(self, words: list[str], odd: set[str]) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
+        """As `lines`, of each word. `odd` words can't stand in a line with others."""
+        plain = [i for i, w in enumerate(words) if w not in odd]
+        alone = [i for i, w in enumerate(words) if w in odd]
+        groups = [plain[i:i + LINE_WORDS] for i in range(0, len(plain), LINE_WORDS)]
+        a, b, n_a, n_b, same = self.lines([" ".join([words[i] for i in g]) for g in groups])
+        if not same.all():  # find the words that a tokenizer doesn't give back
+            return self.lines(words)
+        size = np.array([1 + len(words[i].encode()) for i in plain], np.int64)
+        ends = np.cumsum(size)
+        counts = []
+        for ids, of in ((a, self.size_a), (b, self.size_b)):
+            reach = np.cumsum(of[ids])
+            last = np.searchsorted(reach, ends)
+            if not np.array_equal(reach[last], ends):
+                return self.lines(words)
+            counts.append(np.diff(last + 1, prepend=0))
+        if not alone:
+            return a, b, *counts, np.ones(len(words), bool)
+        a2, b2, n_a2, n_b2, same2 = self.lines([words[i] for i in alone])
+        # Back to the order of `words`: plain ones were encoded first.
+        order = np.argsort(np.array(plain + alone, np.int64), kind="stable")
+        out_a, n_a = gathered(np.concatenate([a, a2]), np.concatenate([counts[0], n_a2]), order)
+        out_b, n_b = gathered(np.concatenate([b, b2]), np.concatenate([counts[1], n_b2]), order)
+        return out_a, out_b, n_a, n_b, np.concatenate([np.ones(len(plain), bool), same2])[order]
+
+    def encode(self, texts: list[bytes]) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
+        """(ids by A, ids of each text, ids by B, ids of each text), texts end to end; no ids where either doesn't give the bytes back."""
         plain = [t.decode("utf-8", "replace") for t in texts]
-        ids_a = [x.ids for x in self.a.encode_batch_fast([" " + t for t in plain], add_special_tokens=False)]
-        ids_b = self.b.encode(plain, num_threads=1)
-        for i, text in enumerate(texts):
-            whole = b" " + text
-            if not text or b"".join(map(self.bytes_a.__getitem__, ids_a[i])) != whole or b"".join(map(self.bytes_b.__getitem__, ids_b[i])) != whole:
-                ids_a[i], ids_b[i] = [], []
-        return ids_a, ids_b
+        parts = [(_BETWEEN.split(t) if self.by_words else [t]) if t else [] for t in plain]
+        odd = {p[0] for p in parts if p and not _STARTS.match(p[0])} | {p[-1] for p in parts if p and not _ENDS.match(p[-1][-1])}
+        if not self.by_words:
+            odd = set(plain)
+        places = pa.array([w for p in parts for w in p], pa.large_string()).dictionary_encode()
+        a, b, n_a, n_b, known = self.of_words(places.dictionary.to_pylist(), odd)
+        place = places.indices.to_numpy().astype(np.int64)
+        of = np.repeat(np.arange(len(texts)), [len(p) for p in parts])
+        same = np.array([p == t.encode() for p, t in zip(texts, plain)], bool)
+        np.logical_and.at(same, of, known[place])
+        place, of = place[same[of]], of[same[of]]
+        out = []
+        for ids, size in ((a, n_a), (b, n_b)):
+            found, n = gathered(ids, size, place)
+            out += [found, np.bincount(of, n, len(texts)).astype(np.int64)]
+        return tuple(out)
+
+
+def gathered(values: np.ndarray, size: np.ndarray, pick: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Runs of `values` (run i has size[i] entries) in the order of `pick`, end to end, and their sizes."""
+    n = size[pick]
+    start = (np.cumsum(size) - size)[pick]
+    return values[np.repeat(start - (np.cumsum(n) - n), n) + np.arange(n.sum())], n
 
 
 def coalesce(starts: np.ndarray, ends: np.ndarray) -> np.ndarray:
@@ -115,9 +181,7 @@ class Aligned:
 
 
 def align(tokens: Tokens, texts: list[bytes]) -> Aligned:
-    ids_a, ids_b = tokens.encode(texts)
-    n_a, n_b = (np.array([len(x) for x in ids], np.int64) for ids in (ids_a, ids_b))
-    a, b = (np.fromiter((i for x in ids for i in x), np.int64, n.sum()) for ids, n in ((ids_a, n_a), (ids_b, n_b)))
+    a, n_a, b, n_b = tokens.encode(texts)
     # Both cover the same bytes of each text, so places in the joined texts agree.
     end_a, end_b = np.cumsum(tokens.size_a[a]), np.cumsum(tokens.size_b[b])
     start_a, start_b = end_a - tokens.size_a[a], end_b - tokens.size_b[b]
