@@ -15,9 +15,11 @@ from martspark.functions import classify
 from martspark.functions import constants as K
 from martspark.functions.calendar import (
     DEFAULT_TZ, MonthWindow, in_local_window, local_date, local_datetime_between_dates)
-from martspark.functions.money import with_rate
+from martspark.functions.money import FxRates, with_rate
 from martspark.operators.dims import Enterprise
-from martspark.operators.distinct import first_of
+from martspark.operators.distinct import per_value
+from martspark.plans.joins import null_safe_join
+from martspark.sources.layout import in_window_partitions
 from martspark.sources.schemas import ECONOMICS_AMOUNTS
 
 # FIXED VALUES: output names and their source columns, in the marts' positional order.
@@ -52,31 +54,55 @@ def _completed() -> Column:
 
 
 def bookings_in_window(bookings: DataFrame, window: MonthWindow, tz: str = DEFAULT_TZ) -> DataFrame:
-    """C2 on bookings: local booking date in the window, as a UTC range."""
-    return bookings.where(in_local_window(F.col("created_timestamp"), window, tz))
+    """C2 on bookings: local booking date in the window, as a UTC range.
+
+    Of bookings stored by local date only the window's partitions are read.
+    """
+    return bookings.where(in_window_partitions(bookings, window, tz)
+                          & in_local_window(F.col("created_timestamp"), window, tz))
 
 
 # --------------------------------------------------------------------------
 # J6-J8 economics
 # --------------------------------------------------------------------------
 
-def with_economics(bookings: DataFrame, booking_cm: DataFrame, window: MonthWindow,
-                   ent: Enterprise, tz: str = DEFAULT_TZ) -> DataFrame:
-    """Window + enterprise bookings LEFT JOIN their economics row on ``order_no``.
+def economics_parts(bookings: DataFrame, booking_cm: DataFrame, window: MonthWindow, ent: Enterprise,
+                    tz: str = DEFAULT_TZ, prune: bool = False) -> tuple[DataFrame, DataFrame]:
+    """Window + enterprise bookings with their economics row: those with an order number, joined, and the others.
+
+    The join's result is hash-partitioned on ``order_no``, which already clusters
+    J6's (date, order) aggregate; over tables bucketed by it nothing is
+    shuffled. Bookings without an order number match no economics: they stay
+    out of the join, where all of them would meet in one task.
 
-    Shared by J6 and J7 (both start from this join), so the economics table
-    is shuffled once. The result is hash-partitioned on ``order_no``, which
-    already clusters J6's (date, order) aggregate.
+    ``prune`` reads only economics between the month's smallest and largest order number.
+    Parquet skips row groups by it, as stored economics are sorted; the range is
+    found from one narrow column of the month, no date limits it.
     """
     b = ent.restrict(bookings_in_window(bookings, window, tz)).select(
         "order_no", "restaurant_id", "created_timestamp", "Food_mode_name", "rpl_detail_list")
     cm = booking_cm.select(F.col("order_no").alias("_cm_order"), F.col("booking_date").alias("_cm_date"),
                            *ECONOMICS_AMOUNTS)
-    return (b.join(cm, F.col("order_no") == F.col("_cm_order"), "left")
-             .withColumn("booking_date", local_date(F.col("created_timestamp"), tz)))
+    if prune:
+        ends = bookings_in_window(bookings, window, tz).agg(F.min("order_no").alias("lo"), F.max("order_no").alias("hi"))
+        cm = cm.where((F.col("_cm_order") >= ends.select("lo").scalar()) & (F.col("_cm_order") <= ends.select("hi").scalar()))
+    day = local_date(F.col("created_timestamp"), tz)
+    known = (b.where(F.col("order_no").isNotNull())
+              .join(cm, F.col("order_no") == F.col("_cm_order"), "left").withColumn("booking_date", day))
+    types = dict(cm.dtypes)
+    unknown = (b.where(F.col("order_no").isNull())
+                .select("*", *[F.lit(None).cast(types[c]).alias(c) for c in cm.columns]).withColumn("booking_date", day))
+    return known, unknown
+
+
+def with_economics(bookings: DataFrame, booking_cm: DataFrame, window: MonthWindow,
+                   ent: Enterprise, tz: str = DEFAULT_TZ) -> DataFrame:
+    """Window + enterprise bookings LEFT JOIN their economics row on ``order_no``. Shared by J6 and J7."""
+    known, unknown = economics_parts(bookings, booking_cm, window, ent, tz)
+    return known.unionByName(unknown)
 
 
-def cost_split(bc: DataFrame, fx: DataFrame) -> DataFrame:
+def cost_split(bc: DataFrame, fx: FxRates | DataFrame) -> DataFrame:
     """Unnest the promo cost list and split it three ways, converted once.
 
     ``bc`` is :func:`with_economics`. Inner UNNEST (D8): a booking with an
@@ -114,9 +140,9 @@ def order_economics(bc: DataFrame, costs: DataFrame) -> DataFrame:
     ).distinct()
 
 
-def order_economics_fused(bc: DataFrame, fx: DataFrame) -> DataFrame:
-    """J6 + J7 in one pass over :func:`with_economics` (same rows as
-    ``order_economics(bc, cost_split(bc, fx))``).
+def order_economics_fused(known: DataFrame, unknown: DataFrame, fx: FxRates | DataFrame) -> DataFrame:
+    """J6 + J7 in one pass over the two parts of :func:`economics_parts` (same rows as
+    ``order_economics(bc, cost_split(bc, fx))`` over their union).
 
     The three cost shares are summed inside each booking's list with
     higher-order functions (``filter`` + ``aggregate``), NULL when no element
@@ -126,7 +152,7 @@ def order_economics_fused(bc: DataFrame, fx: DataFrame) -> DataFrame:
     bookings attaches. No explode, no second aggregate, no join back; the
     window reuses the join's ``order_no`` partitioning (no shuffle).
     """
-    rows = with_rate(bc, "_cm_date", fx)
+    rows = with_rate(known, "_cm_date", fx)
     acc_type = "decimal(38,8)"
 
     def share(pred) -> Column:
@@ -142,9 +168,10 @@ def order_economics_fused(bc: DataFrame, fx: DataFrame) -> DataFrame:
         "abra_cost": share(lambda x: x["program_name"].isin(K.RPL_PROGRAM)),
         "rpl_cofunding": share(lambda x: x["program_group_name"].isin(K.RPL_PROGRAM_GROUP)),
     }
+    j = rows.select("*", *[F.sum(v).over(per_booking).alias(k) for k, v in shares.items()])
     # A NULL order number matches no cost row (the join back is on the order).
-    known = F.col("order_no").isNotNull()
-    j = rows.select("*", *[F.when(known, F.sum(v).over(per_booking)).alias(k) for k, v in shares.items()])
+    types = dict(j.dtypes)
+    j = j.drop("rate").unionByName(unknown.select("*", *[F.lit(None).cast(types[k]).alias(k) for k in shares]))
     j = j.where(~F.col("Food_mode_name").isin(K.PICKUP_MODE))
     return j.select(
         "booking_date", "restaurant_id", F.col("_cm_order").alias("order_no"),
@@ -154,7 +181,7 @@ def order_economics_fused(bc: DataFrame, fx: DataFrame) -> DataFrame:
     ).distinct()
 
 
-def daily_economics(order_econ: DataFrame, fx: DataFrame) -> DataFrame:
+def daily_economics(order_econ: DataFrame, fx: FxRates | DataFrame) -> DataFrame:
     """13 measures per (day, restaurant).
 
     Amounts are converted with the year's rate and summed null-safe; the
@@ -167,22 +194,21 @@ def daily_economics(order_econ: DataFrame, fx: DataFrame) -> DataFrame:
     md = F.col("mfp_markdown_amount") > 0
     j = with_rate(order_econ, "booking_date", fx).withColumns({
         "_md_order": F.when(md, F.col("order_no")), "_md_amount": F.when(md, F.col("gmv_amount") * rate)})
-    # The first row of each order and of each amount stands for it: plain
-    # sums then, in one pass over the rows, without Spark's Expand. The
-    # windows are keyed by the counted value too, so a hot restaurant spreads.
+    # Sums and orders by (group, order), amounts by (group, amount): both combine before
+    # their shuffle, and both read the one shuffle of the DISTINCT above.
     keys = ["booking_date", "restaurant_id"]
-    j = first_of(first_of(j, keys, "_md_order", "_first_order"), keys, "_md_amount", "_first_amount")
-    return j.groupBy(*keys).agg(
-        *[F.sum(F.coalesce(F.col(src) * rate, F.lit(0))).alias(name) for name, src in ECON_MEASURES],
-        F.count_if("_first_order").alias("co_mfp_non_sku"),
-        F.sum("akab_rpl_overall").alias("akab_rpl_overall"),
-        F.sum("rpl_cofunding").alias("rpl_cofunding"),
-        F.sum("abra_cost").alias("abra_cost"),
-        F.sum(F.when(F.col("_first_amount"), F.col("_md_amount"))).alias("gmv_mfp_non_sku"),
-    )
-
-
-def order_distinct_sum(order_econ: DataFrame, fx: DataFrame) -> DataFrame:
+    sums = {**{name: F.coalesce(F.col(src) * rate, F.lit(0)) for name, src in ECON_MEASURES},
+            **{name: F.col(name) for name in ("akab_rpl_overall", "rpl_cofunding", "abra_cost")}}
+    by_order = j.groupBy(*keys, "_md_order").agg(*[F.sum(e).alias(f"_s_{n}") for n, e in sums.items()])
+    out = by_order.groupBy(*keys).agg(F.count("_md_order").alias("co_mfp_non_sku"),
+                                      *[F.sum(f"_s_{n}").alias(n) for n in sums])
+    amounts = per_value(j, keys, F.col("_md_amount"), F.sum("_value").alias("gmv_mfp_non_sku"))
+    return null_safe_join(out, amounts, keys).select(
+        *keys, *[name for name, _ in ECON_MEASURES], "co_mfp_non_sku", "akab_rpl_overall", "rpl_cofunding",
+        "abra_cost", "gmv_mfp_non_sku")
+
+
+def order_distinct_sum(order_econ: DataFrame, fx: FxRates | DataFrame) -> DataFrame:
     """E10 side by side: SUM(DISTINCT amount) vs a sum over distinct orders.
 
     The per-order form de-duplicates on the order key first, so two orders
@@ -193,11 +219,10 @@ def order_distinct_sum(order_econ: DataFrame, fx: DataFrame) -> DataFrame:
     amount = F.when(md, F.col("gmv_amount") * F.col("rate"))
     keys = ["booking_date", "restaurant_id"]
     j = j.withColumn("_amount", amount)
-    j = first_of(first_of(j, keys, "_amount", "_first_amount"), keys, "order_no", "_first_order",
-                 by=F.desc_nulls_last("_amount"))
-    return j.groupBy(*keys).agg(
-        F.sum(F.when(F.col("_first_amount"), F.col("_amount"))).alias("sum_distinct_amount"),
-        F.sum(F.when(F.col("_first_order"), F.col("_amount"))).alias("order_distinct_amount"))
+    by_order = j.groupBy(*keys, "order_no").agg(F.max("_amount").alias("_most"))
+    out = by_order.groupBy(*keys).agg(F.sum(F.when(F.col("order_no").isNotNull(), F.col("_most"))).alias("order_distinct_amount"))
+    amounts = per_value(j, keys, F.col("_amount"), F.sum("_value").alias("sum_distinct_amount"))
+    return null_safe_join(out, amounts, keys).select(*keys, "sum_distinct_amount", "order_distinct_amount")
 
 
 # --------------------------------------------------------------------------

@@ -1,12 +1,13 @@
-"""Several COUNT(DISTINCT ...) in one group without ``Expand``.
+"""Several COUNT(DISTINCT ...) in one group without ``Expand``.
 
 Spark plans k distinct aggregates in one ``agg`` by replicating every
-input row k+1 times (``Expand``) before shuffling. Instead the first row of
-each distinct value is flagged, and flags are counted. When most counts are
-of the same unit (an order) under different conditions, grouping first by
-(keys, unit) makes them plain counts of per-unit flags: "some row of this
-unit meets the condition". Sums become sums of per-unit sums. The input is
-read once.
+input row k+1 times (``Expand``) before shuffling. Instead each counted
+value has its own two-level aggregate: first by (keys, value), combined
+before the shuffle, then by the keys. Counts of the same unit (an order)
+under different conditions share one: grouped by (keys, unit) they are plain
+counts of per-unit flags, "some row of this unit meets the condition", and
+sums are sums of per-unit sums. The results, one row per group, are joined on
+the keys.
 
 Exact for any input, duplicates included; every shuffle but the last is
 keyed by (keys, counted value), so a hot group spreads over many tasks.
@@ -16,19 +17,19 @@ from __future__ import annotations
 
 from collections.abc import Mapping, Sequence
 
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from martspark.plans.joins import null_safe_join
 
-def first_of(rows: DataFrame, keys: Sequence[str], value: str, flag: str, by: Column | None = None) -> DataFrame:
-    """Add ``flag``: true on one row of each (keys, non-NULL ``value``), the first by ``by``.
 
-    Rows with a NULL value are dealt out by all their other columns, so
-    they don't meet in one task.
+def per_value(rows: DataFrame, keys: Sequence[str], value: Column, agg: Column) -> DataFrame:
+    """``agg`` over the distinct values (column ``_value``) of each group.
+
+    No row is filtered: a filter would sink below the rows' own aggregates
+    and keep Spark from reusing their shuffle for the other aggregates.
     """
-    spread = F.when(F.col(value).isNull(), F.xxhash64(*[F.col(c) for c, t in rows.dtypes if not t.startswith("map")]))
-    one = Window.partitionBy(*keys, value, spread).orderBy(F.lit(0) if by is None else by)
-    return rows.withColumn(flag, F.col(value).isNotNull() & (F.row_number().over(one) == 1))
+    return rows.select(*keys, value.alias("_value")).distinct().groupBy(*keys).agg(agg)
 
 
 def distinct_rollup(rows: DataFrame, keys: Sequence[str], unit: str,
@@ -44,18 +45,16 @@ def distinct_rollup(rows: DataFrame, keys: Sequence[str], unit: str,
 
     Output columns: keys, then the names in the order given above.
     """
-    other_distinct = dict(other_distinct or {})
     flags = {n: (F.lit(True) if c is None else c) for n, c in unit_counts.items()}
-    for n, e in other_distinct.items():
-        rows = first_of(rows.withColumn(f"_v_{n}", e), keys, f"_v_{n}", f"_o_{n}")
     per_unit = rows.groupBy(*keys, unit).agg(
         *[F.max(c).alias(f"_f_{n}") for n, c in flags.items()],
         *[F.sum(e).alias(f"_s_{n}") for n, e in sums.items()],
-        *[F.count_if(f"_o_{n}").alias(f"_n_{n}") for n in other_distinct],
     )
     has_unit = F.col(unit).isNotNull()
-    return per_unit.groupBy(*keys).agg(
+    out = per_unit.groupBy(*keys).agg(
         *[F.count_if(F.col(f"_f_{n}") & has_unit).alias(n) for n in flags],
         *[F.sum(f"_s_{n}").alias(n) for n in sums],
-        *[F.sum(f"_n_{n}").alias(n) for n in other_distinct],
     )
+    for n, e in (other_distinct or {}).items():
+        out = null_safe_join(out, per_value(rows, keys, e, F.count("_value").alias(n)), keys)
+    return out

@@ -17,7 +17,7 @@ from pyspark.sql import functions as F
 from martspark.functions import classify
 from martspark.functions import constants as K
 from martspark.functions.calendar import DEFAULT_TZ, MonthWindow, local_date, month_of, month_to_date
-from martspark.functions.money import checked_fx
+from martspark.functions.money import FxRates
 from martspark.operators import branches as B
 from martspark.operators.dims import Enterprise, enriched_dim_as_of, restaurant_dim
 from martspark.operators.distinct import distinct_rollup
@@ -91,7 +91,7 @@ KPI_COLUMNS = (KPI_KEYS + [m for m, _, _ in KPI_MEASURES]
 
 def kpi_branches(src: Sources, window: MonthWindow, ent: Enterprise,
                  tz: str = DEFAULT_TZ, cache_facts: bool = False,
-                 literal_rating_cutoff: bool = False, literal: bool = False) -> tuple[Branch, list[Branch]]:
+                 literal_rating_cutoff: bool = False, literal: bool = False, prune: bool = False) -> tuple[Branch, list[Branch]]:
     """The spine and the daily branches, each keyed by (day, restaurant).
 
     The reference's nine branches map to six inputs here: order totals (J10)
@@ -105,12 +105,12 @@ def kpi_branches(src: Sources, window: MonthWindow, ent: Enterprise,
     bk = src.bookings
     if cache_facts:
         bk = ent.restrict(B.bookings_in_window(bk, window, tz)).persist(StorageLevel.MEMORY_AND_DISK)
-    fx = checked_fx(src.fx)
-    bc = B.with_economics(bk, src.booking_cm, window, ent, tz)
+    fx = FxRates.of(src.fx)
+    known, unknown = B.economics_parts(bk, src.booking_cm, window, ent, tz, prune=prune)
     if src.econ_bookings is None:
-        orders = B.order_economics_fused(bc, fx)
+        orders = B.order_economics_fused(known, unknown, fx)
     else:  # A5: costs from the first booking table, economics from the second
-        orders = B.order_economics(B.with_economics(src.econ_bookings, src.booking_cm, window, ent, tz), B.cost_split(bc, fx))
+        orders = B.order_economics(B.with_economics(src.econ_bookings, src.booking_cm, window, ent, tz), B.cost_split(known, fx))
     econ = B.daily_economics(orders, fx)
     ads_cols = [n for n, _ in B.ADS_PAID_SUMS[2:]] + [n for _, n in K.ADS_INVENTORY_COLUMNS]
     ads = B.paid_ads_daily(src.ads, window, ent, keys=("jakarta_data_date", "restaurant_id")) \

@@ -157,8 +157,7 @@ def unnest_cost_split(spark, sf_dir):
 
 
 def _order_econ(s: Sources, ent: Enterprise) -> DataFrame:
-    bc = B.with_economics(s.bookings, s.booking_cm, WINDOW, ent)
-    return B.order_economics_fused(bc, s.fx)
+    return B.order_economics_fused(*B.economics_parts(s.bookings, s.booking_cm, WINDOW, ent), s.fx)
 
 
 def order_economics(spark, sf_dir):

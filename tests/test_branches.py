@@ -132,7 +132,7 @@ def test_fused_cost_split_equals_unnest_aggregate_join(spark):
     fx = fx_table(spark, {1996: 10000, 1998: 14500})
     bc = B.with_economics(bk, cm, W, _ent(spark))
     explicit = B.order_economics(bc, B.cost_split(bc, fx))
-    fused = B.order_economics_fused(bc, fx)
+    fused = B.order_economics_fused(*B.economics_parts(bk, cm, W, _ent(spark)), fx)
     cols = explicit.columns
     assert sorted(map(tuple, explicit.select(cols).collect()), key=str) == \
         sorted(map(tuple, fused.select(cols).collect()), key=str)
