@@ -75,17 +75,18 @@ def economics_parts(bookings: DataFrame, booking_cm: DataFrame, window: MonthWin
     shuffled. Bookings without an order number match no economics: they stay
     out of the join, where all of them would meet in one task.
 
-    ``prune`` reads only economics between the month's smallest and largest order number.
-    Parquet skips row groups by it, as stored economics are sorted; the range is
-    found from one narrow column of the month, no date limits it.
+    ``prune`` reads only economics between the month's smallest and largest order number, found
+    by one job over that column of the month (two values come to the driver; as a
+    subquery they would not reach Parquet). Row groups outside are skipped, as stored economics
+    are sorted by it. No date limits them.
     """
     b = ent.restrict(bookings_in_window(bookings, window, tz)).select(
         "order_no", "restaurant_id", "created_timestamp", "Food_mode_name", "rpl_detail_list")
     cm = booking_cm.select(F.col("order_no").alias("_cm_order"), F.col("booking_date").alias("_cm_date"),
                            *ECONOMICS_AMOUNTS)
     if prune:
-        ends = bookings_in_window(bookings, window, tz).agg(F.min("order_no").alias("lo"), F.max("order_no").alias("hi"))
-        cm = cm.where((F.col("_cm_order") >= ends.select("lo").scalar()) & (F.col("_cm_order") <= ends.select("hi").scalar()))
+        lo, hi = bookings_in_window(bookings, window, tz).agg(F.min("order_no"), F.max("order_no")).first()
+        cm = cm.where(F.col("_cm_order").between(F.lit(lo), F.lit(hi)))
     day = local_date(F.col("created_timestamp"), tz)
     known = (b.where(F.col("order_no").isNotNull())
               .join(cm, F.col("order_no") == F.col("_cm_order"), "left").withColumn("booking_date", day))

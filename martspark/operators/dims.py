@@ -40,7 +40,7 @@ def restaurant_dim(profile: DataFrame, universe: DataFrame) -> DataFrame:
 
 
 def restaurant_dim_enriched(profile: DataFrame, universe: DataFrame, bridge: DataFrame,
-                            geo: DataFrame) -> DataFrame:
+                            geo: DataFrame, count_lookups: bool = True) -> DataFrame:
     """Profile + universe + outlet bridge + geo cells.
 
     The bridge overrides the entity id and parent name when present
@@ -55,7 +55,7 @@ def restaurant_dim_enriched(profile: DataFrame, universe: DataFrame, bridge: Dat
                    "subdistrict_name", "regency_name", "sales_region_name")
     joined = (profile.join(u, F.col("_u_id") == profile.restaurant_id, "left")
                      .join(b, F.col("_b_outlet") == profile.merchant_platform_outlet_id, "left")
-                     .join(lookup_side(g), F.col("_g_cell") == profile.location_s2id_14, "left"))
+                     .join(lookup_side(g) if count_lookups else g, F.col("_g_cell") == profile.location_s2id_14, "left"))
     return joined.select(
         F.col("merchant_platform_outlet_id").alias("saudagar_id"),
         "restaurant_id", "restaurant_uuid", "service_area_name",
@@ -67,6 +67,10 @@ def restaurant_dim_enriched(profile: DataFrame, universe: DataFrame, bridge: Dat
     ).distinct()
 
 
+def enterprise_slice(dim: DataFrame, classification: str = K.ENTERPRISE) -> DataFrame:
+    return dim.where(F.col("classification_type_name") == classification)
+
+
 @dataclass
 class Enterprise:
     """The enterprise slice of a restaurant dimension, prepared once.
@@ -85,7 +89,7 @@ class Enterprise:
     @classmethod
     def of(cls, dim: DataFrame, classification: str = K.ENTERPRISE,
            check_unique: bool = True, max_broadcast_rows: int = DEFAULT_BROADCAST_ROWS) -> "Enterprise":
-        ent = dim.where(F.col("classification_type_name") == classification)
+        ent = enterprise_slice(dim, classification)
         # One job answers all three questions: row count (broadcast bound),
         # distinct ids and distinct uuids (fan-out guards).
         stats = ent.agg(F.count(F.lit(1)).alias("n"),
@@ -123,6 +127,9 @@ class Enterprise:
 
 def enriched_dim_as_of(profile: DataFrame, universe: DataFrame, geo: DataFrame,
                        dim_outlet: DataFrame, dim_account: DataFrame, as_of: dt.date,
-                       rules: BridgeRules = BridgeRules(), tz: str = DEFAULT_TZ) -> DataFrame:
-    bridge = outlet_bridge(dim_outlet, dim_account, as_of, rules, tz)
-    return restaurant_dim_enriched(profile, universe, bridge, geo)
+                       rules: BridgeRules = BridgeRules(), tz: str = DEFAULT_TZ,
+                       count_lookups: bool = True) -> DataFrame:
+    """J4 as of a date. ``count_lookups`` counts the lookups to broadcast small ones; without it no job
+    is started and adaptive execution decides from measured sizes."""
+    bridge = outlet_bridge(dim_outlet, dim_account, as_of, rules, tz, count_lookups)
+    return restaurant_dim_enriched(profile, universe, bridge, geo, count_lookups)

@@ -121,7 +121,7 @@ def outlet_roles(dim_outlet: DataFrame, dim_account: DataFrame, as_of: dt.date,
 
 
 def outlet_bridge(dim_outlet: DataFrame, dim_account: DataFrame, as_of: dt.date,
-                  rules: BridgeRules = BridgeRules(), tz: str = DEFAULT_TZ) -> DataFrame:
+                  rules: BridgeRules = BridgeRules(), tz: str = DEFAULT_TZ, count_lookups: bool = True) -> DataFrame:
     """Outlet -> product outlet -> entity, as of ``as_of``.
 
     The LEFT JOIN to product outlets is inner because of the WHERE on its
@@ -133,7 +133,9 @@ def outlet_bridge(dim_outlet: DataFrame, dim_account: DataFrame, as_of: dt.date,
     po = product_outlets_as_of(dim_account, as_of, rules, tz)
     # Entities are few and many outlets share one parent: broadcast them
     # (after a bounded count) so a popular parent is not a skewed join key.
-    ent = lookup_side(entities_as_of(dim_account, as_of, rules, tz))
+    ent = entities_as_of(dim_account, as_of, rules, tz)
+    if count_lookups:
+        ent = lookup_side(ent)
     return (outlet.join(po, "sf_outlet_id", "inner")
                   .join(ent, po.parent_id == ent.sf_account_id, "left")
                   .select("outlet_id", F.col("entity_id").alias("sf_entity_id"),

@@ -10,7 +10,9 @@ fails with a bounded sample of them.
 from __future__ import annotations
 
 from collections.abc import Sequence
+from contextlib import contextmanager
 
+from pyspark.errors import PySparkException
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -19,6 +21,36 @@ class FanOutError(ValueError):
     pass
 
 
+#: Starts the message of a guard that fails while a plan runs.
+GUARD = "FanOutError: "
+
+
+def guarded(df: DataFrame, keys: Sequence[str], name: str = "lookup") -> DataFrame:
+    """``df`` with one row for each of ``keys``; running it fails where a key has more.
+
+    The check is part of the plan (the rows of a key meet in one small group),
+    so building a query starts no job. :func:`raising_fan_out` gives the error its type.
+    """
+    others = [c for c in df.columns if c not in keys]
+    one = df.groupBy(*keys).agg(F.count(F.lit(1)).alias("_n"), F.first(F.struct(*others)).alias("_row"))
+    shown = F.concat(F.lit(f"{GUARD}{name}: key {list(keys)} is not unique: "), F.concat_ws(", ", *[F.col(k).cast("string") for k in keys]),
+                     F.lit(" x"), F.col("_n").cast("string"))
+    row = F.when(F.col("_n") > 1, F.raise_error(shown)).otherwise(F.col("_row"))
+    return one.select(*keys, row.alias("_row")).select(*[F.col(c) if c in keys else F.col(f"_row.{c}").alias(c) for c in df.columns])
+
+
+@contextmanager
+def raising_fan_out():
+    """Raise a failed guard of a running plan as :class:`FanOutError`."""
+    try:
+        yield
+    except PySparkException as failed:
+        text = str(failed)
+        if GUARD in text:
+            raise FanOutError(text[text.index(GUARD) + len(GUARD):].splitlines()[0]) from failed
+        raise
+
+
 def duplicate_keys(df: DataFrame, keys: Sequence[str]) -> DataFrame:
     """Keys with more than one row, with their multiplicity ``n_rows``."""
     return (df.groupBy(*keys).agg(F.count(F.lit(1)).alias("n_rows"))

@@ -116,19 +116,22 @@ def spine_full_join_coalesced(spine: Branch, dim: DataFrame, branches: Sequence[
 
     Every input has at most one row per key (branches by construction, the
     spine summed per key here), so the FULL JOIN chain equals a union of
-    the branches followed by one GROUP BY on the key that picks each
-    column's single value: one shuffle with map-side combine, where nine
-    chained full joins would re-shuffle the growing left side each time
-    (a full join's merged key has no known partitioning).
+    the branches followed by one GROUP BY on the key: one shuffle with
+    map-side combine, where nine chained full joins would re-shuffle the
+    growing left side each time (a full join's merged key has no known
+    partitioning). A row of the union carries its branch's measures as one
+    struct and NULL for every other branch, not some 70 padded columns, and the
+    group picks one struct a branch.
     """
     # Branches are already windowed; a spine row outside the window could
     # only merge with branch rows outside it, so windowing it first is exact.
     s = spine.df.where(window.contains(F.col(DAY)))
     s = s.groupBy(DAY, RID).agg(*[F.sum(c).alias(c) for c in spine.measures])
-    frames = [s] + [b.df for b in branches]
+    parts = {"_spine": (s, spine.measures), **{f"_b_{b.name}": (b.df, b.measures) for b in branches}}
+    frames = [df.select(DAY, RID, F.struct(*cols).alias(name)) for name, (df, cols) in parts.items()]
     u = reduce(lambda l, r: l.unionByName(r, allowMissingColumns=True), frames)
-    measures = [c for f in frames for c in f.columns if c not in (DAY, RID)]
-    j = u.groupBy(DAY, RID).agg(*[F.max(c).alias(c) for c in measures])
+    j = u.groupBy(DAY, RID).agg(*[F.any_value(name, ignoreNulls=F.lit(True)).alias(name) for name in parts])
+    j = j.select(DAY, RID, *[F.col(name)[c].alias(c) for name, (_, cols) in parts.items() for c in cols])
     d = dim.where(F.col("classification_type_name") == classification)
     d = d.select(*[F.col(c).alias(f"dim__{c}") for c in d.columns])
     j = j.where(window.contains(F.col(DAY)))

@@ -22,9 +22,8 @@ from martspark.operators import branches as B
 from martspark.operators.dims import Enterprise, enriched_dim_as_of, restaurant_dim
 from martspark.operators.distinct import distinct_rollup
 from martspark.operators.history import BridgeRules
-from martspark.operators.quality import assert_unique
+from martspark.operators.quality import guarded
 from martspark.operators.spine import DAY, RID, SPINE_MODES, Branch, keyed
-from martspark.plans.joins import WIDE_BROADCAST_ROWS
 from martspark.sources.catalog import Sources
 from martspark.sources.schemas import RPL_AMOUNT_COLUMNS
 
@@ -39,45 +38,45 @@ KPI_KEYS = [
     "general_group_name", "classification_type_name",
 ]
 
-# (output name, input column after the spine join, null-safe?)
-KPI_MEASURES: list[tuple[str, str, bool]] = [
-    ("gmv", "completed_Food_gmv_amount", True),
-    ("co", "completed_Food_order_number", True),
-    ("mfp_markdown", "d_mfp_markdown_amount", True),
-    ("mfp_sku", "completed_Food_mfp_sku_amount", True),
-    ("mfp_voucher", "completed_Food_mfp_voucher_amount", True),
-    ("co_mfp_non_sku", "co_mfp_non_sku", True),
-    ("total_order", "all_Food_order_number", True),
-    ("cm", "cm", True),
-    ("cor", "cor", True),
-    ("gt", "gt_preoffset", True),
-    ("gtv", "gtv", True),
-    ("net_rpl", "net_rpl", True),
-    ("mc", "mc", True),
-    ("gross_rpl", "gross_rpl", True),
-    ("est_mc", "completed_merchant_commission_amount", True),
-    ("est_rpl", "completed_Food_estimated_rpl_amount", True),
-    ("fpt_min", "total_food_preparation_time_in_minute", True),
-    ("completion_time_sec", "total_completion_time_in_second", True),
-    ("eta_min", "total_eta_in_minute", True),
-    ("late_delivery_order", "total_late_delivery_order_number", True),
-    ("total_aggregated_rating", "rating_original", True),
-    ("total_app_restaurant_rating", "rating_app", True),
-    ("total_rating_number", "rating_count", True),
-    ("ads_booked_revenue_amount", "ads_booked_amount", True),
-    ("ads_realized_revenue_amount", "ads_realized_amount", True),
-    ("ads_booked_paid_revenue_amount", "ads_booked_paid_revenue_amount", True),
-    ("ads_realized_paid_revenue_amount", "ads_realized_paid_revenue_amount", True),
-    *[(name, name, True) for _, name in K.ADS_INVENTORY_COLUMNS],
-    *[(name, name, True) for name, _ in B.ADS_PAID_SUMS[2:]],
-    ("profile_visit", "profile_visit", True),
-    ("add_to_cart", "add_to_cart", True),
-    ("Food_shuffle_impression_count", "Food_shuffle_impression_count", True),
-    ("Food_search_impression_count", "Food_search_impression_count", True),
-    ("Food_suggestion_impression_count", "Food_suggestion_impression_count", True),
-    ("Food_total_impression_count", "Food_total_impression_count", True),
-    *[(name, name, True) for name in K.AOV_SHORT_LABELS],
-    *[(name, name, True) for name in K.PROMO_SHORT_LABELS.values()],
+# (output name, input column after the spine join), summed null-safe
+KPI_MEASURES: list[tuple[str, str]] = [
+    ("gmv", "completed_Food_gmv_amount"),
+    ("co", "completed_Food_order_number"),
+    ("mfp_markdown", "d_mfp_markdown_amount"),
+    ("mfp_sku", "completed_Food_mfp_sku_amount"),
+    ("mfp_voucher", "completed_Food_mfp_voucher_amount"),
+    ("co_mfp_non_sku", "co_mfp_non_sku"),
+    ("total_order", "all_Food_order_number"),
+    ("cm", "cm"),
+    ("cor", "cor"),
+    ("gt", "gt_preoffset"),
+    ("gtv", "gtv"),
+    ("net_rpl", "net_rpl"),
+    ("mc", "mc"),
+    ("gross_rpl", "gross_rpl"),
+    ("est_mc", "completed_merchant_commission_amount"),
+    ("est_rpl", "completed_Food_estimated_rpl_amount"),
+    ("fpt_min", "total_food_preparation_time_in_minute"),
+    ("completion_time_sec", "total_completion_time_in_second"),
+    ("eta_min", "total_eta_in_minute"),
+    ("late_delivery_order", "total_late_delivery_order_number"),
+    ("total_aggregated_rating", "rating_original"),
+    ("total_app_restaurant_rating", "rating_app"),
+    ("total_rating_number", "rating_count"),
+    ("ads_booked_revenue_amount", "ads_booked_amount"),
+    ("ads_realized_revenue_amount", "ads_realized_amount"),
+    ("ads_booked_paid_revenue_amount", "ads_booked_paid_revenue_amount"),
+    ("ads_realized_paid_revenue_amount", "ads_realized_paid_revenue_amount"),
+    *[(name, name) for _, name in K.ADS_INVENTORY_COLUMNS],
+    *[(name, name) for name, _ in B.ADS_PAID_SUMS[2:]],
+    ("profile_visit", "profile_visit"),
+    ("add_to_cart", "add_to_cart"),
+    ("Food_shuffle_impression_count", "Food_shuffle_impression_count"),
+    ("Food_search_impression_count", "Food_search_impression_count"),
+    ("Food_suggestion_impression_count", "Food_suggestion_impression_count"),
+    ("Food_total_impression_count", "Food_total_impression_count"),
+    *[(name, name) for name in K.AOV_SHORT_LABELS],
+    *[(name, name) for name in K.PROMO_SHORT_LABELS.values()],
 ]
 KPI_TAIL = [
     ("akab_rpl_overall", "akab_rpl_overall"),
@@ -85,7 +84,7 @@ KPI_TAIL = [
     ("abra_cost", "abra_cost"),
     ("gmv_from_mfp", "gmv_mfp_non_sku"),
 ]
-KPI_COLUMNS = (KPI_KEYS + [m for m, _, _ in KPI_MEASURES]
+KPI_COLUMNS = (KPI_KEYS + [m for m, _ in KPI_MEASURES]
                + ["lates_update_date", "sales_code", "sales_name"] + [m for m, _ in KPI_TAIL])
 
 
@@ -157,18 +156,21 @@ def kpi_branches(src: Sources, window: MonthWindow, ent: Enterprise,
 
 def kpi_daily(src: Sources, run_date: dt.date, mode: str = "left", tz: str = DEFAULT_TZ,
               check_unique: bool = True, cache_facts: bool = False,
-              literal_rating_cutoff: bool = False) -> DataFrame:
+              literal_rating_cutoff: bool = False, ent: Enterprise | None = None,
+              prune: bool = False) -> DataFrame:
     """Daily wide rows: spine joined with all branches and the dimension.
 
     ``mode``: "left" (default, D10), "literal" (the FULL JOIN text, same
     rows) or "full" (repaired full mode). ``literal_rating_cutoff`` keeps the
-    reference's ``DATETIME BETWEEN date AND date`` rating window (C3).
+    reference's ``DATETIME BETWEEN date AND date`` rating window (C3). ``ent``
+    is the enterprise slice of a job that wrote it (``Enterprise.of`` without it).
+    ``prune`` is that of :func:`branches.economics_parts`, for stored economics.
     """
     window = month_to_date(run_date)
     dim = restaurant_dim(src.profile, src.universe)
-    ent = Enterprise.of(dim, check_unique=check_unique)
+    ent = ent or Enterprise.of(dim, check_unique=check_unique)
     literal = mode == "literal"
-    spine, branches = kpi_branches(src, window, ent, tz, cache_facts, literal_rating_cutoff, literal)
+    spine, branches = kpi_branches(src, window, ent, tz, cache_facts, literal_rating_cutoff, literal, prune)
     return SPINE_MODES[mode](spine, dim if literal else ent.dim, branches, window)
 
 
@@ -186,7 +188,7 @@ def kpi_rollup(daily: DataFrame) -> DataFrame:
         F.col("dim__sales_code").alias("sales_code"),
         F.col("dim__sales_name").alias("sales_name"),
     ]
-    aggs = [_zero_sum(src).alias(name) for name, src, _ in KPI_MEASURES]
+    aggs = [_zero_sum(src).alias(name) for name, src in KPI_MEASURES]
     aggs.append(F.max(F.col(DAY)).alias("lates_update_date"))
     aggs += [F.sum(src).alias(name) for name, src in KPI_TAIL]
     out = daily.groupBy(*keys).agg(*aggs)
@@ -195,9 +197,10 @@ def kpi_rollup(daily: DataFrame) -> DataFrame:
 
 def kpi_monthly(src: Sources, run_date: dt.date, mode: str = "left", tz: str = DEFAULT_TZ,
                 check_unique: bool = True, cache_facts: bool = False,
-                literal_rating_cutoff: bool = False) -> DataFrame:
+                literal_rating_cutoff: bool = False, ent: Enterprise | None = None,
+                prune: bool = False) -> DataFrame:
     """The monthly enterprise KPI mart (83 columns, positional order)."""
-    return kpi_rollup(kpi_daily(src, run_date, mode, tz, check_unique, cache_facts, literal_rating_cutoff))
+    return kpi_rollup(kpi_daily(src, run_date, mode, tz, check_unique, cache_facts, literal_rating_cutoff, ent, prune))
 
 
 # --------------------------------------------------------------------------
@@ -223,21 +226,30 @@ PROMO_MEASURES = (["mau", "trx", "total_order"] + [n for n, _ in PROMO_SUMS] + R
 PROMO_COLUMNS = PROMO_KEYS + PROMO_TIERS + PROMO_MEASURES
 
 
-def promo_rows(src: Sources, run_date: dt.date, rules: BridgeRules = BridgeRules(),
-               tz: str = DEFAULT_TZ, check_unique: bool = True) -> DataFrame:
-    """Bookings of PAS orders in the window with promo burn and restaurant attributes."""
-    window = month_to_date(run_date)
+def promo_dimension(src: Sources, run_date: dt.date, rules: BridgeRules = BridgeRules(),
+                    tz: str = DEFAULT_TZ, check_unique: bool = True) -> DataFrame:
+    """Enterprise slice of the enriched dimension as of the window's end, one row a restaurant.
+
+    A second row fails the run (``check_unique``); nothing is run here. A job
+    writes the slice once and hands it to :func:`promo_daily`.
+    """
     resto = enriched_dim_as_of(src.profile, src.universe, src.geo, src.dim_outlet,
-                               src.dim_account, window.end, rules, tz)
-    resto = resto.where(F.col("classification_type_name") == K.ENTERPRISE)
-    # One job tells the size and whether ids repeat.
-    n, ids = resto.agg(F.count("*"), F.count_distinct("restaurant_id")).first()
-    if check_unique and ids != n:
-        assert_unique(resto, ["restaurant_id"], "enriched restaurant dimension")
-    resto = resto.select(F.col("restaurant_id").alias("_r_id"),
-                         *[c for c in PROMO_KEYS if c not in ("booking_date", "restaurant_id")])
-    if n <= WIDE_BROADCAST_ROWS:
-        resto = F.broadcast(resto)
+                               src.dim_account, month_to_date(run_date).end, rules, tz, count_lookups=False)
+    resto = resto.where(F.col("classification_type_name") == K.ENTERPRISE).select(
+        "restaurant_id", *[c for c in PROMO_KEYS if c not in ("booking_date", "restaurant_id")])
+    return guarded(resto, ["restaurant_id"], "enriched restaurant dimension") if check_unique else resto
+
+
+def promo_rows(src: Sources, run_date: dt.date, rules: BridgeRules = BridgeRules(), tz: str = DEFAULT_TZ,
+               check_unique: bool = True, dimension: DataFrame | None = None) -> DataFrame:
+    """Bookings of PAS orders in the window with promo burn and restaurant attributes.
+
+    Without a prepared ``dimension`` it is part of the plan; adaptive execution
+    broadcasts it when its measured size allows.
+    """
+    window = month_to_date(run_date)
+    resto = promo_dimension(src, run_date, rules, tz, check_unique) if dimension is None else dimension
+    resto = resto.withColumnRenamed("restaurant_id", "_r_id")
     a = B.bookings_in_window(src.bookings, window, tz).where(F.col("food_pas_flag").eqNullSafe(True))
     c = src.promo_tx.where(window.contains(F.col("jakarta_booking_date"))).select(
         F.col("order_no").alias("_c_order"),
@@ -252,17 +264,17 @@ def promo_rows(src: Sources, run_date: dt.date, rules: BridgeRules = BridgeRules
 
 def promo_daily(src: Sources, run_date: dt.date, tiers: classify.CityTiers = classify.CityTiers(),
                 rules: BridgeRules = BridgeRules(), tz: str = DEFAULT_TZ,
-                check_unique: bool = True) -> DataFrame:
+                check_unique: bool = True, dimension: DataFrame | None = None) -> DataFrame:
     """Daily promo-project mart, 12 keys + 3 tiers + 21 measures.
 
     Four distinct counts in one group would make Spark replicate every row
     once per distinct expression (``Expand``). Instead rows are first
     grouped by (keys, order): order counts become plain counts of flags,
     sums are sums of per-order sums. Only ``mau`` (distinct customers)
-    needs its own single-distinct aggregate; the two small results are
-    joined on the keys (NULL-safe, names may be NULL).
+    needs its own aggregate, which reads the bookings' few columns for it;
+    the two small results are joined on the keys (NULL-safe, names may be NULL).
     """
-    rows = promo_rows(src, run_date, rules, tz, check_unique)
+    rows = promo_rows(src, run_date, rules, tz, check_unique, dimension)
     done = F.col("status_id") == K.COMPLETED_STATUS
     md = done & (F.coalesce(F.col("markdown_mfp_burnt"), F.lit(0)) > 0)
     out = distinct_rollup(

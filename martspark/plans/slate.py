@@ -172,6 +172,11 @@ def daily_economics(spark, sf_dir):
     return as_output(B.daily_economics(_order_econ(s, _ent(s)), s.fx))
 
 
+def kpi_monthly_second_bookings(spark, sf_dir):
+    """A5: the KPI mart with costs from the first booking table, modes and economics from the second."""
+    return as_output(M.kpi_monthly(tpch_sources(tune(spark), sf_dir, second_bookings=True), RUN_DATE))
+
+
 def sum_distinct_vs_order_distinct(spark, sf_dir):
     s = _src(spark, sf_dir)
     return as_output(B.order_distinct_sum(_order_econ(s, _ent(s)), s.fx))
@@ -343,6 +348,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "spine_full_join_coalesced": _spine("full"),
     "month_rollup": month_rollup,
     "kpi_monthly": kpi_monthly,
+    "kpi_monthly_second_bookings": kpi_monthly_second_bookings,
     "promo_daily": promo_daily,
     "refresh_month_replace": refresh_month_replace,
     "refresh_append": refresh_append,

@@ -183,6 +183,19 @@ def bookings(orders: DataFrame, lineitem: DataFrame) -> DataFrame:
     )
 
 
+def econ_bookings(orders: DataFrame, lineitem: DataFrame) -> DataFrame:
+    """A5: the second booking table, another feed of the same orders: no urgent ones, other pickup orders, no cost list."""
+    mode = (F.when(F.col("o_orderpriority") == "3-MEDIUM", "FOOD-PICKUP")
+             .when(F.col("o_orderpriority") == "4-NOT SPECIFIED", F.lit(None).cast("string"))
+             .otherwise("FOOD-DELIVERY"))
+    return _lines(orders, lineitem).where(F.col("o_orderpriority") != "1-URGENT").select(
+        F.concat_ws("-", "o_orderkey", "l_suppkey").alias("order_no"),
+        F.col("l_suppkey").alias("restaurant_id"),
+        F.col("o_orderdate").alias("created_timestamp"),
+        mode.alias("Food_mode_name"),
+    ).distinct().withColumn("rpl_detail_list", F.lit(None).cast(S.BOOKINGS["rpl_detail_list"].dataType))
+
+
 def booking_cm(orders: DataFrame, lineitem: DataFrame) -> DataFrame:
     """A4: booking economics per booking; pending orders have no row yet."""
     pc = F.col("pc")
@@ -474,8 +487,8 @@ def dim_account(orders: DataFrame) -> DataFrame:
     return product_outlet.unionByName(billing_group).unionByName(entity)
 
 
-def tpch_sources(spark: SparkSession, sf_dir: str) -> LazySources:
-    """The mart inputs over the driver tables of ``sf_dir`` (built on use)."""
+def tpch_sources(spark: SparkSession, sf_dir: str, second_bookings: bool = False) -> LazySources:
+    """The mart inputs over the driver tables of ``sf_dir`` (built on use), A5 if asked for."""
     tables: dict[str, DataFrame] = {}
 
     def t(name: str) -> DataFrame:
@@ -491,6 +504,7 @@ def tpch_sources(spark: SparkSession, sf_dir: str) -> LazySources:
     src = LazySources({
         "bookings": lambda: bookings(t("orders"), t("lineitem")),
         "booking_cm": lambda: booking_cm(t("orders"), t("lineitem")),
+        **({"econ_bookings": lambda: econ_bookings(t("orders"), t("lineitem"))} if second_bookings else {}),
         "promo_tx": lambda: promo_tx(t("orders"), t("lineitem")),
         "spine": lambda: spine_daily(lazy("bookings")()),
         "ads": lambda: ads_daily(t("events")),

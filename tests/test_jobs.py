@@ -2,8 +2,11 @@
 
 import datetime as dt
 
+import pytest
 from paths import SF_SMALL
+from pyspark.sql import functions as F
 
+from martspark.operators.quality import FanOutError, raising_fan_out
 from martspark.plans import jobs
 from martspark.plans import marts as M
 from martspark.plans.slate import DRIVER_TIERS
@@ -43,6 +46,38 @@ def test_jobs_from_tables_equal_the_marts(spark, tmp_path):
     assert _rows(jan, M.PROMO_COLUMNS) == _rows(M.promo_daily(src, RUN_DATE, tiers=DRIVER_TIERS), M.PROMO_COLUMNS)
 
 
+def test_a_restaurant_with_two_rows_fails_before_the_switch(spark, tmp_path):
+    src = tpch_sources(spark, SF_SMALL)
+    target = str(tmp_path / "promo")
+    jobs.run_promo_job(spark, src, RUN_DATE, target, tiers=DRIVER_TIERS)
+    before = _rows(read_mart(spark, target, M.PROMO_COLUMNS), M.PROMO_COLUMNS)
+    twice = tpch_sources(spark, SF_SMALL)
+    renamed = src.profile.withColumn("brand_name", F.concat("brand_name", F.lit(" again")))
+    twice._built["profile"] = src.profile.unionByName(renamed)
+    with pytest.raises(FanOutError, match="enriched restaurant dimension.* x2"):
+        jobs.run_promo_job(spark, twice, RUN_DATE, target, tiers=DRIVER_TIERS)
+    with pytest.raises(FanOutError, match="enterprise restaurant dimension"):
+        jobs.run_kpi_job(spark, twice, RUN_DATE, str(tmp_path / "kpi"))
+    # The query itself fails while it runs; building it starts no job.
+    mart = M.promo_daily(twice, RUN_DATE, tiers=DRIVER_TIERS)
+    with pytest.raises(FanOutError), raising_fan_out():
+        mart.collect()
+    assert _rows(read_mart(spark, target, M.PROMO_COLUMNS), M.PROMO_COLUMNS) == before
+
+
+def test_jobs_with_a_second_booking_table(spark, tmp_path):
+    src = tpch_sources(spark, SF_SMALL, second_bookings=True)
+    base = str(tmp_path / "inputs")
+    for name in LazySources.NAMES:
+        if name != "fx":
+            getattr(src, name).write.parquet(f"{base}/{name}")
+    tables = jobs.table_sources(spark, base, FX_RATES, second_bookings=True)
+    jobs.run_kpi_job(spark, tables, RUN_DATE, str(tmp_path / "kpi"))
+    got = _rows(read_mart(spark, str(tmp_path / "kpi"), M.KPI_COLUMNS), M.KPI_COLUMNS)
+    assert got == _rows(M.kpi_monthly(src, RUN_DATE), M.KPI_COLUMNS)
+    assert got != _rows(M.kpi_monthly(tpch_sources(spark, SF_SMALL), RUN_DATE), M.KPI_COLUMNS)
+
+
 def test_append_job_duplicates_on_rerun(spark, tmp_path):
     src = tpch_sources(spark, SF_SMALL)
     target = str(tmp_path / "kpi")

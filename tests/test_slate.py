@@ -86,27 +86,6 @@ def test_as_of_filter_reaches_the_history_scan(spark, tmp_path):
     assert len(re.findall(want, _plan(H.outlet_bridge(outlet, account, S.WINDOW.end)))) >= 3
 
 
-def test_bucketed_economics_join_does_not_shuffle_history(spark):
-    """Tables bucketed by order number join without moving the economics history."""
-    from martspark.operators import branches as B
-    from martspark.sources.tpch import tpch_sources
-    src = tpch_sources(spark, SF_SMALL)
-    names = {"bookings": "t_bookings_bucketed", "booking_cm": "t_cm_bucketed"}
-    prev = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
-    try:
-        for name, as_table in names.items():
-            getattr(src, name).write.mode("overwrite").bucketBy(4, "order_no").saveAsTable(as_table)
-        bookings, cm = (spark.table(t) for t in names.values())
-        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
-        plan = _plan(B.with_economics(bookings, cm, S.WINDOW, S._ent(src)))
-        assert plan.count("Exchange hashpartitioning(order_no") == plan.count("Exchange hashpartitioning(_cm_order") == 0
-        assert "SortMergeJoin" in plan or "ShuffledHashJoin" in plan
-    finally:
-        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", prev)
-        for as_table in names.values():
-            spark.sql(f"DROP TABLE IF EXISTS {as_table}")
-
-
 def test_nothing_stays_cached_and_no_one_task_limit(spark):
     spark.catalog.clearCache()
     for name in ("kpi_monthly", "promo_daily"):
@@ -123,6 +102,16 @@ def test_fx_table_with_two_rates_a_year_is_refused(spark):
     src._built["fx"] = spark.createDataFrame([(1998, 1.0), (1998, 2.0)], "year int, rate double")
     with pytest.raises(FanOutError, match="FX relation"):
         M.kpi_monthly(src, S.RUN_DATE)
+    from martspark.functions.money import with_rate
+    from martspark.operators import branches as B
+    good = S._src(spark, SF_SMALL)
+    ent = S._ent(good)
+    known, unknown = B.economics_parts(good.bookings, good.booking_cm, S.WINDOW, ent)
+    orders = B.order_economics_fused(known, unknown, good.fx)
+    for use in (lambda: B.daily_economics(orders, src.fx), lambda: B.order_distinct_sum(orders, src.fx), lambda: B.cost_split(known, src.fx),
+                lambda: B.order_economics_fused(known, unknown, src.fx), lambda: with_rate(good.booking_cm, "booking_date", src.fx)):
+        with pytest.raises(FanOutError, match="FX relation"):
+            use()
 
 
 def test_queries_run_without_a_checkpoint_folder(tmp_path):
@@ -139,6 +128,26 @@ def test_queries_run_without_a_checkpoint_folder(tmp_path):
     assert re.search(r"rows [1-9]\d* [1-9]\d*", done.stdout), done.stderr[-1500:]
 
 
+@pytest.mark.parametrize("name, windows", [("daily_economics", 1), ("sum_distinct_vs_order_distinct", 1), ("multi_distinct_rollup", 0), ("promo_daily", 0)])
+def test_distincts_need_no_window_but_the_per_booking_one(spark, name, windows):
+    plan = _plan(E.queries()[name](spark, SF_SMALL))
+    assert "Expand" not in plan
+    kinds = set(re.findall(r"Window \[[^\n]*\], \[(order_no#\d+, booking_date#\d+)\]", plan))
+    assert len(re.findall(r"\bWindow \[", plan)) == len(re.findall(r"\bWindow \[[^\n]*\], \[order_no#\d+, booking_date#\d+\]", plan))
+    assert (len(kinds) > 0) == bool(windows)
+
+
+def test_building_the_promo_mart_starts_no_job(spark):
+    from martspark.plans import marts as M
+    src = S._src(spark, SF_SMALL)
+    spark.sparkContext.setJobGroup("promo-build", "none expected")
+    try:
+        M.promo_daily(src, S.RUN_DATE, tiers=S.DRIVER_TIERS)
+        assert len(spark.sparkContext.statusTracker().getJobIdsForGroup("promo-build")) == 0
+    finally:
+        spark.sparkContext.setJobGroup("tests", "")
+
+
 def test_promo_mart_has_no_expand(spark):
     plan = E.queries()["promo_daily"](spark, SF_SMALL)._jdf.queryExecution().executedPlan().toString()
     assert "Expand" not in plan
