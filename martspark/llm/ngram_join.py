@@ -20,9 +20,9 @@ Which signatures are written, without losing a pair:
   also writes that band's signatures.
 
 Sets that share a signature are verified exactly: each with the group's
-first set and with its neighbour; then, once components are known, across the components of a
-group. An odd sketch (parities of hashed features) whose bits differ
-in more places than the sets may, rules a pair out. Pairs inside a component
+first set and with its neighbour; then, in two rounds, each with the nearest set of
+another component in its group; then all pairs across the components of a group that are left. An odd sketch (parities of hashed features) whose bits differ
+in more places than the sets may, rules a pair out inside the task. Pairs inside a component
 need no test, so copies are never expanded into all pairs, and no pair is lost.
 
 Equal sets are one node, with a number of its own (found by a 128-bit hash); features are 64-bit hashes.
@@ -41,7 +41,7 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from martspark.llm.common import as_bytes, per_batch, picked, slices, space_words, stored, without
+from martspark.llm.common import as_bytes, per_batch, picked, released, slices, space_words, stored, without
 from martspark.llm.components import connected_components
 
 SHINGLE = 5
@@ -51,7 +51,11 @@ BLOCK = 2048
 SMALL = 24
 #: Features that are told apart as common: at least this often in a task, then the commonest overall.
 COMMON_IN_TASK, COMMON_FEATURES = 8, 100_000
-CACHED_WORDS = 300_000
+CACHED_WORDS = 150_000
+#: Features that a task holds before it counts them.
+HELD_FEATURES = 500_000
+#: Rounds of nearest pairs before all pairs are tested; they only spare work.
+NEAREST_ROUNDS = 2
 U = np.uint64
 
 
@@ -116,15 +120,20 @@ def folded(sketches: np.ndarray, bits: int) -> np.ndarray:
     return np.ascontiguousarray(sketches).view(U)
 
 
-def within(sa: list[bytes], sb: list[bytes], total: np.ndarray) -> np.ndarray:
-    """Whether each pair of sketches differs in at most total / 7 bits; total: the sets' sizes added."""
+def bits_apart(sa: list[bytes], sb: list[bytes]) -> np.ndarray:
+    """Places in which each pair of sketches differs: at most the sets' differing features."""
     la, lb = np.array([len(x) for x in sa], np.int64), np.array([len(x) for x in sb], np.int64)
-    ok = np.zeros(len(sa), bool)
+    apart = np.zeros(len(sa), np.int64)
     for x, y in set(zip(la.tolist(), lb.tolist())):
         pick = np.flatnonzero((la == x) & (lb == y))
         a, b = (folded(np.frombuffer(b"".join([s[i] for i in pick]), np.uint8).reshape(len(pick), -1), 8 * min(x, y)) for s in (sa, sb))
-        ok[pick] = 7 * np.bitwise_count(a ^ b).sum(axis=1, dtype=np.int64) <= total[pick]
-    return ok
+        apart[pick] = np.bitwise_count(a ^ b).sum(axis=1, dtype=np.int64)
+    return apart
+
+
+def within(sa: list[bytes], sb: list[bytes], total: np.ndarray) -> np.ndarray:
+    """Whether each pair of sketches differs in at most total / 7 bits; total: the sets' sizes added."""
+    return 7 * bits_apart(sa, sb) <= total
 
 
 def _ranked(doc: np.ndarray, n: int) -> np.ndarray:
@@ -220,7 +229,7 @@ def describe(docs: DataFrame) -> DataFrame:
             none = pa.nulls(len(n), pa.int64())
             yield pa.RecordBatch.from_arrays([batch.column(0).cast(pa.int64()), pa.array(n, pa.int64()), pa.array(h[:, 0]), pa.array(h[:, 1]), pa.array(sketches, pa.binary()), pa.array([x and coarse(x) for x in sketches], pa.binary()), none, none, batch.column(2)], schema=schema)
             held.append((features, np.ones(len(features), np.int64)))
-            if sum(len(v) for v, _ in held) > 1_500_000:
+            if sum(len(v) for v, _ in held) > HELD_FEATURES + len(held[0][0]):
                 merge()
         if held:
             merge()
@@ -230,7 +239,7 @@ def describe(docs: DataFrame) -> DataFrame:
             blank = pa.nulls(len(none), pa.binary())
             yield pa.RecordBatch.from_arrays([none, none, none, none, blank, blank, pa.array(value[often].view(np.int64)), pa.array(total[often]), none], schema=schema)
 
-    return docs.select("doc_id", "text", F.xxhash64("text")).mapInArrow(run, "doc_id long, n long, h1 long, h2 long, sketch binary, coarse binary, feature long, df long, text_hash long")
+    return docs.select("doc_id", "text", F.xxhash64("text")).mapInArrow(released(run), "doc_id long, n long, h1 long, h2 long, sketch binary, coarse binary, feature long, df long, text_hash long")
 
 
 def write_signatures(docs: DataFrame, common: list[int]) -> DataFrame:
@@ -247,7 +256,7 @@ def write_signatures(docs: DataFrame, common: list[int]) -> DataFrame:
             sign, doc = signatures(features, ends, ranked)
             yield pa.RecordBatch.from_arrays([pa.array(sign.view(np.int64)), pa.array(_hashes(features, ends)[doc, 0])], schema=schema)
 
-    return docs.where("doc_id is not null").select("text").mapInArrow(run, "signature long, h1 long")
+    return docs.where("doc_id is not null").select("text").mapInArrow(released(run), "signature long, h1 long")
 
 
 def shared_signatures(rows: DataFrame) -> DataFrame:
@@ -304,10 +313,22 @@ def promising(pairs: DataFrame) -> DataFrame:
     return pairs.select("a", "b", "na", "nb", "sa", "sb").mapInArrow(per_batch(of_batch, 2048), "a long, b long")
 
 
-def across(members: DataFrame) -> DataFrame:
+def nearest_pairs(a: np.ndarray, b: np.ndarray, apart: np.ndarray) -> np.ndarray:
+    """Numbers of the pairs that are the nearest of either side; at most one a side, the first of equals."""
+    pick = []
+    for side in (a, b):
+        order = np.lexsort((np.arange(len(side)), apart, side))
+        new = np.ones(len(order), bool)
+        new[1:] = side[order[1:]] != side[order[:-1]]
+        pick.append(order[new])
+    return np.unique(np.concatenate(pick))
+
+
+def across(members: DataFrame, nearest: bool = False) -> DataFrame:
     """Promising pairs (a < b) of different components within each group. Input: signature, i, j, block, node, n, sketch, component.
 
-    A group is (signature, i, j): sets of blocks i and j of a signature.
+    A group is (signature, i, j): sets of blocks i and j of a signature. nearest: of the pairs that whole
+    groups hold together in a task, only each set's nearest, so no more pairs leave than sets came.
     """
     schema = pa.schema([("a", pa.int64()), ("b", pa.int64())])
 
@@ -346,10 +367,19 @@ def across(members: DataFrame) -> DataFrame:
             found += large_group(np.arange(first[g], first[g] + size[g]), component, may)
         x, y = np.concatenate(found).T
         pairs, where = np.unique(np.stack([np.minimum(node[x], node[y]), np.maximum(node[x], node[y])], axis=1), axis=0, return_index=True)
-        ok = np.zeros(len(pairs), bool)
-        for cut in range(0, len(pairs), 1 << 15):
-            i, j = x[where[cut:cut + (1 << 15)]], y[where[cut:cut + (1 << 15)]]
-            ok[cut:cut + (1 << 15)] = within([sketch[k] for k in i], [sketch[k] for k in j], n[i] + n[j])
+        x, y = x[where], y[where]
+        total = n[x] + n[y]
+        small = {}
+        for k in np.unique(np.concatenate([x, y])).tolist():
+            small[k] = coarse(sketch[k])
+        apart = np.full(len(pairs), np.iinfo(np.int64).max // 8)
+        for cut in range(0, len(pairs), 1 << 15):  # at few bits first, then at all
+            part = np.arange(cut, min(cut + (1 << 15), len(pairs)))
+            part = part[within([small[k] for k in x[part]], [small[k] for k in y[part]], total[part])]
+            apart[part] = bits_apart([sketch[k] for k in x[part]], [sketch[k] for k in y[part]])
+        ok = np.flatnonzero(7 * apart <= total)
+        if nearest:
+            ok = ok[nearest_pairs(pairs[ok, 0], pairs[ok, 1], apart[ok])]
         return pairs[ok]
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -374,7 +404,7 @@ def across(members: DataFrame) -> DataFrame:
             yield give(compare(*held))
 
     return members.select("signature", "i", "j", "block", "node", "n", "sketch", "component").repartition("signature", "i", "j") \
-        .sortWithinPartitions("signature", "i", "j").mapInArrow(run, "a long, b long")
+        .sortWithinPartitions("signature", "i", "j").mapInArrow(released(run), "a long, b long")
 
 
 def verified(docs: DataFrame, classes: DataFrame, pairs: DataFrame) -> DataFrame:
@@ -435,25 +465,40 @@ def link(docs: DataFrame) -> DataFrame:
     links = stored(verified(docs, classes, stars), "star-links")
     labels = stored(connected_components(links), "components")
 
-    # Across the components of a group.
-    members = shared.select("signature", "h1").join(known, "h1").join(labels.withColumnRenamed("component", "label"), "node", "left") \
-        .select("signature", "node", "n", F.coalesce("label", "node").alias("component"))
-    mixed = (
-        members.groupBy("signature").agg(F.min("component").alias("lo"), F.max("component").alias("hi"), F.count("*").alias("size"))
-        .where("lo < hi").select("signature", F.ceil(F.col("size") / BLOCK).cast("int").alias("blocks"))
-    )
-    dealt = members.join(mixed, "signature").withColumn("block", F.pmod(F.xxhash64("node"), F.col("blocks")).cast("int"))
-    grouped = dealt.join(classes.select("node", F.col("coarse").alias("sketch")), "node").withColumn("k", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1))) \
-        .withColumn("i", F.least("block", "k")).withColumn("j", F.greatest("block", "k"))
-    rest = stored(tested(across(grouped).distinct(), "sketch"), "cross-pairs")
-    more = stored(verified(docs, classes, rest), "cross-links")
-    component = F.coalesce("component", F.col("x"))
-    named = lambda side: more.select(F.col(side).alias("x"), "a", "b").join(labels, F.col("x") == F.col("node"), "left").select("a", "b", component.alias(f"c{side}"))
-    joined = named("a").join(named("b"), ["a", "b"]).select(F.col("ca").alias("a"), F.col("cb").alias("b"))
-    merged = stored(connected_components(joined), "merged-components")
-    ended = stored(
-        classes.select("h1", "h2", "node", "first_id").join(labels, "node", "left").select("h1", "h2", "first_id", F.coalesce("component", "node").alias("node"))
-        .join(merged, "node", "left").select("h1", "h2", "first_id", F.coalesce("component", "node").alias("node")), "class-components")
+    # Across the components of a group: the nearest ones, as long as that links any, then all.
+    held = shared.select("signature", "h1").join(known, "h1").select("signature", "node", "n")
+
+    def linked(nearest: bool) -> DataFrame:
+        members = held.join(labels.withColumnRenamed("component", "label"), "node", "left").select("signature", "node", "n", F.coalesce("label", "node").alias("component"))
+        mixed = (
+            members.groupBy("signature").agg(F.min("component").alias("lo"), F.max("component").alias("hi"), F.count("*").alias("size"),
+                                             F.sum(F.xxhash64("node").cast("decimal(20,0)")).alias("s1"), F.sum(F.xxhash64("node", F.lit(1)).cast("decimal(20,0)")).alias("s2"))
+            # Signatures with the same sets are one group.
+            .where("lo < hi").groupBy("size", "s1", "s2").agg(F.min("signature").alias("signature"))
+            .select("signature", F.ceil(F.col("size") / BLOCK).cast("int").alias("blocks"))
+        )
+        dealt = members.join(mixed, "signature").withColumn("block", F.pmod(F.xxhash64("node"), F.col("blocks")).cast("int"))
+        grouped = dealt.join(classes.select("node", "sketch"), "node").withColumn("k", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1))) \
+            .withColumn("i", F.least("block", "k")).withColumn("j", F.greatest("block", "k"))
+        pairs = stored(across(grouped, nearest).distinct(), "cross-pairs")
+        return stored(verified(docs, classes, pairs), "cross-links")
+
+    def merged(more: DataFrame) -> DataFrame:
+        """Components of the links found so far and of `more`."""
+        component = F.coalesce("component", F.col("x"))
+        named = lambda side: more.select(F.col(side).alias("x"), "a", "b").join(labels, F.col("x") == F.col("node"), "left").select("a", "b", component.alias(f"c{side}"))
+        joined = named("a").join(named("b"), ["a", "b"]).select(F.col("ca").alias("a"), F.col("cb").alias("b"))
+        over = connected_components(joined).select(F.col("node").alias("component"), F.col("component").alias("over"))
+        old = labels.join(over, "component", "left").select("node", F.coalesce("over", "component").alias("component"))
+        new = over.select(F.col("component").alias("node"), F.col("over").alias("component")).join(labels.select("node"), "node", "left_anti")
+        return stored(old.unionByName(new), "components")
+
+    for nearest in (True,) * NEAREST_ROUNDS + (False,):  # the last round tests all pairs
+        more = linked(nearest)
+        if not more.isEmpty():
+            labels = merged(more)
+    ended = classes.select("h1", "h2", "node", "first_id").join(labels, "node", "left").select("h1", "h2", "first_id", F.coalesce("component", "node").alias("node"))
+    ended = stored(ended, "class-components")
     final = ended.select("h1", "h2", "node").join(ended.groupBy("node").agg(F.min("first_id").alias("component")), "node").drop("node")
     return base.join(final, ["h1", "h2"], "left").select(
         "doc_id", F.col("n").alias("n_shingles"),

@@ -7,8 +7,8 @@ token streams are laid end to end and cut at the sequence length. A range's
 last, partly filled sequence is cut into sequences of 1024, 512, ... tokens,
 which need no padding.
 
-Defined results: null and empty texts are the end token alone. Equal keys are ordered by id, so
-a key that many documents share still spreads over ranges. Repeated rows are
+Defined results: null and empty texts are the end token alone. Equal keys are ordered by id and row, so
+a key that many documents share, or an id that many rows share, still spreads over ranges. Repeated rows are
 packed each on their own; null ids sort first. An empty table gives no pieces.
 """
 
@@ -25,13 +25,13 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from martspark.llm.common import as_bytes, per_batch, slices, space_words
+from martspark.llm.common import as_bytes, per_batch, released, slices, space_words
 
 BUCKETS, DIMENSIONS, BITS = 512, 4, 12
 #: Text in one range of the curve, which one task sorts and packs; documents sampled to find the ranges.
 RANGE_BYTES, SAMPLED = 32 << 20, 200_000
 #: Words whose ids a Python worker remembers at least (twice as many at most).
-CACHED_WORDS = 200_000
+CACHED_WORDS = 100_000
 SCHEMA = "doc_id long, start long, length long, ids binary, doc_tokens long, sequence_id long, offset long, curve_key long"
 
 
@@ -87,6 +87,10 @@ def curve_keys(texts: pa.Array) -> np.ndarray:
 MARKS = "!\"#$%&()*+,-./:;=?@[\\]^_`{|}~"
 
 
+#: The tokenizer's end token between two words.
+END = " <|endoftext|> "
+
+
 class WordIds:
     """Token ids of texts, as little-endian unsigned 32-bit bytes, through a bounded memory of words.
 
@@ -102,6 +106,7 @@ class WordIds:
 
         self.tokenizer = Tokenizer.from_file(path)
         vocabulary = self.tokenizer.get_vocab()
+        self.end = vocabulary[END.strip()]
         self.last = np.zeros(max(vocabulary.values()) + 1, bool)
         self.last[[i for w, i in vocabulary.items() if w.endswith("</w>")]] = True
         self.new: dict[str, bytes] = {"": b""}
@@ -133,6 +138,19 @@ class WordIds:
                 self.new[word] = raw[at:end]
                 at = end
 
+    def _apart(self, words: list[str]) -> None:
+        """Ids of any words, encoded in lines of two hundred between end tokens, which the tokenizer cuts out first."""
+        lines = [words[i:i + 200] for i in range(0, len(words), 200)]
+        for line, encoded in zip(lines, self.tokenizer.encode_batch_fast([END.join(x) for x in lines], add_special_tokens=False)):
+            ids = np.array(encoded.ids, "<u4")
+            ends = np.flatnonzero(ids == self.end)
+            if len(ends) != len(line) - 1:  # a word that holds the end token itself
+                self.new.update((w, self.whole(w)) for w in line)
+                continue
+            raw, cuts = ids.tobytes(), [0, *(4 * ends).tolist()]
+            for i, word in enumerate(line):
+                self.new[word] = raw[cuts[i] + (4 if i else 0):cuts[i + 1] if i + 1 < len(cuts) else None]
+
     def learn(self, words: list[str]) -> None:
         """Make all of `words` known; forgets words long unseen once too many are known."""
         if len(self.new) > CACHED_WORDS:
@@ -148,9 +166,11 @@ class WordIds:
         new.update([(core, old[core]) for core in cores if core in old])
         cores.difference_update(plain)
         self._letters(plain + [core for core in cores if core not in new])
+        whole = [w for w, core in marked if core not in new or core and not self.parts(core[-1])]
+        self._apart(whole)
+        whole = set(whole)
         for word, core in marked:
-            if core not in new or core and not self.parts(core[-1]):
-                new[word] = self.whole(word)
+            if word in whole:
                 continue
             mark = word[len(core):]
             if mark not in marks:
@@ -170,16 +190,6 @@ class WordIds:
         return [ids[a:b].tobytes() for a, b in zip(cuts, cuts[1:])]
 
 
-_KNOWN: dict[str, WordIds] = {}
-
-
-def word_ids(path: str) -> WordIds:
-    """The Python worker's `WordIds` of a tokenizer, kept from task to task."""
-    if path not in _KNOWN:
-        _KNOWN[path] = WordIds(path)
-    return _KNOWN[path]
-
-
 def tokenizer_path(name: str = "word_bpe_49k.json") -> str:
     """A file of the public tokenizers that driver and executors have installed."""
     import public_tokenizers
@@ -187,44 +197,57 @@ def tokenizer_path(name: str = "word_bpe_49k.json") -> str:
     return str(public_tokenizers.path(name))
 
 
+#: A place on the curve: documents of one key are ordered by id, rows of one id by number.
+PLACE = np.dtype([("key", np.int64), ("id", np.int64), ("row", np.int64)])
+
+
+def _numbered(docs: DataFrame) -> DataFrame:
+    return docs.select("doc_id", "text", F.monotonically_increasing_id().alias("row"))
+
+
 def _keyed(bounds: np.ndarray):
     """A `mapInArrow` function that adds each document's curve key and range."""
-    schema = pa.schema([("doc_id", pa.int64()), ("text", pa.string()), ("curve_key", pa.int64()), ("range", pa.int32())])
+    schema = pa.schema([("doc_id", pa.int64()), ("text", pa.string()), ("row", pa.int64()), ("curve_key", pa.int64()), ("range", pa.int32())])
 
     def of_batch(batch: pa.RecordBatch) -> pa.RecordBatch:
-        keys = curve_keys(batch.column(1))
         ids = batch.column(0).cast(pa.int64())
-        own = np.array(list(zip(keys, ids.fill_null(np.iinfo(np.int64).min).to_numpy())), bounds.dtype)
-        return pa.RecordBatch.from_arrays([ids, batch.column(1).cast(pa.string()), pa.array(keys, pa.int64()), pa.array(np.searchsorted(bounds, own, side="right"), pa.int32())], schema=schema)
+        own = np.zeros(batch.num_rows, PLACE)
+        own["key"], own["id"], own["row"] = curve_keys(batch.column(1)), ids.fill_null(np.iinfo(np.int64).min).to_numpy(), batch.column(2).to_numpy()
+        return pa.RecordBatch.from_arrays([ids, batch.column(1).cast(pa.string()), batch.column(2), pa.array(own["key"]), pa.array(np.searchsorted(bounds, own, side="right"), pa.int32())], schema=schema)
     return per_batch(of_batch, 256)
 
 
 def curve_bounds(docs: DataFrame, range_bytes: int) -> np.ndarray:
-    """Bounds (key, id) that cut the curve into ranges of about `range_bytes` of text, from at most SAMPLED documents.
+    """Bounds that cut the curve into ranges of about `range_bytes` of text, from about SAMPLED rows at most.
 
-    Like the sample of Spark's own range partitioning they only balance the ranges; every document is placed.
+    Rows are sampled by a hash of id and row number, so a repeated id is sampled like any other, and weighed
+    by their bytes. Like the sample of Spark's own range partitioning they only balance the ranges; every document is placed.
     """
-    kind = np.dtype([("key", np.int64), ("id", np.int64)])
     rows, size = docs.agg(F.count("*"), F.sum(F.octet_length("text"))).first()
     ranges = max(1, -(-(size or 0) // range_bytes))
     step = max(1, rows // min(SAMPLED, 100 * ranges))
     if ranges == 1:
-        return np.zeros(0, kind)
-    sample = docs.select("doc_id", "text").where(F.pmod(F.xxhash64("doc_id"), F.lit(step)) == 0)
-    found = sample.mapInArrow(_keyed(np.zeros(0, kind)), "doc_id long, text string, curve_key long, range int").select("curve_key", "doc_id").toArrow()
-    spots = np.array(list(zip(found.column(0).to_numpy(), found.column(1).fill_null(np.iinfo(np.int64).min).to_numpy())), kind)
-    spots.sort(order=["key", "id"])
-    return spots[(np.arange(1, ranges) * len(spots)) // ranges] if len(spots) else spots
+        return np.zeros(0, PLACE)
+    sample = docs.where(F.pmod(F.xxhash64("doc_id", "row"), F.lit(step)) == 0)
+    found = sample.mapInArrow(_keyed(np.zeros(0, PLACE)), "doc_id long, text string, row long, curve_key long, range int").select(
+        "curve_key", "doc_id", "row", F.coalesce(F.octet_length("text"), F.lit(0)).alias("bytes")).toArrow()
+    spots = np.zeros(found.num_rows, PLACE)
+    spots["key"], spots["id"], spots["row"] = found.column(0).to_numpy(), found.column(1).fill_null(np.iinfo(np.int64).min).to_numpy(), found.column(2).to_numpy()
+    order = np.argsort(spots, order=["key", "id", "row"])
+    reach = np.cumsum(found.column(3).to_numpy()[order].astype(np.int64) + 1)
+    at = np.searchsorted(reach, np.arange(1, ranges) * (reach[-1] / ranges)) if len(order) else []
+    return spots[order][at]
 
 
 def pack(docs: DataFrame, tokenizer_path: str, length: int = 2048, end_id: int = 1, range_bytes: int = RANGE_BYTES) -> DataFrame:
     """Pieces of documents laid into sequences: each has its token ids, and its place in document and sequence."""
     end = np.array([end_id], "<u4").tobytes()
+    docs = _numbered(docs)
     bounds = curve_bounds(docs, range_bytes)
     schema = pa.schema([(n, pa.binary() if t == "binary" else pa.int64()) for n, t in (x.split() for x in SCHEMA.split(", "))])
 
     def packed(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        words = word_ids(tokenizer_path)
+        words = WordIds(tokenizer_path)
         sequence, filled = TaskContext.get().partitionId() << 40, 0
         last: list[tuple] = []  # pieces of the sequence that is being filled
         ready: list[tuple] = []
@@ -263,8 +286,9 @@ def pack(docs: DataFrame, tokenizer_path: str, length: int = 2048, end_id: int =
         if ready:
             yield batch_of(ready)
 
-    placed = docs.select("doc_id", "text").mapInArrow(_keyed(bounds), "doc_id long, text string, curve_key long, range int")
-    return placed.repartitionById(len(bounds) + 1, "range").sortWithinPartitions("curve_key", "doc_id").mapInArrow(packed, SCHEMA)
+    placed = docs.mapInArrow(_keyed(bounds), "doc_id long, text string, row long, curve_key long, range int")
+    return placed.select("doc_id", "text", "curve_key", "row", "range").repartitionById(len(bounds) + 1, "range") \
+        .sortWithinPartitions("curve_key", "doc_id", "row").mapInArrow(released(packed), SCHEMA)
 
 
 def pieces(docs: DataFrame, tokenizer_path: str, length: int = 2048, end_id: int = 1) -> DataFrame:

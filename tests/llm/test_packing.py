@@ -85,3 +85,25 @@ def test_marks_after_a_word_known_before(core):
         words = P.WordIds(PATH)
         words.of_texts(pa.array([core, mark]))
         assert words.of_texts(pa.array([core + mark])) == [words.whole(core + mark)]
+
+
+def test_one_id_in_a_third_of_the_rows_spreads_over_ranges(spark, words):
+    often = words(120)
+    rows = spark.createDataFrame([(7, often) if i % 3 == 0 else (1000 + i, words(120)) for i in range(1500)], "doc_id long, text string").repartition(4)
+    numbered = P._numbered(rows)
+    bounds = P.curve_bounds(numbered, 1 << 15)
+    assert len(bounds) > 20
+    placed = numbered.mapInArrow(P._keyed(bounds), "doc_id long, text string, row long, curve_key long, range int")
+    size = {r["range"]: r["bytes"] for r in placed.groupBy("range").agg({"text": "count"}).withColumnRenamed("count(text)", "bytes").collect()}
+    assert len(size) > 20 and max(size.values()) < 3 * 1500 / len(size)
+    assert placed.where("doc_id = 7").select("range").distinct().count() > 5
+    assert P.pack(rows, PATH, range_bytes=1 << 15).where("start = 0").count() == 1500
+
+
+def test_words_with_marks_are_those_of_the_tokenizer(words):
+    odd = ['"quoted', "l'eau", "<|endoftext|>", "a<|endoftext|>b", "3,14", "(x)", "\u2026.", "\u0915\u0940,", "it's", "don't.", "\u0130x", "#tag", "e-mail", "--", "'", "x\u201d."]
+    known = P.WordIds(PATH)
+    known.learn(odd)
+    for word in odd:
+        assert known.new[word] == known.whole(word), word
+    assert known.of_texts(pa.array([" ".join(odd)])) == [known.whole(" ".join(odd))]
