@@ -170,8 +170,20 @@ class _Lines:
         self.lines += lines
 
 
+#: Widest column that is padded, in characters.
+ALIGNED = 120
+
+
+def _number(text: str, otherwise: int) -> int:
+    """A whole number of up to nine ASCII digits."""
+    return int(text) if re.fullmatch(r"-?[0-9]{1,9}", text.strip()) else otherwise
+
+
 def _table(rows: list[list[str]]) -> list[str]:
-    """Rows of cells with every column as wide as its widest cell; a cell of several lines takes several lines."""
+    """Rows of cells with every column as wide as its widest cell; a cell of several lines takes several lines.
+
+    A column with a cell wider than ALIGNED characters is not padded, so padding stays within a bound a cell.
+    """
     width: list[int] = []
     split = [[cell.split("\n") for cell in row] for row in rows]
     for row in split:
@@ -179,6 +191,7 @@ def _table(rows: list[list[str]]) -> list[str]:
             if i == len(width):
                 width.append(0)
             width[i] = max(width[i], *map(len, cell))
+    width = [w if w <= ALIGNED else 0 for w in width]
     return ["  ".join((cell[k] if k < len(cell) else "").ljust(w) for cell, w in zip(row, width)).rstrip()
             for row in split for k in range(max([1, *map(len, row)]))]
 
@@ -246,13 +259,13 @@ def render(root: Node) -> str:
                 inner.end()
                 outs.pop()
                 row.append("\n".join(inner.lines))
-                row.extend([""] * (min(int(span), 100) - 1 if span.isdigit() else 0))
+                row.extend([""] * (min(_number(span, 1), 1000) - 1))
                 indent = held
             todo.append(done)
         elif name in ("ul", "ol", "menu", "dir"):
             start = item.attrs.get("start", "1")
             out.end(0 if lists else 1)
-            lists.append([name == "ol", int(start) if start.isdigit() else 1])
+            lists.append([name == "ol", _number(start, 1)])
 
             def done(out=out):
                 lists.pop()

@@ -83,7 +83,13 @@ def assign(docs: DataFrame, limit: int, whole: bool = False) -> DataFrame:
 
 
 def write_shards(docs: DataFrame, limit: int, path: str) -> None:
-    """Write all documents as Parquet, one folder `shard=<bits>` for each shard. Input: doc_id, text; repeated rows are written each on their own."""
-    rows = assign(docs, limit, whole=True).select("row.*", F.concat(F.lit("b"), "shard").alias("shard"))
+    """Write all documents as Parquet, one folder `shard=<bits>` for each shard. Input: doc_id, text; repeated rows are written each on their own.
+
+    Where the documents have a column `shard`, the folders' name gets underscores until it is free.
+    """
+    folder = "shard"
+    while folder in docs.columns:
+        folder += "_"
+    rows = assign(docs, limit, whole=True).select("row.*", F.concat(F.lit("b"), "shard").alias(folder))
     # One shard fits one task; AQE joins small ones.
-    rows.repartition("shard").write.partitionBy("shard").parquet(path)
+    rows.repartition(folder).write.partitionBy(folder).parquet(path)

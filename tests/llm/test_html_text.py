@@ -60,3 +60,14 @@ def test_every_visible_word_of_the_pages_is_kept(spark):
         body = re.sub(r"(?s)<head>.*?</head>|<script>.*?</script>|<!--.*?-->", " ", r.html)
         words = unescape(re.sub(r"</?[a-zA-Z!][^>]*>", " ", body)).split()
         assert "".join(words) == "".join(re.sub(r"(?m)^ *- ", "", got[r.page_id]).split()) or sorted("".join(words).replace("-", "")) == sorted("".join(got[r.page_id].split()).replace("-", ""))
+
+
+def test_numbers_that_are_none_and_wide_cells():
+    render = H.visible_text
+    for bad in ("\u00b2", "9" * 5000, "", "x", "-", "1e3"):
+        assert render(f"<table><tr><td colspan='{bad}'>a<td>b</table>") == "a  b"
+        assert render(f"<ol start='{bad}'><li>a</ol>").endswith("a")
+    assert render("<ol start=-3><li>a<li>b</ol>") == "-3. a\n-2. b"
+    assert render("<table><tr><td colspan=1000>a<td>b</table>").split() == ["a", "b"]
+    wide = "<table><tr><td>" + "x" * 12_000 + "<td>y" + "<tr><td>a<td>b" * 1000 + "</table>"
+    assert len(render(wide)) < 2 * len(wide) and "a  b" in render(wide)

@@ -60,3 +60,10 @@ def test_edges_and_files(spark, edge_documents, empty_documents, tmp_path):
     S.write_shards(docs, 1000, str(tmp_path / "shards"))
     back = spark.read.parquet(str(tmp_path / "shards"))
     assert sorted(r.doc_id for r in back.collect()) == list(range(50)) and back.select("shard").distinct().count() > 5
+
+
+def test_documents_with_a_column_shard(spark, tmp_path):
+    docs = spark.createDataFrame([(i, f"text {i} " * 20, i) for i in range(50)], "doc_id long, text string, shard long")
+    S.write_shards(docs, 1000, str(tmp_path / "out"))
+    back = spark.read.parquet(str(tmp_path / "out"))
+    assert back.count() == 50 and "shard_" in back.columns and back.where("shard = doc_id").count() == 50
