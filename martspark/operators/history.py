@@ -16,7 +16,7 @@ from pyspark.sql import functions as F
 from martspark.functions import constants as K
 from martspark.functions.calendar import DEFAULT_TZ, MonthWindow, ntz_literal, utc_bounds
 from martspark.plans.joins import lookup_side
-from martspark.sources.layout import open_partitions
+from martspark.sources.layout import EXPIRED_MONTH, open_partitions
 
 
 def valid_on(as_of: dt.date, tz: str = DEFAULT_TZ,
@@ -31,10 +31,12 @@ def valid_on(as_of: dt.date, tz: str = DEFAULT_TZ,
     return (F.col(eff) < until) & (F.col(exp).isNull() | (F.col(exp) >= until))
 
 
-def as_of_rows(history: DataFrame, as_of: dt.date, tz: str = DEFAULT_TZ) -> DataFrame:
-    """The rows valid on the date. Of a table stored by expiry month, months closed before it are not read."""
+def valid_rows(history: DataFrame, as_of: dt.date, tz: str = DEFAULT_TZ) -> Column:
+    """C15 on a table; of one stored by expiry month, months closed before the date are not read."""
+    if EXPIRED_MONTH not in history.columns:
+        return valid_on(as_of, tz)
     _, midnight = utc_bounds(MonthWindow(as_of, as_of), tz)
-    return history.where(open_partitions(history, midnight) & valid_on(as_of, tz))
+    return valid_on(as_of, tz) & open_partitions(midnight)
 
 
 def not_deleted_strict(col: str = "deleted_flag") -> Column:
@@ -49,8 +51,8 @@ def not_flagged(col: str) -> Column:
 
 def outlets_as_of(dim_outlet: DataFrame, as_of: dt.date, tz: str = DEFAULT_TZ) -> DataFrame:
     """The ``outlet`` relation: valid, not deleted, not duplicate outlets."""
-    return (as_of_rows(dim_outlet, as_of, tz)
-            .where(not_deleted_strict() & not_flagged("duplicate_flag"))
+    return (dim_outlet
+            .where(valid_rows(dim_outlet, as_of, tz) & not_deleted_strict() & not_flagged("duplicate_flag"))
             .select("sf_outlet_id", "outlet_id", F.col("sf_account_id").alias("entity_id"))
             .distinct())
 
@@ -72,9 +74,9 @@ class BridgeRules:
 
 def product_outlets_as_of(dim_account: DataFrame, as_of: dt.date, rules: BridgeRules,
                           tz: str = DEFAULT_TZ) -> DataFrame:
-    return (as_of_rows(dim_account, as_of, tz)
+    return (dim_account
             .where(F.lower(F.col("record_type_name_detail")).like(rules.product_outlet_pattern)
-                   & not_flagged("deleted_flag")
+                   & valid_rows(dim_account, as_of, tz) & not_flagged("deleted_flag")
                    & F.col("billing_group_entity_id").isNotNull())
             .select("sf_outlet_id", "record_type_name_detail", "parent_id", "billing_group_entity_id")
             .distinct())
@@ -83,19 +85,19 @@ def product_outlets_as_of(dim_account: DataFrame, as_of: dt.date, rules: BridgeR
 def billing_groups_as_of(dim_account: DataFrame, as_of: dt.date, rules: BridgeRules,
                          tz: str = DEFAULT_TZ) -> DataFrame:
     """Billing-group accounts as of the date."""
-    return (as_of_rows(dim_account, as_of, tz)
+    return (dim_account
             .where((F.upper(F.col("record_type_name_detail")) == rules.billing_group_type)
                    & (F.col("service_product_list_name") == rules.billing_group_product)
-                   & not_flagged("deleted_flag"))
+                   & valid_rows(dim_account, as_of, tz) & not_flagged("deleted_flag"))
             .select("sf_account_id", "parent_entity_detail_name"))
 
 
 def entities_as_of(dim_account: DataFrame, as_of: dt.date, rules: BridgeRules,
                    tz: str = DEFAULT_TZ) -> DataFrame:
-    return (as_of_rows(dim_account, as_of, tz)
+    return (dim_account
             .where((F.upper(F.col("record_type_name_detail")) == rules.entity_type)
                    & (F.col("service_product_list_name") == rules.entity_product)
-                   & not_flagged("deleted_flag"))
+                   & valid_rows(dim_account, as_of, tz) & not_flagged("deleted_flag"))
             .select("sf_account_id", F.col("sf_account_name").alias("parent_entity_detail_name")))
 
 

@@ -91,8 +91,6 @@ def in_window_partitions(df: DataFrame, window: MonthWindow, tz: str = DEFAULT_T
     return F.col(LOCAL_DATE).between(F.lit(first.date() - day), F.lit(until.date() + day))
 
 
-def open_partitions(df: DataFrame, until: dt.datetime) -> Column:
-    """Partitions of :data:`EXPIRED_MONTH` that can hold versions open at the instant; true for tables without it."""
-    if EXPIRED_MONTH not in df.columns:
-        return F.lit(True)
+def open_partitions(until: dt.datetime) -> Column:
+    """Partitions of :data:`EXPIRED_MONTH` that can hold versions open at the instant."""
     return F.col(EXPIRED_MONTH).isNull() | (F.col(EXPIRED_MONTH) >= F.lit(until.date().replace(day=1)))
