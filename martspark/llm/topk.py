@@ -113,6 +113,15 @@ def _cells(k: int):
     return run
 
 
+def dealt(rows: DataFrame, blocks: int, query_blocks: int) -> DataFrame:
+    """Every row once for each query block, in a candidate block by id and row, so that a hot id is spread. Input: vec_id, terms."""
+    return (
+        rows.select("vec_id", "terms", F.monotonically_increasing_id().alias("row"))
+        .select("vec_id", "terms", F.pmod(F.xxhash64(F.lit(2), "vec_id", "row"), F.lit(blocks)).cast("int").alias("cb"))
+        .select(F.explode(F.sequence(F.lit(0), F.lit(query_blocks - 1))).alias("qb"), "cb", F.lit(1).alias("side"), "vec_id", "terms")
+    )
+
+
 def top_k(vectors: DataFrame, is_query: Column, k: int = 10, scale: int = 1024) -> DataFrame:
     """query_id, rank, vec_id, score for every row that `is_query` selects, against all rows. Input: vec_id, embedding."""
     rows = (
@@ -121,12 +130,11 @@ def top_k(vectors: DataFrame, is_query: Column, k: int = 10, scale: int = 1024)
     )
     n, asked = rows.agg(F.count("*"), F.count_if("asks")).first()
     blocks, query_blocks = max(1, -(-n // CANDIDATE_BLOCK)), max(1, -(-asked // QUERY_BLOCK))
-    spread = lambda by, seed: F.pmod(F.xxhash64(F.lit(seed), "vec_id"), F.lit(by)).cast("int")
-    every = lambda by: F.explode(F.sequence(F.lit(0), F.lit(by - 1)))
     asking = rows.where("asks").groupBy("vec_id").agg(F.min("terms").alias("terms"))
-    queries = asking.select(spread(query_blocks, 1).alias("qb"), every(blocks).alias("cb"), F.lit(0).alias("side"), "vec_id", "terms")
-    candidates = rows.select(every(query_blocks).alias("qb"), spread(blocks, 2).alias("cb"), F.lit(1).alias("side"), "vec_id", "terms")
-    cells = queries.unionByName(candidates).repartition("qb", "cb").sortWithinPartitions("qb", "cb", "side", "vec_id")
+    queries = asking.select(
+        F.pmod(F.xxhash64(F.lit(1), "vec_id"), F.lit(query_blocks)).cast("int").alias("qb"),
+        F.explode(F.sequence(F.lit(0), F.lit(blocks - 1))).alias("cb"), F.lit(0).alias("side"), "vec_id", "terms")
+    cells = queries.unionByName(dealt(rows, blocks, query_blocks)).repartition("qb", "cb").sortWithinPartitions("qb", "cb", "side", "vec_id")
     found = cells.mapInArrow(_cells(k), "query_id long, vec_id long, score long")
     order = Window.partitionBy("query_id").orderBy(F.desc("score"), "vec_id")
     return found.withColumn("rank", F.row_number().over(order)).where(F.col("rank") <= k).select("query_id", "rank", "vec_id", "score")

@@ -37,3 +37,10 @@ def test_against_brute_force(spark, monkeypatch):
 def test_best_breaks_ties_by_id():
     scores, ids = np.array([5, 7, 7, 7, 1]), np.array([9, 8, 3, 4, 1])
     assert list(ids[topk.best(scores, ids, 2)]) == [3, 4] and list(ids[topk.best(scores, ids, 9)]) == [3, 4, 8, 9, 1]
+
+
+def test_a_hot_id_is_spread_over_the_blocks(spark):
+    rows = spark.range(3000).selectExpr("if(id % 3 = 0, 9, id) vec_id", "array(1L) terms")
+    cells = topk.dealt(rows, 10, 2).groupBy("qb", "cb").agg(F.count("*").alias("n"), F.count_if(F.col("vec_id") == 9).alias("hot")).collect()
+    assert len(cells) == 20 and sum(r.n for r in cells) == 6000 and sum(r.hot for r in cells) == 2000
+    assert max(r.n for r in cells) < 400 and max(r.hot for r in cells) < 160
