@@ -5,8 +5,9 @@ closes what HTML closes by implication (p before blocks, li, dt/dd, table
 parts, option); invisible elements are left out, while the text of svg, math and
 the fallback of object are kept; the renderer keeps block
 spacing, list markers and indents, preformatted text, and lays table cells
-out in aligned columns. Neither builder nor renderer recurses, so
-deep nesting is no problem.
+out in aligned columns, with colspan (to 1,000) and rowspan (in the first 200
+columns of a table). Neither builder nor renderer recurses, so deep nesting
+and very long texts are no problem.
 
 Defined results: null and empty html give an empty text; broken markup is
 kept as text; unclosed elements end with the document. Repeated rows are
@@ -170,8 +171,8 @@ class _Lines:
         self.lines += lines
 
 
-#: Widest column that is padded, in characters.
-ALIGNED = 120
+#: Widest column that is padded, in characters; most that padding may lengthen a table; columns in which rowspan counts.
+ALIGNED, LONGER, SPANNED = 120, 32, 200
 
 
 def _number(text: str, otherwise: int) -> int:
@@ -179,21 +180,54 @@ def _number(text: str, otherwise: int) -> int:
     return int(text) if re.fullmatch(r"-?[0-9]{1,9}", text.strip()) else otherwise
 
 
-def _table(rows: list[list[str]]) -> list[str]:
-    """Rows of cells with every column as wide as its widest cell; a cell of several lines takes several lines.
+class _Grid:
+    """A table's cells by row and column."""
 
-    A column with a cell wider than ALIGNED characters is not padded, so padding stays within a bound a cell.
-    """
-    width: list[int] = []
-    split = [[cell.split("\n") for cell in row] for row in rows]
-    for row in split:
-        for i, cell in enumerate(row):
-            if i == len(width):
-                width.append(0)
-            width[i] = max(width[i], *map(len, cell))
-    width = [w if w <= ALIGNED else 0 for w in width]
-    return ["  ".join((cell[k] if k < len(cell) else "").ljust(w) for cell, w in zip(row, width)).rstrip()
-            for row in split for k in range(max([1, *map(len, row)]))]
+    def __init__(self):
+        self.rows: list[dict[int, str]] = []
+        self.ends: list[int] = []  # of each row, the column after its last cell
+        self.covered: dict[int, int] = {}  # of a column, the first row that no cell from above reaches
+
+    def row(self) -> int:
+        self.rows.append({})
+        self.ends.append(0)
+        return len(self.rows) - 1
+
+    def place(self, r: int, text: str, across: int, down: int) -> None:
+        column = self.ends[r]
+        while self.covered.get(column, 0) > r:
+            column += 1
+        self.rows[r][column] = text
+        self.ends[r] = column + across
+        if down > 1:
+            self.covered.update(dict.fromkeys(range(column, min(column + across, SPANNED)), r + down))
+
+    def lines(self) -> list[str]:
+        """Every column as wide as its widest cell; a cell of several lines takes several lines.
+
+        Columns in which no cell starts take no room. A column with a cell wider than ALIGNED characters is
+        not padded. A table that padding would make more than LONGER times as long has two spaces between its cells instead.
+        """
+        split = [{c: cell.split("\n") for c, cell in row.items()} for row in self.rows]
+        width: dict[int, int] = {}
+        for row in split:
+            for c, cell in row.items():
+                width[c] = max(width.get(c, 0), *map(len, cell))
+        columns = sorted(width)
+        place, room, at = {}, [0], 0  # of a column, its number; width of the columns before each
+        for at, c in enumerate(columns, 1):
+            width[c] = width[c] if width[c] <= ALIGNED else 0
+            place[c] = at
+            room.append(room[-1] + width[c] + 2)
+        padded = sum(room[place[max(row)]] * max(map(len, row.values())) for row in split if row)
+        aligned = padded <= LONGER * sum(2 + len(cell) for row in self.rows for cell in row.values())
+        out = []
+        for row in split:
+            used = columns[:place[max(row)]] if aligned and row else sorted(row)
+            for k in range(max([1, *map(len, row.values())])):
+                cells = ((row[c][k] if c in row and k < len(row[c]) else "").ljust(width[c] if aligned else 0) for c in used)
+                out.append("  ".join(cells).rstrip())
+        return out
 
 
 def render(root: Node) -> str:
@@ -224,6 +258,8 @@ def render(root: Node) -> str:
             continue
         name = item.name
         gap = 1 if name in SPACED else 0
+        if name in ("thead", "tbody", "tfoot") and tables:
+            tables[-1].covered.clear()  # no cell reaches into another group of rows
         if name == "br":
             if out.parts:
                 out.end()
@@ -235,31 +271,31 @@ def render(root: Node) -> str:
             continue
         if name == "table":
             out.end(1)
-            tables.append([])
+            tables.append(_Grid())
 
             def done(out=out, pad=indent, held=(pre,)):
                 nonlocal pre
-                out.put([(" " * pad + line).rstrip() for line in _table(tables.pop())])
+                out.put([(" " * pad + line).rstrip() for line in tables.pop().lines()])
                 out.gap = 1
                 pre = held[0]
             pre = 0
             todo.append(done)
         elif name == "tr" and tables:
-            tables[-1].append([])
+            tables[-1].row()
         elif name in ("td", "th") and tables:
-            if not tables[-1]:
-                tables[-1].append([])
+            grid = tables[-1]
+            row = len(grid.rows) - 1 if grid.rows else grid.row()
             inner, held = _Lines(), indent
-            row, span = tables[-1][-1], item.attrs.get("colspan", "1")
+            across, down = (_number(item.attrs.get(a, "1"), 1) for a in ("colspan", "rowspan"))
+            across, down = min(max(across, 1), 1000), min(down or 65534, 65534)  # 0 rows: to the end of the group
             indent = 0
             outs.append(inner)
 
-            def done(inner=inner, row=row, held=held, span=span):
+            def done(inner=inner, held=held, grid=grid, row=row, across=across, down=down):
                 nonlocal indent
                 inner.end()
                 outs.pop()
-                row.append("\n".join(inner.lines))
-                row.extend([""] * (min(_number(span, 1), 1000) - 1))
+                grid.place(row, "\n".join(inner.lines), across, down)
                 indent = held
             todo.append(done)
         elif name in ("ul", "ol", "menu", "dir"):

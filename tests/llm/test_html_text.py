@@ -71,3 +71,20 @@ def test_numbers_that_are_none_and_wide_cells():
     assert render("<table><tr><td colspan=1000>a<td>b</table>").split() == ["a", "b"]
     wide = "<table><tr><td>" + "x" * 12_000 + "<td>y" + "<tr><td>a<td>b" * 1000 + "</table>"
     assert len(render(wide)) < 2 * len(wide) and "a  b" in render(wide)
+
+
+def test_rowspan():
+    render = H.visible_text
+    assert render("<table><tr><td rowspan=2>A<td>b<tr><td>c</table>") == "A  b\n   c"
+    assert render("<table><tr><td>x<td rowspan=3 colspan=2>s<td>y<tr><td>1<td>2<tr><td>3<td>4<tr><td>5<td>6</table>") == "x  s  y\n1     2\n3     4\n5  6"
+    assert render("<table><tbody><tr><td rowspan=0>A<td>b<tr><td>c</tbody><tbody><tr><td>d<td>e</tbody></table>") == "A  b\n   c\nd  e"
+    assert render("<table><tr><td rowspan=2>A<td>b<tr><td><table><tr><td>in<td>2</table></table>") == "A  b\n   in  2"
+    for bad in ("\u00b2", "-2", "", "9" * 5000):
+        assert render(f"<table><tr><td rowspan='{bad}'>A<td>b<tr><td>c</table>") == "A  b\nc"
+
+
+def test_spans_do_not_blow_up():
+    for cell in ("<td rowspan=60000>" + "x" * 100, "<td rowspan=60000 colspan=1000>x"):
+        html = "<table><tr>" + cell * 400 + "<tr><td>y" * 3000
+        text = H.visible_text(html)
+        assert text.count("y") == 3000 and len(text) < 40 * len(html)
