@@ -80,14 +80,22 @@ def build_index(docs: DataFrame, terms: DataFrame) -> DataFrame:
 
 
 def near_matches(pairs: DataFrame, index: DataFrame, slop: int) -> DataFrame:
-    """(item, doc_id, text_hash, diagonal, shift): the rarest term, and the second shifted by at most `slop` words."""
+    """(item, doc_id, text_hash, diagonal, shift): the rarest term, and the second shifted by at most `slop` words.
+
+    Places meet by stretches of slop + 1 words, a stretch and its neighbours, so a text that is full of
+    both terms gives as many rows as it has places near each other, not all pairs of places.
+    """
+    stretch = lambda place: F.floor(place / F.lit(slop + 1))
     first = (
         pairs.join(index.withColumnRenamed("term", "term1"), "term1")
         .select("item", "term2", "doc_id", "text_hash", (F.col("pos") - F.col("at1")).alias("diagonal"), "at2")
     )
-    second = index.select(F.col("term").alias("t"), F.col("doc_id").alias("d"), F.col("text_hash").alias("h"), F.col("pos").alias("p"))
+    about = stretch(F.col("diagonal") + F.col("at2"))
+    asked = first.where("term2 is not null").withColumn("near", F.explode(F.sequence(about - 1, about + 1)))
+    second = index.select(F.col("term").alias("t"), F.col("doc_id").alias("d"), F.col("text_hash").alias("h"), F.col("pos").alias("p"), stretch(F.col("pos")).alias("s"))
     shift = F.col("p") - F.col("at2") - F.col("diagonal")
-    both = first.join(second, (F.col("term2") == F.col("t")) & F.col("doc_id").eqNullSafe(F.col("d")) & (F.col("text_hash") == F.col("h")) & (F.abs(shift) <= slop))
+    both = asked.join(second, (F.col("term2") == F.col("t")) & F.col("doc_id").eqNullSafe(F.col("d")) & (F.col("text_hash") == F.col("h"))
+                      & (F.col("near") == F.col("s")) & (F.abs(shift) <= slop))
     alone = first.where("term2 is null").withColumn("shift", F.lit(0))
     columns = ["item", "doc_id", "text_hash", "diagonal", "shift"]
     return both.withColumn("shift", shift).select(columns).unionByName(alone.select(columns)).distinct()
@@ -96,22 +104,24 @@ def near_matches(pairs: DataFrame, index: DataFrame, slop: int) -> DataFrame:
 def whole_windows(docs: DataFrame, items: DataFrame, candidates: DataFrame, window: int) -> DataFrame:
     """(doc_id, text_hash, item_id, hit positions) of the windows that really stand on a candidate diagonal."""
     asked = (
-        candidates.join(items, "item").groupBy("doc_id", "text_hash")
-        .agg(F.collect_list(F.struct("item_id", "diagonal", "words")).alias("asked"))  # of one document
+        candidates.join(items.select("item", F.size("words").alias("length")), "item").groupBy("doc_id", "text_hash")
+        .agg(F.collect_list(F.struct("item", "diagonal", "length")).alias("asked"))  # of one document
     )
     wanted = asked.select(F.col("doc_id").alias("d"), F.col("text_hash").alias("h"), "asked")
     texts = (
         docs.withColumn("text_hash", F.xxhash64("text"))
         .join(wanted, F.col("doc_id").eqNullSafe(F.col("d")) & (F.col("text_hash") == F.col("h")))
         .dropDuplicates(["doc_id", "text_hash"])  # of the few that are left
-        .select("doc_id", "text_hash", places(ascii_lower(F.col("text"))).alias("own"), F.explode("asked").alias("c"))
+        .select("doc_id", "text_hash", places(ascii_lower(F.col("text"))).alias("own"), "asked")  # split once, not for every diagonal
+        .select("doc_id", "text_hash", "own", F.explode("asked").alias("c"))
     )
-    start, skip, length = F.greatest(F.col("c.diagonal"), F.lit(0)), F.greatest(-F.col("c.diagonal"), F.lit(0)), F.size("c.words")
-    left = F.slice("c.words", skip + 1, length)
-    right = F.slice("own", start + 1, length - skip)
-    alike = F.zip_with(left, right, lambda a, b: F.when(a == b, "1").otherwise("0"))
-    size = F.least(F.lit(window), length)
-    compared = texts.select("doc_id", "text_hash", F.col("c.item_id").alias("item_id"), start.alias("start"), size.alias("size"), F.array_join(alike, "").alias("alike"))
+    start, skip = F.greatest(F.col("c.diagonal"), F.lit(0)), F.greatest(-F.col("c.diagonal"), F.lit(0))
+    right = F.slice("own", start + 1, F.col("c.length") - skip)  # only the words beside the item's go on
+    beside = texts.select("doc_id", "text_hash", F.col("c.item").alias("item"), start.alias("start"), skip.alias("skip"), right.alias("right")).join(items, "item")
+    left = F.slice("words", F.col("skip") + 1, F.size("words"))
+    alike = F.zip_with(left, "right", lambda a, b: F.when(a == b, "1").otherwise("0"))
+    size = F.least(F.lit(window), F.size("words"))
+    compared = beside.select("doc_id", "text_hash", "item_id", "start", size.alias("size"), F.array_join(alike, "").alias("alike"))
     firsts = F.filter(F.sequence(F.lit(0), F.length("alike") - F.col("size")), lambda i: F.substr("alike", i + 1, F.col("size")) == F.repeat(F.lit("1"), F.col("size")))
     hits = F.array_distinct(F.flatten(F.transform("firsts", lambda i: F.sequence(F.col("start") + i, F.col("start") + i + F.col("size") - 1))))
     return (

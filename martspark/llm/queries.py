@@ -72,8 +72,8 @@ def op7_exact_top_k(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op8_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Every document's words inside 10-word windows of the benchmark."""
-    return decontaminate.digest(decontaminate.find(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"), window=10)).drop("n_near")
+    """Every document's words inside 10-word windows of the benchmark, and the items it comes near to (n_near)."""
+    return decontaminate.digest(decontaminate.find(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"), window=10))
 
 
 def op9_html_extraction(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -185,10 +185,21 @@ ORACLE_SQL: dict[str, str] = {
         occ as (select r, j, n, array_to_string(w[j:j+n-1], ' ') g from d, (select distinct n from win), unnest(range(1, len(w) - n + 2)) t(j)),
         hit as (select r, j, n, item_id from occ join win using (n, g)),
         pos as (select r, count(distinct p) n_hit from (select r, unnest(range(j, j + n)) p from hit) group by 1),
-        ids as (select r, string_agg(id, ',' order by id) ids, count(*) n_items from (select distinct r, item_id::varchar id from hit) group by 1)
+        ids as (select r, string_agg(id, ',' order by id) ids, count(*) n_items from (select distinct r, item_id::varchar id from hit) group by 1),
+        -- Proximity: the two rarest terms of a window, within five words of their distance.
+        it as (select row_number() over () k, item_id, w from (select distinct item_id, w from i where len(w) > 0)),
+        tm as (select k, j q, lower(w[j]) term, least(10, len(w)) size, len(w) - least(10, len(w)) + 1 last_start from it, unnest(range(1, len(w) + 1)) t(j)),
+        dp as (select r, lower(w[j]) term, j p from d, unnest(range(1, len(w) + 1)) t(j) where lower(w[j]) in (select term from tm)),
+        tn as (select term, count(*) n from dp group by 1),
+        wi as (select k, s, size, n, term, q from tm join tn using (term), unnest(range(greatest(1, q - size + 1), least(q, last_start) + 1)) u(s)),
+        an as (select distinct k, a[1].term t1, a[1].q q1, a[2].term t2, a[2].q q2
+               from (select k, s, list({{'n': n, 'term': term, 'q': q}} order by n, term, q) a from wi group by k, s, size having count(*) = size)),
+        nr as (select r, count(distinct item_id) n_near from (
+                 select x.r, k from an join dp x on x.term = t1 join dp y on y.term = t2 and y.r = x.r and abs((y.p - q2) - (x.p - q1)) <= 5
+                 union all select x.r, k from an join dp x on x.term = t1 where t2 is null) join it using (k) group by 1)
         select doc_id, len(w)::bigint n_words, coalesce(n_hit, 0)::bigint n_hit, coalesce(n_items, 0)::bigint n_items,
-            sha256(coalesce(ids, '')) items_sha256, coalesce(n_hit, 0) > 0 contaminated
-        from d left join pos using (r) left join ids using (r)""",
+            sha256(coalesce(ids, '')) items_sha256, coalesce(n_hit, 0) > 0 contaminated, coalesce(n_near, 0)::bigint n_near
+        from d left join pos using (r) left join ids using (r) left join nr using (r)""",
     "op7_exact_top_k": """
         with v as (select vec_id, list_transform(embedding, lambda x: floor(1024 * x::double)::bigint) t from embeddings
                    where embedding is not null and vec_id is not null

@@ -71,6 +71,49 @@ def test_proximity_counts_items_whose_rarest_terms_stand_near(spark, words):
     assert {r.doc_id: (r.n_near, r.n_hit) for r in D.find(docs, items, slop=3).collect()} == {1: (1, 0), 2: (0, 0), 3: (0, 0)}
 
 
+def near_items(docs, items, slop=5, window=10):
+    """By brute force: of each document row, the items of which a window's two rarest terms stand near their distance."""
+    texts = [[w.lower() for w in words_of(t)] for _, t in docs]
+    count = {}
+    for w in (w for t in texts for w in t):
+        count[w] = count.get(w, 0) + 1
+    out = []
+    for text in texts:
+        at = {}
+        for i, w in enumerate(text):
+            at.setdefault(w, []).append(i)
+        found = set()
+        for item_id, t in items:
+            w = [x.lower() for x in words_of(t)] if item_id is not None else []
+            for s in range(max(0, len(w) - window) + 1 if w else 0):
+                rare = sorted((count.get(x, 0), x, j) for j, x in enumerate(w) if s <= j < s + window)
+                if rare[0][0] == 0:
+                    continue
+                (_, a, i), (_, b, j) = rare[0], rare[min(1, len(rare) - 1)]
+                if any(abs((q - j) - (p - i)) <= slop for p in at.get(a, []) for q in at.get(b, [])):
+                    found.add(str(item_id))
+        out.append(len(found))
+    return out
+
+
+def test_proximity_against_brute_force(spark):
+    pick = random.Random(18)
+    some = lambda n: " ".join(pick.choice("abcdefghijklmnopqrstuvwxyz") * pick.choice([1, 2, 5]) for _ in range(n))
+    items = [(i, some(pick.choice([1, 2, 6, 11, 14]))) for i in range(25)] + [(None, "a b"), (99, "a a"), (98, None)]
+    docs = [(i, some(pick.choice([0, 3, 20, 60]))) for i in range(80)] + [(200, None), (201, "-- a, B")]
+    got = D.find(spark.createDataFrame(docs, "doc_id long, text string"), spark.createDataFrame(items, "item_id long, text string")).collect()
+    assert {r.doc_id: r.n_near for r in got} == dict(zip((d for d, _ in docs), near_items(docs, items)))
+
+
+def test_long_text_of_two_words(spark):
+    """Rows in proportion to the text: places meet near each other only."""
+    n = 20_000
+    docs = spark.createDataFrame([(1, "aa bb " * (n // 2))], "doc_id long, text string")
+    items = spark.createDataFrame([(1, "aa bb " * 10)], "item_id long, text string")
+    got = D.find(docs, items).first()
+    assert (got.n_words, got.n_hit, got.item_ids, got.n_near) == (n, n, ["1"], 1)
+
+
 def test_no_python_in_the_plans(spark, edge_documents, capsys):
     items = spark.createDataFrame([(1, "one two three four five six")], "item_id long, text string")
     D.find(edge_documents, items).explain()
