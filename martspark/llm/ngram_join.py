@@ -60,9 +60,11 @@ U = np.uint64
 
 
 def _mix(x: np.ndarray) -> np.ndarray:
-    x = (x ^ (x >> U(33))) * U(0xFF51AFD7ED558CCD)
-    x = (x ^ (x >> U(33))) * U(0xC4CEB9FE1A85EC53)
-    return x ^ (x >> U(33))
+    x = x ^ (x >> U(33))
+    for factor in (U(0xFF51AFD7ED558CCD), U(0xC4CEB9FE1A85EC53)):
+        x *= factor
+        x ^= x >> U(33)
+    return x
 
 
 class _WordHashes(dict):
@@ -83,9 +85,10 @@ def shingle_sets(texts: list[bytes], seen: dict) -> tuple[np.ndarray, np.ndarray
     starts = np.repeat(np.cumsum(n) - n, width) + np.arange(width.sum()) - np.repeat(np.cumsum(width) - width, width)
     left = np.repeat(np.minimum(n, SHINGLE), width)  # words of the shingle
     h = left.astype(U)
+    short = len(left) > 0 and left.min() < SHINGLE
     for i in range(SHINGLE):
-        here = left > i
-        h[here] = _mix(h[here] * U(31) + flat[starts[here] + i])
+        longer = _mix(h * U(31) + flat[np.minimum(starts + i, len(flat) - 1)])
+        h = np.where(left > i, longer, h) if short else longer
     ends = np.cumsum(width)
     for a, b in zip(ends - width, ends):
         h[a:b].sort()
@@ -466,22 +469,22 @@ def link(docs: DataFrame) -> DataFrame:
     labels = stored(connected_components(links), "components")
 
     # Across the components of a group: the nearest ones, as long as that links any, then all.
-    held = shared.select("signature", "h1").join(known, "h1").select("signature", "node", "n")
-
-    def linked(nearest: bool) -> DataFrame:
+    def linked(held: DataFrame, nearest: bool) -> tuple[DataFrame, DataFrame]:
+        """Links across components, and the members of the groups that hold several: components only grow, so later rounds need no others."""
         members = held.join(labels.withColumnRenamed("component", "label"), "node", "left").select("signature", "node", "n", F.coalesce("label", "node").alias("component"))
         mixed = (
             members.groupBy("signature").agg(F.min("component").alias("lo"), F.max("component").alias("hi"), F.count("*").alias("size"),
-                                             F.sum(F.xxhash64("node").cast("decimal(20,0)")).alias("s1"), F.sum(F.xxhash64("node", F.lit(1)).cast("decimal(20,0)")).alias("s2"))
+                                             F.bit_xor(F.xxhash64("node")).alias("s1"), F.bit_xor(F.xxhash64("node", F.lit(1))).alias("s2"))
             # Signatures with the same sets are one group.
             .where("lo < hi").groupBy("size", "s1", "s2").agg(F.min("signature").alias("signature"))
             .select("signature", F.ceil(F.col("size") / BLOCK).cast("int").alias("blocks"))
         )
-        dealt = members.join(mixed, "signature").withColumn("block", F.pmod(F.xxhash64("node"), F.col("blocks")).cast("int"))
+        open_groups = stored(members.join(mixed, "signature"), "open-groups")
+        dealt = open_groups.withColumn("block", F.pmod(F.xxhash64("node"), F.col("blocks")).cast("int"))
         grouped = dealt.join(classes.select("node", "sketch"), "node").withColumn("k", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1))) \
             .withColumn("i", F.least("block", "k")).withColumn("j", F.greatest("block", "k"))
         pairs = stored(across(grouped, nearest).distinct(), "cross-pairs")
-        return stored(verified(docs, classes, pairs), "cross-links")
+        return stored(verified(docs, classes, pairs), "cross-links"), open_groups.select("signature", "node", "n")
 
     def merged(more: DataFrame) -> DataFrame:
         """Components of the links found so far and of `more`."""
@@ -493,8 +496,9 @@ def link(docs: DataFrame) -> DataFrame:
         new = over.select(F.col("component").alias("node"), F.col("over").alias("component")).join(labels.select("node"), "node", "left_anti")
         return stored(old.unionByName(new), "components")
 
+    held = shared.select("signature", "h1").join(known, "h1").select("signature", "node", "n")
     for nearest in (True,) * NEAREST_ROUNDS + (False,):  # the last round tests all pairs
-        more = linked(nearest)
+        more, held = linked(held, nearest)
         if not more.isEmpty():
             labels = merged(more)
     ended = classes.select("h1", "h2", "node", "first_id").join(labels, "node", "left").select("h1", "h2", "first_id", F.coalesce("component", "node").alias("node"))
