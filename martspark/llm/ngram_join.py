@@ -209,19 +209,29 @@ def _hashes(features: np.ndarray, ends: np.ndarray) -> np.ndarray:
     return np.array([_set_hash(features[a:b]) for a, b in zip(cuts, cuts[1:])], np.int64).reshape(-1, 2)
 
 
+def counted(old: tuple[np.ndarray, np.ndarray], fresh: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """(value, count) sorted by value, with the values of `fresh` counted in; values that stand once are forgotten."""
+    known, total = old
+    value, n = np.unique(fresh, return_counts=True)
+    at = np.searchsorted(known, value)
+    seen = at < len(known)
+    seen[seen] = known[at[seen]] == value[seen]
+    total = total.copy()
+    total[at[seen]] += n[seen]
+    new = ~seen & (n >= 2)
+    value, total = np.concatenate([known, value[new]]), np.concatenate([total, n[new]])
+    order = np.argsort(value)
+    return value[order], total[order]
+
+
 def describe(docs: DataFrame) -> DataFrame:
     """One row per document (doc_id, n, h1, h2, sketch), and rows (feature, df) of features common in a task."""
     schema = pa.schema([("doc_id", pa.int64()), ("n", pa.int64()), ("h1", pa.int64()), ("h2", pa.int64()), ("sketch", pa.binary()), ("coarse", pa.binary()), ("feature", pa.int64()), ("df", pa.int64()), ("text_hash", pa.int64())])
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         seen = _WordHashes()
-        held: list[tuple[np.ndarray, np.ndarray]] = []
-
-        def merge() -> None:
-            value, place = np.unique(np.concatenate([v for v, _ in held]), return_inverse=True)
-            total = np.bincount(place, np.concatenate([c for _, c in held])).astype(np.int64)
-            kept = total >= 2
-            held[:] = [(value[kept], total[kept])]
+        common = np.zeros(0, U), np.zeros(0, np.int64)
+        held: list[np.ndarray] = []
 
         for batch in slices(batches, 256):
             features, ends = shingle_sets(as_bytes(batch.column(1)), seen)
@@ -231,12 +241,12 @@ def describe(docs: DataFrame) -> DataFrame:
             h = _hashes(features, ends)
             none = pa.nulls(len(n), pa.int64())
             yield pa.RecordBatch.from_arrays([batch.column(0).cast(pa.int64()), pa.array(n, pa.int64()), pa.array(h[:, 0]), pa.array(h[:, 1]), pa.array(sketches, pa.binary()), pa.array([x and coarse(x) for x in sketches], pa.binary()), none, none, batch.column(2)], schema=schema)
-            held.append((features, np.ones(len(features), np.int64)))
-            if sum(len(v) for v, _ in held) > HELD_FEATURES + len(held[0][0]):
-                merge()
-        if held:
-            merge()
-            value, total = held[0]
+            held.append(features)
+            if sum(map(len, held)) > HELD_FEATURES:
+                common = counted(common, np.concatenate(held))
+                held.clear()
+        if held or len(common[0]):
+            value, total = counted(common, np.concatenate([np.zeros(0, U), *held]))
             often = total >= COMMON_IN_TASK
             none = pa.nulls(int(often.sum()), pa.int64())
             blank = pa.nulls(len(none), pa.binary())

@@ -120,3 +120,15 @@ def test_connected_components(spark):
     got = {r.node: r.component for r in connected_components(spark.createDataFrame(edges, "a long, b long")).collect()}
     assert got == {n: c for n, c in root.items() if n in got} and all(root[n] == n for n in set(root) - set(got))
     assert connected_components(spark.createDataFrame([], "a long, b long")).count() == 0
+
+
+def test_counted_keeps_what_stands_twice():
+    pick = np.random.default_rng(5)
+    old, all_of, kept = (np.zeros(0, np.uint64), np.zeros(0, np.int64)), {}, {}
+    for _ in range(6):
+        fresh = pick.integers(0, 60, 40).astype(np.uint64)
+        old = J.counted(old, fresh)
+        for v, n in zip(*np.unique(fresh, return_counts=True)):
+            if v in kept or n >= 2:
+                kept[v] = kept.get(v, 0) + n
+        assert dict(zip(*old)) == kept and (np.diff(old[0].astype(np.int64)) > 0).all()
