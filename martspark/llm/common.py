@@ -7,7 +7,9 @@ import tempfile
 import uuid
 from collections.abc import Callable, Iterable, Iterator
 
+import numpy as np
 import pyarrow as pa
+import xxhash
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -81,6 +83,54 @@ def space_words(text: bytes) -> list[bytes]:
     return text.lower().split()
 
 
+U = np.uint64
+_SPACE = np.isin(np.arange(256), [0x20, *range(0x09, 0x0E)])
+#: Masks of the first 0 to 8 bytes of a little-endian number.
+_FIRST = np.array([(1 << 8 * n) - 1 for n in range(9)], U)
+_ODD = U(0x9E3779B97F4A7C15)
+#: Text whose words are hashed together; longest word that is hashed eight bytes at a time.
+HASHED_TEXT, HASHED_WORD = 1 << 20, 1024
+
+
+def mix(x: np.ndarray) -> np.ndarray:
+    """Spread 64-bit numbers over all bits, one to one."""
+    x = x ^ (x >> U(33))
+    for factor in (U(0xFF51AFD7ED558CCD), U(0xC4CEB9FE1A85EC53)):
+        x *= factor
+        x ^= x >> U(33)
+    return x
+
+
+def _hashed(text: bytes) -> tuple[np.ndarray, np.ndarray]:
+    """(start, 64-bit hash) of the words of a text that starts and ends with nine spaces."""
+    inside = ~_SPACE[np.frombuffer(text, np.uint8)]
+    edges = np.flatnonzero(inside[1:] != inside[:-1]) + 1
+    starts, size = edges[::2], edges[1::2] - edges[::2]
+    eight = np.ndarray(len(text) - 7, "<u8", text, strides=1)  # the eight bytes from each place on
+    h = mix((eight[starts] & _FIRST[np.minimum(size, 8)]) + size.astype(U) * _ODD)
+    more, at = np.flatnonzero((size > 8) & (size <= HASHED_WORD)), 8
+    while len(more):
+        h[more] = mix(h[more] * _ODD + (eight[starts[more] + at] & _FIRST[np.minimum(size[more] - at, 8)]))
+        at += 8
+        more = more[size[more] > at]
+    for i in np.flatnonzero(size > HASHED_WORD):
+        h[i] = xxhash.xxh3_64_intdigest(text[starts[i]:starts[i] + size[i]])
+    return starts, h
+
+
+def word_hashes(texts: list[bytes]) -> tuple[np.ndarray, np.ndarray]:
+    """(hashes, words of each text): the `space_words` of UTF-8 texts as 64-bit hashes, one text after the other."""
+    size = np.array([len(t) + 1 for t in texts], np.int64)
+    part = (np.cumsum(size) - size) // HASHED_TEXT
+    cuts = [0, *(np.flatnonzero(np.diff(part)) + 1).tolist(), len(texts)]
+    hashes, counts = [np.zeros(0, U)], [np.zeros(0, np.int64)]
+    for a, b in zip(cuts, cuts[1:]):
+        starts, h = _hashed(b" " * 9 + b" ".join(texts[a:b]).lower() + b" " * 9)
+        hashes.append(h)
+        counts.append(np.diff(np.searchsorted(starts, 9 + np.append(0, np.cumsum(size[a:b])))))
+    return np.concatenate(hashes), np.concatenate(counts)
+
+
 def as_bytes(column: pa.ChunkedArray | pa.Array) -> list[bytes]:
     """The values of a string column as UTF-8 bytes; null counts as empty."""
     values = column.cast(pa.large_binary() if pa.types.is_large_string(column.type) else pa.binary())

@@ -41,7 +41,7 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from martspark.llm.common import as_bytes, per_batch, picked, released, slices, space_words, stored, without
+from martspark.llm.common import U, as_bytes, mix, per_batch, picked, released, slices, stored, without, word_hashes
 from martspark.llm.components import connected_components
 
 SHINGLE = 5
@@ -51,51 +51,38 @@ BLOCK = 2048
 SMALL = 24
 #: Features that are told apart as common: at least this often in a task, then the commonest overall.
 COMMON_IN_TASK, COMMON_FEATURES = 8, 100_000
-CACHED_WORDS = 150_000
 #: Features that a task holds before it counts them.
 HELD_FEATURES = 500_000
 #: Rounds of nearest pairs before all pairs are tested; they only spare work.
 NEAREST_ROUNDS = 2
-U = np.uint64
+#: Odd factors of a shingle's words and of their number.
+FACTORS = np.array([0xBF58476D1CE4E5B9, 0x94D049BB133111EB, 0xD6E8FEB86659FD93, 0xA0761D6478BD642F, 0xE7037ED1A0B428DB], U)
+LENGTH = U(0x8EBC6AF09C88C6E3)
 
 
-def _mix(x: np.ndarray) -> np.ndarray:
-    x = x ^ (x >> U(33))
-    for factor in (U(0xFF51AFD7ED558CCD), U(0xC4CEB9FE1A85EC53)):
-        x *= factor
-        x ^= x >> U(33)
-    return x
-
-
-class _WordHashes(dict):
-    def __missing__(self, word: bytes) -> int:
-        if len(self) >= CACHED_WORDS:
-            self.clear()
-        value = self[word] = xxhash.xxh3_64_intdigest(word)
-        return value
-
-
-def shingle_sets(texts: list[bytes], seen: dict) -> tuple[np.ndarray, np.ndarray]:
+def shingle_sets(texts: list[bytes]) -> tuple[np.ndarray, np.ndarray]:
     """(features, ends): each text's distinct shingles, sorted, one after the other."""
-    words = [np.fromiter(map(seen.__getitem__, w), U, len(w)) for w in map(space_words, texts)]
-    n = np.array([len(w) for w in words], np.int64)
-    flat = np.concatenate([np.zeros(0, U), *words])
-    flat = _mix(flat)
+    words, n = word_hashes(texts)
+    first = np.cumsum(n) - n
+    flat = np.concatenate([words, np.zeros(SHINGLE - 1, U)])
+    h = np.full(len(words), SHINGLE, U) * LENGTH
+    for i, factor in enumerate(FACTORS):
+        h += flat[i:len(words) + i] * factor
+    few = np.flatnonzero((n > 0) & (n < SHINGLE))  # the whole text is one shingle
+    if len(few):
+        at = first[few]
+        h[at] = n[few].astype(U) * LENGTH
+        for i, factor in enumerate(FACTORS[:-1]):
+            h[at] += np.where(n[few] > i, flat[at + i] * factor, U(0))
     width = np.where(n >= SHINGLE, n - SHINGLE + 1, np.minimum(n, 1))
-    starts = np.repeat(np.cumsum(n) - n, width) + np.arange(width.sum()) - np.repeat(np.cumsum(width) - width, width)
-    left = np.repeat(np.minimum(n, SHINGLE), width)  # words of the shingle
-    h = left.astype(U)
-    short = len(left) > 0 and left.min() < SHINGLE
-    for i in range(SHINGLE):
-        longer = _mix(h * U(31) + flat[np.minimum(starts + i, len(flat) - 1)])
-        h = np.where(left > i, longer, h) if short else longer
     ends = np.cumsum(width)
+    h = mix(h[np.repeat(first - ends + width, width) + np.arange(width.sum())])
     for a, b in zip(ends - width, ends):
         h[a:b].sort()
-    doc = np.repeat(np.arange(len(n)), width)
     new = np.ones(len(h), bool)
-    new[1:] = (h[1:] != h[:-1]) | (doc[1:] != doc[:-1])
-    return h[new], np.cumsum(np.bincount(doc[new], minlength=len(n)))
+    new[1:] = h[1:] != h[:-1]
+    new[(ends - width)[width > 0]] = True
+    return h[new], np.append(0, np.cumsum(new))[ends]
 
 
 def sketch_bits(n: int) -> int:
@@ -106,7 +93,7 @@ def sketch_bits(n: int) -> int:
 def odd_sketch(features: np.ndarray) -> bytes:
     """Parities of the features hashed to `sketch_bits` places: sets that differ in d features differ in at most d bits."""
     m = sketch_bits(len(features))
-    place = (_mix(features + U(77)) & U(m - 1)).astype(np.int64)
+    place = (mix(features + U(77)) & U(m - 1)).astype(np.int64)
     return np.packbits((np.bincount(place, minlength=m) & 1).astype(np.uint8)).tobytes()
 
 
@@ -167,9 +154,9 @@ def band_signatures(h: np.ndarray, doc: np.ndarray, band: np.ndarray, need: np.n
     new[1:] = (of[1:] != of[:-1]) | (part[1:] != part[:-1])
     first = np.flatnonzero(new)
     of, part = of[first], part[first]
-    content = np.add.reduceat(_mix(rare), first) if len(first) else np.zeros(0, U)
+    content = np.add.reduceat(mix(rare), first) if len(first) else np.zeros(0, U)
     full = np.diff(np.append(first, len(rare)))
-    sign = _mix(content + _mix((part * 64 + band[of]).astype(U)))
+    sign = mix(content + mix((part * 64 + band[of]).astype(U)))
     order = np.lexsort((sign, -full, of))
     sign, of = sign[order], of[order]
     few = np.bincount(of, minlength=n) < need
@@ -180,7 +167,7 @@ def band_signatures(h: np.ndarray, doc: np.ndarray, band: np.ndarray, need: np.n
     order = np.lexsort((h1, often[own], doc1))
     h1, doc1 = h1[order], doc1[order]
     keep1 = _ranked(doc1, n) < lone[doc1]
-    single = _mix(h1 + (band[doc1] + 1000).astype(U))
+    single = mix(h1 + (band[doc1] + 1000).astype(U))
     return np.concatenate([sign[keep], single[keep1]]), np.concatenate([of[keep], doc1[keep1]])
 
 
@@ -229,12 +216,11 @@ def describe(docs: DataFrame) -> DataFrame:
     schema = pa.schema([("doc_id", pa.int64()), ("n", pa.int64()), ("h1", pa.int64()), ("h2", pa.int64()), ("sketch", pa.binary()), ("coarse", pa.binary()), ("feature", pa.int64()), ("df", pa.int64()), ("text_hash", pa.int64())])
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        seen = _WordHashes()
         common = np.zeros(0, U), np.zeros(0, np.int64)
         held: list[np.ndarray] = []
 
         for batch in slices(batches, 256):
-            features, ends = shingle_sets(as_bytes(batch.column(1)), seen)
+            features, ends = shingle_sets(as_bytes(batch.column(1)))
             cuts = np.append(0, ends)
             n = np.diff(cuts)
             sketches = [odd_sketch(features[a:b]) if b - a >= 3 else None for a, b in zip(cuts, cuts[1:])]
@@ -263,9 +249,8 @@ def write_signatures(docs: DataFrame, common: list[int]) -> DataFrame:
     schema = pa.schema([("signature", pa.int64()), ("h1", pa.int64())])
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        seen = _WordHashes()
         for batch in slices(batches, 256):
-            features, ends = shingle_sets(as_bytes(batch.column(0)), seen)
+            features, ends = shingle_sets(as_bytes(batch.column(0)))
             sign, doc = signatures(features, ends, ranked)
             yield pa.RecordBatch.from_arrays([pa.array(sign.view(np.int64)), pa.array(_hashes(features, ends)[doc, 0])], schema=schema)
 
@@ -426,7 +411,7 @@ def verified(docs: DataFrame, classes: DataFrame, pairs: DataFrame) -> DataFrame
     schema = pa.schema([("doc_id", pa.int64()), ("h1", pa.int64()), ("h2", pa.int64()), ("features", pa.binary())])
 
     def of_batch(batch: pa.RecordBatch) -> pa.RecordBatch:
-        features, ends = shingle_sets(as_bytes(batch.column(1)), _WordHashes())
+        features, ends = shingle_sets(as_bytes(batch.column(1)))
         cuts = np.append(0, ends)
         h = _hashes(features, ends)
         return pa.RecordBatch.from_arrays([batch.column(0).cast(pa.int64()), pa.array(h[:, 0]), pa.array(h[:, 1]), pa.array([features[a:b].tobytes() for a, b in zip(cuts, cuts[1:])], pa.binary())], schema=schema)

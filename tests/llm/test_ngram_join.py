@@ -3,6 +3,7 @@ import random
 import numpy as np
 import pytest
 
+from martspark.llm import common as C
 from martspark.llm import ngram_join as J
 from martspark.llm.components import connected_components
 
@@ -61,6 +62,22 @@ def test_components_match_all_pairs(spark, words, monkeypatch, seed, common, blo
     assert got == brute(texts)
 
 
+def test_word_hashes_tell_words_apart(monkeypatch):
+    """Equal words have equal hashes wherever they stand, different ones differ; counts are those of the split."""
+    pick = random.Random(5)
+    stock = ["a", "b", "ab", "ba", "A", "\u00e9t\u00e9", "\u4f60\u597d", "x\0", "x", "eightchr", "eightchrs", "sixteencharacter", "sixteencharacters",
+             "p" * 1024, "p" * 1025, "p" * 5000, "q" * 5000, "\x1c", "\x85", "\u00a0"]
+    texts = ["", " ", "\t\n\x0b\x0c\r "] + ["".join(pick.choice(stock) + pick.choice([" ", "  ", "\n", "\x0b"]) for _ in range(pick.randrange(30))) for _ in range(200)]
+    raw = [t.encode() for t in texts]
+    for held in (1 << 20, 50):
+        monkeypatch.setattr(C, "HASHED_TEXT", held)
+        hashes, counts = C.word_hashes(raw)
+        words = [w for t in raw for w in C.space_words(t)]
+        assert counts.tolist() == [len(C.space_words(t)) for t in raw]
+        assert len(set(zip(words, hashes.tolist()))) == len(set(words)) == len(set(hashes.tolist()))
+    assert [len(x) for x in C.word_hashes([])] == [0, 0]
+
+
 def test_similar_sets_always_share_a_signature():
     """Random pairs at and above the threshold, with and without common features."""
     pick = np.random.default_rng(4)
