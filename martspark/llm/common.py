@@ -9,6 +9,7 @@ from collections.abc import Callable, Iterable, Iterator
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 import xxhash
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -144,6 +145,15 @@ def slices(batches: Iterable[pa.RecordBatch], rows: int = 512) -> Iterator[pa.Re
             yield batch.slice(at, rows)
 
 
+def sized(batches: Iterable[pa.RecordBatch], column: int, size: int) -> Iterator[pa.RecordBatch]:
+    """Cut Arrow batches into pieces of about `size` bytes in a string column; a longer text is in a piece with others."""
+    for batch in batches:
+        part = np.cumsum(pc.binary_length(batch.column(column)).fill_null(0).to_numpy(zero_copy_only=False).astype(np.int64)) // size
+        cuts = [0, *(np.flatnonzero(np.diff(part)) + 1).tolist(), batch.num_rows]
+        for a, b in zip(cuts, cuts[1:]):
+            yield batch.slice(a, b - a)
+
+
 def tidy() -> None:
     """Give memory that a task no longer needs back to the system: Python workers live on for later tasks."""
     pa.default_memory_pool().release_unused()

@@ -15,7 +15,6 @@ packed each on their own; null ids sort first. An empty table gives no pieces.
 from __future__ import annotations
 
 import os
-import zlib
 from collections.abc import Iterator
 
 import numpy as np
@@ -25,11 +24,13 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from martspark.llm.common import as_bytes, per_batch, released, slices, space_words
+from martspark.llm.common import as_bytes, per_batch, released, sized, word_hashes
 
 BUCKETS, DIMENSIONS, BITS = 512, 4, 12
 #: Text in one range of the curve, which one task sorts and packs; documents sampled to find the ranges.
 RANGE_BYTES, SAMPLED = 32 << 20, 200_000
+#: Text whose distinct words are looked up together.
+ENCODED_TEXT = 8 << 20
 #: Words whose ids a Python worker remembers at least (twice as many at most).
 CACHED_WORDS = 100_000
 SCHEMA = "doc_id long, start long, length long, ids binary, doc_tokens long, sequence_id long, offset long, curve_key long"
@@ -73,9 +74,8 @@ def _words(texts: pa.Array) -> tuple[list[str], np.ndarray, np.ndarray]:
 
 def curve_keys(texts: pa.Array) -> np.ndarray:
     """Hilbert keys of texts: log word counts in hashed buckets, unit length, randomly projected."""
-    words = [space_words(t) for t in as_bytes(texts)]
-    place = [i * BUCKETS + np.fromiter(map(zlib.crc32, w), np.int64, len(w)) % BUCKETS for i, w in enumerate(words)]
-    where = np.concatenate([np.zeros(0, np.int64), *place])
+    words, count = word_hashes(as_bytes(texts))
+    where = np.repeat(np.arange(len(texts)) * BUCKETS, count) + (words % np.uint64(BUCKETS)).astype(np.int64)
     vectors = np.log1p(np.bincount(where, minlength=len(texts) * BUCKETS).reshape(len(texts), BUCKETS))
     vectors /= np.maximum(1e-9, np.sqrt((vectors * vectors).sum(axis=1)))[:, None]
     plane = np.random.default_rng(7).standard_normal((BUCKETS, DIMENSIONS))
@@ -255,7 +255,7 @@ def pack(docs: DataFrame, tokenizer_path: str, length: int = 2048, end_id: int =
         def batch_of(rows: list[tuple]) -> pa.RecordBatch:
             return pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(zip(*rows), schema.types)], schema=schema)
 
-        for batch in slices(batches, 512):
+        for batch in sized(batches, 1, ENCODED_TEXT):
             for doc_id, ids, key in zip(batch.column(0).to_pylist(), words.of_texts(batch.column(1)), batch.column(2).to_pylist()):
                 ids += end
                 start, total = 0, len(ids) // 4
