@@ -84,8 +84,12 @@ def spine_full_join_literal(spine: Branch, dim: DataFrame, branches: Sequence[Br
     JOIN the dimension on the spine id, then filter on the coalesced date and
     the class. Catalyst turns the chain into inner/left joins (the result
     equals :func:`spine_left_join`); kept to show and test that equivalence.
+
+    The coalesced date keeps the window from the spine's scan, so the spine is
+    windowed first: a joined row's first date is the spine's own, and rows
+    without a spine row have no dimension and fail the class filter.
     """
-    a = spine.df.select(*[F.col(c).alias(f"a__{c}") for c in spine.df.columns])
+    a = spine.df.where(window.contains(F.col(DAY))).select(*[F.col(c).alias(f"a__{c}") for c in spine.df.columns])
     j = a
     dates: list[Column] = [F.col(f"a__{DAY}")]
     for b in branches:
