@@ -257,8 +257,9 @@ def promo_rows(src: Sources, run_date: dt.date, rules: BridgeRules = BridgeRules
         F.col("campaign_discount_burnt_amount").alias("markdown_mfp_burnt"),
         F.col("voucher_burnt_amount").alias("voucher_mfp_burnt"),
         F.col("total_order_burnt_amount").alias("total_order_mfp_burnt"))
-    j = (a.join(c, F.col("order_no") == F.col("_c_order"), "left")
-          .join(resto, F.col("restaurant_id") == F.col("_r_id"), "inner"))
+    # Promo last: an aggregate that reads none of its columns is spared the join.
+    j = (a.join(resto, F.col("restaurant_id") == F.col("_r_id"), "inner")
+          .join(c, F.col("order_no") == F.col("_c_order"), "left"))
     return j.withColumn("booking_date", local_date(F.col("created_timestamp"), tz))
 
 

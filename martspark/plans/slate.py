@@ -53,6 +53,11 @@ def _src(spark: SparkSession, sf_dir: str) -> Sources:
     return tpch_sources(tune(spark), sf_dir)
 
 
+def _month(spark: SparkSession, sf_dir: str, run_date: dt.date = RUN_DATE, **options) -> Sources:
+    """The same for the marts and their branches, whose order lines all meet bookings of the run date's window."""
+    return tpch_sources(tune(spark), sf_dir, window=month_to_date(run_date), **options)
+
+
 def _ent(src: Sources) -> Enterprise:
     return Enterprise.of(restaurant_dim(src.profile, src.universe))
 
@@ -60,14 +65,14 @@ def _ent(src: Sources) -> Enterprise:
 # ----------------------------------------------------------------------------
 
 def mtd_window_filter(spark, sf_dir):
-    s = _src(spark, sf_dir).spine
+    s = _month(spark, sf_dir).spine
     return as_output(s.where(WINDOW.contains(F.col("summary_data_date"))).select(
         "summary_data_date", "Food_id", month_of(F.col("summary_data_date")).alias("month_start"),
         "all_Food_order_number", "completed_Food_gmv_amount"))
 
 
 def local_date_window(spark, sf_dir):
-    b = B.bookings_in_window(_src(spark, sf_dir).bookings, WINDOW)
+    b = B.bookings_in_window(_month(spark, sf_dir).bookings, WINDOW)
     return as_output(b.groupBy(F.col("jakarta_booking_created_date").alias("booking_date")).agg(
         F.count(F.lit(1)).alias("n_bookings"), F.sum("normalized_gmv_amount").alias("gmv")))
 
@@ -122,7 +127,7 @@ def left_join_using(spark, sf_dir):
 
 
 def composite_expression_join(spark, sf_dir):
-    s = _src(spark, sf_dir)
+    s = _month(spark, sf_dir)
     costs = B.cost_split(B.with_economics(s.bookings, s.booking_cm, WINDOW, _ent(s)), s.fx).select(
         F.col("order_no").alias("_c_order"), F.col("booking_date").alias("_c_date"),
         "rpl_overall", "rpl_cofunding")
@@ -151,7 +156,7 @@ def join_fanout_check(spark, sf_dir):
 
 
 def unnest_cost_split(spark, sf_dir):
-    s = _src(spark, sf_dir)
+    s = _month(spark, sf_dir)
     return as_output(B.cost_split(B.with_economics(s.bookings, s.booking_cm, WINDOW, _ent(s)), s.fx).select(
         "booking_date", "order_no", "rpl_overall", "abra_cost", "rpl_cofunding"))
 
@@ -162,23 +167,23 @@ def _order_econ(s: Sources, ent: Enterprise) -> DataFrame:
 
 def order_economics(spark, sf_dir):
     """J7 as written: J6 aggregated, then joined back on (order, date)."""
-    s = _src(spark, sf_dir)
+    s = _month(spark, sf_dir)
     bc = B.with_economics(s.bookings, s.booking_cm, WINDOW, _ent(s))
     return as_output(B.order_economics(bc, B.cost_split(bc, s.fx)))
 
 
 def daily_economics(spark, sf_dir):
-    s = _src(spark, sf_dir)
+    s = _month(spark, sf_dir)
     return as_output(B.daily_economics(_order_econ(s, _ent(s)), s.fx))
 
 
 def kpi_monthly_second_bookings(spark, sf_dir):
     """A5: the KPI mart with costs from the first booking table, modes and economics from the second."""
-    return as_output(M.kpi_monthly(tpch_sources(tune(spark), sf_dir, second_bookings=True), RUN_DATE))
+    return as_output(M.kpi_monthly(_month(spark, sf_dir, second_bookings=True), RUN_DATE))
 
 
 def sum_distinct_vs_order_distinct(spark, sf_dir):
-    s = _src(spark, sf_dir)
+    s = _month(spark, sf_dir)
     return as_output(B.order_distinct_sum(_order_econ(s, _ent(s)), s.fx))
 
 
@@ -188,7 +193,7 @@ def paid_ads_daily(spark, sf_dir):
 
 
 def daily_order_totals(spark, sf_dir):
-    s = _src(spark, sf_dir)
+    s = _month(spark, sf_dir)
     return as_output(B.daily_order_totals(s.spine, WINDOW, _ent(s)))
 
 
@@ -198,7 +203,7 @@ def funnel_max_then_sum(spark, sf_dir):
 
 
 def fulfilment_ops(spark, sf_dir):
-    s = _src(spark, sf_dir)
+    s = _month(spark, sf_dir)
     return B.fulfilment_ops(s.bookings, WINDOW, _ent(s))
 
 
@@ -213,22 +218,22 @@ def impressions_distinct(spark, sf_dir):
 
 
 def aov_bands_long(spark, sf_dir):
-    s = _src(spark, sf_dir)
+    s = _month(spark, sf_dir)
     return B.aov_bands_long(s.bookings, WINDOW, _ent(s))
 
 
 def aov_bands_pivot(spark, sf_dir):
-    s = _src(spark, sf_dir)
+    s = _month(spark, sf_dir)
     return B.aov_bands_pivot(s.bookings, WINDOW, _ent(s))
 
 
 def promo_class_long(spark, sf_dir):
-    s = _src(spark, sf_dir)
+    s = _month(spark, sf_dir)
     return B.promo_class_long(s.bookings, WINDOW, _ent(s))
 
 
 def promo_class_pivot(spark, sf_dir):
-    s = _src(spark, sf_dir)
+    s = _month(spark, sf_dir)
     return B.promo_class_pivot(s.bookings, WINDOW, _ent(s))
 
 
@@ -240,7 +245,7 @@ def city_tiers(spark, sf_dir):
 
 def multi_distinct_rollup(spark, sf_dir):
     """E17 in the pre-grouped form on (day, restaurant) without dimensions."""
-    s = _src(spark, sf_dir)
+    s = _month(spark, sf_dir)
     b = B.bookings_in_window(s.bookings, WINDOW)
     c = s.promo_tx.where(WINDOW.contains(F.col("jakarta_booking_date"))).select(
         F.col("order_no").alias("_c_order"), "campaign_discount_burnt_amount", "item_promotion_burnt_amount")
@@ -268,7 +273,7 @@ SPINE_PROBE = [
 
 def _spine(mode: str):
     def run(spark, sf_dir):
-        s = _src(spark, sf_dir)
+        s = _month(spark, sf_dir)
         daily = M.kpi_daily(s, RUN_DATE, mode=mode)
         return as_output(daily.select(
             F.col(DAY).alias("summary_data_date"), F.col(RID).alias("Food_id"),
@@ -277,15 +282,15 @@ def _spine(mode: str):
 
 
 def month_rollup(spark, sf_dir):
-    return as_output(M.kpi_monthly(_src(spark, sf_dir), RUN_DATE, mode="full"))
+    return as_output(M.kpi_monthly(_month(spark, sf_dir), RUN_DATE, mode="full"))
 
 
 def kpi_monthly(spark, sf_dir):
-    return as_output(M.kpi_monthly(_src(spark, sf_dir), RUN_DATE))
+    return as_output(M.kpi_monthly(_month(spark, sf_dir), RUN_DATE))
 
 
 def promo_daily(spark, sf_dir):
-    return as_output(M.promo_daily(_src(spark, sf_dir), RUN_DATE, tiers=DRIVER_TIERS))
+    return as_output(M.promo_daily(_month(spark, sf_dir), RUN_DATE, tiers=DRIVER_TIERS))
 
 
 def _scratch(spark: SparkSession, name: str) -> str:
@@ -295,10 +300,9 @@ def _scratch(spark: SparkSession, name: str) -> str:
 def refresh_month_replace(spark, sf_dir):
     """December once, then January twice; the target keeps one copy of each."""
     from martspark.streaming.refresh import read_mart, refresh_month
-    s = _src(spark, sf_dir)
     target = _scratch(spark, "promo_daily")
     for run in (PREV_RUN_DATE, RUN_DATE, RUN_DATE):
-        mart = M.with_month(M.promo_daily(s, run, tiers=DRIVER_TIERS), "booking_date")
+        mart = M.with_month(M.promo_daily(_month(spark, sf_dir, run), run, tiers=DRIVER_TIERS), "booking_date")
         refresh_month(mart, target, month_to_date(run).month)
     return as_output(read_mart(spark, target, M.PROMO_COLUMNS + ["booking_month"]))
 
@@ -306,7 +310,7 @@ def refresh_month_replace(spark, sf_dir):
 def refresh_append(spark, sf_dir):
     """The KPI mart appended twice; the month's rows are doubled."""
     from martspark.streaming.refresh import append_month, read_mart
-    s = _src(spark, sf_dir)
+    s = _month(spark, sf_dir)
     target = _scratch(spark, "kpi_monthly")
     for _ in range(2):
         append_month(M.kpi_monthly(s, RUN_DATE), target)

@@ -18,8 +18,9 @@ import datetime as dt
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from martspark.functions.calendar import local_date
+from martspark.functions.calendar import MonthWindow, in_local_window, local_date
 from martspark.functions.money import fx_table
+from martspark.plans.joins import DEFAULT_BROADCAST_ROWS
 from martspark.sources import schemas as S
 from martspark.sources.catalog import LazySources
 
@@ -487,13 +488,34 @@ def dim_account(orders: DataFrame) -> DataFrame:
     return product_outlet.unionByName(billing_group).unionByName(entity)
 
 
-def tpch_sources(spark: SparkSession, sf_dir: str, second_bookings: bool = False) -> LazySources:
-    """The mart inputs over the driver tables of ``sf_dir`` (built on use), A5 if asked for."""
+def lines_of_window(orders: DataFrame, lineitem: DataFrame, window: MonthWindow, max_rows: int = DEFAULT_BROADCAST_ROWS) -> DataFrame:
+    """The lines whose order key has an order in the window, all columns kept.
+
+    A join with a month's orders needs no other lines, and whoever joins on the order number
+    (order key and supplier) meets no others: the lines are dropped in their scan instead of
+    being shuffled with every join. Only the month's distinct keys are broadcast, and only when
+    counted within the bound; beyond it the lines stay as they are and the joins shuffle them.
+    """
+    keys = orders.where(in_local_window(F.col("o_orderdate"), window)).select(F.col("o_orderkey").alias("_w_key")).distinct()
+    if keys.count() > max_rows:
+        return lineitem
+    return lineitem.join(F.broadcast(keys), F.col("l_orderkey") == F.col("_w_key"), "left_semi")
+
+
+def tpch_sources(spark: SparkSession, sf_dir: str, second_bookings: bool = False, window: MonthWindow | None = None) -> LazySources:
+    """The mart inputs over the driver tables of ``sf_dir`` (built on use), A5 if asked for.
+
+    ``window`` is for queries that join everything made of order lines with the bookings of that window,
+    by date or by order number: these inputs then leave out lines of other orders (:func:`lines_of_window`).
+    """
     tables: dict[str, DataFrame] = {}
 
     def t(name: str) -> DataFrame:
         if name not in tables:
-            tables[name] = read(spark, sf_dir, name)
+            if name == "lines":
+                tables[name] = t("lineitem") if window is None else lines_of_window(t("orders"), t("lineitem"), window)
+            else:
+                tables[name] = read(spark, sf_dir, name)
         return tables[name]
 
     src: LazySources
@@ -502,10 +524,10 @@ def tpch_sources(spark: SparkSession, sf_dir: str, second_bookings: bool = False
         return lambda: getattr(src, name)
 
     src = LazySources({
-        "bookings": lambda: bookings(t("orders"), t("lineitem")),
-        "booking_cm": lambda: booking_cm(t("orders"), t("lineitem")),
-        **({"econ_bookings": lambda: econ_bookings(t("orders"), t("lineitem"))} if second_bookings else {}),
-        "promo_tx": lambda: promo_tx(t("orders"), t("lineitem")),
+        "bookings": lambda: bookings(t("orders"), t("lines")),
+        "booking_cm": lambda: booking_cm(t("orders"), t("lines")),
+        **({"econ_bookings": lambda: econ_bookings(t("orders"), t("lines"))} if second_bookings else {}),
+        "promo_tx": lambda: promo_tx(t("orders"), t("lines")),
         "spine": lambda: spine_daily(lazy("bookings")()),
         "ads": lambda: ads_daily(t("events")),
         "funnel": lambda: funnel_daily(t("events")),
