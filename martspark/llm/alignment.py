@@ -5,7 +5,8 @@ Tokens of A and B are laid out together, sorted by start (lexsort), their ends
 accumulated to a running maximum: a group breaks where a start reaches it.
 Within a group every A token is linked with the B tokens that its bytes
 overlap. A text of which either tokenizer can't give back the bytes has no
-tokens.
+tokens. Where neither tokenizer joins words, groups and links are those of the
+words, one after the other, so a task works them out once for each distinct word.
 
 `summary` counts, for every linked pair of ids, its links in all documents and
 scores each document by them. Tasks work in blocks of a few megabytes of text:
@@ -29,6 +30,7 @@ import os
 import re
 from collections.abc import Iterator
 from dataclasses import dataclass
+from itertools import chain
 
 import numpy as np
 import pyarrow as pa
@@ -44,10 +46,12 @@ BLOCK_BYTES, BLOCK_ROWS, SLICE_BYTES = 4 << 20, 20_000, 1 << 20
 SPACE_MARK = "▁"
 #: A space between visible characters: both tokenizers put it at a token's start and never join across it.
 _FIRST, _LAST = r"[!-~\w]", rf"[^\s{SPACE_MARK}]"
-_BETWEEN = re.compile(f"(?<={_LAST}) (?={_FIRST})")
+_BETWEEN = re.compile(f" (?<={_LAST} )(?={_FIRST})")
 _STARTS, _ENDS = re.compile(_FIRST), re.compile(_LAST)
 #: Words that are encoded in one line.
 LINE_WORDS = 200
+#: A task keeps what it has worked out of words; beyond so many words, or characters of them, it starts anew.
+HELD_WORDS, HELD_CHARACTERS = 300_000, 4 << 20
 
 
 def byte_of_letter() -> dict[str, int]:
@@ -62,8 +66,8 @@ class Tokens:
 
     A's pattern starts a word at the space before it, and no entry of B holds a space mark behind another
     character, so neither has a token across a space between two visible characters. Texts are cut there
-    and every distinct word of a slice is encoded once, in lines of many words; sizes of tokens tell
-    where a word's tokens end. Were B's entries otherwise, texts would be encoded whole.
+    and every distinct word is encoded once for the slices of a task, in lines of many words; sizes of tokens
+    tell where a word's tokens end. Were B's entries otherwise, texts would be encoded whole.
     """
 
     def __init__(self, path_a: str, path_b: str):
@@ -83,6 +87,11 @@ class Tokens:
         # Written tokens by (id, what follows): ids of B behind those of A.
         self.written = [f"{i}{mark}".encode() for n in (len(self.bytes_a), len(self.bytes_b)) for i in range(n) for mark in (",", "|", ";", "")]
         self.by_words = not any(SPACE_MARK in self.b.id_to_piece(i).lstrip(SPACE_MARK) for i in range(self.b.get_piece_size()))
+        self._forget()
+
+    def _forget(self) -> None:
+        none = np.zeros(0, np.int64)
+        self.place, self.characters, self.held, self.same = {}, 0, Aligned(none, none, none, none, none, []), np.zeros(0, bool)
 
     def _piece(self, i: int) -> bytes:
         piece = self.b.id_to_piece(i)
@@ -96,7 +105,7 @@ class Tokens:
         for i, (line, a, b) in enumerate(zip(lines, all_a, all_b)):
             same[i] = b"".join(map(self.bytes_a.__getitem__, a)) == b" " + line.encode() == b"".join(map(self.bytes_b.__getitem__, b))
         n_a, n_b = (np.array([len(x) for x in ids], np.int64) for ids in (all_a, all_b))
-        return *(np.fromiter((i for x in ids for i in x), np.int64, n.sum()) for ids, n in ((all_a, n_a), (all_b, n_b))), n_a, n_b, same
+        return *(np.fromiter(chain.from_iterable(ids), np.int64, n.sum()) for ids, n in ((all_a, n_a), (all_b, n_b))), n_a, n_b, same
 
     def of_words(self, words: list[str], odd: set[str]) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
         """As `lines`, of each word. `odd` words can't stand in a line with others."""
@@ -124,25 +133,22 @@ class Tokens:
         out_b, n_b = gathered(np.concatenate([b, b2]), np.concatenate([counts[1], n_b2]), order)
         return out_a, out_b, n_a, n_b, np.concatenate([np.ones(len(plain), bool), same2])[order]
 
-    def encode(self, texts: list[bytes]) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
-        """(ids by A, ids of each text, ids by B, ids of each text), texts end to end; no ids where either doesn't give the bytes back."""
-        plain = [t.decode("utf-8", "replace") for t in texts]
-        parts = [(_BETWEEN.split(t) if self.by_words else [t]) if t else [] for t in plain]
-        odd = {p[0] for p in parts if p and not _STARTS.match(p[0])} | {p[-1] for p in parts if p and not _ENDS.match(p[-1][-1])}
-        if not self.by_words:
-            odd = set(plain)
-        places = pa.array([w for p in parts for w in p], pa.large_string()).dictionary_encode()
-        a, b, n_a, n_b, known = self.of_words(places.dictionary.to_pylist(), odd)
-        place = places.indices.to_numpy().astype(np.int64)
-        of = np.repeat(np.arange(len(texts)), [len(p) for p in parts])
-        same = np.array([p == t.encode() for p, t in zip(texts, plain)], bool)
-        np.logical_and.at(same, of, known[place])
-        place, of = place[same[of]], of[same[of]]
-        out = []
-        for ids, size in ((a, n_a), (b, n_b)):
-            found, n = gathered(ids, size, place)
-            out += [found, np.bincount(of, n, len(texts)).astype(np.int64)]
-        return tuple(out)
+    def of_known(self, words: list[str], odd: set[str]) -> tuple[np.ndarray, Aligned, np.ndarray]:
+        """(place of each word, what is known at the places, whether both give the word back). Words of earlier calls are looked up."""
+        new = [w for w in dict.fromkeys(words) if w not in self.place]
+        if new:
+            a, b, n_a, n_b, same = self.of_words(new, odd)
+            if not same.all():
+                a, b, n_a, n_b = a[np.repeat(same, n_a)], b[np.repeat(same, n_b)], n_a * same, n_b * same
+            old, found = self.held, aligned(self, a, n_a, b, n_b)
+            self.held = Aligned(*(np.concatenate([getattr(old, n), getattr(found, n)]) for n in ("n_a", "n_b", "n_groups", "n_links", "pairs")), old.groups + found.groups)
+            self.same = np.concatenate([self.same, same])
+            self.place.update(zip(new, range(len(self.place), len(self.place) + len(new))))
+            self.characters += sum(map(len, new))
+        out = np.fromiter(map(self.place.__getitem__, words), np.int64, len(words)), self.held, self.same
+        if not self.by_words or len(self.place) > HELD_WORDS or self.characters > HELD_CHARACTERS:
+            self._forget()
+        return out
 
 
 def gathered(values: np.ndarray, size: np.ndarray, pick: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
@@ -181,7 +187,25 @@ class Aligned:
 
 
 def align(tokens: Tokens, texts: list[bytes]) -> Aligned:
-    a, n_a, b, n_b = tokens.encode(texts)
+    """No tokens where either tokenizer doesn't give the bytes back."""
+    plain = [t.decode("utf-8", "replace") for t in texts]
+    parts = [(_BETWEEN.split(t) if tokens.by_words else [t]) if t else [] for t in plain]
+    odd = {p[0] for p in parts if p and not _STARTS.match(p[0])} | {p[-1] for p in parts if p and not _ENDS.match(p[-1][-1])}
+    if not tokens.by_words:
+        odd = set(plain)
+    place, known, same = tokens.of_known(list(chain.from_iterable(parts)), odd)
+    of = np.repeat(np.arange(len(texts)), [len(p) for p in parts])
+    whole = np.array([p == t.encode() for p, t in zip(texts, plain)], bool)
+    whole[of[~same[place]]] = False
+    place, of = place[whole[of]], of[whole[of]]
+    counts = [np.bincount(of, n[place], len(texts)).astype(np.int64) for n in (known.n_a, known.n_b, known.n_groups, known.n_links)]
+    words, cuts = place.tolist(), [0, *np.cumsum(np.bincount(of, minlength=len(texts))).tolist()]
+    groups = [b";".join(map(known.groups.__getitem__, words[i:j])) for i, j in zip(cuts, cuts[1:])]
+    return Aligned(*counts, gathered(known.pairs, known.n_links, place)[0], groups)
+
+
+def aligned(tokens: Tokens, a: np.ndarray, n_a: np.ndarray, b: np.ndarray, n_b: np.ndarray) -> Aligned:
+    """Of texts given as ids by A and B, end to end, and ids of each text."""
     # Both cover the same bytes of each text, so places in the joined texts agree.
     end_a, end_b = np.cumsum(tokens.size_a[a]), np.cumsum(tokens.size_b[b])
     start_a, start_b = end_a - tokens.size_a[a], end_b - tokens.size_b[b]
@@ -190,7 +214,7 @@ def align(tokens: Tokens, texts: list[bytes]) -> Aligned:
 
     last_a = np.cumsum(n_a)
     some = n_a > 0
-    n_groups = np.zeros(len(texts), np.int64)
+    n_groups = np.zeros(len(n_a), np.int64)
     n_groups[some] = np.diff(group[last_a[some] - 1], prepend=-1)
     n_links = np.diff(np.append(0, np.cumsum(count))[last_a], prepend=0)
     pairs = np.repeat(a, count) << 32 | b[other]
@@ -255,7 +279,11 @@ def blocks(docs: DataFrame, path_a: str, path_b: str) -> DataFrame:
     """Rows of two kinds. Documents: counts, hash of the groups, and links as places in the block's pairs. Pairs: place, a, b and links n."""
 
     def rows_of(block: int, ids: list, done: list[Aligned], sha: list[str]) -> Iterator[pa.RecordBatch]:
-        keys, number, times = np.unique(np.concatenate([x.pairs for x in done]), return_inverse=True, return_counts=True)
+        found = pa.array(np.concatenate([x.pairs for x in done])).dictionary_encode()
+        keys = found.dictionary.to_numpy()
+        order = np.argsort(keys)
+        number = np.argsort(order)[found.indices.to_numpy()]
+        keys, times = keys[order], np.bincount(number, minlength=len(keys))
         counts = [np.concatenate([getattr(x, n) for x in done]) for n in _COUNTS]
         cuts = np.append(0, np.cumsum(counts[-1]))
         places = [planes(np.sort(number[i:j])) for i, j in zip(cuts, cuts[1:])]

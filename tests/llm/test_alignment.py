@@ -112,3 +112,22 @@ def test_edges(spark, edge_documents, empty_documents, encoders):
     long = {r.doc_id: r for r in got}
     assert long[5].n_links > long[4].n_links > 100_000 and all(r.n_links == r.n_a + r.n_b - r.n_groups for r in got)
     assert A.summary(empty_documents, *PATHS).count() == 0 and A.groups(empty_documents, *PATHS).count() == 0
+
+
+def test_a_word_is_encoded_once_for_the_slices_of_a_task(encoders, words, monkeypatch):
+    texts = [t or "" for t in TEXTS] + [words(40) for _ in range(20)]
+    expected = brute(texts, encoders)
+    tokens, encoded = A.Tokens(*PATHS), []
+    lines = tokens.lines
+    monkeypatch.setattr(tokens, "lines", lambda x: encoded.extend(x) or lines(x))
+
+    def rows(some):
+        x = A.align(tokens, [t.encode() for t in some])
+        return list(zip(x.n_a.tolist(), x.n_b.tolist(), x.n_groups.tolist(), x.n_links.tolist(), [g.decode() for g in x.groups]))
+
+    short = [(*x[:4], x[-1]) for x in expected]
+    assert rows(texts) == short and encoded
+    encoded.clear()
+    assert rows(texts[::-1]) == short[::-1] and not encoded
+    monkeypatch.setattr(A, "HELD_WORDS", 3)  # starts anew after every slice
+    assert [rows([t])[0] for t in texts] == short and encoded and len(tokens.place) <= 3
