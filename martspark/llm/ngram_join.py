@@ -20,8 +20,9 @@ Which signatures are written, without losing a pair:
   also writes that band's signatures.
 
 Sets that share a signature are verified exactly: each with the group's
-first set and with its neighbour; then, in two rounds, each with the nearest set of
-another component in its group; then all pairs across the components of a group that are left. An odd sketch (parities of hashed features) whose bits differ
+first set and with its neighbour, which are all pairs of up to three sets. Then all pairs across the
+components of small groups, which are done with that; in larger ones, in two rounds, each set with the nearest of
+another component, then all pairs across the components that are left. An odd sketch (parities of hashed features) whose bits differ
 in more places than the sets may, rules a pair out inside the task. Pairs inside a component
 need no test, so copies are never expanded into all pairs, and no pair is lost.
 
@@ -49,12 +50,15 @@ SHINGLE = 5
 BLOCK = 2048
 #: Groups of up to so many rows are compared together, array by array.
 SMALL = 24
-#: Features that are told apart as common: at least this often in a task, then the commonest overall.
-COMMON_IN_TASK, COMMON_FEATURES = 8, 100_000
+#: Features that are told apart as common: tasks report what they saw at least so often, then it counts
+#: how often that is in all tasks, and the commonest are taken. A task's own share doesn't grow with the corpus.
+COMMON_IN_TASK, COMMON_OVERALL, COMMON_FEATURES = 2, 8, 100_000
 #: Features that a task holds before it counts them.
 HELD_FEATURES = 500_000
-#: Rounds of nearest pairs before all pairs are tested; they only spare work.
+#: Rounds of nearest pairs before all pairs are tested; they only spare work. Groups of up to SMALL sets are tested whole in the first.
 NEAREST_ROUNDS = 2
+#: In groups of up to so many sets, the first set and the neighbour of each make all the pairs.
+SETTLED = 3
 #: Odd factors of a shingle's words and of their number.
 FACTORS = np.array([0xBF58476D1CE4E5B9, 0x94D049BB133111EB, 0xD6E8FEB86659FD93, 0xA0761D6478BD642F, 0xE7037ED1A0B428DB], U)
 LENGTH = U(0x8EBC6AF09C88C6E3)
@@ -241,6 +245,12 @@ def describe(docs: DataFrame) -> DataFrame:
     return docs.select("doc_id", "text", F.xxhash64("text")).mapInArrow(released(run), "doc_id long, n long, h1 long, h2 long, sketch binary, coarse binary, feature long, df long, text_hash long")
 
 
+def common_features(rows: DataFrame) -> list[int]:
+    """The commonest features of all documents, rarest first. Input: `describe`."""
+    seen = rows.where("feature is not null").groupBy("feature").agg(F.sum("df").alias("df")).where(F.col("df") >= COMMON_OVERALL)
+    return [r.feature for r in seen.orderBy(F.desc("df"), "feature").limit(COMMON_FEATURES).collect()][::-1]
+
+
 def write_signatures(docs: DataFrame, common: list[int]) -> DataFrame:
     """(signature, h1) of every document with an id. common: features sorted by how common they are, rarest first."""
     features = np.array(common, np.int64).view(U)
@@ -325,8 +335,9 @@ def nearest_pairs(a: np.ndarray, b: np.ndarray, apart: np.ndarray) -> np.ndarray
 def across(members: DataFrame, nearest: bool = False) -> DataFrame:
     """Promising pairs (a < b) of different components within each group. Input: signature, i, j, block, node, n, sketch, component.
 
-    A group is (signature, i, j): sets of blocks i and j of a signature. nearest: of the pairs that whole
-    groups hold together in a task, only each set's nearest, so no more pairs leave than sets came.
+    A group is (signature, i, j): sets of blocks i and j of a signature. nearest: all pairs of groups of up
+    to SMALL sets, fewer than SMALL / 2 for each set; of the pairs that larger whole groups hold together in a task,
+    only each set's nearest.
     """
     schema = pa.schema([("a", pa.int64()), ("b", pa.int64())])
 
@@ -361,11 +372,12 @@ def across(members: DataFrame, nearest: bool = False) -> DataFrame:
             return (component[x] != component[y]) & (one[x] | (block[x] != block[y])) & _may_link(n[x], n[y])
 
         found = small_groups(group, size, may)
+        of_small = sum(map(len, found))
         for g in np.flatnonzero(size > SMALL):
             found += large_group(np.arange(first[g], first[g] + size[g]), component, may)
         x, y = np.concatenate(found).T
         pairs, where = np.unique(np.stack([np.minimum(node[x], node[y]), np.maximum(node[x], node[y])], axis=1), axis=0, return_index=True)
-        x, y = x[where], y[where]
+        x, y, in_small = x[where], y[where], where < of_small
         total = n[x] + n[y]
         small = {}
         for k in np.unique(np.concatenate([x, y])).tolist():
@@ -377,7 +389,9 @@ def across(members: DataFrame, nearest: bool = False) -> DataFrame:
             apart[part] = bits_apart([sketch[k] for k in x[part]], [sketch[k] for k in y[part]])
         ok = np.flatnonzero(7 * apart <= total)
         if nearest:
-            ok = ok[nearest_pairs(pairs[ok, 0], pairs[ok, 1], apart[ok])]
+            keep = in_small[ok]
+            keep[nearest_pairs(pairs[ok, 0], pairs[ok, 1], apart[ok])] = True
+            ok = ok[keep]
         return pairs[ok]
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -441,8 +455,7 @@ def link(docs: DataFrame) -> DataFrame:
     """doc_id, n_shingles, component_id, text_hash for every row. Input: doc_id, text."""
     docs = docs.select("doc_id", "text")
     rows = stored(describe(docs), "sets-described")
-    common = [r.feature for r in rows.where("feature is not null").groupBy("feature").agg(F.sum("df").alias("df"))
-              .orderBy(F.desc("df"), "feature").limit(COMMON_FEATURES).collect()][::-1]
+    common = common_features(rows)
     base = rows.where("feature is null")
     classes = stored(
         base.where("doc_id is not null and n > 0").groupBy("h1", "h2").agg(F.min(F.struct("doc_id", "n", "sketch", "coarse")).alias("c"))
@@ -463,23 +476,23 @@ def link(docs: DataFrame) -> DataFrame:
     links = stored(verified(docs, classes, stars), "star-links")
     labels = stored(connected_components(links), "components")
 
-    # Across the components of a group: the nearest ones, as long as that links any, then all.
+    # Across the components of a group: all pairs of small groups and the nearest of large ones, then all pairs of these.
     def linked(held: DataFrame, nearest: bool) -> tuple[DataFrame, DataFrame]:
-        """Links across components, and the members of the groups that hold several: components only grow, so later rounds need no others."""
+        """Links across components, and the members of the large groups that hold several: small ones are done after this, and components only grow."""
         members = held.join(labels.withColumnRenamed("component", "label"), "node", "left").select("signature", "node", "n", F.coalesce("label", "node").alias("component"))
         mixed = (
             members.groupBy("signature").agg(F.min("component").alias("lo"), F.max("component").alias("hi"), F.count("*").alias("size"),
                                              F.bit_xor(F.xxhash64("node")).alias("s1"), F.bit_xor(F.xxhash64("node", F.lit(1))).alias("s2"))
             # Signatures with the same sets are one group.
-            .where("lo < hi").groupBy("size", "s1", "s2").agg(F.min("signature").alias("signature"))
-            .select("signature", F.ceil(F.col("size") / BLOCK).cast("int").alias("blocks"))
+            .where((F.col("lo") < F.col("hi")) & (F.col("size") > SETTLED)).groupBy("size", "s1", "s2").agg(F.min("signature").alias("signature"))
+            .select("signature", "size", F.ceil(F.col("size") / BLOCK).cast("int").alias("blocks"))
         )
         open_groups = stored(members.join(mixed, "signature"), "open-groups")
         dealt = open_groups.withColumn("block", F.pmod(F.xxhash64("node"), F.col("blocks")).cast("int"))
         grouped = dealt.join(classes.select("node", "sketch"), "node").withColumn("k", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1))) \
             .withColumn("i", F.least("block", "k")).withColumn("j", F.greatest("block", "k"))
         pairs = stored(across(grouped, nearest).distinct(), "cross-pairs")
-        return stored(verified(docs, classes, pairs), "cross-links"), open_groups.select("signature", "node", "n")
+        return stored(verified(docs, classes, pairs), "cross-links"), open_groups.where(F.col("size") > SMALL).select("signature", "node", "n")
 
     def merged(more: DataFrame) -> DataFrame:
         """Components of the links found so far and of `more`."""

@@ -149,3 +149,31 @@ def test_counted_keeps_what_stands_twice():
             if v in kept or n >= 2:
                 kept[v] = kept.get(v, 0) + n
         assert dict(zip(*old)) == kept and (np.diff(old[0].astype(np.int64)) > 0).all()
+
+
+def test_features_are_common_by_all_tasks(spark, words):
+    """Two in each of six tasks are twelve."""
+    passage = words(9)
+    docs = spark.range(0, 12, 1, 6).selectExpr("id doc_id", f"concat('{passage} a', id, ' b', id, ' c', id) text")
+    assert sorted(J.common_features(J.describe(docs))) == sorted(J.shingle_sets([passage.encode()])[0].view(np.int64).tolist())
+    few = docs.where("doc_id < 6")  # six documents with it
+    assert J.common_features(J.describe(few)) == []
+
+
+def test_small_groups_are_open_in_one_round(spark, words, monkeypatch):
+    """Six sets with a passage in common, none linked; and groups of three, settled by the first pairs."""
+    passage, other, opened = words(30), words(30), []
+    stored = J.stored
+
+    def watched(df, name):
+        out = stored(df, name)
+        if name == "open-groups":
+            opened.append(out.groupBy("signature").count().collect())
+        return out
+
+    monkeypatch.setattr(J, "stored", watched)
+    texts = [f"{passage} {words(40)}" for _ in range(6)] + [f"{other} {words(40)}" for _ in range(3)]
+    got = J.link(spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string").repartition(2)).collect()
+    assert {r.doc_id: (r.n_shingles, r.component_id) for r in got} == brute(dict(enumerate(texts)))
+    assert len(opened) == J.NEAREST_ROUNDS + 1
+    assert opened[0] and {r["count"] for r in opened[0]} <= {4, 5, 6} and opened[1:] == [[], []]
