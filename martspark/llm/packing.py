@@ -31,7 +31,9 @@ BUCKETS, DIMENSIONS, BITS = 512, 4, 12
 RANGE_BYTES, SAMPLED = 32 << 20, 200_000
 #: Text whose distinct words are looked up together.
 ENCODED_TEXT = 8 << 20
-#: Words whose ids a Python worker remembers at least (twice as many at most).
+#: Words whose ids are laid out together.
+LAID_WORDS = 1 << 16
+#: Words known beyond which a Python worker forgets those long unseen; those of one lookup (ENCODED_TEXT) come on top, twice.
 CACHED_WORDS = 100_000
 SCHEMA = "doc_id long, start long, length long, ids binary, doc_tokens long, sequence_id long, offset long, curve_key long"
 
@@ -124,11 +126,17 @@ class WordIds:
     def whole(self, text: str) -> bytes:
         return np.array(self.tokenizer.encode(text, add_special_tokens=False).ids, "<u4").tobytes()
 
+    def _lines(self, words: list[str], between: str) -> Iterator[tuple[list[str], np.ndarray]]:
+        """(words, token ids) of lines of two hundred words, few lines at a time: an encoding holds far more than its ids."""
+        lines = [words[i:i + 200] for i in range(0, len(words), 200)]
+        for i in range(0, len(lines), 16):
+            some = lines[i:i + 16]
+            for line, encoded in zip(some, self.tokenizer.encode_batch_fast([between.join(x) for x in some], add_special_tokens=False)):
+                yield line, np.array(encoded.ids, "<u4")
+
     def _letters(self, words: list[str]) -> None:
         """Ids of words of letters, encoded in lines of two hundred."""
-        lines = [words[i:i + 200] for i in range(0, len(words), 200)]
-        for line, encoded in zip(lines, self.tokenizer.encode_batch_fast([" ".join(x) for x in lines], add_special_tokens=False)):
-            ids = np.array(encoded.ids, "<u4")
+        for line, ids in self._lines(words, " "):
             ends = np.flatnonzero(self.last[ids]) + 1
             if len(ends) != len(line) or ends[-1] != len(ids):  # a letter that the tokenizer parts
                 self.new.update((w, self.whole(w)) for w in line)
@@ -140,9 +148,7 @@ class WordIds:
 
     def _apart(self, words: list[str]) -> None:
         """Ids of any words, encoded in lines of two hundred between end tokens, which the tokenizer cuts out first."""
-        lines = [words[i:i + 200] for i in range(0, len(words), 200)]
-        for line, encoded in zip(lines, self.tokenizer.encode_batch_fast([END.join(x) for x in lines], add_special_tokens=False)):
-            ids = np.array(encoded.ids, "<u4")
+        for line, ids in self._lines(words, END):
             ends = np.flatnonzero(ids == self.end)
             if len(ends) != len(line) - 1:  # a word that holds the end token itself
                 self.new.update((w, self.whole(w)) for w in line)
@@ -183,11 +189,18 @@ class WordIds:
         self.learn(words)
         parts = [self.new[w] for w in words]
         size = np.array([len(x) for x in parts], np.int64) // 4
-        start, size = (np.cumsum(size) - size)[place], size[place]
-        ends = np.cumsum(size)
-        ids = np.frombuffer(b"".join(parts), "<u4")[np.repeat(start - ends + size, size) + np.arange(ends[-1] if len(ends) else 0)]
-        cuts = np.append(0, ends)[np.append(0, np.cumsum(count))]
-        return [ids[a:b].tobytes() for a, b in zip(cuts, cuts[1:])]
+        start = np.cumsum(size) - size
+        known = np.frombuffer(b"".join(parts), "<u4")
+        reach, found = np.append(0, np.cumsum(count)), []
+        part = reach[:-1] // LAID_WORDS
+        cuts = [0, *(np.flatnonzero(np.diff(part)) + 1).tolist(), len(texts)]
+        for a, b in zip(cuts, cuts[1:]):
+            own = place[reach[a]:reach[b]]
+            ends = np.cumsum(size[own])
+            ids = known[np.repeat(start[own] - ends + size[own], size[own]) + np.arange(ends[-1] if len(ends) else 0)]
+            at = np.append(0, ends)[reach[a:b + 1] - reach[a]]
+            found += [ids[i:j].tobytes() for i, j in zip(at, at[1:])]
+        return found
 
 
 def tokenizer_path(name: str = "word_bpe_49k.json") -> str:

@@ -1,3 +1,4 @@
+import tracemalloc
 import zlib
 from collections import defaultdict
 from types import SimpleNamespace
@@ -107,3 +108,37 @@ def test_words_with_marks_are_those_of_the_tokenizer(words):
     for word in odd:
         assert known.new[word] == known.whole(word), word
     assert known.of_texts(pa.array([" ".join(odd)])) == [known.whole(" ".join(odd))]
+
+
+def test_encoding_and_layout_hold_little_at_once(words):
+    """Few lines are encoded together, and ids are laid out part by part."""
+    class Spy:
+        def __init__(self, tokenizer):
+            self.tokenizer, self.most = tokenizer, 0
+
+        def __getattr__(self, name):
+            return getattr(self.tokenizer, name)
+
+        def encode_batch_fast(self, lines, **kw):
+            self.most = max(self.most, len(lines))
+            return self.tokenizer.encode_batch_fast(lines, **kw)
+
+    known = P.WordIds(PATH)
+    known.tokenizer = Spy(known.tokenizer)
+    letters, odd = ["".join(chr(97 + i // 26 ** k % 26) for k in range(4)) for i in range(20_000)], [f"{i}'s" for i in range(20_000)]
+    known.learn(letters + odd)
+    assert 0 < known.tokenizer.most <= 16
+    assert all(known.new[w] == known.whole(w) for w in letters[::997] + odd[::997])
+
+    texts = [words(300) for _ in range(20)] + [None, ""]
+    expected = [known.whole(t or "") for t in texts]
+    many = pa.array(texts * 120)
+    known.of_texts(many[:22])
+    tracemalloc.start()
+    try:
+        found = known.of_texts(many)
+        peak = tracemalloc.get_traced_memory()[1]
+    finally:
+        tracemalloc.stop()
+    assert found == expected * 120
+    assert peak < 3 * sum(map(len, found))  # 1.5 times; 6.8 when all was laid out at once
