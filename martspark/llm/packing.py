@@ -24,17 +24,17 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from martspark.llm.common import as_bytes, per_batch, released, sized, word_hashes
+from martspark.llm.common import as_bytes, per_batch, released, sized, tidy, word_hashes
 
 BUCKETS, DIMENSIONS, BITS = 512, 4, 12
 #: Text in one range of the curve, which one task sorts and packs; documents sampled to find the ranges.
 RANGE_BYTES, SAMPLED = 32 << 20, 200_000
 #: Text whose distinct words are looked up together.
-ENCODED_TEXT = 8 << 20
+ENCODED_TEXT = 3 << 20
 #: Words whose ids are laid out together.
 LAID_WORDS = 1 << 16
-#: Words known beyond which a Python worker forgets those long unseen; those of one lookup (ENCODED_TEXT) come on top, twice.
-CACHED_WORDS = 100_000
+#: Words that a Python worker remembers from lookup to lookup, those last seen; one lookup's (ENCODED_TEXT) come on top.
+CACHED_WORDS = 250_000
 SCHEMA = "doc_id long, start long, length long, ids binary, doc_tokens long, sequence_id long, offset long, curve_key long"
 
 
@@ -67,11 +67,17 @@ def hilbert_key(points: np.ndarray, bits: int = BITS) -> np.ndarray:
     return key
 
 
-def _words(texts: pa.Array) -> tuple[list[str], np.ndarray, np.ndarray]:
+def _words(texts: pa.Array) -> tuple[pa.Array, np.ndarray, np.ndarray]:
     """(distinct words, word number of each place, words of each text) of texts split at ASCII white space; null is empty."""
     split = pc.ascii_split_whitespace(texts.cast(pa.large_string()).fill_null(""))
     places = split.flatten().dictionary_encode()
-    return places.dictionary.to_pylist(), places.indices.to_numpy(), pc.list_value_length(split).to_numpy()
+    return places.dictionary, places.indices.to_numpy(), pc.list_value_length(split).to_numpy()
+
+
+def _laid(ids: np.ndarray, start: np.ndarray, size: np.ndarray) -> np.ndarray:
+    """The stretches of `ids` from `start` on, `size` long, one after the other."""
+    ends = np.cumsum(size)
+    return ids[np.repeat(start - ends + size, size) + np.arange(ends[-1] if len(ends) else 0)]
 
 
 def curve_keys(texts: pa.Array) -> np.ndarray:
@@ -100,6 +106,9 @@ class WordIds:
     are encoded together: words of letters two hundred at a time, told apart by their last tokens' `</w>`.
     Marks after a letter or digit are tokens of their own; after anything else (a quote, an ellipsis, a
     vowel sign) they may join it, so such words are encoded whole.
+
+    Remembered words are one Arrow array beside arrays of their ids: a Python string and its bytes in a
+    dictionary take several times the room. Only a lookup's new words are Python objects for a while.
     """
 
     def __init__(self, path: str):
@@ -111,8 +120,9 @@ class WordIds:
         self.end = vocabulary[END.strip()]
         self.last = np.zeros(max(vocabulary.values()) + 1, bool)
         self.last[[i for w, i in vocabulary.items() if w.endswith("</w>")]] = True
-        self.new: dict[str, bytes] = {"": b""}
-        self.old: dict[str, bytes] = {}
+        self.new: dict[str, bytes] = {"": b""}  # of one lookup
+        self.words = pa.array([], pa.large_string())
+        self.ids, self.size, self.seen, self.lookups = np.zeros(0, "<u4"), np.zeros(0, np.int32), np.zeros(0, np.int32), 0
         self.marks = {"": b""}
         self.parted: dict[str, bool] = {}
 
@@ -158,18 +168,12 @@ class WordIds:
                 self.new[word] = raw[cuts[i] + (4 if i else 0):cuts[i + 1] if i + 1 < len(cuts) else None]
 
     def learn(self, words: list[str]) -> None:
-        """Make all of `words` known; forgets words long unseen once too many are known."""
-        if len(self.new) > CACHED_WORDS:
-            self.old, self.new, self.marks = self.new, {"": b""}, {"": b""}
-        new, old, marks = self.new, self.old, self.marks
+        """Put the ids of all of `words`, and of their cores, into `new`."""
+        new, marks = self.new, self.marks
         fresh = [w for w in words if w not in new]
-        if old:
-            new.update([(w, old[w]) for w in fresh if w in old])
-            fresh = [w for w in fresh if w not in old]
         plain = [w for w in fresh if w.isalpha() and len(w) <= 64]
         marked = [(w, w.rstrip(MARKS)) for w in fresh if not w.isalpha() or len(w) > 64]
         cores = {core for _, core in marked if core.isalpha() and len(core) <= 64}
-        new.update([(core, old[core]) for core in cores if core in old])
         cores.difference_update(plain)
         self._letters(plain + [core for core in cores if core not in new])
         whole = [w for w, core in marked if core not in new or core and not self.parts(core[-1])]
@@ -183,22 +187,48 @@ class WordIds:
                 marks[mark] = self.whole(mark)
             new[word] = new[core] + marks[mark]
 
+    def _spots(self, words: pa.Array) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+        """(ids, place in them of each word's first id, number of its ids) of distinct words; all are remembered."""
+        cores = pc.utf8_rtrim(words, characters=MARKS)
+        at = pc.index_in(pa.concat_arrays([words, cores]), value_set=self.words).fill_null(-1).to_numpy()
+        at, core = at[:len(words)].copy(), at[len(words):]
+        asked = (at < 0) & (core >= 0)
+        first = np.cumsum(self.size, dtype=np.int64) - self.size
+        recalled = {w: self.ids[first[i]:first[i] + self.size[i]].tobytes() for w, i in zip(cores.filter(pa.array(asked)).to_pylist(), core[asked])}
+        self.new.update(recalled)
+        fresh = words.filter(pa.array(at < 0)).to_pylist()
+        self.learn(fresh)
+        learned = fresh + list(self.new.keys() - recalled.keys() - {"", *fresh})
+        parts = [self.new[w] for w in learned]
+        self.new = {"": b""}
+        if len(self.marks) > CACHED_WORDS:
+            self.marks = {"": b""}
+        at[at < 0] = len(self.words) + np.arange(len(fresh))
+        known = pa.concat_arrays([self.words, pa.array(learned, pa.large_string())])
+        ids = np.concatenate([self.ids, np.frombuffer(b"".join(parts), "<u4")])
+        size = np.append(self.size, np.array([len(x) // 4 for x in parts], np.int32))
+        seen = np.append(self.seen, np.full(len(learned), self.lookups, np.int32))
+        seen[at] = self.lookups
+        self.lookups += 1
+        start = np.cumsum(size, dtype=np.int64) - size
+        if len(known) > CACHED_WORDS:
+            kept = np.sort(np.argpartition(seen, len(seen) - CACHED_WORDS)[-CACHED_WORDS:])
+            self.words, self.ids, self.size, self.seen = known.take(pa.array(kept)), _laid(ids, start[kept], size[kept]), size[kept], seen[kept]
+        else:
+            self.words, self.ids, self.size, self.seen = known, ids, size, seen
+        return ids, start[at], size[at]
+
     def of_texts(self, texts: pa.Array) -> list[bytes]:
         """Ids of each text; ids are found word by word for the distinct words, then laid out in place."""
         words, place, count = _words(texts)
-        self.learn(words)
-        parts = [self.new[w] for w in words]
-        size = np.array([len(x) for x in parts], np.int64) // 4
-        start = np.cumsum(size) - size
-        known = np.frombuffer(b"".join(parts), "<u4")
+        known, start, size = self._spots(words)
         reach, found = np.append(0, np.cumsum(count)), []
         part = reach[:-1] // LAID_WORDS
         cuts = [0, *(np.flatnonzero(np.diff(part)) + 1).tolist(), len(texts)]
         for a, b in zip(cuts, cuts[1:]):
             own = place[reach[a]:reach[b]]
-            ends = np.cumsum(size[own])
-            ids = known[np.repeat(start[own] - ends + size[own], size[own]) + np.arange(ends[-1] if len(ends) else 0)]
-            at = np.append(0, ends)[reach[a:b + 1] - reach[a]]
+            ids = _laid(known, start[own], size[own])
+            at = np.append(0, np.cumsum(size[own]))[reach[a:b + 1] - reach[a]]
             found += [ids[i:j].tobytes() for i, j in zip(at, at[1:])]
         return found
 
@@ -282,6 +312,7 @@ def pack(docs: DataFrame, tokenizer_path: str, length: int = 2048, end_id: int =
             if ready:
                 yield batch_of(ready)
                 ready = []
+            tidy()  # a lookup takes far more than the words it leaves
         size = 1
         while size * 2 <= filled:
             size *= 2

@@ -142,3 +142,22 @@ def test_encoding_and_layout_hold_little_at_once(words):
         tracemalloc.stop()
     assert found == expected * 120
     assert peak < 3 * sum(map(len, found))  # 1.5 times; 6.8 when all was laid out at once
+
+
+def test_words_remembered_stay_few(monkeypatch):
+    """A lookup's words are forgotten down to CACHED_WORDS, those last seen stay, and ids are right either way."""
+    monkeypatch.setattr(P, "CACHED_WORDS", 500)
+    known = P.WordIds(PATH)
+    lookups = [" ".join(f"{''.join(chr(97 + i // 26 ** k % 26) for k in range(4))}{',' if i % 5 == 0 else ''}" for i in range(n, n + 6000)) for n in (0, 6000, 12_000)]
+    known.of_texts(pa.array(["warm up"]))
+    tracemalloc.start()
+    try:
+        found = [known.of_texts(pa.array([text, "often seen, often"]))[0] for text in lookups]
+        found = [x == known.whole(text) for x, text in zip(found, lookups)]
+        held = tracemalloc.get_traced_memory()[0]
+    finally:
+        tracemalloc.stop()
+    assert all(found)
+    assert held < 300_000  # 12,000 words in two dictionaries before
+    last = pa.array([lookups[0] + " often", "often"])
+    assert known.of_texts(last) == [known.whole(t) for t in last.to_pylist()]
